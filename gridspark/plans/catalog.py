@@ -149,3 +149,230 @@ def ingest_query(spark, sf_dir):
 def notify_parse(spark, sf_dir):
     """Envelope -> message -> five fields."""
     return notifications(spark, sf_dir)
+
+
+@register("notify_escape_strip", _NOTIF_SQL)
+def notify_escape_strip(spark, sf_dir):
+    """names carry a backslash, which the message JSON escapes as a pair; stripping
+    the pairs restores the plain names."""
+    return notifications(spark, sf_dir, escape_names=True)
+
+
+@register("notify_filter_ci", f"SELECT * FROM ({_NOTIF_SQL}) n WHERE lower(n.name) = 'click'")
+def notify_filter_ci(spark, sf_dir):
+    """Full, case-insensitive name equality against ``'CLICK'``."""
+    return M.filter_name_ci(notifications(spark, sf_dir), "CLICK")
+
+
+_MATCH_COLS = "n.bucket, n.name, n.key, n.created_time, n.forecast_reference_time, p.measure, p.coord_y, p.coord_x, p.r_limit"
+
+
+@register("notify_param_join", f"""
+WITH n AS ({_NOTIF_SQL}), p AS ({_PARAMS_SQL})
+SELECT {_MATCH_COLS} FROM n JOIN p ON n.name = p.name""")
+def notify_param_join(spark, sf_dir):
+    """Exact-name lookup of the extraction parameters."""
+    return M.match_params(notifications(spark, sf_dir), M.params_frame(spark, INGEST_PARAMS))
+
+
+# The same parameters with names in other letter cases.
+CI_PARAMS = [("CLICK",) + INGEST_PARAMS[0][1:], ("Purchase",) + INGEST_PARAMS[1][1:]]
+_CI_PARAMS_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{n}', '{m}', '{cy}', '{cx}', {lim})" for n, m, cy, cx, lim in CI_PARAMS
+) + ") AS p(name, measure, coord_y, coord_x, r_limit)"
+
+
+@register("notify_param_join_ci", f"""
+WITH n AS ({_NOTIF_SQL}), p AS ({_CI_PARAMS_SQL})
+SELECT {_MATCH_COLS} FROM n JOIN p ON lower(n.name) = lower(p.name)""")
+def notify_param_join_ci(spark, sf_dir):
+    """Case-insensitive parameter lookup."""
+    return M.match_params(notifications(spark, sf_dir), M.params_frame(spark, CI_PARAMS), case_insensitive=True)
+
+
+BASE_DIR = "/data/grids"
+
+
+@register("file_name_path", f"""
+SELECT n.*, n.name || '_' || n.created_time || '_' || n.key AS file_name,
+       '{BASE_DIR}/' || n.name || '_' || n.created_time || '_' || n.key AS file_path,
+       's3a://' || n.bucket || '/' || n.key AS object_uri,
+       n.key AS object_name
+FROM ({_NOTIF_SQL}) n""")
+def file_name_path(spark, sf_dir):
+    """Stored file name, its path, the object URI and its base name."""
+    return M.with_file_names(notifications(spark, sf_dir), BASE_DIR)
+
+
+CAP = 5
+
+
+@register("notify_cap", f"""
+SELECT * FROM ({_NOTIF_SQL}) n
+ORDER BY created_time, key, name, bucket, forecast_reference_time LIMIT {CAP}""")
+def notify_cap(spark, sf_dir):
+    """L2, L3: the first messages of the batch in arrival order."""
+    return M.cap(notifications(spark, sf_dir), CAP)
+
+
+@register("matched_count", f"""
+WITH n AS ({_NOTIF_SQL}), p AS ({_PARAMS_SQL})
+SELECT count(*) AS n_matched FROM n JOIN p ON n.name = p.name""")
+def matched_count_query(spark, sf_dir):
+    """A2: how many messages matched a parameter set."""
+    return M.matched_count(notifications(spark, sf_dir), M.params_frame(spark, INGEST_PARAMS))
+
+
+@register("params_parse", """
+SELECT n_name AS name, lower(n_name) AS measure, 'projection_y_coordinate' AS coord_y,
+       'projection_x_coordinate' AS coord_x, n_regionkey - 1 AS r_limit
+FROM nation""")
+def params_parse(spark, sf_dir):
+    """``"measure,coordY,coordX,limit"`` strings -> typed parameter rows."""
+    nation = table(spark, sf_dir, "nation")
+    text = F.concat_ws(",", F.lower("n_name"), F.lit("projection_y_coordinate"),
+                       F.lit("projection_x_coordinate"), (F.col("n_regionkey") - 1).cast("string"))
+    return M.params_from_text(nation.select("n_name", text.alias("p")), "n_name", "p")
+
+
+# Realization limits given to files in turn (1, all, beyond size, none).
+FILE_LIMITS = (1, -1, 9, 0)
+
+
+@register("grid_limit", f"""
+SELECT {_long_sql('c', MEASURE)} FROM (
+  SELECT *, CASE CAST(regexp_extract(file_name, 'g_([0-9]+)', 1) AS BIGINT) % {len(FILE_LIMITS)}
+    {' '.join(f'WHEN {i} THEN {v}' for i, v in enumerate(FILE_LIMITS))} END AS r_limit
+  FROM ({_cells_sql(G_R, G_Y, G_X)})) c
+WHERE c.r_limit < 0 OR c.r < c.r_limit""")
+def grid_limit(spark, sf_dir):
+    """L1: per-file realization limits 1, -1 (all), 9 (beyond size) and 0."""
+    slabs = grid_g(spark, sf_dir)
+    file_no = F.regexp_extract("file_name", r"g_([0-9]+)", 1).cast("long")
+    limits = F.array(*[F.lit(v) for v in FILE_LIMITS])
+    slabs = slabs.withColumn("r_limit", F.element_at(limits, (file_no % len(FILE_LIMITS) + 1).cast("int")))
+    return compared(U.to_long(slabs.filter(U.within_limit("r_limit"))))
+
+
+@register("grid_rank4", f"SELECT {_long_sql('c', MEASURE)} FROM ({_cells_sql(G_R, G_Y, G_X)}) c WHERE c.y % 2 = 0")
+def grid_rank4(spark, sf_dir):
+    """A 4-D measure reduced to its level-0 slabs."""
+    return compared(U.to_long(U.first_level(grid_g(spark, sf_dir, four_d=True))))
+
+
+@register("grid_indexed", f"""
+SELECT {_long_sql('c', MEASURE)}, c.r, c.y, c.x, CAST((c.r * {G_Y} + c.y) * {G_X} + c.x AS BIGINT) AS cnt
+FROM ({_cells_sql(G_R, G_Y, G_X)}) c""")
+def grid_indexed(spark, sf_dir):
+    """The long rows with their realization, y, x and running cell number."""
+    return compared(U.to_long_indexed(grid_g(spark, sf_dir)))
+
+
+@register("grid_wide", f"""
+SELECT CAST(CAST(c.y * 2000 AS FLOAT) AS VARCHAR) AS y_coord,
+       CAST(CAST(c.x * 2000 AS FLOAT) AS VARCHAR) AS x_coord,
+       CAST(CAST(c.t_max AS BIGINT) AS VARCHAR) AS time,
+       CAST(CAST(c.t_min AS BIGINT) AS VARCHAR) AS forecast,
+       c.v AS {MEASURE}
+FROM ({_cells_sql(G_R, G_Y, G_X)}) c""")
+def grid_wide(spark, sf_dir):
+    """Wide cells as text, the measure name as the column name (the value is
+    compared at float32, see the module notes)."""
+    w = U.wide_from_slabs(grid_g(spark, sf_dir), MEASURE)
+    return w.withColumn(MEASURE, widened(MEASURE))
+
+
+SECOND = "o_custkey"
+
+
+@register("grid_union", f"""
+SELECT {_long_sql('c', MEASURE)} FROM ({_cells_sql(G_R, G_Y, G_X)}) c
+UNION ALL
+SELECT {_long_sql('c', SECOND)} FROM ({_cells_sql(G_R, G_Y, G_X, SECOND)}) c""")
+def grid_union(spark, sf_dir):
+    """Two measures' grids in one long row set, duplicates kept."""
+    a = grid_g(spark, sf_dir)
+    b = grid_g(spark, sf_dir, value=SECOND)
+    return compared(U.to_long(a.unionByName(b)))
+
+
+@register("grid_describe", f"""
+SELECT c.file_name, '{MEASURE}' AS measure_name, max(c.r) + 1 AS n_r, 1 AS n_level, max(c.y) + 1 AS n_y,
+       max(c.x) + 1 AS n_x, CAST(max(c.t_max) AS BIGINT) AS time, CAST(min(c.t_min) AS BIGINT) AS forecast
+FROM ({_cells_sql(G_R, G_Y, G_X)}) c GROUP BY c.file_name""")
+def grid_describe(spark, sf_dir):
+    """S7 on slabs: the dimension lengths and scalars of every file."""
+    from gridspark.operators.describe import describe_slabs
+
+    return describe_slabs(grid_g(spark, sf_dir))
+
+
+@register("grid_count", f"""
+SELECT c.file_name, count(*) AS n_rows FROM ({_cells_sql(G_R, G_Y, G_X)}) c GROUP BY c.file_name""")
+def grid_count(spark, sf_dir):
+    """A1: long-row count per file, computed from the slabs without unpivoting."""
+    return U.cell_count(grid_g(spark, sf_dir))
+
+
+PREVIEW = 20
+
+
+@register("grid_preview", f"""
+SELECT {_long_sql('c', MEASURE)}, c.r, c.y, c.x, CAST((c.r * {G_Y} + c.y) * {G_X} + c.x AS BIGINT) AS cnt
+FROM ({_cells_sql(G_R, G_Y, G_X)}) c ORDER BY file_name, cnt LIMIT {PREVIEW}""")
+def grid_preview(spark, sf_dir):
+    """The first cells in read order (a top-k, not a full sort)."""
+    return compared(U.to_long_indexed(grid_g(spark, sf_dir)).orderBy("file_name", "cnt").limit(PREVIEW))
+
+
+@register("row_text_decode", """
+SELECT s_name AS file_name, CAST(s_suppkey AS DOUBLE) AS y_coord, CAST(s_nationkey AS DOUBLE) AS x_coord,
+       CAST(s_suppkey AS DOUBLE) / 4 AS forecast, s_acctbal AS time, 's_acctbal' AS measure_name,
+       s_acctbal AS measure_value
+FROM supplier""")
+def row_text_decode(spark, sf_dir):
+    """typed rows -> comma-joined text -> typed rows again."""
+    from gridspark.functions.text import decode_long_row, join_fields
+
+    s = table(spark, sf_dir, "supplier")
+    text = join_fields(
+        F.col("s_name"),
+        F.col("s_suppkey").cast("double"),
+        F.col("s_nationkey").cast("double"),
+        F.col("s_acctbal"),
+        F.col("s_suppkey").cast("double") / 4,
+        F.lit("s_acctbal"),
+        F.col("s_acctbal"),
+    )
+    return s.select(text.alias("row")).select(*decode_long_row("row"))
+
+
+def _reject_bodies(events: DataFrame) -> DataFrame:
+    """Message bodies where some event types arrive damaged: no envelope field, cut
+    inner JSON, or a missing ``key``."""
+    from gridspark.functions.messages import build_body
+    from gridspark.sources.tables import notification_fields
+
+    f = notification_fields(events, PER_KEY, "g_")
+    inner = F.to_json(F.struct(*[c.alias(n) for c, n in zip(f, NOTIFICATION_FIELDS)]))
+    no_key = F.to_json(F.struct(*[c.alias(n) for c, n in zip(f, NOTIFICATION_FIELDS) if n != "key"]))
+    et = F.col("event_type")
+    body = (
+        F.when(et == "error", F.to_json(F.struct(inner.alias("Msg"))))
+        .when(et == "signup", F.to_json(F.struct(F.expr("substring(m, 1, length(m) - 1)").alias("Message"))))
+        .when(et == "view", F.to_json(F.struct(no_key.alias("Message"))))
+        .otherwise(build_body(*f))
+    )
+    return events.withColumn("m", inner).select(body.alias("body"))
+
+
+@register("notify_rejects", """
+SELECT CASE event_type WHEN 'error' THEN 'no Message in envelope'
+                       WHEN 'signup' THEN 'malformed Message'
+                       WHEN 'view' THEN 'missing field: key' END AS reject_reason,
+       count(*) AS n
+FROM events GROUP BY 1""")
+def notify_rejects(spark, sf_dir):
+    """P1 rejects: damaged messages are kept aside with a reason instead of failing."""
+    parsed = parse_notifications(_reject_bodies(table(spark, sf_dir, "events")))
+    return parsed.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
