@@ -376,3 +376,112 @@ def notify_rejects(spark, sf_dir):
     """P1 rejects: damaged messages are kept aside with a reason instead of failing."""
     parsed = parse_notifications(_reject_bodies(table(spark, sf_dir, "events")))
     return parsed.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- grid files ------------------------------------------------------------------------------
+Y_NAME, X_NAME = "projection_y_coordinate", "projection_x_coordinate"
+
+
+def g_files(spark, sf_dir, **kw):
+    """G written as classic NetCDF files into a new folder under the shared folder."""
+    from gridspark.session import scratch_path
+    from gridspark.sources.tables import write_orders_grid_files
+
+    return write_orders_grid_files(table(spark, sf_dir, "orders"), scratch_path(spark, "orders-grid"),
+                                   G_R, G_Y, G_X, "g_", MEASURE, **kw)
+
+
+def _scan_long(requests):
+    from gridspark.sources.gridfile import good_slabs, scan_grid
+
+    return compared(U.to_long(good_slabs(scan_grid(requests))))
+
+
+@register("grid_file_scan", ORACLE["grid_unpivot"])
+def grid_file_scan(spark, sf_dir):
+    """S4, S5, P6, P7, UD1: classic files (CDF-5, int64 times) read slab-block by block."""
+    from gridspark.sources.gridfile import requests_for_files
+
+    return _scan_long(requests_for_files(g_files(spark, sf_dir), MEASURE, Y_NAME, X_NAME, -1))
+
+
+@register("grid_file_rank4", ORACLE["grid_unpivot"])
+def grid_file_rank4(spark, sf_dir):
+    """P9 on files: a 4-D measure (realization, height, y, x) read at height index 0."""
+    from gridspark.sources.gridfile import requests_for_files
+
+    return _scan_long(requests_for_files(g_files(spark, sf_dir, four_d=True), MEASURE, Y_NAME, X_NAME, -1))
+
+
+@register("grid_file_record", ORACLE["grid_unpivot"])
+def grid_file_record(spark, sf_dir):
+    """Files with the realization as the record (unlimited) dimension, CDF-2 layout and
+    double-typed times: record-strided reads."""
+    from gridspark.sources.gridfile import requests_for_files
+
+    files = g_files(spark, sf_dir, version=2, record_realization=True)
+    return _scan_long(requests_for_files(files, MEASURE, Y_NAME, X_NAME, -1))
+
+
+@register("grid_file_limit", ORACLE["grid_limit"])
+def grid_file_limit(spark, sf_dir):
+    """L1 on files: the limit bounds the slab plan, so skipped realizations are never read."""
+    from gridspark.sources.gridfile import requests_for_files
+
+    req = requests_for_files(g_files(spark, sf_dir), MEASURE, Y_NAME, X_NAME, -1)
+    file_no = F.regexp_extract("file_name", r"g_([0-9]+)", 1).cast("long")
+    limits = F.array(*[F.lit(v) for v in FILE_LIMITS])
+    req = req.withColumn("r_limit", F.element_at(limits, (file_no % len(FILE_LIMITS) + 1).cast("int")))
+    return _scan_long(req)
+
+
+def _describe_sql() -> str:
+    per_file = G_R * G_Y * G_X
+    f = f"""(SELECT 'g_' || CAST(o_orderkey // {per_file} AS VARCHAR) || '.nc' AS file_name,
+                max((o_orderkey % {per_file}) // {G_Y * G_X}) + 1 AS nr, count(*) AS n FROM orders GROUP BY 1)"""
+    ny = f"CASE WHEN nr > 1 THEN {G_Y} ELSE n // {G_X} END"
+    rows = [
+        ("dimension", "'realization'", "NULL", "NULL", "CAST(nr AS VARCHAR)"),
+        ("dimension", f"'{Y_NAME}'", "NULL", "NULL", f"CAST({ny} AS VARCHAR)"),
+        ("dimension", f"'{X_NAME}'", "NULL", "NULL", f"'{G_X}'"),
+        ("variable", "'realization'", "'int'", "'realization'", "CAST(nr AS VARCHAR)"),
+        ("variable", f"'{Y_NAME}'", "'float'", f"'{Y_NAME}'", f"CAST({ny} AS VARCHAR)"),
+        ("variable", f"'{X_NAME}'", "'float'", f"'{X_NAME}'", f"'{G_X}'"),
+        ("variable", "'time'", "'int64'", "''", "''"),
+        ("variable", "'forecast_reference_time'", "'int64'", "''", "''"),
+        ("variable", f"'{MEASURE}'", "'float'", f"'realization,{Y_NAME},{X_NAME}'",
+         f"CAST(nr AS VARCHAR) || ',' || CAST({ny} AS VARCHAR) || ',{G_X}'"),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT file_name, '{k}' AS kind, {n} AS name, {t} AS type, {d} AS dims, {s} AS shape, false AS is_record FROM {f}"
+        for k, n, t, d, s in rows
+    )
+
+
+@register("grid_file_describe", _describe_sql())
+def grid_file_describe(spark, sf_dir):
+    """Dimensions and variables of every file, from header-only reads."""
+    from gridspark.functions.text import basename
+    from gridspark.sources.gridfile import describe_files
+
+    d = describe_files(g_files(spark, sf_dir))
+    return d.select(
+        basename("path").alias("file_name"), "kind", "name", "type",
+        F.array_join("dims", ",").alias("dims"),
+        F.array_join(F.col("shape").cast("array<string>"), ",").alias("shape"),
+        "is_record",
+    )
+
+
+@register("ingest_files", INGEST_SQL)
+def ingest_files_query(spark, sf_dir):
+    """Flagship on files: messages -> parameters -> announced NetCDF objects read by
+    ranged slab reads -> long rows."""
+    from gridspark.plans.files import ingest_files
+    from gridspark.session import scratch_path
+    from gridspark.sources.tables import write_orders_grid_files
+
+    base = scratch_path(spark, "ingest-grid")
+    write_orders_grid_files(table(spark, sf_dir, "orders"), base, I_R, I_Y, I_X, "g_", MEASURE)
+    params = M.params_frame(spark, INGEST_PARAMS)
+    return compared(ingest_files(notifications(spark, sf_dir), params, base_uri=f"{base}/files"))

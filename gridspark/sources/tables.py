@@ -111,3 +111,67 @@ def notification_fields(events: DataFrame, per_key: int = 100, prefix: str = "g_
 def notifications_from_events(events: DataFrame, per_key: int = 100, prefix: str = "g_", escape_names: bool = False) -> DataFrame:
     """Message bodies (``body STRING``) as the queue would deliver them, one per event."""
     return events.select(build_body(*notification_fields(events, per_key, prefix, escape_names)).alias("body"))
+
+
+def write_orders_grid_files(
+    orders: DataFrame,
+    out_dir: str,
+    realizations: int = 2,
+    y_len: int = 25,
+    x_len: int = 100,
+    prefix: str = "g_",
+    value: str = "o_totalprice",
+    measure: str | None = None,
+    version: int = 5,
+    four_d: bool = False,
+    record_realization: bool = False,
+) -> DataFrame:
+    """Write the ``orders_grid`` stand-in as classic NetCDF files, one per grid file.
+
+    A Spark job: cells are grouped by file (each group holds at most
+    ``realizations * y_len * x_len`` cells) and each group writes its file through the
+    pyarrow file systems into ``out_dir/files``. The list of written files goes to the
+    manifest table ``out_dir/manifest`` (path, file_name, n_cells), which is returned,
+    so no file list passes through the driver. ``four_d`` adds a 2-long ``height`` axis
+    whose level 1 holds the negated values.
+    """
+    import numpy as np
+    import pandas as pd
+
+    from gridspark.sources.ncwrite import grid_file_bytes
+    from gridspark.sources.netcdf import _filesystem
+
+    files_dir = f"{out_dir.rstrip('/')}/files"
+    name = measure or value
+    cells = orders_cells(orders, realizations, y_len, x_len, prefix, value)
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        r_n = int(pdf["r"].max()) + 1
+        y_n = y_len if r_n > 1 else int(pdf["y"].max()) + 1
+        x_n = x_len if (r_n > 1 or y_n > 1) else int(pdf["x"].max()) + 1
+        grid = np.full((r_n, y_n, x_n), np.nan, dtype=np.float32)
+        grid[pdf["r"].to_numpy(), pdf["y"].to_numpy(), pdf["x"].to_numpy()] = pdf["v"].to_numpy(np.float32)
+        if four_d:
+            grid = np.stack([grid, -grid], axis=1)
+        data = grid_file_bytes(
+            name,
+            grid,
+            np.arange(y_n, dtype=np.float32) * GRID_SPACING,
+            np.arange(x_n, dtype=np.float32) * GRID_SPACING,
+            int(pdf["t"].max()),
+            int(pdf["t"].min()),
+            version=version,
+            record_realization=record_realization,
+        )
+        file_name = pdf["file_name"].iloc[0]
+        path = f"{files_dir}/{file_name}"
+        fs, fpath = _filesystem(path)
+        fs.create_dir(fpath.rsplit("/", 1)[0], recursive=True)
+        with fs.open_output_stream(fpath) as out:
+            out.write(data)
+        return pd.DataFrame({"path": [path], "file_name": [file_name], "n_cells": [len(pdf)]})
+
+    written = cells.groupBy("file_no").applyInPandas(write, "path string, file_name string, n_cells long")
+    manifest_dir = f"{out_dir.rstrip('/')}/manifest"
+    written.write.mode("errorifexists").parquet(manifest_dir)
+    return orders.sparkSession.read.parquet(manifest_dir)
