@@ -31,6 +31,26 @@ def within_limit(r_limit: Column | str) -> Column:
     return (lim < 0) | (F.col("r") < lim)
 
 
+def _line_values(slabs: DataFrame, *extra: str) -> DataFrame:
+    """Per-line work done once before the explode: the y coordinate's text rule and the
+    integer times (an int64 prints and parses back to the same double a plain cast
+    gives, so no text detour is needed for them)."""
+    return slabs.select(
+        *extra,
+        "file_name",
+        "measure_name",
+        "r",
+        "level",
+        "y",
+        "y_len",
+        float_text_double("y_coord").alias("y_coord"),
+        "x_coords",
+        F.col("time").cast("double").alias("time"),
+        F.col("forecast").cast("double").alias("forecast"),
+        "vals",
+    )
+
+
 def explode_cells(slabs: DataFrame, *extra: str) -> DataFrame:
     """One row per (y, x) cell with its coordinates and file scalars.
 
@@ -56,14 +76,15 @@ def explode_cells(slabs: DataFrame, *extra: str) -> DataFrame:
 
 
 def long_columns(prefix_cols: tuple[str, ...] = ()) -> list[Column]:
-    """The long table's seven columns from exploded cells, with the float text rule."""
+    """The long table's seven columns from exploded ``_line_values`` cells: the float
+    text rule per cell for the x coordinate and the value."""
     return [
         *[F.col(c) for c in prefix_cols],
         F.col("file_name"),
-        float_text_double("y_coord").alias("y_coord"),
+        F.col("y_coord"),
         float_text_double("x_coord").alias("x_coord"),
-        float_text_double("forecast").alias("forecast"),
-        float_text_double("time").alias("time"),
+        F.col("forecast"),
+        F.col("time"),
         F.col("measure_name"),
         float_text_double("v").alias("measure_value"),
     ]
@@ -72,13 +93,7 @@ def long_columns(prefix_cols: tuple[str, ...] = ()) -> list[Column]:
 def to_long(slabs: DataFrame, *extra: str) -> DataFrame:
     """``grid_slabs`` -> ``grid_long`` (file_name, y_coord, x_coord, forecast,
     time, measure_name, measure_value). ``extra`` slab columns are carried in front."""
-    return explode_cells(slabs, *extra).select(*long_columns(extra))
-
-
-def cell_index() -> Column:
-    """P12 running cell number within a file, in read order: realization, y, x."""
-    x_len = F.size("vals").cast("long")
-    return (F.col("r").cast("long") * F.col("y_len") + F.col("y")) * x_len + F.col("x")
+    return explode_cells(_line_values(slabs, *extra), *extra).select(*long_columns(extra))
 
 
 def to_long_indexed(slabs: DataFrame) -> DataFrame:
@@ -86,26 +101,14 @@ def to_long_indexed(slabs: DataFrame) -> DataFrame:
 
     ``cnt`` is arithmetic on the slab position, so no window or ordering is needed.
     """
-    cells = slabs.select(
-        "file_name",
-        "measure_name",
-        "r",
-        "y",
-        "y_len",
-        "y_coord",
-        "x_coords",
-        "time",
-        "forecast",
-        "vals",
-        F.posexplode("vals").alias("x", "v"),
-    )
-    cells = cells.withColumn("x_coord", F.get(F.col("x_coords"), F.col("x")))
+    lines = _line_values(slabs).withColumn("x_len", F.size("vals").cast("long"))
+    cells = explode_cells(lines, "x_len")
     return cells.select(
         *long_columns(),
         F.col("r"),
         F.col("y"),
         F.col("x"),
-        cell_index().alias("cnt"),
+        ((F.col("r").cast("long") * F.col("y_len") + F.col("y")) * F.col("x_len") + F.col("x")).alias("cnt"),
     )
 
 

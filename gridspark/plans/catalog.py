@@ -69,7 +69,9 @@ def grid_g(spark, sf_dir, four_d=False, value=MEASURE, measure=None):
 
 
 def notifications(spark, sf_dir, escape_names=False):
-    bodies = notifications_from_events(table(spark, sf_dir, "events"), PER_KEY, "g_", escape_names)
+    from gridspark.session import spread
+
+    bodies = notifications_from_events(spread(table(spark, sf_dir, "events")), PER_KEY, "g_", escape_names)
     return accepted(parse_notifications(bodies))
 
 

@@ -1,40 +1,50 @@
-"""The flagship pipeline over the announced files themselves."""
+"""The flagship pipeline over the announced files themselves.
+
+Every distinct (object, measure) that matched messages announce is read once, as far as
+the widest realization limit among those messages requires; the slabs then join the
+matched messages exactly as in ``gridspark.plans.ingest.ingest``. A file announced by
+many messages (redeliveries, or one hot object) is therefore read once, not once per
+message, and its fan-out to messages is an ordinary, skew-handled join.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.operators.match import file_name_col, match_params, object_uri_col
-from gridspark.operators.unpivot import to_long
+from gridspark.operators.match import match_params, object_uri_col
+from gridspark.plans.ingest import ingest
 from gridspark.sources.gridfile import DEFAULT_BLOCK_BYTES, good_slabs, scan_grid
 
 
 def file_requests(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
                   case_insensitive: bool = False) -> DataFrame:
-    """Matched messages -> read requests: object path (S3), output file name (P4) and
-    extraction parameters (J1/J2)."""
+    """Distinct read requests of the matched messages.
+
+    One row per (object path, measure, coordinates), with the limit that covers every
+    message for it: -1 if any message wants all realizations, else the largest limit.
+    A partial aggregate, so even an object announced by a third of all messages is
+    reduced on each mapper before the shuffle.
+    """
     m = match_params(notifications, params, case_insensitive)
-    return m.select(
-        object_uri_col(base_uri).alias("path"),
-        file_name_col().alias("file_name"),
-        "measure",
-        "coord_y",
-        "coord_x",
-        F.col("r_limit").cast("int").alias("r_limit"),
+    req = m.groupBy(object_uri_col(base_uri).alias("path"), "measure", "coord_y", "coord_x").agg(
+        F.when(F.min("r_limit") < 0, F.lit(-1)).otherwise(F.max("r_limit")).cast("int").alias("r_limit")
     )
+    return req.select("path", F.col("path").alias("file_name"), "measure", "coord_y", "coord_x", "r_limit")
 
 
 def scan_announced(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
                    case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES,
                    fail_fast: bool = False) -> DataFrame:
-    """Slab rows (with ``error``) of every matched message's file."""
+    """Slab rows (with ``error``) of every announced file, each read once; ``file_name``
+    is the object path."""
     return scan_grid(file_requests(notifications, params, base_uri, case_insensitive), block_bytes,
                      fail_fast=fail_fast)
 
 
 def ingest_files(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
                  case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
-    """Long rows of every readable announced file; see ``scan_announced`` +
-    ``gridfile.scan_rejects`` for the failures."""
-    return to_long(good_slabs(scan_announced(notifications, params, base_uri, case_insensitive, block_bytes)))
+    """Long rows of every matched message whose file could be read (see
+    ``scan_announced`` + ``gridfile.scan_rejects`` for the failures)."""
+    slabs = good_slabs(scan_announced(notifications, params, base_uri, case_insensitive, block_bytes))
+    return ingest(notifications, params, slabs, case_insensitive, key=object_uri_col(base_uri))

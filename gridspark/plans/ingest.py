@@ -7,7 +7,7 @@ the announced files themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.messages import accepted, parse_notifications
@@ -15,12 +15,14 @@ from gridspark.operators.match import file_name_col, match_params
 from gridspark.operators.unpivot import first_level, to_long, within_limit
 
 
-def matched_files(notifications: DataFrame, params: DataFrame, case_insensitive: bool = False) -> DataFrame:
-    """Matched messages with the output file name (P4) and their extraction parameters."""
+def matched_files(notifications: DataFrame, params: DataFrame, case_insensitive: bool = False,
+                  key: Column | None = None) -> DataFrame:
+    """Matched messages with the output file name (P4), the id of the grid they announce
+    (``key``, by default the message key) and their extraction parameters."""
     m = match_params(notifications, params, case_insensitive)
     return m.select(
         file_name_col().alias("out_file_name"),
-        F.col("key").alias("m_key"),
+        (key if key is not None else F.col("key")).alias("m_key"),
         F.col("measure").alias("m_measure"),
         "r_limit",
     )
@@ -31,18 +33,20 @@ def ingest(
     params: DataFrame,
     slabs: DataFrame,
     case_insensitive: bool = False,
+    key: Column | None = None,
 ) -> DataFrame:
     """Long rows for every matched message, read from the slabs of the file it names.
 
     Join plan: ``params`` is broadcast into the notification side; the matched messages
-    then join the slabs on (file key, measure). No side is forced into a broadcast: AQE
-    broadcasts the matched side at runtime when its measured size is under
+    then join the slabs on (file id, measure). No side is forced into a broadcast: AQE
+    broadcasts a side at runtime when its measured size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides, splitting
-    a hot file key with its skew-join handling. The level-0 reduction (P9) is a slab
+    a hot file id with its skew-join handling. The level-0 reduction (P9) is a slab
     filter pushed below the join; the realization limit (L1) needs the message's
-    parameters and is applied right after it, before the unpivot.
+    parameters and is applied right after it, before the unpivot. ``key`` maps a
+    message to the slabs' ``file_name`` (default: the message key).
     """
-    m = matched_files(notifications, params, case_insensitive)
+    m = matched_files(notifications, params, case_insensitive, key)
     s = first_level(slabs)
     j = s.join(m, (s["file_name"] == m["m_key"]) & (s["measure_name"] == m["m_measure"]), "inner")
     j = j.filter(within_limit("r_limit")).drop("file_name").withColumnRenamed("out_file_name", "file_name")

@@ -65,3 +65,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder name under the shared folder."""
     return f"{shared_dir(spark)}/gridspark/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a narrow input over the cluster before CPU-heavy per-row work.
+
+    Only when the input has fewer partitions than ``min_partitions`` (default: the
+    cluster's default parallelism) — e.g. one small file with a single row group. An
+    input already split into many partitions (the normal case at scale) is returned
+    untouched, so no shuffle is added there.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

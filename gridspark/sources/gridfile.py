@@ -189,7 +189,10 @@ def _resolver(block_bytes: int, fail_fast: bool):
 
 
 def resolve(requests: DataFrame, block_bytes: int = DEFAULT_BLOCK_BYTES, fail_fast: bool = False) -> DataFrame:
-    return requests.select(*REQUEST_COLUMNS).mapInArrow(_resolver(block_bytes, fail_fast), RESOLVED_SCHEMA)
+    # A local sort (no shuffle) puts requests for one file together, so each task reads
+    # a file's header once.
+    reqs = requests.select(*REQUEST_COLUMNS).sortWithinPartitions("path")
+    return reqs.mapInArrow(_resolver(block_bytes, fail_fast), RESOLVED_SCHEMA)
 
 
 # --- plan --------------------------------------------------------------------------------------
@@ -226,7 +229,9 @@ def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
     rows = stats["rows"] or 0
     tasks = max(1, min(rows, -(-(stats["bytes"] or 0) // target)))
     tasks = max(tasks, min(rows, spark.sparkContext.defaultParallelism))
-    return plan.repartition(tasks)
+    # Round-robin spreads blocks evenly (a hot file's blocks land on every task); the
+    # local sort then lets each task read its blocks file by file.
+    return plan.repartition(tasks).sortWithinPartitions("path", "r", "y0")
 
 
 def _bytes(text: str) -> int:
@@ -242,20 +247,68 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+class _Batch:
+    """Slab rows of many blocks gathered as NumPy pieces, turned into one Arrow batch."""
+
+    def __init__(self, schema: pa.Schema):
+        self.schema = schema
+        self.reset()
+
+    def reset(self):
+        self.names, self.measures, self.line_counts = [], [], []
+        self.num = {k: [] for k in ("r", "y", "y_len", "y_coord", "time", "forecast")}
+        self.x_coords, self.vals, self.x_lens = [], [], []
+        self.cells = 0
+
+    def add(self, p: dict, y: np.ndarray, yc: np.ndarray, xc: np.ndarray, vals: np.ndarray) -> None:
+        n = len(y)
+        self.names.append(p["file_name"])
+        self.measures.append(p["measure"])
+        self.line_counts.append(n)
+        for k, v in (("r", p["r"]), ("y_len", p["y_len"]), ("time", p["time"]), ("forecast", p["forecast"])):
+            self.num[k].append(np.full(n, v))
+        self.num["y"].append(y)
+        self.num["y_coord"].append(yc)
+        self.x_coords.append(np.tile(xc, n))
+        self.vals.append(vals)
+        self.x_lens.append(np.full(n, len(xc), dtype=np.int64))
+        self.cells += vals.size
+
+    def build(self) -> pa.RecordBatch | None:
+        if not self.line_counts:
+            return None
+        counts = np.asarray(self.line_counts)
+        cat = lambda k, t: np.concatenate(self.num[k]).astype(t)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(self.x_lens))]).astype(np.int32))
+        rows = int(counts.sum())
+        arrays = [
+            pa.DictionaryArray.from_arrays(np.repeat(np.arange(len(counts), dtype=np.int32), counts),
+                                           pa.array(self.names, pa.string())).cast(pa.string()),
+            pa.DictionaryArray.from_arrays(np.repeat(np.arange(len(counts), dtype=np.int32), counts),
+                                           pa.array(self.measures, pa.string())).cast(pa.string()),
+            pa.array(cat("r", np.int32)),
+            pa.array(np.zeros(rows, dtype=np.int32)),
+            pa.array(cat("y", np.int32)),
+            pa.array(cat("y_len", np.int32)),
+            pa.array(cat("y_coord", np.float32)),
+            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(self.x_coords), pa.float32())),
+            pa.array(cat("time", np.int64)),
+            pa.array(cat("forecast", np.int64)),
+            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(self.vals), pa.float32())),
+            pa.nulls(rows, pa.string()),
+        ]
+        batch = pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+        self.reset()
+        return batch
+
+
 def _reader(fail_fast: bool, batch_cells: int):
     names = [f.name for f in SCAN_SCHEMA.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _arrow(SCAN_SCHEMA)
         files = _Files()
-        parts: list[pa.RecordBatch] = []
-        cells = 0
-
-        def flush():
-            nonlocal parts, cells
-            if parts:
-                yield pa.Table.from_batches(parts, schema=schema).combine_chunks().to_batches()[0]
-            parts, cells = [], 0
+        acc = _Batch(schema)
 
         def error_row(p, msg):
             row = {n: [None] for n in names}
@@ -268,25 +321,28 @@ def _reader(fail_fast: bool, batch_cells: int):
                 for i in range(batch.num_rows):
                     p = {k: v[i] for k, v in cols.items()}
                     if p["error"] is not None:
-                        parts.append(error_row(p, p["error"]))
+                        yield error_row(p, p["error"])
                         continue
                     try:
-                        parts.append(_read_block(files, p, schema))
-                        cells += p["ny"] * p["x_len"]
+                        acc.add(p, *_read_block(files, p))
                     except Exception as e:  # noqa: BLE001 - reported per block
                         if fail_fast:
                             raise
-                        parts.append(error_row(p, f"{type(e).__name__}: {e}"))
-                    if cells >= batch_cells or len(parts) >= 4096:
-                        yield from flush()
-            yield from flush()
+                        yield error_row(p, f"{type(e).__name__}: {e}")
+                    if acc.cells >= batch_cells or len(acc.line_counts) >= 4096:
+                        yield acc.build()
+            last = acc.build()
+            if last is not None:
+                yield last
         finally:
             files.close()
 
     return run
 
 
-def _read_block(files: _Files, p: dict, schema: pa.Schema) -> pa.RecordBatch:
+def _read_block(files: _Files, p: dict):
+    """One ranged read of a (realization, y block) slab plus its coordinates:
+    returns y indices, y coordinates, the x axis and the values (float32, row-major)."""
     reader, h, cache = files.get(p["path"])
     v = h.find(p["measure"])
     key = ("x", p["coord_x"])
@@ -294,27 +350,10 @@ def _read_block(files: _Files, p: dict, schema: pa.Schema) -> pa.RecordBatch:
         cache[key] = nc.read_all(reader, h, h.find(p["coord_x"])).astype(np.float32)
     xc = cache[key]
     y0, ny, x_len, r = p["y0"], p["ny"], p["x_len"], p["r"]
-    yv = h.find(p["coord_y"])
-    yc = nc.read_run(reader, h, yv, [y0], ny).astype(np.float32)
+    yc = nc.read_run(reader, h, h.find(p["coord_y"]), [y0], ny).astype(np.float32)
     index = [r, y0, 0] if len(v.dim_ids) == 3 else [r, 0, y0, 0]
     vals = nc.read_run(reader, h, v, index, ny * x_len).astype(np.float32, copy=False)
-    offsets = pa.array(np.arange(0, (ny + 1) * x_len, x_len, dtype=np.int32))
-    rep = lambda val, typ: pa.array(np.full(ny, val), type=typ)
-    arrays = [
-        pa.array([p["file_name"]] * ny, pa.string()),
-        pa.array([p["measure"]] * ny, pa.string()),
-        rep(r, pa.int32()),
-        rep(0, pa.int32()),
-        pa.array(np.arange(y0, y0 + ny, dtype=np.int32)),
-        rep(p["y_len"], pa.int32()),
-        pa.array(yc, pa.float32()),
-        pa.ListArray.from_arrays(offsets, pa.array(np.tile(xc, ny), pa.float32())),
-        rep(p["time"], pa.int64()),
-        rep(p["forecast"], pa.int64()),
-        pa.ListArray.from_arrays(offsets, pa.array(vals, pa.float32())),
-        pa.nulls(ny, pa.string()),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+    return np.arange(y0, y0 + ny, dtype=np.int32), yc, xc, vals
 
 
 def read_slabs(plan: DataFrame, fail_fast: bool = False, batch_cells: int = 1 << 20) -> DataFrame:

@@ -128,15 +128,16 @@ def write_orders_grid_files(
 ) -> DataFrame:
     """Write the ``orders_grid`` stand-in as classic NetCDF files, one per grid file.
 
-    A Spark job: cells are grouped by file (each group holds at most
-    ``realizations * y_len * x_len`` cells) and each group writes its file through the
-    pyarrow file systems into ``out_dir/files``. The list of written files goes to the
+    A Spark job: cells are hash-partitioned by file and sorted within each partition
+    (a file holds at most ``realizations * y_len * x_len`` cells), and one
+    ``mapInArrow`` pass writes each file through the pyarrow file systems into
+    ``out_dir/files``. The list of written files goes to the
     manifest table ``out_dir/manifest`` (path, file_name, n_cells), which is returned,
     so no file list passes through the driver. ``four_d`` adds a 2-long ``height`` axis
     whose level 1 holds the negated values.
     """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     from gridspark.sources.ncwrite import grid_file_bytes
     from gridspark.sources.netcdf import _filesystem
@@ -144,13 +145,14 @@ def write_orders_grid_files(
     files_dir = f"{out_dir.rstrip('/')}/files"
     name = measure or value
     cells = orders_cells(orders, realizations, y_len, x_len, prefix, value)
+    manifest_schema = pa.schema([("path", pa.string()), ("file_name", pa.string()), ("n_cells", pa.int64())])
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        r_n = int(pdf["r"].max()) + 1
-        y_n = y_len if r_n > 1 else int(pdf["y"].max()) + 1
-        x_n = x_len if (r_n > 1 or y_n > 1) else int(pdf["x"].max()) + 1
+    def write_one(file_name, r, y, x, v, t):
+        r_n = int(r.max()) + 1
+        y_n = y_len if r_n > 1 else int(y.max()) + 1
+        x_n = x_len if (r_n > 1 or y_n > 1) else int(x.max()) + 1
         grid = np.full((r_n, y_n, x_n), np.nan, dtype=np.float32)
-        grid[pdf["r"].to_numpy(), pdf["y"].to_numpy(), pdf["x"].to_numpy()] = pdf["v"].to_numpy(np.float32)
+        grid[r, y, x] = v
         if four_d:
             grid = np.stack([grid, -grid], axis=1)
         data = grid_file_bytes(
@@ -158,20 +160,51 @@ def write_orders_grid_files(
             grid,
             np.arange(y_n, dtype=np.float32) * GRID_SPACING,
             np.arange(x_n, dtype=np.float32) * GRID_SPACING,
-            int(pdf["t"].max()),
-            int(pdf["t"].min()),
+            int(t.max()),
+            int(t.min()),
             version=version,
             record_realization=record_realization,
         )
-        file_name = pdf["file_name"].iloc[0]
         path = f"{files_dir}/{file_name}"
         fs, fpath = _filesystem(path)
         fs.create_dir(fpath.rsplit("/", 1)[0], recursive=True)
         with fs.open_output_stream(fpath) as out:
             out.write(data)
-        return pd.DataFrame({"path": [path], "file_name": [file_name], "n_cells": [len(pdf)]})
-
-    written = cells.groupBy("file_no").applyInPandas(write, "path string, file_name string, n_cells long")
+        return path, len(v)
+
+    def write(batches):
+        # Rows arrive sorted by file; a file's rows may span Arrow batches, so the open
+        # group is carried over until the next file starts.
+        cols = ("file_name", "r", "y", "x", "v", "t")
+        pending = None
+        for batch in batches:
+            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in cols}
+            if pending is not None:
+                part = {c: np.concatenate([pending[c], part[c]]) for c in cols}
+            names = part["file_name"]
+            if len(names) == 0:
+                continue
+            starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+            ends = np.r_[starts[1:], len(names)]
+            done = []
+            for a, b in zip(starts[:-1], ends[:-1]):
+                done.append((names[a],) + write_one(names[a], *(part[c][a:b] for c in cols[1:])))
+            pending = {c: part[c][starts[-1]:] for c in cols}
+            if done:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d[1] for d in done]), pa.array([d[0] for d in done]),
+                     pa.array([d[2] for d in done], pa.int64())], schema=manifest_schema)
+        if pending is not None and len(pending["file_name"]):
+            path, n = write_one(pending["file_name"][0], *(pending[c] for c in cols[1:]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path]), pa.array([pending["file_name"][0]]), pa.array([n], pa.int64())],
+                schema=manifest_schema)
+
+    spark = orders.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_file = cells.repartition(tasks, "file_no").sortWithinPartitions("file_no", "r", "y", "x")
+    written = by_file.select("file_name", "r", "y", "x", "v", "t").mapInArrow(
+        write, "path string, file_name string, n_cells long")
     manifest_dir = f"{out_dir.rstrip('/')}/manifest"
     written.write.mode("errorifexists").parquet(manifest_dir)
     return orders.sparkSession.read.parquet(manifest_dir)
