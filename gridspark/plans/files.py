@@ -12,39 +12,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.operators.match import match_params, object_uri_col
-from gridspark.plans.ingest import ingest
+from gridspark.operators.match import file_name_col, match_params, object_uri_col
+from gridspark.operators.unpivot import to_long
+from gridspark.plans.ingest import join_messages, materialized_messages
 from gridspark.sources.gridfile import DEFAULT_BLOCK_BYTES, good_slabs, scan_grid
 
 
-def file_requests(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
-                  case_insensitive: bool = False) -> DataFrame:
-    """Distinct read requests of the matched messages.
+def requests_from_matched(m: DataFrame) -> DataFrame:
+    """Distinct read requests of matched messages (``matched_files`` rows).
 
-    One row per (object path, measure, coordinates), with the limit that covers every
-    message for it: -1 if any message wants all realizations, else the largest limit.
-    A partial aggregate, so even an object announced by a third of all messages is
-    reduced on each mapper before the shuffle.
+    One row per (object, measure), with the limit that covers every message for it: -1
+    if any message wants all realizations, else the largest limit. A partial aggregate,
+    so even an object announced by a third of all messages is reduced on each mapper
+    before the shuffle.
     """
-    m = match_params(notifications, params, case_insensitive)
-    req = m.groupBy(object_uri_col(base_uri).alias("path"), "measure", "coord_y", "coord_x").agg(
+    req = m.groupBy(F.col("m_key").alias("path"), F.col("m_measure").alias("measure"), "coord_y", "coord_x").agg(
         F.when(F.min("r_limit") < 0, F.lit(-1)).otherwise(F.max("r_limit")).cast("int").alias("r_limit")
     )
     return req.select("path", F.col("path").alias("file_name"), "measure", "coord_y", "coord_x", "r_limit")
 
 
+def matched_objects(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
+                    case_insensitive: bool = False) -> DataFrame:
+    """Matched messages keyed by the object they announce."""
+    m = match_params(notifications, params, case_insensitive)
+    return m.select(
+        file_name_col().alias("out_file_name"),
+        object_uri_col(base_uri).alias("m_key"),
+        F.col("measure").alias("m_measure"),
+        "coord_y",
+        "coord_x",
+        "r_limit",
+    )
+
+
 def scan_announced(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
                    case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES,
                    fail_fast: bool = False) -> DataFrame:
     """Slab rows (with ``error``) of every announced file, each read once; ``file_name``
     is the object path."""
-    return scan_grid(file_requests(notifications, params, base_uri, case_insensitive), block_bytes,
-                     fail_fast=fail_fast)
+    m = matched_objects(notifications, params, base_uri, case_insensitive)
+    return scan_grid(requests_from_matched(m), block_bytes, fail_fast=fail_fast)
 
 
 def ingest_files(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
                  case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
     """Long rows of every matched message whose file could be read (see
-    ``scan_announced`` + ``gridfile.scan_rejects`` for the failures)."""
-    slabs = good_slabs(scan_announced(notifications, params, base_uri, case_insensitive, block_bytes))
-    return ingest(notifications, params, slabs, case_insensitive, key=object_uri_col(base_uri))
+    ``scan_announced`` + ``gridfile.scan_rejects`` for the failures).
+
+    The matched messages are materialized once; the read requests and the join both
+    come from that copy, and the join broadcasts them only within the measured bound.
+    """
+    m, size = materialized_messages(matched_objects(notifications, params, base_uri, case_insensitive))
+    slabs = good_slabs(scan_grid(requests_from_matched(m), block_bytes))
+    return to_long(join_messages(slabs, m.select("out_file_name", "m_key", "m_measure", "r_limit"), size))

@@ -28,6 +28,45 @@ def matched_files(notifications: DataFrame, params: DataFrame, case_insensitive:
     )
 
 
+def broadcast_limit(spark) -> int:
+    """The session's broadcast bound in bytes (``spark.sql.autoBroadcastJoinThreshold``)."""
+    from gridspark.sources.gridfile import _bytes
+
+    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+
+
+def materialized_messages(m: DataFrame) -> tuple[DataFrame, int]:
+    """Matched messages written once to the shared checkpoint folder, and their exact
+    size in bytes (string bytes plus fixed-width fields), measured in one small job.
+
+    The checkpoint cuts the lineage back to message parsing, so the read requests and
+    the join below reuse the written rows instead of re-parsing, and a lost executor
+    does not re-run the parse.
+    """
+    from gridspark.session import shared_dir
+
+    shared_dir(m.sparkSession)
+    m = m.checkpoint(eager=True)
+    width = F.length("out_file_name") + F.length("m_key") + F.length("m_measure") + F.lit(16)
+    size = m.agg(F.sum(width.cast("long")).alias("b")).first()["b"] or 0
+    return m, int(size)
+
+
+def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit: int | None = None) -> DataFrame:
+    """Slabs x matched messages on (file id, measure), then the realization limit.
+
+    The messages are broadcast only when their measured ``size`` is within ``limit``
+    (default: the session's broadcast bound); the slabs, usually far larger, then stay
+    where they were read and are never shuffled. Beyond the bound it is a plain shuffle
+    join, where AQE splits a hot file id (skew join).
+    """
+    limit = broadcast_limit(slabs.sparkSession) if limit is None else limit
+    side = F.broadcast(m) if size is not None and 0 <= size <= limit else m
+    s = first_level(slabs)
+    j = s.join(side, (s["file_name"] == side["m_key"]) & (s["measure_name"] == side["m_measure"]), "inner")
+    return j.filter(within_limit("r_limit")).drop("file_name").withColumnRenamed("out_file_name", "file_name")
+
+
 def ingest(
     notifications: DataFrame,
     params: DataFrame,
@@ -37,20 +76,15 @@ def ingest(
 ) -> DataFrame:
     """Long rows for every matched message, read from the slabs of the file it names.
 
-    Join plan: ``params`` is broadcast into the notification side; the matched messages
-    then join the slabs on (file id, measure). No side is forced into a broadcast: AQE
-    broadcasts a side at runtime when its measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides, splitting
-    a hot file id with its skew-join handling. The level-0 reduction (P9) is a slab
-    filter pushed below the join; the realization limit (L1) needs the message's
-    parameters and is applied right after it, before the unpivot. ``key`` maps a
-    message to the slabs' ``file_name`` (default: the message key).
+    ``params`` is broadcast into the message side (its size is bounded when built); the
+    matched messages are materialized and measured, then joined to the slabs on
+    (file id, measure) by ``join_messages``. The level-0 reduction (P9) is a slab filter
+    below the join; the realization limit (L1) needs each message's parameters and is
+    applied right after it, before the unpivot. ``key`` maps a message to the slabs'
+    ``file_name`` (default: the message key).
     """
-    m = matched_files(notifications, params, case_insensitive, key)
-    s = first_level(slabs)
-    j = s.join(m, (s["file_name"] == m["m_key"]) & (s["measure_name"] == m["m_measure"]), "inner")
-    j = j.filter(within_limit("r_limit")).drop("file_name").withColumnRenamed("out_file_name", "file_name")
-    return to_long(j)
+    m, size = materialized_messages(matched_files(notifications, params, case_insensitive, key))
+    return to_long(join_messages(slabs, m, size))
 
 
 def ingest_bodies(bodies: DataFrame, params: DataFrame, slabs: DataFrame, body_col: str = "body",
