@@ -384,12 +384,12 @@ def notify_rejects(spark, sf_dir):
 Y_NAME, X_NAME = "projection_y_coordinate", "projection_x_coordinate"
 
 
-def g_files(spark, sf_dir, **kw):
+def g_files(spark, sf_dir, base=None, **kw):
     """G written as classic NetCDF files into a new folder under the shared folder."""
     from gridspark.session import scratch_path
     from gridspark.sources.tables import write_orders_grid_files
 
-    return write_orders_grid_files(table(spark, sf_dir, "orders"), scratch_path(spark, "orders-grid"),
+    return write_orders_grid_files(table(spark, sf_dir, "orders"), base or scratch_path(spark, "orders-grid"),
                                    G_R, G_Y, G_X, "g_", MEASURE, **kw)
 
 
@@ -407,6 +407,19 @@ def grid_file_scan(spark, sf_dir):
     return _scan_long(requests_for_files(g_files(spark, sf_dir), MEASURE, Y_NAME, X_NAME, -1))
 
 
+@register("grid_file_scan_content", ORACLE["grid_unpivot"])
+def grid_file_scan_content(spark, sf_dir):
+    """S4 content mode: files read whole through Spark's binaryFile source."""
+    from gridspark.sources.gridfile import good_slabs, scan_contents
+
+    from gridspark.session import scratch_path
+
+    base = scratch_path(spark, "orders-grid")
+    g_files(spark, sf_dir, base=base)
+    binary = spark.read.format("binaryFile").option("pathGlobFilter", "*.nc").load(f"{base}/files")
+    return compared(U.to_long(good_slabs(scan_contents(binary, MEASURE, Y_NAME, X_NAME, -1))))
+
+
 @register("grid_file_rank4", ORACLE["grid_unpivot"])
 def grid_file_rank4(spark, sf_dir):
     """P9 on files: a 4-D measure (realization, height, y, x) read at height index 0."""

@@ -344,13 +344,16 @@ def _read_block(files: _Files, p: dict):
     """One ranged read of a (realization, y block) slab plus its coordinates:
     returns y indices, y coordinates, the x axis and the values (float32, row-major)."""
     reader, h, cache = files.get(p["path"])
-    v = h.find(p["measure"])
-    key = ("x", p["coord_x"])
+    return _block(reader, h, cache, p["measure"], p["coord_y"], p["coord_x"], p["r"], p["y0"], p["ny"], p["x_len"])
+
+
+def _block(reader, h, cache: dict, measure: str, coord_y: str, coord_x: str, r: int, y0: int, ny: int, x_len: int):
+    v = h.find(measure)
+    key = ("x", coord_x)
     if key not in cache:
-        cache[key] = nc.read_all(reader, h, h.find(p["coord_x"])).astype(np.float32)
+        cache[key] = nc.read_all(reader, h, h.find(coord_x)).astype(np.float32)
     xc = cache[key]
-    y0, ny, x_len, r = p["y0"], p["ny"], p["x_len"], p["r"]
-    yc = nc.read_run(reader, h, h.find(p["coord_y"]), [y0], ny).astype(np.float32)
+    yc = nc.read_run(reader, h, h.find(coord_y), [y0], ny).astype(np.float32)
     index = [r, y0, 0] if len(v.dim_ids) == 3 else [r, 0, y0, 0]
     vals = nc.read_run(reader, h, v, index, ny * x_len).astype(np.float32, copy=False)
     return np.arange(y0, y0 + ny, dtype=np.int32), yc, xc, vals
@@ -371,6 +374,57 @@ def scan_grid(
     return read_slabs(sized(plan_slabs(resolve(requests, block_bytes, fail_fast)), target_task_bytes), fail_fast)
 
 
+def _content_reader(measure: str, coord_y: str, coord_x: str, r_limit: int, fail_fast: bool, batch_cells: int):
+    names = [f.name for f in SCAN_SCHEMA.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = _arrow(SCAN_SCHEMA)
+        acc = _Batch(schema)
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            contents = batch.column("content")
+            for i, path in enumerate(paths):
+                file_name = path.rsplit("/", 1)[-1]
+                try:
+                    reader = nc.BytesReader(contents[i].as_buffer())
+                    h = nc.read_header(reader)
+                    res = resolve_one(reader, h, measure, coord_y, coord_x, r_limit, 1 << 62)
+                    p = dict(file_name=file_name, measure=measure, y_len=res["y_len"], time=res["time"],
+                             forecast=res["forecast"])
+                    cache: dict = {}
+                    for r in range(res["r_count"]):
+                        p["r"] = r
+                        acc.add(p, *_block(reader, h, cache, measure, coord_y, coord_x, r, 0, res["y_len"],
+                                           res["x_len"]))
+                        if acc.cells >= batch_cells:
+                            yield acc.build()
+                except Exception as e:  # noqa: BLE001 - reported per file
+                    if fail_fast:
+                        raise
+                    row = {n: [None] for n in names}
+                    row.update(file_name=[file_name], measure_name=[measure], error=[f"{type(e).__name__}: {e}"])
+                    yield pa.RecordBatch.from_pydict(row, schema=schema)
+        last = acc.build()
+        if last is not None:
+            yield last
+
+    return run
+
+
+def scan_contents(binary: DataFrame, measure: str, coord_y: str, coord_x: str, r_limit: int = -1,
+                  fail_fast: bool = False, batch_cells: int = 1 << 20) -> DataFrame:
+    """S4 content mode: files read whole through Spark's own file systems
+    (``spark.read.format("binaryFile")``), one task per file.
+
+    For stores the pyarrow file systems cannot open. A file is held in one task's memory
+    (the binaryFile source caps it at ``spark.sql.sources.binaryFile.maxLength``), so
+    the path mode of ``scan_grid``, which splits files into blocks, is the default for
+    large files.
+    """
+    return binary.select("path", "content").mapInArrow(
+        _content_reader(measure, coord_y, coord_x, r_limit, fail_fast, batch_cells), SCAN_SCHEMA)
+
+
 def good_slabs(scanned: DataFrame) -> DataFrame:
     return scanned.filter(F.col("error").isNull()).drop("error")
 
