@@ -223,7 +223,7 @@ def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
     plan = plan.checkpoint(eager=True)
     target = target_task_bytes or _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     stats = plan.agg(
-        F.sum(F.coalesce(F.col("ny") * F.col("x_len") * F.col("itemsize"), F.lit(0)).cast("long")).alias("bytes"),
+        F.sum(F.coalesce(F.col("ny").cast("long") * F.col("x_len") * F.col("itemsize"), F.lit(0))).alias("bytes"),
         F.count(F.lit(1)).alias("rows"),
     ).first()
     rows = stats["rows"] or 0

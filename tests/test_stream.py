@@ -79,3 +79,23 @@ def test_optional_dedupe(spark, scratch):
     drop(inbox, "a.txt", [msg("snow", "k0.nc"), msg("snow", "k0.nc", t="2019-07-19T16:19:00Z")])
     got = run(spark, inbox, f"{scratch}/out", f"{scratch}/ckpt", store, dedupe="1 hour")
     assert got.count() == 24
+
+
+def test_processing_time_trigger_polls_new_files(spark, scratch):
+    store, inbox, out = f"{scratch}/store", f"{scratch}/inbox", f"{scratch}/out"
+    make_store(store)
+    drop(inbox, "a.txt", [msg("snow", "k0.nc")])
+
+    def process(batch):
+        return ingest_files(batch, params_frame(batch.sparkSession, PARAMS), base_uri=store)
+
+    q = start_ingest(parsed_stream(notification_stream(spark, inbox)), process, parquet_sink(out),
+                     f"{scratch}/ckpt", trigger="processingTime", interval="1 second")
+    try:
+        q.processAllAvailable()
+        assert spark.read.parquet(out).count() == 24
+        drop(inbox, "b.txt", [msg("rain", "k1.nc")])
+        q.processAllAvailable()
+        assert spark.read.parquet(out).count() == 36
+    finally:
+        q.stop()
