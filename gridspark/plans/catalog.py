@@ -591,3 +591,38 @@ def ingest_stream_files(spark, sf_dir):
         return ingest_files(batch, M.params_frame(s, INGEST_PARAMS), base_uri=f"{base}/grid/files")
 
     return compared(_run_stream(spark, sf_dir, base, process))
+
+
+# --- a hot object ------------------------------------------------------------------------------------
+# Fixed value: every third event announces this one object, so a third of all messages
+# name the same file.
+HOT_KEY = "g_0.nc"
+
+_HOT_NOTIF_SQL = _NOTIF_SQL.replace(
+    f"'g_' || CAST(event_id // {PER_KEY} AS VARCHAR) || '.nc' AS key",
+    f"CASE WHEN event_id % 3 = 0 THEN '{HOT_KEY}' ELSE 'g_' || CAST(event_id // {PER_KEY} AS VARCHAR) || '.nc' END AS key",
+)
+INGEST_HOT_SQL = INGEST_SQL.replace(_NOTIF_SQL, _HOT_NOTIF_SQL)
+
+
+def hot_notifications(spark, sf_dir):
+    from gridspark.session import spread
+
+    events = spread(table(spark, sf_dir, "events"))
+    f = notification_fields(events, PER_KEY, "g_")
+    f[2] = F.when(F.col("event_id") % 3 == 0, F.lit(HOT_KEY)).otherwise(f[2])
+    return accepted(parse_notifications(events.select(build_body(*f).alias("body"))))
+
+
+@register("ingest_hot_key", INGEST_HOT_SQL)
+def ingest_hot_key(spark, sf_dir):
+    """The file flagship when one object is announced by a third of all messages: it is
+    read once, and its fan-out to messages is the size-checked join."""
+    from gridspark.plans.files import ingest_files
+    from gridspark.session import scratch_path
+    from gridspark.sources.tables import write_orders_grid_files
+
+    base = scratch_path(spark, "ingest-hot")
+    write_orders_grid_files(table(spark, sf_dir, "orders"), base, I_R, I_Y, I_X, "g_", MEASURE)
+    params = M.params_frame(spark, INGEST_PARAMS)
+    return compared(ingest_files(hot_notifications(spark, sf_dir), params, base_uri=f"{base}/files"))

@@ -23,3 +23,42 @@ def test_broadcast_within_bound_and_shuffle_beyond(spark):
         assert sorted(map(tuple, big.collect())) == rows_small
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_file_key_is_split_by_skew_join(spark, scratch):
+    """A third of all messages name one file. On the shuffle path (messages beyond the
+    broadcast bound) the scanned slabs reach the join straight from their exchange, so
+    AQE splits the hot key's partition; the rows equal the broadcast path's."""
+    from gridspark.operators import match as M
+    from gridspark.plans.files import ingest_files
+    from gridspark.sources.tables import write_orders_grid_files
+
+    sf = "/root/testdata/sf0.01"
+    write_orders_grid_files(C.table(spark, sf, "orders"), scratch, C.I_R, C.I_Y, C.I_X, "g_", C.MEASURE)
+    params = M.params_frame(spark, C.INGEST_PARAMS)
+
+    def run():
+        return ingest_files(C.hot_notifications(spark, sf), params, base_uri=f"{scratch}/files")
+
+    broadcast = run()
+    expected = sorted(map(tuple, broadcast.collect()))
+    assert "BroadcastHashJoin" in plan_of(broadcast)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = run()
+        got = sorted(map(tuple, df.collect()))
+        final = plan_of(df)
+        assert "SortMergeJoin" in final and "skew=true" in final
+        assert got == expected
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
