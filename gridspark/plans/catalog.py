@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from gridspark.functions.text import widened
 from gridspark.operators import match as M
 from gridspark.operators import unpivot as U
-from gridspark.plans.ingest import ingest
-from gridspark.sources.tables import notification_fields, notifications_from_events, orders_grid
 from gridspark.functions.messages import accepted, build_body, parse_notifications
+from gridspark.plans.ingest import ingest
 from gridspark.schema import NOTIFICATION_FIELDS
+from gridspark.sources.tables import notification_fields, notifications_from_events, orders_grid
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -352,9 +352,6 @@ def row_text_decode(spark, sf_dir):
 def _reject_bodies(events: DataFrame) -> DataFrame:
     """Message bodies where some event types arrive damaged: no envelope field, cut
     inner JSON, or a missing ``key``."""
-    from gridspark.functions.messages import build_body
-    from gridspark.sources.tables import notification_fields
-
     f = notification_fields(events, PER_KEY, "g_")
     inner = F.to_json(F.struct(*[c.alias(n) for c, n in zip(f, NOTIFICATION_FIELDS)]))
     no_key = F.to_json(F.struct(*[c.alias(n) for c, n in zip(f, NOTIFICATION_FIELDS) if n != "key"]))
@@ -537,7 +534,7 @@ STREAM_FILES = 8
 FILES_PER_TRIGGER = 2
 
 
-def _run_stream(spark, sf_dir, base, process_factory):
+def _run_stream(spark, sf_dir, base, process):
     """Write the message bodies of ``events`` as ``STREAM_FILES`` inbox files, drain them
     with an availableNow stream, and return what the sink wrote."""
     from gridspark.schema import LONG_SCHEMA
@@ -549,7 +546,7 @@ def _run_stream(spark, sf_dir, base, process_factory):
         build_body(*notification_fields(events, PER_KEY, "g_")).alias("value"))
     bodies.write.text(inbox)
     stream = parsed_stream(notification_stream(spark, inbox, FILES_PER_TRIGGER))
-    q = start_ingest(stream, process_factory, parquet_sink(out), f"{base}/checkpoint")
+    q = start_ingest(stream, process, parquet_sink(out), f"{base}/checkpoint")
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from gridspark.functions.messages import accepted, parse_notifications, rejected
 from gridspark.operators import match as M

@@ -7,7 +7,6 @@ import numpy as np
 
 from gridspark.functions.messages import accepted, parse_notifications
 from gridspark.operators.match import params_frame
-from gridspark.plans.ingest import ingest
 from gridspark.plans.files import ingest_files
 from gridspark.sources.ncwrite import grid_file_bytes
 from gridspark.streaming.ingest_stream import notification_stream, parquet_sink, parsed_stream, start_ingest
