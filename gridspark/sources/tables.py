@@ -59,12 +59,13 @@ def orders_grid(
 ) -> DataFrame:
     """``grid_slabs`` from ``orders``.
 
-    One shuffle groups cells into x lines (each group holds at most ``x_len`` cells); the
-    per-file ``time`` (latest order date) and ``forecast`` (earliest) then come from a
-    window over the already aggregated lines, at most ``realizations * y_len`` rows per
-    file. ``four_d`` labels ``level = y % 2`` to stand in for a 4-D measure.
+    One shuffle: cells are hash-partitioned by file (a file holds at most
+    ``realizations * y_len * x_len`` cells by construction, so no file can be a hot
+    partition), and both the x-line aggregation and the per-file window for ``time``
+    (latest order date) and ``forecast`` (earliest) reuse that partitioning. ``four_d``
+    labels ``level = y % 2`` to stand in for a 4-D measure.
     """
-    cells = orders_cells(orders, realizations, y_len, x_len, prefix, value)
+    cells = orders_cells(orders, realizations, y_len, x_len, prefix, value).repartition("file_name")
     lines = cells.groupBy("file_name", "r", "y").agg(
         F.sort_array(F.collect_list(F.struct("x", "v"))).alias("xv"),
         F.min("t").alias("t_min"),
