@@ -60,9 +60,14 @@ def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit
     where they were read and are never shuffled. Beyond the bound it is a plain shuffle
     join, where AQE splits a hot file id (skew join).
     """
+    from gridspark.session import spread
+
     limit = broadcast_limit(slabs.sparkSession) if limit is None else limit
-    side = F.broadcast(m) if size is not None and 0 <= size <= limit else m
-    s = first_level(slabs)
+    small = size is not None and 0 <= size <= limit
+    side = F.broadcast(m) if small else m
+    # With the messages broadcast, the slab side's tasks produce every output row; a
+    # narrow slab input (e.g. one small file) is widened first. No-op at scale.
+    s = first_level(spread(slabs) if small else slabs)
     j = s.join(side, (s["file_name"] == side["m_key"]) & (s["measure_name"] == side["m_measure"]), "inner")
     return j.filter(within_limit("r_limit")).drop("file_name").withColumnRenamed("out_file_name", "file_name")
 

@@ -62,10 +62,13 @@ def orders_grid(
     One shuffle: cells are hash-partitioned by file (a file holds at most
     ``realizations * y_len * x_len`` cells by construction, so no file can be a hot
     partition), and both the x-line aggregation and the per-file window for ``time``
-    (latest order date) and ``forecast`` (earliest) reuse that partitioning. ``four_d``
+    (latest order date) and ``forecast`` (earliest) reuse that partitioning. The
+    partition count is explicit, so AQE keeps it: the unpivot downstream multiplies rows
+    by ``x_len`` and needs the parallelism. ``four_d``
     labels ``level = y % 2`` to stand in for a 4-D measure.
     """
-    cells = orders_cells(orders, realizations, y_len, x_len, prefix, value).repartition("file_name")
+    tasks = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = orders_cells(orders, realizations, y_len, x_len, prefix, value).repartition(tasks, "file_name")
     lines = cells.groupBy("file_name", "r", "y").agg(
         F.sort_array(F.collect_list(F.struct("x", "v"))).alias("xv"),
         F.min("t").alias("t_min"),
