@@ -29,6 +29,9 @@ def local_session(cores: int | str = "*", app: str = "gridspark", extra: dict |
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("GRIDSPARK_DRIVER_MEMORY", "8g"))
+        # checkpointed intermediates (slab plans, matched messages) are deleted once
+        # unreferenced, so a long-running stream does not fill the shared folder
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
