@@ -92,3 +92,11 @@ def test_params_broadcast_in_plan(spark):
     params = M.params_frame(spark, [("lwe_snowfall_rate", "m", "y", "x", 1)])
     plan = M.match_params(n, params)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_commas_in_names_survive_typed_columns(spark):
+    """Typed columns carry names with commas that comma-joined text rows would split."""
+    n = accepted(parse(spark, [body({**FIELDS, "name": "rain,rate", "key": "a,b.nc"})]))
+    params = M.params_frame(spark, [("rain,rate", "rain", "y", "x", -1)])
+    r = M.with_file_names(M.match_params(n, params), "/d").first()
+    assert r["file_name"] == "rain,rate_2019-07-19T16:18:22Z_a,b.nc" and r["object_name"] == "a,b.nc"
