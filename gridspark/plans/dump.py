@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.functions.text import basename, parse_param_string
-from gridspark.operators.unpivot import to_long
-from gridspark.sinks.writers import console, write_jdbc
+from gridspark.operators.unpivot import to_long, to_long_indexed, wide_from_slabs
+from gridspark.sinks.writers import console, write_jdbc, write_json
 from gridspark.sources.gridfile import DEFAULT_BLOCK_BYTES, good_slabs, scan_grid
 
 # Parameter lists are configuration passed in by the caller; they are checked before
@@ -65,3 +65,22 @@ def read_list_and_dump(
 def jdbc_writer(url: str, table: str, properties: dict | None = None, num_partitions: int = 8) -> Callable[[DataFrame], int]:
     """S8 as a writer for ``read_list_and_dump`` (the reference's demo uses 8)."""
     return lambda df: write_jdbc(df, url, table, properties, num_partitions)
+
+
+def measure_to_json(spark: SparkSession, path: str, measure: str, coordinates: str, r_limit: int, out_dir: str,
+                    max_records_per_file: int = 100_000) -> int:
+    """S9 for one file: each cell as a JSON object of text values (y_coord, x_coord,
+    time, forecast, <measure>), a new output file every ``max_records_per_file`` rows;
+    returns the number of cells written."""
+    slabs = good_slabs(scan_grid(requests_from_strings(spark, [f"{path},{measure},{coordinates},{r_limit}"])))
+    return write_json(wide_from_slabs(slabs, measure), out_dir, max_records_per_file)
+
+
+def measure_to_console(spark: SparkSession, path: str, measure: str, coordinates: str, r_limit: int,
+                       n: int = 20) -> DataFrame:
+    """S10 for one file: coordinates, times, ``[r, y, x, cnt]`` and the value of each cell,
+    in read order; prints the first ``n`` and returns the rows."""
+    slabs = good_slabs(scan_grid(requests_from_strings(spark, [f"{path},{measure},{coordinates},{r_limit}"])))
+    rows = to_long_indexed(slabs)
+    rows.orderBy("cnt").show(n, truncate=False)
+    return rows

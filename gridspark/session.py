@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", app: str = "gridspark", extra: dict |
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("GRIDSPARK_DRIVER_MEMORY", "8g"))
         # checkpointed intermediates (slab plans, matched messages) are deleted once

@@ -56,6 +56,26 @@ def parquet_sink(path: str) -> Sink:
     return sink
 
 
+def json_sink(path: str, max_records_per_file: int = 100_000) -> Sink:
+    """Idempotent per batch, like ``parquet_sink``: JSON lines under ``path/batch_id=N``."""
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        (rows.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+         .json(f"{path.rstrip('/')}/batch_id={batch_id}"))
+
+    return sink
+
+
+def console_sink(n: int = 20) -> Sink:
+    """S10 for streams: the first rows of every micro-batch on the driver's console."""
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        print(f"-- batch {batch_id}")
+        rows.show(n, truncate=False)
+
+    return sink
+
+
 def jdbc_sink(url: str, table: str, properties: dict | None = None, num_partitions: int = 8) -> Sink:
     """At-least-once JDBC append with a ``batch_id`` column, so a replayed batch can be
     found and removed by its id."""

@@ -58,3 +58,35 @@ def test_read_list_and_dump(spark, tmp_path, scratch, capsys):
     assert n == 24
     printed = capsys.readouterr().out
     assert "measure_value: double" in printed and "air.nc" in printed
+
+
+def test_measure_to_json_and_console(spark, tmp_path, scratch, capsys):
+    import glob
+
+    from gridspark.plans.dump import measure_to_console, measure_to_json
+
+    p = make(tmp_path)
+    out = scratch.replace("file:", "")
+    assert measure_to_json(spark, p, "air", f"{YN},{XN}", 1, out, max_records_per_file=5) == 12
+    files = glob.glob(os.path.join(out, "*.json"))
+    lines = [json.loads(x) for f in files for x in open(f)]
+    assert len(lines) == 12 and max(sum(1 for _ in open(f)) for f in files) <= 5
+    assert set(lines[0]) == {"y_coord", "x_coord", "time", "forecast", "air"}
+    assert all(isinstance(v, str) for v in lines[0].values())
+    rows = measure_to_console(spark, p, "air", f"{YN},{XN}", -1, n=3)
+    assert rows.count() == 24 and "cnt" in capsys.readouterr().out
+
+
+def test_stream_json_and_console_sinks(spark, scratch, capsys):
+    from gridspark.operators.unpivot import to_long
+    from gridspark.streaming.ingest_stream import console_sink, json_sink
+
+    rows = to_long(spark.createDataFrame(
+        [("f", "m", 0, 0, 0, 1, 0.0, [1.0, 2.0], 3, 4, [5.0, 6.0])],
+        "file_name string, measure_name string, r int, level int, y int, y_len int, y_coord float, "
+        "x_coords array<float>, time bigint, forecast bigint, vals array<float>"))
+    json_sink(scratch)(rows, 7)
+    json_sink(scratch)(rows, 7)  # a replayed batch overwrites itself
+    assert spark.read.json(scratch).count() == 2
+    console_sink(5)(rows, 7)
+    assert "-- batch 7" in capsys.readouterr().out
