@@ -30,14 +30,15 @@ def matched_files(notifications: DataFrame, params: DataFrame, case_insensitive:
 
 def broadcast_limit(spark) -> int:
     """The session's broadcast bound in bytes (``spark.sql.autoBroadcastJoinThreshold``)."""
-    from gridspark.sources.gridfile import _bytes
+    from gridspark.session import size_in_bytes
 
-    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
 
 
 def materialized_messages(m: DataFrame) -> tuple[DataFrame, int]:
-    """Matched messages written once to the shared checkpoint folder, and their exact
-    size in bytes (string bytes plus fixed-width fields), measured in one small job.
+    """Matched messages written once to the shared checkpoint folder, and their size in
+    bytes (UTF-8 string bytes plus a row's fixed-width part and header), measured in
+    one small job.
 
     The checkpoint cuts the lineage back to message parsing, so the read requests and
     the join below reuse the written rows instead of re-parsing, and a lost executor
@@ -47,7 +48,7 @@ def materialized_messages(m: DataFrame) -> tuple[DataFrame, int]:
 
     shared_dir(m.sparkSession)
     m = m.checkpoint(eager=True)
-    width = F.length("out_file_name") + F.length("m_key") + F.length("m_measure") + F.lit(16)
+    width = F.octet_length("out_file_name") + F.octet_length("m_key") + F.octet_length("m_measure") + F.lit(48)
     size = m.agg(F.sum(width.cast("long")).alias("b")).first()["b"] or 0
     return m, int(size)
 

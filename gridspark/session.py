@@ -80,3 +80,11 @@ def spread(df, min_partitions: int | None = None):
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def size_in_bytes(text: str) -> int:
+    """A Spark size setting (``10485760``, ``10485760b``, ``128m``, ``1g``) in bytes;
+    negative values (a disabled threshold) stay negative."""
+    t = str(text).strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from gridspark.functions.text import basename
 from gridspark.schema import SLAB_SCHEMA, VAR_FORECAST_TIME, VAR_TIME
-from gridspark.session import shared_dir
+from gridspark.session import shared_dir, size_in_bytes
 from gridspark.sources import netcdf as nc
 
 REQUEST_COLUMNS = ("path", "file_name", "measure", "coord_y", "coord_x", "r_limit")
@@ -221,7 +221,7 @@ def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
     spark = plan.sparkSession
     shared_dir(spark)
     plan = plan.checkpoint(eager=True)
-    target = target_task_bytes or _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    target = target_task_bytes or size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     stats = plan.agg(
         F.sum(F.coalesce(F.col("ny").cast("long") * F.col("x_len") * F.col("itemsize"), F.lit(0))).alias("bytes"),
         F.count(F.lit(1)).alias("rows"),
@@ -234,12 +234,6 @@ def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
     return plan.repartition(tasks).sortWithinPartitions("path", "r", "y0")
 
 
-def _bytes(text: str) -> int:
-    t = str(text).strip().lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
-
-
 # --- slab reads --------------------------------------------------------------------------------
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
