@@ -73,6 +73,19 @@ def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit
     return j.filter(within_limit("r_limit")).drop("file_name").withColumnRenamed("out_file_name", "file_name")
 
 
+def wanted_measures(params: DataFrame) -> list[str] | None:
+    """The distinct measures of the parameter table, or None past ``MAX_PARAMS``.
+
+    The parameter table is configuration with a checked size, so this small read lets
+    the slab side be filtered by measure before the join: partition pruning on a stored
+    slab table (``sources.slab_store``), a pushed filter elsewhere.
+    """
+    from gridspark.operators.match import MAX_PARAMS
+
+    rows = params.select("measure").distinct().limit(MAX_PARAMS + 1).collect()
+    return None if len(rows) > MAX_PARAMS else sorted(r["measure"] for r in rows)
+
+
 def ingest(
     notifications: DataFrame,
     params: DataFrame,
@@ -82,13 +95,17 @@ def ingest(
 ) -> DataFrame:
     """Long rows for every matched message, read from the slabs of the file it names.
 
-    ``params`` is broadcast into the message side (its size is bounded when built); the
-    matched messages are materialized and measured, then joined to the slabs on
+    ``params`` is broadcast into the message side (its size is bounded when built) and
+    its measures prune the slab side up front; the matched messages are materialized and
+    measured, then joined to the slabs on
     (file id, measure) by ``join_messages``. The level-0 reduction (P9) is a slab filter
     below the join; the realization limit (L1) needs each message's parameters and is
     applied right after it, before the unpivot. ``key`` maps a message to the slabs'
     ``file_name`` (default: the message key).
     """
+    wanted = wanted_measures(params)
+    if wanted is not None:
+        slabs = slabs.filter(F.col("measure_name").isin(wanted))
     m, size = materialized_messages(matched_files(notifications, params, case_insensitive, key))
     return to_long(join_messages(slabs, m, size))
 
