@@ -559,18 +559,16 @@ def _run_stream(spark, sf_dir, base, process):
 @register("ingest_stream", INGEST_SQL)
 def ingest_stream_query(spark, sf_dir):
     """ST1-ST5: the flagship as a checkpointed file-source stream (availableNow), slabs
-    from a stored slab table (``sources.slab_store``); equals the batch result."""
+    from a written Parquet table; equals the batch result."""
     from gridspark.session import scratch_path
 
-    from gridspark.sources.slab_store import read_slab_store, store_slabs
-
     base = scratch_path(spark, "ingest-stream")
     slab_path = f"{base}/slabs"
-    store_slabs(ingest_grid(spark, sf_dir), slab_path)
+    ingest_grid(spark, sf_dir).write.parquet(slab_path)
 
     def process(batch):
         s = batch.sparkSession
-        return ingest(batch, M.params_frame(s, INGEST_PARAMS), read_slab_store(s, slab_path))
+        return ingest(batch, M.params_frame(s, INGEST_PARAMS), s.read.parquet(slab_path))
 
     return compared(_run_stream(spark, sf_dir, base, process))
 
