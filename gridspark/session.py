@@ -54,14 +54,20 @@ def shared_dir(spark: SparkSession) -> str:
     a cluster without it is an error, because a machine-local folder is not shared.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext use the setting only
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster") from None
+        return d.rstrip("/")
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="gridspark-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
@@ -78,8 +84,12 @@ def spread(df, min_partitions: int | None = None):
     input already split into many partitions (the normal case at scale) is returned
     untouched, so no shuffle is added there.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the input as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def size_in_bytes(text: str) -> int:
