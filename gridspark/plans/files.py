@@ -9,7 +9,7 @@ message, and its fan-out to messages is an ordinary, skew-handled join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridspark.operators.match import file_name_col, match_params, object_uri_col
@@ -56,13 +56,23 @@ def scan_announced(notifications: DataFrame, params: DataFrame, base_uri: str |
 
 
 def ingest_files(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
-                 case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+                 case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES,
+                 observation: Observation | None = None) -> DataFrame:
     """Long rows of every matched message whose file could be read (see
     ``scan_announced`` + ``gridfile.scan_rejects`` for the failures).
 
     The matched messages are materialized once; the read requests and the join both
     come from that copy, and the join broadcasts them only within the measured bound.
+    With ``observation``, the scan reports ``blocks`` (blocks and failed requests seen)
+    and ``failed`` during the same pass, so failures are counted without a second read.
     """
     m, size = materialized_messages(matched_objects(notifications, params, base_uri, case_insensitive))
-    slabs = good_slabs(scan_grid(requests_from_matched(m), block_bytes))
+    scanned = scan_grid(requests_from_matched(m), block_bytes)
+    if observation is not None:
+        scanned = scanned.observe(
+            observation,
+            F.count(F.lit(1)).alias("blocks"),
+            F.sum(F.when(F.col("error").isNotNull(), 1).otherwise(0)).alias("failed"),
+        )
+    slabs = good_slabs(scanned)
     return to_long(join_messages(slabs, m.select("out_file_name", "m_key", "m_measure", "r_limit"), size))

@@ -98,3 +98,16 @@ def test_processing_time_trigger_polls_new_files(spark, scratch):
         assert spark.read.parquet(out).count() == 36
     finally:
         q.stop()
+
+
+def test_ingest_reports_failed_reads(spark, scratch):
+    from pyspark.sql import Observation
+
+    store, inbox = f"{scratch}/store", f"{scratch}/inbox"
+    make_store(store)
+    drop(inbox, "a.txt", [msg("snow", "k0.nc"), msg("snow", "missing.nc"), msg("rain", "k1.nc")])
+    obs = Observation("scan")
+    n = accepted(parse_notifications(spark.read.text(inbox).withColumnRenamed("value", "body")))
+    rows = ingest_files(n, params_frame(spark, PARAMS), base_uri=store, observation=obs)
+    assert rows.count() == 24 + 12
+    assert obs.get["failed"] == 1
