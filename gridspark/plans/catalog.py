@@ -568,7 +568,7 @@ def ingest_stream_query(spark, sf_dir):
 
     def process(batch):
         s = batch.sparkSession
-        return ingest(batch, M.params_frame(s, INGEST_PARAMS), s.read.parquet(slab_path))
+        return ingest(batch, M.params_frame(s, INGEST_PARAMS), s.read.parquet(slab_path), measures=[MEASURE])
 
     return compared(_run_stream(spark, sf_dir, base, process))
 

@@ -92,6 +92,7 @@ def ingest(
     slabs: DataFrame,
     case_insensitive: bool = False,
     key: Column | None = None,
+    measures: list[str] | None = None,
 ) -> DataFrame:
     """Long rows for every matched message, read from the slabs of the file it names.
 
@@ -101,9 +102,10 @@ def ingest(
     (file id, measure) by ``join_messages``. The level-0 reduction (P9) is a slab filter
     below the join; the realization limit (L1) needs each message's parameters and is
     applied right after it, before the unpivot. ``key`` maps a message to the slabs'
-    ``file_name`` (default: the message key).
+    ``file_name`` (default: the message key). ``measures`` lists the parameter table's
+    measures when the caller knows them (saves the small job that reads them).
     """
-    wanted = wanted_measures(params)
+    wanted = measures if measures is not None else wanted_measures(params)
     if wanted is not None:
         slabs = slabs.filter(F.col("measure_name").isin(wanted))
     m, size = materialized_messages(matched_files(notifications, params, case_insensitive, key))
