@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.match import file_name_col, match_params, object_uri_col
 from gridspark.operators.unpivot import to_long
-from gridspark.plans.ingest import join_messages, materialized_messages
-from gridspark.sources.gridfile import DEFAULT_BLOCK_BYTES, good_slabs, scan_grid
+from gridspark.plans.ingest import (broadcast_limit, copies_per_unit, copy_rows, hot_keys, hot_pairs, join_messages,
+                                    materialized_messages, salted_messages)
+from gridspark.sources.gridfile import (DEFAULT_BLOCK_BYTES, good_slabs, materialize_plan, plan_slabs, read_slabs,
+                                        resolve, scan_grid, spread_plan)
 
 
 def requests_from_matched(m: DataFrame) -> DataFrame:
@@ -63,16 +65,31 @@ def ingest_files(notifications: DataFrame, params: DataFrame, base_uri: str | No
 
     The matched messages are materialized once; the read requests and the join both
     come from that copy, and the join broadcasts them only within the measured bound.
+    Objects named by more than a task's share of the messages have their blocks read in
+    several copies, each joining a slice of those messages.
     With ``observation``, the scan reports ``blocks`` (blocks and failed requests seen)
     and ``failed`` during the same pass, so failures are counted without a second read.
     """
-    m, size = materialized_messages(matched_objects(notifications, params, base_uri, case_insensitive))
-    scanned = scan_grid(requests_from_matched(m), block_bytes)
+    m, size, count = materialized_messages(matched_objects(notifications, params, base_uri, case_insensitive))
+    msgs = m.select("out_file_name", "m_key", "m_measure", "r_limit")
+    plan = materialize_plan(plan_slabs(resolve(requests_from_matched(m), block_bytes)))
+    hot = hot_keys(m, count) if size <= broadcast_limit(m.sparkSession) else []
+    if hot:
+        # Objects named by more than a task's share of the messages: each of their
+        # blocks is planned ``copies`` times (part 0..copies-1) and each message joins
+        # one part, so the fan-out spreads over tasks without any shuffle. The block
+        # counts come from the materialized plan (at most one row per hot object).
+        blocks = {(r["path"], r["measure"]): r["n"] for r in
+                  plan.filter(hot_pairs("path", "measure", hot) & F.col("error").isNull())
+                  .groupBy("path", "measure").agg(F.count(F.lit(1)).alias("n")).collect()}
+        copies = copies_per_unit(hot, blocks)
+        plan = materialize_plan(copy_rows(plan, copies, "path", "measure"))
+        msgs = salted_messages(msgs, copies)
+    scanned = read_slabs(spread_plan(plan))
     if observation is not None:
         scanned = scanned.observe(
             observation,
             F.count(F.lit(1)).alias("blocks"),
             F.sum(F.when(F.col("error").isNotNull(), 1).otherwise(0)).alias("failed"),
         )
-    slabs = good_slabs(scanned)
-    return to_long(join_messages(slabs, m.select("out_file_name", "m_key", "m_measure", "r_limit"), size))
+    return to_long(join_messages(good_slabs(scanned), msgs, size))

@@ -35,10 +35,10 @@ def broadcast_limit(spark) -> int:
     return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
 
 
-def materialized_messages(m: DataFrame) -> tuple[DataFrame, int]:
-    """Matched messages written once to the shared checkpoint folder, and their size in
-    bytes (UTF-8 string bytes plus a row's fixed-width part and header), measured in
-    one small job.
+def materialized_messages(m: DataFrame) -> tuple[DataFrame, int, int]:
+    """Matched messages written once to the shared checkpoint folder, their size in bytes
+    (UTF-8 string bytes plus a row's fixed-width part and header) and their count,
+    measured in one small job.
 
     The checkpoint cuts the lineage back to message parsing, so the read requests and
     the join below reuse the written rows instead of re-parsing, and a lost executor
@@ -49,8 +49,8 @@ def materialized_messages(m: DataFrame) -> tuple[DataFrame, int]:
     shared_dir(m.sparkSession)
     m = m.checkpoint(eager=True)
     width = F.octet_length("out_file_name") + F.octet_length("m_key") + F.octet_length("m_measure") + F.lit(48)
-    size = m.agg(F.sum(width.cast("long")).alias("b")).first()["b"] or 0
-    return m, int(size)
+    stats = m.agg(F.sum(width.cast("long")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    return m, int(stats["b"] or 0), int(stats["n"])
 
 
 def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit: int | None = None) -> DataFrame:
@@ -59,7 +59,8 @@ def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit
     The messages are broadcast only when their measured ``size`` is within ``limit``
     (default: the session's broadcast bound); the slabs, usually far larger, then stay
     where they were read and are never shuffled. Beyond the bound it is a plain shuffle
-    join, where AQE splits a hot file id (skew join).
+    join, where AQE splits a hot file id (skew join). When both sides carry a part
+    number (``part`` / ``m_part``, see ``hot_keys``), it is part of the join key.
     """
     from gridspark.session import spread
 
@@ -69,8 +70,98 @@ def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit
     # With the messages broadcast, the slab side's tasks produce every output row; a
     # narrow slab input (e.g. one small file) is widened first. No-op at scale.
     s = first_level(spread(slabs) if small else slabs)
-    j = s.join(side, (s["file_name"] == side["m_key"]) & (s["measure_name"] == side["m_measure"]), "inner")
-    return j.filter(within_limit("r_limit")).drop("file_name").withColumnRenamed("out_file_name", "file_name")
+    cond = (s["file_name"] == side["m_key"]) & (s["measure_name"] == side["m_measure"])
+    parted = "part" in s.columns and "m_part" in side.columns
+    if parted:
+        cond = cond & (s["part"] == side["m_part"])
+    j = s.join(side, cond, "inner").filter(within_limit("r_limit"))
+    j = j.drop("file_name", *(["part", "m_part"] if parted else []))
+    return j.withColumnRenamed("out_file_name", "file_name")
+
+
+# --- hot files ------------------------------------------------------------------------------
+# With the messages broadcast, every output row of a file is produced where its slab
+# lines are. A file named by a large share of the messages (redeliveries, or one object
+# everybody announces) would leave that work to the few tasks holding its lines, so
+# such files are split into parts: their lines (or blocks) are copied once per part,
+# each message joins exactly one part, and every (line, message) pair still meets once.
+HOT_SCHEMA = "h_key string, h_measure string, copies int"
+
+
+def hot_keys(m: DataFrame, count: int, parallelism: int | None = None) -> list[tuple[str, str, int]]:
+    """(file id, measure, parts) of files named by more than one task's fair share of
+    the messages; ``parts`` is how many shares they hold.
+
+    The share is ``count / parallelism`` (default: the cluster's default parallelism).
+    Only keys above one share qualify, so fewer than ``parallelism`` can: the list read
+    back here has that proven bound.
+    """
+    p = parallelism or m.sparkSession.sparkContext.defaultParallelism
+    share = max(1, -(-count // p))
+    rows = (
+        m.groupBy("m_key", "m_measure").agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > share)
+        .limit(p)
+        .collect()
+    )
+    return sorted((r["m_key"], r["m_measure"], -(-r["n"] // share)) for r in rows)
+
+
+def copies_per_unit(hot: list[tuple[str, str, int]], units: dict) -> list[tuple[str, str, int]]:
+    """Copies of each line/block of a hot file: its parts spread over the units it
+    already has (a large file's many blocks already sit on many tasks, so it gets few
+    or no copies; a small one gets up to ``parts``)."""
+    return [(k, me, max(1, -(-parts // max(1, units.get((k, me), 1))))) for k, me, parts in hot]
+
+
+def hot_pairs(column_key: str, column_measure: str, hot: list) -> Column:
+    pair = F.struct(F.col(column_key).alias("k"), F.col(column_measure).alias("m"))
+    return F.col(column_key).isin(sorted({k for k, _, _ in hot})) & pair.isin(
+        *[F.struct(F.lit(k).alias("k"), F.lit(me).alias("m")) for k, me, _ in hot]
+    )
+
+
+def salted_messages(m: DataFrame, copies: list[tuple[str, str, int]]) -> DataFrame:
+    """Messages with ``m_part``: a hash of the message modulo its file's copies (0 for
+    other files). Deterministic, so a retried task assigns the same parts."""
+    h = F.broadcast(m.sparkSession.createDataFrame(copies, HOT_SCHEMA))
+    j = m.join(h, (m["m_key"] == h["h_key"]) & (m["m_measure"] == h["h_measure"]), "left")
+    part = F.when(F.col("copies").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64("out_file_name", "m_key", "r_limit"), F.col("copies").cast("long")).cast("int"))
+    return j.select(*[F.col(c) for c in m.columns], part.alias("m_part"))
+
+
+def copy_rows(df: DataFrame, copies: list[tuple[str, str, int]], key: str, measure: str) -> DataFrame:
+    """Each row of a hot file repeated ``copies`` times with ``part`` 0..copies-1; other
+    rows once with part 0."""
+    h = F.broadcast(df.sparkSession.createDataFrame(copies, HOT_SCHEMA))
+    j = df.join(h, (df[key] == h["h_key"]) & (df[measure] == h["h_measure"]), "left")
+    n = F.coalesce(F.col("copies"), F.lit(1))
+    return j.select(*[F.col(c) for c in df.columns], F.explode(F.sequence(F.lit(0), n - 1)).alias("part"))
+
+
+def balanced_slab_join(slabs: DataFrame, m: DataFrame, size: int, count: int) -> DataFrame:
+    """``join_messages`` for slab tables (stored or derived), with hot files split.
+
+    Cold lines stay where they are. Lines of hot files (selected by filters that reach
+    the scan) are counted per file, copied per part and shuffled by (file, line, part),
+    so their fan-out runs on many tasks.
+    """
+    if size > broadcast_limit(m.sparkSession):
+        return join_messages(slabs, m, size)
+    hot = hot_keys(m, count)
+    if not hot:
+        return join_messages(slabs, m, size)
+    is_hot = hot_pairs("file_name", "measure_name", hot)
+    hot_lines = first_level(slabs).filter(is_hot)
+    lines = {(r["file_name"], r["measure_name"]): r["n"] for r in
+             hot_lines.groupBy("file_name", "measure_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    copies = copies_per_unit(hot, lines)
+    tasks = max(1, sum(p for _, _, p in hot))
+    spread_hot = copy_rows(hot_lines, copies, "file_name", "measure_name").repartition(
+        tasks, "file_name", "r", "level", "y", "part")
+    cold = first_level(slabs).filter(~is_hot).withColumn("part", F.lit(0))
+    return join_messages(cold.unionByName(spread_hot), salted_messages(m, copies), size)
 
 
 def wanted_measures(params: DataFrame) -> list[str] | None:
@@ -98,8 +189,9 @@ def ingest(
 
     ``params`` is broadcast into the message side (its size is bounded when built) and
     its measures prune the slab side up front; the matched messages are materialized and
-    measured, then joined to the slabs on
-    (file id, measure) by ``join_messages``. The level-0 reduction (P9) is a slab filter
+    measured, then joined to the slabs on (file id, measure) by ``join_messages``; files
+    named by more than a task's share of the messages are split
+    (``balanced_slab_join``). The level-0 reduction (P9) is a slab filter
     below the join; the realization limit (L1) needs each message's parameters and is
     applied right after it, before the unpivot. ``key`` maps a message to the slabs'
     ``file_name`` (default: the message key). ``measures`` lists the parameter table's
@@ -108,8 +200,8 @@ def ingest(
     wanted = measures if measures is not None else wanted_measures(params)
     if wanted is not None:
         slabs = slabs.filter(F.col("measure_name").isin(wanted))
-    m, size = materialized_messages(matched_files(notifications, params, case_insensitive, key))
-    return to_long(join_messages(slabs, m, size))
+    m, size, count = materialized_messages(matched_files(notifications, params, case_insensitive, key))
+    return to_long(balanced_slab_join(slabs, m, size, count))
 
 
 def ingest_bodies(bodies: DataFrame, params: DataFrame, slabs: DataFrame, body_col: str = "body",

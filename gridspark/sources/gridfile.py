@@ -55,7 +55,11 @@ RESOLVED_SCHEMA = T.StructType(
     ]
 )
 
-SCAN_SCHEMA = T.StructType(SLAB_SCHEMA.fields + [T.StructField("error", T.StringType(), True)])
+# ``part`` numbers the copies of a block planned more than once (hot files, see
+# ``plans.ingest``); it is 0 otherwise.
+SCAN_SCHEMA = T.StructType(
+    SLAB_SCHEMA.fields + [T.StructField("part", T.IntegerType(), True), T.StructField("error", T.StringType(), True)]
+)
 
 DESCRIBE_SCHEMA = T.StructType(
     [
@@ -215,12 +219,17 @@ def plan_slabs(resolved: DataFrame) -> DataFrame:
     return planned.unionByName(failed)
 
 
-def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
-    """Materialize the plan in the shared checkpoint folder and spread it round-robin
-    over enough tasks for ``target_task_bytes`` of slab data each."""
+def materialize_plan(plan: DataFrame) -> DataFrame:
+    """The plan written to the shared checkpoint folder: a lost executor never re-reads
+    headers, and the plan can be measured and adjusted cheaply."""
+    shared_dir(plan.sparkSession)
+    return plan.checkpoint(eager=True)
+
+
+def spread_plan(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
+    """Spread a materialized plan round-robin over enough tasks for
+    ``target_task_bytes`` of slab data each (default ``spark.sql.files.maxPartitionBytes``)."""
     spark = plan.sparkSession
-    shared_dir(spark)
-    plan = plan.checkpoint(eager=True)
     target = target_task_bytes or size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     stats = plan.agg(
         F.sum(F.coalesce(F.col("ny").cast("long") * F.col("x_len") * F.col("itemsize"), F.lit(0))).alias("bytes"),
@@ -234,6 +243,12 @@ def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
     return plan.repartition(tasks).sortWithinPartitions("path", "r", "y0")
 
 
+def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
+    """Materialize the plan in the shared checkpoint folder and spread it round-robin
+    over enough tasks for ``target_task_bytes`` of slab data each."""
+    return spread_plan(materialize_plan(plan), target_task_bytes)
+
+
 # --- slab reads --------------------------------------------------------------------------------
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -250,7 +265,7 @@ class _Batch:
 
     def reset(self):
         self.names, self.measures, self.line_counts = [], [], []
-        self.num = {k: [] for k in ("r", "y", "y_len", "y_coord", "time", "forecast")}
+        self.num = {k: [] for k in ("r", "y", "y_len", "y_coord", "time", "forecast", "part")}
         self.x_coords, self.vals, self.x_lens = [], [], []
         self.cells = 0
 
@@ -259,7 +274,8 @@ class _Batch:
         self.names.append(p["file_name"])
         self.measures.append(p["measure"])
         self.line_counts.append(n)
-        for k, v in (("r", p["r"]), ("y_len", p["y_len"]), ("time", p["time"]), ("forecast", p["forecast"])):
+        for k, v in (("r", p["r"]), ("y_len", p["y_len"]), ("time", p["time"]), ("forecast", p["forecast"]),
+                     ("part", p.get("part") or 0)):
             self.num[k].append(np.full(n, v))
         self.num["y"].append(y)
         self.num["y_coord"].append(yc)
@@ -289,6 +305,7 @@ class _Batch:
             pa.array(cat("time", np.int64)),
             pa.array(cat("forecast", np.int64)),
             pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(self.vals), pa.float32())),
+            pa.array(cat("part", np.int32)),
             pa.nulls(rows, pa.string()),
         ]
         batch = pa.RecordBatch.from_arrays(arrays, schema=self.schema)

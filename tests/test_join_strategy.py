@@ -62,3 +62,24 @@ def test_hot_file_key_is_split_by_skew_join(spark, scratch):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_keys_are_bounded_and_split(spark):
+    from gridspark.operators import match as M
+    from gridspark.plans.ingest import (balanced_slab_join, copies_per_unit, hot_keys, join_messages,
+                                        materialized_messages, matched_files)
+    from gridspark.operators.unpivot import to_long
+
+    sf = "/root/testdata/sf0.01"
+    params = M.params_frame(spark, C.INGEST_PARAMS)
+    m, size, count = materialized_messages(matched_files(C.hot_notifications(spark, sf), params))
+    hot = hot_keys(m, count, parallelism=8)
+    assert [(k, me) for k, me, _ in hot] == [(C.HOT_KEY, C.MEASURE)] and hot[0][2] >= 2
+    assert len(hot_keys(m, count, parallelism=4)) < 4
+    assert copies_per_unit([("a", "m", 6)], {("a", "m"): 2}) == [("a", "m", 3)]
+    assert copies_per_unit([("a", "m", 6)], {("a", "m"): 100}) == [("a", "m", 1)]
+    slabs = C.ingest_grid(spark, sf)
+    split = to_long(balanced_slab_join(slabs, m, size, count))
+    plain = to_long(join_messages(slabs, m, size))
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
+    assert "RoundRobinPartitioning" in plan_of(split) or "hashpartitioning(file_name" in plan_of(split)
