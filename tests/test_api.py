@@ -90,3 +90,16 @@ def test_stream_json_and_console_sinks(spark, scratch, capsys):
     assert spark.read.json(scratch).count() == 2
     console_sink(5)(rows, 7)
     assert "-- batch 7" in capsys.readouterr().out
+
+
+def test_ingest_from_raw_bodies(spark):
+    from gridspark.operators.match import params_frame
+    from gridspark.plans.ingest import ingest_bodies
+    from gridspark.schema import SLAB_SCHEMA
+
+    slabs = spark.createDataFrame([("k.nc", "snow", 0, 0, 0, 1, 0.0, [0.0, 1.0], 5, 4, [1.5, 2.5])], SLAB_SCHEMA)
+    bodies = spark.createDataFrame([(msg("2019-01-01T00:00:01Z"),), ("garbage",)], "body string")
+    params = params_frame(spark, [("snow", "snow", YN, XN, -1)])
+    rows = ingest_bodies(bodies, params, slabs).collect()
+    assert sorted(r["measure_value"] for r in rows) == [1.5, 2.5]
+    assert rows[0]["file_name"] == "snow_2019-01-01T00:00:01Z_k.nc"
