@@ -164,6 +164,17 @@ def balanced_slab_join(slabs: DataFrame, m: DataFrame, size: int, count: int) ->
     return join_messages(cold.unionByName(spread_hot), salted_messages(m, copies), size)
 
 
+# Announced file ids listed in a scan filter only up to this many (a larger list would
+# weigh on every task's plan; beyond it the join alone selects the files).
+MAX_KEY_FILTER = 10_000
+
+
+def announced_keys(m: DataFrame, limit: int = MAX_KEY_FILTER) -> list[str] | None:
+    """The distinct file ids of materialized messages, or None past ``limit``."""
+    rows = m.select("m_key").distinct().limit(limit + 1).collect()
+    return None if len(rows) > limit else sorted(r["m_key"] for r in rows)
+
+
 def wanted_measures(params: DataFrame) -> list[str] | None:
     """The distinct measures of the parameter table, or None past ``MAX_PARAMS``.
 
@@ -191,7 +202,9 @@ def ingest(
     its measures prune the slab side up front; the matched messages are materialized and
     measured, then joined to the slabs on (file id, measure) by ``join_messages``; files
     named by more than a task's share of the messages are split
-    (``balanced_slab_join``). The level-0 reduction (P9) is a slab filter
+    (``balanced_slab_join``). When the messages are few enough to broadcast, the slabs
+    are also filtered to the announced file ids (``announced_keys``), so a micro-batch
+    reads only what it announces. The level-0 reduction (P9) is a slab filter
     below the join; the realization limit (L1) needs each message's parameters and is
     applied right after it, before the unpivot. ``key`` maps a message to the slabs'
     ``file_name`` (default: the message key). ``measures`` lists the parameter table's
@@ -201,6 +214,12 @@ def ingest(
     if wanted is not None:
         slabs = slabs.filter(F.col("measure_name").isin(wanted))
     m, size, count = materialized_messages(matched_files(notifications, params, case_insensitive, key))
+    if size <= broadcast_limit(m.sparkSession):
+        # Few messages (they fit a broadcast): read only the slabs of the files they
+        # announce. On a stored slab table sorted by file the filter skips row groups.
+        keys = announced_keys(m)
+        if keys is not None:
+            slabs = slabs.filter(F.col("file_name").isin(keys))
     return to_long(balanced_slab_join(slabs, m, size, count))
 
 

@@ -5,8 +5,9 @@ Slabs are written as Parquet, partitioned by ``measure_name`` and range-sorted b
 
 * a filter on the measure selects partition folders; ``plans.ingest`` adds one for the
   measures of its parameter table, so unwanted measures are never listed or read;
-* Parquet row-group statistics on the sorted ``file_name`` (and on ``r``, ``level``)
-  skip row groups of files nobody asked for.
+* ``plans.ingest`` filters the slabs to the file ids its messages announce (when they
+  are few enough to broadcast); on the sorted ``file_name`` the Parquet row-group
+  statistics then skip row groups of files nobody asked for.
 """
 
 from __future__ import annotations

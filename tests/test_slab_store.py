@@ -1,4 +1,5 @@
-"""Stored slab tables: the wanted measures are pruned at runtime, results unchanged."""
+"""Stored slab tables: unwanted measures are pruned by partition, the announced files
+reach the Parquet scan as a pushed filter, results unchanged."""
 
 from gridspark.operators import match as M
 from gridspark.plans import catalog as C
@@ -22,5 +23,6 @@ def test_store_prunes_measures(spark, scratch):
 
     parts = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
     assert re.search(r"measure_name#\d+ = o_totalprice", parts), parts
+    assert re.search(r"PushedFilters: \[[^\n]*In\(file_name", plan)
     direct = ingest(C.notifications(spark, SF), params, a)
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, direct.collect()))
