@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.match import file_name_col, match_params, object_uri_col
 from gridspark.operators.unpivot import to_long
-from gridspark.plans.ingest import (broadcast_limit, copies_per_unit, copy_rows, hot_keys, hot_pairs, join_messages,
+from gridspark.plans.ingest import (copies_per_unit, copy_rows, hot_keys, hot_pairs, join_messages,
                                     materialized_messages, salted_messages)
 from gridspark.sources.gridfile import (DEFAULT_BLOCK_BYTES, good_slabs, materialize_plan, plan_slabs, read_slabs,
                                         resolve, scan_grid, spread_plan)
@@ -73,11 +73,12 @@ def ingest_files(notifications: DataFrame, params: DataFrame, base_uri: str | No
     m, size, count = materialized_messages(matched_objects(notifications, params, base_uri, case_insensitive))
     msgs = m.select("out_file_name", "m_key", "m_measure", "r_limit")
     plan = materialize_plan(plan_slabs(resolve(requests_from_matched(m), block_bytes)))
-    hot = hot_keys(m, count) if size <= broadcast_limit(m.sparkSession) else []
+    hot = hot_keys(m, count)
     if hot:
         # Objects named by more than a task's share of the messages: each of their
         # blocks is planned ``copies`` times (part 0..copies-1) and each message joins
-        # one part, so the fan-out spreads over tasks without any shuffle. The block
+        # one part, so the fan-out spreads over tasks (without any shuffle when the
+        # messages are broadcast; on the shuffle path the part is in the shuffle key). The block
         # counts come from the materialized plan (at most one row per hot object).
         blocks = {(r["path"], r["measure"]): r["n"] for r in
                   plan.filter(hot_pairs("path", "measure", hot) & F.col("error").isNull())

@@ -145,10 +145,9 @@ def balanced_slab_join(slabs: DataFrame, m: DataFrame, size: int, count: int) ->
 
     Cold lines stay where they are. Lines of hot files (selected by filters that reach
     the scan) are counted per file, copied per part and shuffled by (file, line, part),
-    so their fan-out runs on many tasks.
+    so their fan-out runs on many tasks. On the shuffle path (messages beyond the
+    broadcast bound) the part joins the shuffle key instead.
     """
-    if size > broadcast_limit(m.sparkSession):
-        return join_messages(slabs, m, size)
     hot = hot_keys(m, count)
     if not hot:
         return join_messages(slabs, m, size)
@@ -157,6 +156,11 @@ def balanced_slab_join(slabs: DataFrame, m: DataFrame, size: int, count: int) ->
     lines = {(r["file_name"], r["measure_name"]): r["n"] for r in
              hot_lines.groupBy("file_name", "measure_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     copies = copies_per_unit(hot, lines)
+    if size > broadcast_limit(m.sparkSession):
+        # Shuffle path: both sides are exchanged anyway; with the part in the join key a
+        # hot file's parts land in different partitions.
+        parted = copy_rows(first_level(slabs), copies, "file_name", "measure_name")
+        return join_messages(parted, salted_messages(m, copies), size)
     tasks = max(1, sum(p for _, _, p in hot))
     spread_hot = copy_rows(hot_lines, copies, "file_name", "measure_name").repartition(
         tasks, "file_name", "r", "level", "y", "part")

@@ -83,3 +83,25 @@ def test_hot_keys_are_bounded_and_split(spark):
     plain = to_long(join_messages(slabs, m, size))
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
     assert "RoundRobinPartitioning" in plan_of(split) or "hashpartitioning(file_name" in plan_of(split)
+
+
+def test_hot_key_split_on_shuffle_path_of_slab_tables(spark):
+    """Messages beyond the broadcast bound: the hot file's parts join the shuffle key."""
+    from gridspark.operators import match as M
+    from gridspark.plans.ingest import ingest
+
+    sf = "/root/testdata/sf0.01"
+    params = M.params_frame(spark, C.INGEST_PARAMS)
+    expected = sorted(map(tuple, ingest(C.hot_notifications(spark, sf), params, C.ingest_grid(spark, sf)).collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = ingest(C.hot_notifications(spark, sf), params, C.ingest_grid(spark, sf))
+        got = sorted(map(tuple, df.collect()))
+        plan = plan_of(df)
+        import re
+
+        assert "SortMergeJoin" in plan and re.search(r"hashpartitioning\(file_name#\d+, part#\d+", plan)
+        assert got == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
