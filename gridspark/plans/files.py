@@ -77,8 +77,8 @@ def ingest_files(notifications: DataFrame, params: DataFrame, base_uri: str | No
     if hot:
         # Objects named by more than a task's share of the messages: each of their
         # blocks is planned ``copies`` times (part 0..copies-1) and each message joins
-        # one part, so the fan-out spreads over tasks (without any shuffle when the
-        # messages are broadcast; on the shuffle path the part is in the shuffle key). The block
+        # one part, so the fan-out spreads over tasks (with no shuffle when the messages
+        # are broadcast; on the shuffle path the part is in the shuffle key). The block
         # counts come from the materialized plan (at most one row per hot object).
         blocks = {(r["path"], r["measure"]): r["n"] for r in
                   plan.filter(hot_pairs("path", "measure", hot) & F.col("error").isNull())
