@@ -70,11 +70,11 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         lo = hi
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start and end of every word, and per row the index of its first word (one more
-    entry closes the last row). Words are runs of bytes other than space and \\t..\\r and
-    never cross a row's end."""
-    inside = ~SPACE[data]
+    entry closes the last row). Words are runs of bytes that ``space`` does not mark (by
+    default space and \\t..\\r) and never cross a row's end."""
+    inside = ~space[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -126,6 +126,14 @@ def only_ids(df: DataFrame, column: str, ids: DataFrame, count: int, limit: int
     return df.join(ids, df[column] == ids["wanted_id"], "left_semi")
 
 
+def without_ids(df: DataFrame, column: str, ids: DataFrame, count: int, limit: int = BROADCAST_IDS) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not in the one-column frame ``ids`` (null equals
+    null), joined as in ``only_ids``."""
+    ids = ids.toDF("unwanted_id")
+    ids = F.broadcast(ids) if count <= limit else ids
+    return df.join(ids, df[column].eqNullSafe(ids["unwanted_id"]), "left_anti")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): the smallest id reachable from each id named by an edge.
 
