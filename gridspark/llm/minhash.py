@@ -9,7 +9,7 @@ propose candidates; links are confirmed on the full sets, rebuilt from the texts
 
 No group is expanded into pairs. Equal sets are collapsed first. In each bucket every
 member meets the bucket's smallest and largest member; after those links are confirmed,
-only members of different components that share a bucket are still open: their sketches
+only members of different components that share a bucket are still open: longer sketches of them
 are compared in blocks of a bounded number of members, and pairs whose sketches agree
 well below the threshold are dismissed there.
 """
@@ -30,9 +30,10 @@ SHINGLE = 5
 ROWS, BANDS = 4, 36
 # A link of similarity 0.75 shares no band with probability (1 - 0.75**4) ** 36 = 1.1e-6.
 SIZE = ROWS * BANDS
-# Sketch agreement under which an open pair is dismissed: five standard deviations below
-# what a pair of similarity 0.75 shows over SIZE coordinates.
-AGREE = 0.57
+# Coordinates of the longer sketches that open pairs are judged by, one byte each, and the
+# agreement under which a pair is dismissed: five standard deviations (0.0135 each) below what a
+# pair of similarity 0.75 shows.
+MARKS, AGREE = 1024, 0.682
 # Members of one bucket whose sketches meet in one block.
 BLOCK = 1500
 
@@ -68,7 +69,7 @@ def band_keys(sk: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return mix(m.sum(axis=1, dtype=U) + seeds(len(m), 3))
 
 
-SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, marks binary"
+SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,23 +79,30 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = LOWER[data]
             start, end, first = word_spans(data, offs)
             words = word_hashes(data, start, end)
-            n, d1, d2, bands, marks = [], [], [], [], []
+            n, d1, d2, bands = [], [], [], []
             for r in range(hi - lo):
                 items = shingle_set(words[first[r]: first[r + 1]])
                 n.append(len(items))
                 d1.append(int(mix(items).sum(dtype=U).view(np.int64)))
                 d2.append(int(mix(items ^ U(0x5851F42D4C957F2D)).sum(dtype=U).view(np.int64)))
-                if len(items):
-                    sk = sketch(items)
-                    bands.append(band_keys(sk).view(np.int64))
-                    marks.append((sk >> U(56)).astype(np.uint8).tobytes())
-                else:
-                    bands.append(None)
-                    marks.append(None)
+                bands.append(band_keys(sketch(items)).view(np.int64) if len(items) else None)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands", "marks"])
+                 pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands"])
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The long sketch of each document that has words, a byte for each coordinate."""
+    for batch in batches:
+        ids = batch.column("doc_id")
+        for lo, hi, data, offs in text_slices(batch, "text"):
+            data = LOWER[data]
+            start, end, first = word_spans(data, offs)
+            words = word_hashes(data, start, end)
+            sets = [shingle_set(words[first[r]: first[r + 1]]) for r in range(hi - lo)]
+            marks = [(sketch(s, MARKS) >> U(56)).astype(np.uint8).tobytes() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(marks, pa.binary())], names=["doc_id", "marks"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,28 +139,30 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of open buckets, sorted by (key, i, j) -> pairs of different components whose
-    sketches agree in at least ``AGREE`` of the coordinates and whose sizes allow a link."""
+    sketches agree in at least ``AGREE`` of the coordinates and whose sizes allow a link.
+    A pair that shares several buckets is judged in its first common band only."""
     held: list[tuple] = []
     at = None
 
     def pairs():
-        ids, comp, n, part = (np.array([h[k] for h in held]) for k in (0, 1, 2, 4))
+        band = held[0][5]
+        ids, comp, n, part = (np.array([h[k] for h in held]) for k in (0, 1, 2, 6))
         marks = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1)
+        bands = np.array([h[4] for h in held])
         i, j = at[1], at[2]
         left, right = [], []
         rows, cols = np.flatnonzero(part == i), np.flatnonzero(part == j)
         for r in rows:
             c = cols[(comp[cols] != comp[r]) & (100 * np.minimum(n[cols], n[r]) >= 75 * np.maximum(n[cols], n[r]))]
-            if i == j:
-                c = c[c > r]
-            if len(c):
-                c = c[(marks[c] == marks[r]).mean(axis=1) >= AGREE]
-                left += np.minimum(ids[c], ids[r]).tolist()
-                right += np.maximum(ids[c], ids[r]).tolist()
+            c = c[c > r] if i == j else c
+            c = c[(bands[c] == bands[r]).argmax(axis=1) == band]
+            c = c[(marks[c] == marks[r]).mean(axis=1) >= AGREE]
+            left += np.minimum(ids[c], ids[r]).tolist()
+            right += np.maximum(ids[c], ids[r]).tolist()
         return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "rep", "component", "n_shingles", "marks", "part")]
+        cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "rep", "component", "n_shingles", "marks", "bands", "band", "part")]
         for key, i, j, *row in zip(*cols, strict=True):
             if (key, i, j) != at:
                 if len(held) > 1:
@@ -178,8 +188,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "sets").select("rep", "n_shingles", "d1", "d2")
     reps = fresh(
         sets.join(signed.filter("bands IS NOT NULL").withColumnRenamed("doc_id", "rep"), ["rep", "n_shingles", "d1", "d2"])
-        .dropDuplicates(["rep", "d1", "d2"]).select("rep", "n_shingles", "bands", "marks"), "reps")
-    rows = reps.select("rep", F.explode("bands").alias("key"))
+        .dropDuplicates(["rep", "d1", "d2"]).select("rep", "n_shingles", "bands"), "reps")
+    rows = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
     members = fresh(rows.join(buckets, "key"), "members")
     ends = members.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("rep").alias("b")),
@@ -189,16 +199,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # Buckets whose members are still in different components.
     placed = members.join(part, members["rep"] == part["id"], "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
+        "key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     open_keys = placed.groupBy("key").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("size")).filter("c0 < c1")
     blocks = (F.col("size") / BLOCK).cast("long") + 1
     held = placed.join(open_keys.select("key", "size"), "key").withColumn("parts", blocks).withColumn(
         "part", F.pmod(F.xxhash64("rep", "key"), F.col("parts")))
-    held = held.join(reps.select("rep", "n_shingles", "marks"), "rep")
+    held = fresh(held, "open")
+    ids = fresh(held.select("rep").distinct(), "open-ids")
+    marks = only_ids(docs, "doc_id", ids, ids.count()).mapInArrow(_mark, "doc_id long, marks binary").filter("marks IS NOT NULL")
+    held = held.join(reps, "rep").join(marks.withColumnRenamed("doc_id", "rep"), "rep")
     meets = held.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")).select(
         "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-        "rep", "component", "n_shingles", "marks", "part")
+        "rep", "component", "n_shingles", "marks", "bands", "band", "part")
     more = meets.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_agreeing, "a long, b long")
     more = fresh(more.distinct(), "open-pairs")
     if not more.isEmpty():
