@@ -4,19 +4,54 @@ parameters, to the whole intended table and derives the digest columns from its
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridspark.llm import minhash
+from gridspark.llm import chat, decontaminate, minhash, secrets, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def digest(column: str):
+    """Lowercase hex SHA-256 of a text column's UTF-8 bytes."""
+    return F.sha2(F.encode(column, "UTF-8"), 256)
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations of ``conversations``, rendered."""
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of ``documents`` (similarity 0.75 on 5-word shingles)."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_dedup,)}
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` left after removing repeated 20-word windows."""
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", digest("kept").alias("kept_sha256"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document, test item) pairs of ``documents`` and ``benchmark`` with an aligned copy."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of ``documents``, learnt from ``labels`` outside the held-out fold."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of ``documents``: a source is an owner, its languages are its repositories."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest("base").alias("base_sha256"),
+                        "spans", "n_live", "n_shared", "live")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_chat_format, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate, op8_toxicity, op9_secret_scan)}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op1_chat_format": chat.ORACLE}

@@ -31,12 +31,20 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, value) of every candidate, by start, then kind; positions are
     code points of the whole match. The value is the secret itself: group 2 of an
     assignment, else the match."""
-    out = [("assign", m.start(), m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
+    out = []
+    # plain substring tests decide whether a pattern is worth running: an assignment names
+    # one of these, and hex and bare tokens lie inside a long run without white space
+    low = text.lower()
+    if any(name in low for name in ("passw", "secret", "token", "api")):
+        out += [("assign", m.start(), m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
-    out += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
-    base = [(a, b) for _, a, b, _ in out]
-    out += [("bare", m.start(), m.end(), m[0]) for m in BARE.finditer(text) if not any(m.start() < b and a < m.end() for a, b in base)]
+    long = [w for w in text.split() if len(w) >= 20]
+    if any(HEX.search(w) for w in long):
+        out += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
+    if any(BARE.search(w) for w in long):
+        base = [(a, b) for _, a, b, _ in out]
+        out += [("bare", m.start(), m.end(), m[0]) for m in BARE.finditer(text) if not any(m.start() < b and a < m.end() for a, b in base)]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

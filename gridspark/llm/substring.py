@@ -18,7 +18,6 @@ Consecutive windows that share a minimiser form one run (a super-k-mer).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -244,12 +243,3 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     ranges = cold.union(later).groupBy("id").agg(F.collect_list(F.struct("tag", "lo", "hi")).alias("ranges"))
     return base.join(ranges, "id", "left").mapInArrow(_keep, OUT)
-
-
-def with_digest(kept: DataFrame) -> DataFrame:
-    """The digest form of ``remove_repeats``: the kept text's SHA-256."""
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
-
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
