@@ -3,10 +3,11 @@ parameters, to the whole intended table and derives the digest columns from its
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import chat, decontaminate, minhash, secrets, substring, toxicity
+from gridspark.llm import bpe, chat, decontaminate, minhash, secrets, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,12 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ``documents`` encoded and decoded with a public vocabulary."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of ``documents`` (similarity 0.75 on 5-word shingles)."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -52,6 +59,6 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate, op8_toxicity, op9_secret_scan)}
+    op1_chat_format, op2_byte_bpe, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate, op8_toxicity, op9_secret_scan)}
 
 ORACLE = {"op1_chat_format": chat.ORACLE}
