@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, chat, decontaminate, minhash, secrets, substring, toxicity
+from gridspark.llm import bpe, chat, decontaminate, fingerprint, minhash, secrets, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +58,13 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "spans", "n_live", "n_shared", "live")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of ``documents`` and their edited texts, and their likeness."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op2_byte_bpe, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate, op8_toxicity, op9_secret_scan)}
+    op1_chat_format, op2_byte_bpe, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate, op8_toxicity, op9_secret_scan,
+    op10_fingerprints)}
 
 ORACLE = {"op1_chat_format": chat.ORACLE}
