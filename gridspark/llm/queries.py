@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, chat, decontaminate, fingerprint, minhash, secrets, substring, toxicity
+from gridspark.llm import bpe, chat, decontaminate, fingerprint, html, minhash, quality, secrets, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of ``documents``, learnt from ``labels`` outside the held-out fold."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page of ``pages``, by the paths its host agrees on."""
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of ``documents``, learnt from ``labels`` outside the held-out fold."""
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -64,7 +74,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op2_byte_bpe, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate, op8_toxicity, op9_secret_scan,
+    op1_chat_format, op2_byte_bpe, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate,
+    op6_quality, op7_html_text, op8_toxicity, op9_secret_scan,
     op10_fingerprints)}
 
 ORACLE = {"op1_chat_format": chat.ORACLE}

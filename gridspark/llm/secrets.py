@@ -12,11 +12,13 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridspark.llm.common import fresh
+from gridspark.llm.common import BROADCAST_IDS, fresh
 
 KINDS = ("assign", "access", "hex", "bare")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -52,24 +54,23 @@ def listed(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-FOUND = ("doc_id long, owner string, repo string, tag string, n_assign long, n_access long, n_hex long, base string, "
+FOUND = ("doc_id long, owner string, repo string, tag long, n_assign long, n_access long, n_hex long, base string, "
          "found array<struct<kind:string,start:long,end:long,digest:string>>")
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.string())]))
     for batch in batches:
-        tag, counts, base, found = [], ([], [], []), [], []
+        counts, base, found = ([], [], []), [], []
         for text in batch.column("text").to_pylist():
             text = text or ""
             spans = find(text)
-            tag.append(hashlib.blake2b(text.encode(), digest_size=16).hexdigest())
             for c, k in zip(counts, KINDS, strict=False):
                 c.append(sum(s[0] == k for s in spans))
             base.append(listed(s[:3] for s in spans if s[0] != "bare"))
             found.append([{"kind": k, "start": a, "end": b, "digest": hashlib.blake2b(v.encode(), digest_size=16).hexdigest()} for k, a, b, v in spans])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("owner").cast(pa.string()), batch.column("repo").cast(pa.string()), pa.array(tag, pa.string()),
+            [batch.column("doc_id"), batch.column("owner").cast(pa.string()), batch.column("repo").cast(pa.string()), batch.column("tag"),
              *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(found, kind)],
             names=["doc_id", "owner", "repo", "tag", "n_assign", "n_access", "n_hex", "base", "found"])
 
@@ -77,7 +78,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidates(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
     """One row per document with its candidates, written once: counted and reported from there."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(owner.cast("string"), F.lit("")).alias("owner"),
-                       F.coalesce(repo.cast("string"), F.lit("")).alias("repo"), "text")
+                       F.coalesce(repo.cast("string"), F.lit("")).alias("repo"), F.xxhash64("text").alias("tag"), "text")
     return fresh(rows.mapInArrow(_find, FOUND), "candidates")
 
 
@@ -136,3 +137,26 @@ def redact(text: str, spans: str) -> str:
             out += [text[at: max(a, at)], MASK]
             at = b
     return "".join(out) + text[at:]
+
+
+def mask(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
+    """Every row and column of ``docs`` with the secrets of its ``text`` that a single owner has
+    masked; a text without such secrets stays as it is. The spans join the documents by (doc_id,
+    text digest), so only documents that have some are matched."""
+    found = candidates(docs, owner, repo)
+    alone = ownership(found).filter("owners = 1").select(F.col("digest").alias("d"))
+    each = found.filter("size(found) > 0").select("doc_id", "tag", F.explode("found").alias("s")).select("doc_id", "tag", "s.*").distinct()
+    live = each.join(alone, each["digest"] == alone["d"], "left_semi")
+    text = F.concat_ws(":", "kind", "start", "end")
+    live = fresh(live.groupBy(F.col("doc_id").alias("live id"), F.col("tag").alias("live tag")).agg(
+        F.concat_ws(",", F.sort_array(F.collect_list(text))).alias("live spans")), "live")
+    side = F.broadcast(live) if live.count() <= BROADCAST_IDS // 20 else live
+    on = docs["doc_id"].cast("long").eqNullSafe(side["live id"]) & (F.xxhash64(docs["text"]) == side["live tag"])
+    rows = docs.join(side, on, "left")
+    masked = F.when(F.col("live spans").isNotNull(), _redact("text", "live spans")).otherwise(F.col("text"))
+    return rows.withColumn("text", masked).drop("live id", "live tag", "live spans")
+
+
+@F.pandas_udf(T.StringType())
+def _redact(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([redact(t, s) if s else t for t, s in zip(texts, spans, strict=True)])

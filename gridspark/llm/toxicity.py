@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridspark.llm.common import BYTE_VALUES, U, WORD_BASE, mix, powers, seeds, text_slices, word_hashes, word_spans
 from gridspark.llm.sample import fold, labelled_sample
@@ -187,14 +188,14 @@ def train(docs: DataFrame, labels: DataFrame, condition: F.Column, rows: int = S
     return fit(label, own, other, n1 / (n0 + n1) if n0 and n1 else None)
 
 
-def _score(model) -> callable:
+def _score(model, text: str) -> callable:
+    """Each batch without the column ``text``, with its scores at the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         may = m.filter()
         for batch in batches:
-            ids = batch.column("doc_id")
             scores = []
-            for _, _, data, offs in text_slices(batch, "text"):
+            for _, _, data, offs in text_slices(batch, text):
                 kinds, first, size = feature_hashes(data, offs)
                 hits = []
                 for n, k in zip((0, *STEMS), kinds, strict=True):
@@ -208,18 +209,28 @@ def _score(model) -> callable:
                     row, f = np.unique(np.concatenate(hits, axis=1), axis=1)
                     np.add.at(logit, row, m.weights[f])
                 scores.append(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != text]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())], names=["doc_id", "score"])
+                [c for _, c in rest] + [pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())],
+                names=[n for n, _ in rest] + ["score"])
 
     return run
 
 
-def toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score (0 to 1) for every row of ``docs`` (doc_id, text; other columns are
-    ignored). Null and empty texts get the model's base rate; rows repeat as given."""
+def with_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """Every row and column of ``docs`` with its ``score`` (0 to 1) from the column ``text``
+    (a column of that name is replaced). Null and empty texts get the model's base rate."""
     every = docs.sparkSession.sparkContext.broadcast(model)  # bounded: FEATURES weights
+    rows = docs.drop("score").withColumn("lowered text", F.lower("text"))
+    fields = [f for f in rows.schema.fields if f.name != "lowered text"]
+    return rows.mapInArrow(_score(every, "lowered text"), T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+
+
+def toxicity(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score for every row of ``docs`` (doc_id, text; other columns are ignored)."""
+    every = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).mapInArrow(
-        _score(every), "doc_id long, score double")
+        _score(every, "text"), "doc_id long, score double")
 
 
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
