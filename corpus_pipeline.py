@@ -1,31 +1,57 @@
-"""The corpus pipeline: each stage works on all that the one before it kept."""
+"""The corpus pipeline: each stage works on all that the one before it kept, and every
+stage but the last returns the columns of ``documents``."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import minhash
+from gridspark.llm import bpe, decontaminate, minhash, secrets, toxicity
+from gridspark.llm.common import fresh, without_ids
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic by a classifier learnt from all labelled rows go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, F.lit(True))
+    return toxicity.with_scores(docs.select(*COLUMNS), model).filter(F.col("score") < toxicity.THRESHOLD).select(*COLUMNS)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").select(*COLUMNS)
+    gone = fresh(minhash.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct(), "near-copies")
+    return without_ids(docs.select(*COLUMNS), "doc_id", gone, gone.count())
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with an aligned copy of a test item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    gone = fresh(decontaminate.leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
+    return without_ids(docs.select(*COLUMNS), "doc_id", gone, gone.count())
+
 
+def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets that one owner has are masked in its text, widely
+    copied examples are left."""
+    return secrets.mask(docs.select(*COLUMNS), F.col("source"), F.concat_ws("/", "source", "lang")).select(*COLUMNS)
 
-STAGES = [("near_dedup", near_dedup)]
 
-# Sketching, alignment, model scores and merges have no SQL form.
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the remaining texts, encoded and decoded again."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", drop_toxic), ("near_dedup", near_dedup), ("decontaminate", decontaminated), ("secrets", masked), ("bpe", tokenised)]
+
+# Model scores, sketches, alignment and merges have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
-    from gridspark.llm.common import fresh
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = fresh(stage(spark, docs, sf_dir), name)
