@@ -4,7 +4,7 @@ Smith-Waterman alignment scores the passages, so edited copies are found too.
 The test items are a query set: they are taken in blocks of bounded size, each block's
 seeds sent to every task, and every block meets every document. A block takes two passes over
 the documents: the first counts in how many documents each of its n-grams occurs, and
-each item keeps the rarer half of its n-grams as seeds; the second finds seeds, lays
+each item keeps its rare n-grams as seeds; the second finds seeds, lays
 each group of nearby hits over its item and aligns the words around it.
 """
 
@@ -25,6 +25,9 @@ LEAST_WORDS = 6
 # Share of the best possible alignment score from which a passage counts as a copy.
 LEAK = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
+# An n-gram is rare, for its item, up to this many documents plus so many times the lower
+# quartile of the item's n-grams.
+COMMON_BASE, COMMON_TIMES = 20, 4
 # Bytes of test items handled in one block.
 BLOCK_BYTES = 16 << 20
 
@@ -85,13 +88,14 @@ class Seeds:
         self.grams, self.owner, self.at = g[order], o[order], a[order]
 
     def rarest(self, seen: dict[int, int]) -> None:
-        """Keep for each item the rarer half of its n-grams, ties included."""
+        """Drop each item's n-grams that occur in far more documents than its rare ones do. A
+        widely copied item keeps its n-grams: they all occur about as often."""
         df = np.array([seen.get(int(x), 0) for x in self.grams.view(np.int64)])
         keep = np.zeros(len(df), bool)
         order = np.argsort(self.owner, kind="stable")
         for group in np.split(order, np.flatnonzero(np.diff(self.owner[order])) + 1):
             if len(group):
-                keep[group] = df[group] <= np.median(df[group])
+                keep[group] = df[group] <= COMMON_BASE + COMMON_TIMES * np.quantile(df[group], 0.25)
         self.grams, self.owner, self.at = self.grams[keep], self.owner[keep], self.at[keep]
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
