@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridspark.schema import LONG_SCHEMA
 
 
 def _c(c: Column | str) -> Column:
@@ -105,4 +104,3 @@ def encode_long_row(prefix: str = "") -> Column:
     )
 
 
-LONG_DDL = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in LONG_SCHEMA.fields)

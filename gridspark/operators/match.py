@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions.text import basename, parse_param_string
 from gridspark.schema import NOTIFICATION_FIELDS, PARAMS_SCHEMA
-
-# The parameter table is configuration: it is broadcast, so its size is checked here.
-MAX_PARAMS = 100_000
+from gridspark.session import size_in_bytes
 
 
 def params_frame(spark: SparkSession, params: Mapping[str, str] | Iterable[tuple]) -> DataFrame:
@@ -27,9 +25,13 @@ def params_frame(spark: SparkSession, params: Mapping[str, str] | Iterable[tuple
             rows.append((name, m, cy, cx, int(lim)))
     else:
         rows = [tuple(r) for r in params]
-    if len(rows) > MAX_PARAMS:
-        raise ValueError(f"{len(rows)} parameter rows; at most {MAX_PARAMS} are broadcast")
-    return spark.createDataFrame(rows, PARAMS_SCHEMA)
+    names = [r[0] for r in rows]
+    if len(set(names)) < len(names):
+        raise ValueError("parameter names must be unique")
+    df = spark.createDataFrame(rows, PARAMS_SCHEMA)
+    limit = size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    size = sum(64 + 4 * sum(len(str(v)) for v in r) for r in rows)
+    return F.broadcast(df) if size <= limit else df  # rows from the driver carry no size of their own
 
 
 def params_from_text(df: DataFrame, name_col: str, text_col: str, strict: bool = True) -> DataFrame:
@@ -51,12 +53,16 @@ def filter_name_ci(notifications: DataFrame, value: str) -> DataFrame:
 def match_params(notifications: DataFrame, params: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """J1 (exact name, the reference's map lookup) or J2 (case-insensitive).
 
-    Inner join: unmatched messages drop out. ``params`` is configuration whose row
-    count ``params_frame`` bounds, so it is broadcast and the notification side is never
-    shuffled. Output: notification fields + measure, coord_y, coord_x, r_limit.
+    Inner join: unmatched messages drop out. ``params`` may have any size: it is broadcast
+    within the session's size bound (``params_frame`` checks it, a table's own size is
+    known to the planner), and both sides are shuffled beyond it. Names that
+    are equal but for their case count once in J2 (the first in order, upper case first), so a message never
+    fans out. Output: notification fields + measure, coord_y, coord_x, r_limit.
     """
-    p = F.broadcast(params.select(F.col("name").alias("p_name"), "measure", "coord_y", "coord_x", "r_limit"))
+    p = params.select(F.col("name").alias("p_name"), "measure", "coord_y", "coord_x", "r_limit")
     if case_insensitive:
+        first = F.min(F.struct("p_name", "measure", "coord_y", "coord_x", "r_limit")).alias("p")
+        p = p.groupBy(F.lower("p_name").alias("l")).agg(first).select("p.*")
         cond = F.lower(F.col("name")) == F.lower(F.col("p_name"))
     else:
         cond = F.col("name") == F.col("p_name")
@@ -65,12 +71,13 @@ def match_params(notifications: DataFrame, params: DataFrame, case_insensitive:
 
 def is_wanted(notifications: DataFrame, params: DataFrame) -> DataFrame:
     """P3 alone: keep messages whose name has parameters (a semi join)."""
-    return notifications.join(F.broadcast(params.select("name")), "name", "left_semi")
+    return notifications.join(params.select("name"), "name", "left_semi")
 
 
 def file_name_col() -> Column:
-    """``name_createdTime_key``, the name under which the reference stores the file."""
-    return F.concat_ws("_", F.col("name"), F.col("created_time"), F.col("key"))
+    """``name_createdTime_file``, the name under which the reference stores the file;
+    of a key with folders only the last part is used (F7)."""
+    return F.concat_ws("_", F.col("name"), F.col("created_time"), basename("key"))
 
 
 def file_path_col(base_dir: str) -> Column:
@@ -107,6 +114,12 @@ def cap(notifications: DataFrame, n: int) -> DataFrame:
     return notifications.orderBy(*arrival_order()).limit(n)
 
 
+def matched_cap(notifications: DataFrame, params: DataFrame, n: int, case_insensitive: bool = False) -> DataFrame:
+    """L3: the first ``n`` messages in arrival order that match a parameter set; messages
+    that match none do not count."""
+    return match_params(notifications, params, case_insensitive).orderBy(*arrival_order()).limit(n)
+
+
 def matched_count(notifications: DataFrame, params: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """A2: number of messages that matched a parameter set."""
     return match_params(notifications, params, case_insensitive).agg(F.count(F.lit(1)).alias("n_matched"))

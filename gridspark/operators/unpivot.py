@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.text import float_text_double
-from gridspark.schema import LONG_COLUMNS
 
 
 def realization_slab(slabs: DataFrame, r: int) -> DataFrame:
@@ -31,10 +30,15 @@ def within_limit(r_limit: Column | str) -> Column:
     return (lim < 0) | (F.col("r") < lim)
 
 
-def _line_values(slabs: DataFrame, *extra: str) -> DataFrame:
-    """Per-line work done once before the explode: the y coordinate's text rule and the
-    integer times (an int64 prints and parses back to the same double a plain cast
-    gives, so no text detour is needed for them)."""
+def doubles(slabs: DataFrame) -> Column:
+    """The value line of measures that are not float32 (``dvals``), NULL without one."""
+    return F.col("dvals") if "dvals" in slabs.columns else F.lit(None).cast("array<double>")
+
+
+def converted_lines(slabs: DataFrame, *extra: str) -> DataFrame:
+    """Per-line work done once, before any fan-out: the float text rule on the y
+    coordinate, the x axis and the values (doubles need none), and the integer times (an
+    int64 prints and parses back to the same double a plain cast gives)."""
     return slabs.select(
         *extra,
         "file_name",
@@ -44,18 +48,17 @@ def _line_values(slabs: DataFrame, *extra: str) -> DataFrame:
         "y",
         "y_len",
         float_text_double("y_coord").alias("y_coord"),
-        "x_coords",
+        F.transform("x_coords", float_text_double).alias("x_coords"),
         F.col("time").cast("double").alias("time"),
         F.col("forecast").cast("double").alias("forecast"),
-        "vals",
+        F.coalesce(doubles(slabs), F.transform("vals", float_text_double)).alias("vals"),
     )
 
 
 def explode_cells(slabs: DataFrame, *extra: str) -> DataFrame:
     """One row per (y, x) cell with its coordinates and file scalars.
 
-    Keeps the raw typed values (``y_coord``/``x_coord``/``v`` FLOAT, ``x`` INT); the
-    coordinate is taken by array position and is NULL when the x axis is shorter than
+    Values keep the type they have in the line; the coordinate is taken by array position and is NULL when the x axis is shorter than
     the value line.
     """
     cells = slabs.select(
@@ -76,24 +79,28 @@ def explode_cells(slabs: DataFrame, *extra: str) -> DataFrame:
 
 
 def long_columns(prefix_cols: tuple[str, ...] = ()) -> list[Column]:
-    """The long table's seven columns from exploded ``_line_values`` cells: the float
-    text rule per cell for the x coordinate and the value."""
+    """The long table's seven columns from exploded ``converted_lines`` cells."""
     return [
         *[F.col(c) for c in prefix_cols],
         F.col("file_name"),
         F.col("y_coord"),
-        float_text_double("x_coord").alias("x_coord"),
+        F.col("x_coord"),
         F.col("forecast"),
         F.col("time"),
         F.col("measure_name"),
-        float_text_double("v").alias("measure_value"),
+        F.col("v").alias("measure_value"),
     ]
 
 
 def to_long(slabs: DataFrame, *extra: str) -> DataFrame:
     """``grid_slabs`` -> ``grid_long`` (file_name, y_coord, x_coord, forecast,
     time, measure_name, measure_value). ``extra`` slab columns are carried in front."""
-    return explode_cells(_line_values(slabs, *extra), *extra).select(*long_columns(extra))
+    return long_cells(converted_lines(slabs, *extra), *extra)
+
+
+def long_cells(lines: DataFrame, *extra: str) -> DataFrame:
+    """``grid_long`` rows of ``converted_lines``."""
+    return explode_cells(lines, *extra).select(*long_columns(extra))
 
 
 def to_long_indexed(slabs: DataFrame) -> DataFrame:
@@ -101,7 +108,7 @@ def to_long_indexed(slabs: DataFrame) -> DataFrame:
 
     ``cnt`` is arithmetic on the slab position, so no window or ordering is needed.
     """
-    lines = _line_values(slabs).withColumn("x_len", F.size("vals").cast("long"))
+    lines = converted_lines(slabs).withColumn("x_len", F.size("vals").cast("long"))
     cells = explode_cells(lines, "x_len")
     return cells.select(
         *long_columns(),
@@ -126,13 +133,15 @@ def to_wide(long_df: DataFrame, measure: str) -> DataFrame:
 
 def wide_from_slabs(slabs: DataFrame, measure: str) -> DataFrame:
     """P15 straight from slabs: avoids the text -> double -> text detour of ``to_wide``."""
-    cells = explode_cells(slabs.filter(F.col("measure_name") == F.lit(measure)))
+    lines = slabs.filter(F.col("measure_name") == F.lit(measure))
+    text = F.coalesce(F.transform(doubles(lines), lambda v: v.cast("string")), F.transform("vals", lambda v: v.cast("string")))
+    cells = explode_cells(lines.withColumn("vals", text))
     return cells.select(
         F.col("y_coord").cast("string").alias("y_coord"),
         F.col("x_coord").cast("string").alias("x_coord"),
         F.col("time").cast("string").alias("time"),
         F.col("forecast").cast("string").alias("forecast"),
-        F.col("v").cast("string").alias(measure),
+        F.col("v").alias(measure),
     )
 
 
@@ -148,8 +157,4 @@ def cell_count(slabs: DataFrame, by: tuple[str, ...] = ("file_name",)) -> DataFr
     A partial (map-side) sum, so a file holding most of the cells is still combined on
     every mapper before the shuffle.
     """
-    return slabs.groupBy(*by).agg(F.sum(F.size("vals").cast("long")).alias("n_rows"))
-
-
-def select_long(df: DataFrame) -> DataFrame:
-    return df.select(*LONG_COLUMNS)
+    return slabs.groupBy(*by).agg(F.sum(F.size(F.coalesce("vals", doubles(slabs).cast("array<float>"))).cast("long")).alias("n_rows"))

@@ -69,9 +69,7 @@ def grid_g(spark, sf_dir, four_d=False, value=MEASURE, measure=None):
 
 
 def notifications(spark, sf_dir, escape_names=False):
-    from gridspark.session import spread
-
-    bodies = notifications_from_events(spread(table(spark, sf_dir, "events")), PER_KEY, "g_", escape_names)
+    bodies = notifications_from_events(table(spark, sf_dir, "events"), PER_KEY, "g_", escape_names)
     return accepted(parse_notifications(bodies))
 
 
@@ -537,6 +535,8 @@ FILES_PER_TRIGGER = 2
 def _run_stream(spark, sf_dir, base, process):
     """Write the message bodies of ``events`` as ``STREAM_FILES`` inbox files, drain them
     with an availableNow stream, and return what the sink wrote."""
+    from pyspark.sql import types as T
+
     from gridspark.schema import LONG_SCHEMA
     from gridspark.streaming.ingest_stream import notification_stream, parquet_sink, parsed_stream, start_ingest
 
@@ -546,29 +546,31 @@ def _run_stream(spark, sf_dir, base, process):
         build_body(*notification_fields(events, PER_KEY, "g_")).alias("value"))
     bodies.write.text(inbox)
     stream = parsed_stream(notification_stream(spark, inbox, FILES_PER_TRIGGER))
-    q = start_ingest(stream, process, parquet_sink(out), f"{base}/checkpoint")
+
+    def wanted(batch):
+        return M.is_wanted(batch, M.params_frame(batch.sparkSession, INGEST_PARAMS))
+
+    q = start_ingest(stream, process, parquet_sink(out), f"{base}/checkpoint", dead_letters=parquet_sink(f"{base}/dead"), wanted=wanted)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    try:
-        return spark.read.parquet(out).drop("batch_id")
-    except Exception:  # noqa: BLE001 - nothing arrived
-        return spark.createDataFrame([], LONG_SCHEMA)
+    return spark.read.schema(T.StructType([*LONG_SCHEMA.fields, T.StructField("batch_id", T.LongType())])).parquet(out).drop("batch_id")
 
 
 @register("ingest_stream", INGEST_SQL)
 def ingest_stream_query(spark, sf_dir):
     """ST1-ST5: the flagship as a checkpointed file-source stream (availableNow), slabs
-    from a written Parquet table; equals the batch result."""
+    from a stored slab table; equals the batch result."""
     from gridspark.session import scratch_path
+    from gridspark.sources.slab_store import read_slab_store, store_slabs
 
     base = scratch_path(spark, "ingest-stream")
     slab_path = f"{base}/slabs"
-    ingest_grid(spark, sf_dir).write.parquet(slab_path)
+    store_slabs(ingest_grid(spark, sf_dir), slab_path)
 
     def process(batch):
         s = batch.sparkSession
-        return ingest(batch, M.params_frame(s, INGEST_PARAMS), s.read.parquet(slab_path), measures=[MEASURE])
+        return ingest(batch, M.params_frame(s, INGEST_PARAMS), read_slab_store(s, slab_path))
 
     return compared(_run_stream(spark, sf_dir, base, process))
 
@@ -576,7 +578,7 @@ def ingest_stream_query(spark, sf_dir):
 @register("ingest_stream_files", INGEST_SQL)
 def ingest_stream_files(spark, sf_dir):
     """ST1-ST5 over NetCDF objects: each micro-batch reads only the files it announces."""
-    from gridspark.plans.files import ingest_files
+    from gridspark.plans.files import ingest_files_and_rejects
     from gridspark.session import scratch_path
     from gridspark.sources.tables import write_orders_grid_files
 
@@ -585,7 +587,7 @@ def ingest_stream_files(spark, sf_dir):
 
     def process(batch):
         s = batch.sparkSession
-        return ingest_files(batch, M.params_frame(s, INGEST_PARAMS), base_uri=f"{base}/grid/files")
+        return ingest_files_and_rejects(batch, M.params_frame(s, INGEST_PARAMS), base_uri=f"{base}/grid/files")
 
     return compared(_run_stream(spark, sf_dir, base, process))
 
@@ -603,9 +605,7 @@ INGEST_HOT_SQL = INGEST_SQL.replace(_NOTIF_SQL, _HOT_NOTIF_SQL)
 
 
 def hot_notifications(spark, sf_dir):
-    from gridspark.session import spread
-
-    events = spread(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     f = notification_fields(events, PER_KEY, "g_")
     f[2] = F.when(F.col("event_id") % 3 == 0, F.lit(HOT_KEY)).otherwise(f[2])
     return accepted(parse_notifications(events.select(build_body(*f).alias("body"))))
@@ -623,3 +623,162 @@ def ingest_hot_key(spark, sf_dir):
     write_orders_grid_files(table(spark, sf_dir, "orders"), base, I_R, I_Y, I_X, "g_", MEASURE)
     params = M.params_frame(spark, INGEST_PARAMS)
     return compared(ingest_files(hot_notifications(spark, sf_dir), params, base_uri=f"{base}/files"))
+
+
+# --- identical redeliveries --------------------------------------------------------------------------
+# The message that every third event delivers again, byte for byte.
+AGAIN = ("b0", "click", HOT_KEY, "2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z")
+_AGAIN_SQL = "SELECT " + ", ".join(
+    f"CASE WHEN event_id % 3 = 0 THEN '{v}' ELSE {expr} END AS {name}" for v, (expr, name) in zip(AGAIN, [
+        ("'b' || CAST(user_id AS VARCHAR)", "bucket"), ("event_type", "name"),
+        (f"'g_' || CAST(event_id // {PER_KEY} AS VARCHAR) || '.nc'", "key"), (f"strftime(ts, '{_ISO}')", "created_time"),
+        (f"strftime(date_trunc('day', ts), '{_ISO}')", "forecast_reference_time")])) + " FROM events"
+
+
+def redelivered_notifications(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    f = [F.when(F.col("event_id") % 3 == 0, F.lit(v)).otherwise(c) for v, c in zip(AGAIN, notification_fields(events, PER_KEY, "g_"))]
+    return accepted(parse_notifications(events.select(build_body(*f).alias("body"))))
+
+
+@register("ingest_redelivered", INGEST_SQL.replace(_NOTIF_SQL, _AGAIN_SQL))
+def ingest_redelivered(spark, sf_dir):
+    """The flagship when a third of all messages are byte-identical: they are split by row."""
+    return compared(ingest(redelivered_notifications(spark, sf_dir), M.params_frame(spark, INGEST_PARAMS), ingest_grid(spark, sf_dir)))
+
+
+# --- files: rejects, axes, folders, one message ----------------------------------------------------------
+def _ingest_files_base(spark, sf_dir, name):
+    from gridspark.session import scratch_path
+    from gridspark.sources.tables import write_orders_grid_files
+
+    base = scratch_path(spark, name)
+    write_orders_grid_files(table(spark, sf_dir, "orders"), base, I_R, I_Y, I_X, "g_", MEASURE)
+    return base
+
+
+LOST = 10
+
+
+@register("ingest_files_rejects", f"""
+WITH n AS ({_NOTIF_SQL.replace("SELECT 'b'", "SELECT event_id, 'b'")}), p AS ({_PARAMS_SQL})
+SELECT n.bucket, n.name, 'lost_' || n.key AS key, n.created_time, n.forecast_reference_time, 'FileNotFoundError' AS error
+FROM n JOIN p ON n.name = p.name WHERE n.event_id % {LOST} = 0""")
+def ingest_files_rejects(spark, sf_dir):
+    """UD4: the messages whose object does not exist, given back with the reason."""
+    from gridspark.plans.files import ingest_files_and_rejects
+
+    base = _ingest_files_base(spark, sf_dir, "ingest-rejects")
+    events = table(spark, sf_dir, "events")
+    f = notification_fields(events, PER_KEY, "g_")
+    f[2] = F.when(F.col("event_id") % LOST == 0, F.concat(F.lit("lost_"), f[2])).otherwise(f[2])
+    n = accepted(parse_notifications(events.select(build_body(*f).alias("body"))))
+    _, rejects = ingest_files_and_rejects(n, M.params_frame(spark, INGEST_PARAMS), base_uri=f"{base}/files")
+    return rejects.withColumn("error", F.substring_index("error", ":", 1))
+
+
+# Parameters for one measure whose axis names differ in case, and one whose axis is wrong.
+AXES_PARAMS = [INGEST_PARAMS[0], ("purchase", MEASURE, Y_NAME.upper(), X_NAME.title(), -1), ("view", MEASURE, "latitude", X_NAME, -1)]
+
+
+@register("ingest_files_axes", INGEST_SQL)
+def ingest_files_axes(spark, sf_dir):
+    """P7 in the ingest: axes equal but for their case make one request; messages with a
+    wrong axis get no rows."""
+    from gridspark.plans.files import ingest_files_and_rejects
+
+    base = _ingest_files_base(spark, sf_dir, "ingest-axes")
+    rows, _ = ingest_files_and_rejects(notifications(spark, sf_dir), M.params_frame(spark, AXES_PARAMS), base_uri=f"{base}/files")
+    return compared(rows)
+
+
+@register("ingest_nested_keys", INGEST_SQL)
+def ingest_nested_keys(spark, sf_dir):
+    """Keys with folders; the stored name has the last part only."""
+    from gridspark.plans.files import ingest_files
+
+    base = _ingest_files_base(spark, sf_dir, "ingest-nested")
+    n = notifications(spark, sf_dir).withColumn("key", F.concat(F.lit("files/"), F.col("key")))
+    return compared(ingest_files(n, M.params_frame(spark, INGEST_PARAMS), base_uri=base))
+
+
+_FIRST_SQL = "ORDER BY created_time, key, name, bucket, forecast_reference_time LIMIT 1"
+
+
+@register("ingest_one_file", f"""
+WITH n AS (SELECT * FROM ({_NOTIF_SQL}) n WHERE lower(n.name) = 'purchase' {_FIRST_SQL}),
+c AS ({_cells_sql(I_R, I_Y, I_X)})
+SELECT {_long_sql('c', MEASURE, "n.name || '_' || n.created_time || '_' || n.key")}
+FROM n JOIN c ON c.file_name = n.key""")
+def ingest_one_file(spark, sf_dir):
+    """One message, its name compared regardless of case, one file."""
+    from gridspark.plans.files import ingest_one
+
+    base = _ingest_files_base(spark, sf_dir, "ingest-one")
+    n = M.filter_name_ci(notifications(spark, sf_dir), "purchase")
+    return compared(ingest_one(n, "PURCHASE", MEASURE, f"{Y_NAME},{X_NAME}", base_uri=f"{base}/files"))
+
+
+@register("notify_one", f"SELECT * FROM ({_NOTIF_SQL}) n {_FIRST_SQL}")
+def notify_one(spark, sf_dir):
+    """The earliest message."""
+    return M.cap(notifications(spark, sf_dir), 1)
+
+
+MATCHED_CAP = 9
+
+
+@register("matched_cap", f"""
+WITH n AS ({_NOTIF_SQL}), p AS ({_PARAMS_SQL})
+SELECT {_MATCH_COLS} FROM n JOIN p ON n.name = p.name
+ORDER BY n.created_time, n.key, n.name, n.bucket, n.forecast_reference_time LIMIT {MATCHED_CAP}""")
+def matched_cap(spark, sf_dir):
+    """L3: the first matched messages; unmatched ones do not count."""
+    return M.matched_cap(notifications(spark, sf_dir), M.params_frame(spark, INGEST_PARAMS), MATCHED_CAP)
+
+
+@register("grid_realization", f"SELECT {_long_sql('c', MEASURE)} FROM ({_cells_sql(G_R, G_Y, G_X)}) c WHERE c.r = 1")
+def grid_realization(spark, sf_dir):
+    """One realization's slab of every file."""
+    return compared(U.to_long(U.realization_slab(grid_g(spark, sf_dir), 1)))
+
+
+# The long table's columns and types as the schema string names them.
+_FIELDS = [("file_name", "string"), ("y_coord", "double"), ("x_coord", "double"), ("forecast", "double"), ("time", "double"),
+           ("measure_name", "string"), ("measure_value", "double")]
+
+
+@register("schema_fields", f"WITH l AS (SELECT {_long_sql('c', MEASURE)} FROM ({_cells_sql(G_R, G_Y, G_X)}) c) " + " UNION ALL ".join(
+    f"SELECT {k} AS position, '{n}' AS name, '{t}' AS type, count({n}) AS n_values FROM l" for k, (n, t) in enumerate(_FIELDS)))
+def schema_fields(spark, sf_dir):
+    """The fields of the schema string, checked against the long rows of every
+    file, with how many rows have a value in each."""
+    from gridspark.schema import REFERENCE_SCHEMA_STRING, parse_schema_string
+
+    rows = U.to_long(grid_g(spark, sf_dir))
+    fields = parse_schema_string(REFERENCE_SCHEMA_STRING).fields
+    same = [rows.schema[f.name].dataType == f.dataType for f in fields]
+    counts = rows.agg(*[F.count(f.name).alias(f.name) for f in fields])
+    each = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(f.name).alias("name"),
+                              F.lit(f.dataType.simpleString() if ok else "other").alias("type"), F.col(f.name).alias("n_values"))
+                     for k, (f, ok) in enumerate(zip(fields, same))])
+    return counts.select(F.explode(each).alias("e")).select("e.*")
+
+
+# Fixed value: added to every cell, so that values need more than float32's 24 bits.
+BEYOND_FLOAT = 16777216
+
+
+@register("grid_file_double", f"""
+SELECT c.file_name, CAST(c.y * 2000 AS DOUBLE) AS y_coord, CAST(c.x * 2000 AS DOUBLE) AS x_coord, c.t_min AS forecast, c.t_max AS time,
+       '{SECOND}' AS measure_name, CAST(CAST(c.v AS BIGINT) + {BEYOND_FLOAT} AS DOUBLE) AS measure_value
+FROM ({_cells_sql(G_R, G_Y, G_X, SECOND)}) c""")
+def grid_file_double(spark, sf_dir):
+    """A double measure keeps the digits that float32 would drop."""
+    from gridspark.session import scratch_path
+    from gridspark.sources.gridfile import good_slabs, requests_for_files, scan_grid
+    from gridspark.sources.tables import write_orders_grid_files
+
+    files = write_orders_grid_files(table(spark, sf_dir, "orders"), scratch_path(spark, "double-grid"), G_R, G_Y, G_X, "g_", SECOND,
+                                    add=BEYOND_FLOAT)
+    return U.to_long(good_slabs(scan_grid(requests_for_files(files, SECOND, Y_NAME, X_NAME, -1))))

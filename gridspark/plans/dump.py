@@ -17,16 +17,14 @@ from gridspark.operators.unpivot import to_long, to_long_indexed, wide_from_slab
 from gridspark.sinks.writers import console, write_jdbc, write_json
 from gridspark.sources.gridfile import DEFAULT_BLOCK_BYTES, good_slabs, scan_grid
 
-# Parameter lists are configuration passed in by the caller; they are checked before
-# they become a DataFrame.
-MAX_PARAMETER_STRINGS = 1_000_000
 
-
-def requests_from_strings(spark: SparkSession, file_parameters: Sequence[str]) -> DataFrame:
-    """F12 + S5: one read request per ``"file,measure,coordY,coordX,limit"`` string."""
-    if len(file_parameters) > MAX_PARAMETER_STRINGS:
-        raise ValueError(f"{len(file_parameters)} parameter strings; list files in a table instead")
-    text = spark.createDataFrame([(p,) for p in file_parameters], "p string")
+def requests_from_strings(spark: SparkSession, file_parameters: Sequence[str] | DataFrame) -> DataFrame:
+    """F12 + S5: one read request per ``"file,measure,coordY,coordX,limit"`` string. Long
+    lists are given as a one-column DataFrame (e.g. of a text file) and stay in Spark."""
+    if isinstance(file_parameters, DataFrame):
+        text = file_parameters.toDF("p")
+    else:
+        text = spark.createDataFrame([(p,) for p in file_parameters], "p string")
     p = parse_param_string("p", with_file=True)
     return text.select(p.alias("q")).select(
         F.col("q.path").alias("path"),
@@ -38,7 +36,7 @@ def requests_from_strings(spark: SparkSession, file_parameters: Sequence[str]) -
     )
 
 
-def read_list(spark: SparkSession, file_parameters: Sequence[str], block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+def read_list(spark: SparkSession, file_parameters: Sequence[str] | DataFrame, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
     """Long rows of all listed files in one scan (duplicates in the list are kept)."""
     return to_long(good_slabs(scan_grid(requests_from_strings(spark, file_parameters), block_bytes)))
 

@@ -7,19 +7,22 @@ the announced files themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridspark.functions.messages import accepted, parse_notifications
-from gridspark.operators.match import file_name_col, match_params
-from gridspark.operators.unpivot import first_level, to_long, within_limit
+from gridspark.operators.match import arrival_order, file_name_col, match_params
+from gridspark.operators.unpivot import converted_lines, first_level, long_cells, within_limit
 
 
 def matched_files(notifications: DataFrame, params: DataFrame, case_insensitive: bool = False,
-                  key: Column | None = None) -> DataFrame:
+                  key: Column | None = None, first: int | None = None) -> DataFrame:
     """Matched messages with the output file name (P4), the id of the grid they announce
-    (``key``, by default the message key) and their extraction parameters."""
+    (``key``, by default the message key) and their extraction parameters. ``first``
+    keeps only the first matched messages in arrival order (L3)."""
     m = match_params(notifications, params, case_insensitive)
+    if first is not None:
+        m = m.orderBy(*arrival_order()).limit(first)
     return m.select(
         file_name_col().alias("out_file_name"),
         (key if key is not None else F.col("key")).alias("m_key"),
@@ -28,55 +31,22 @@ def matched_files(notifications: DataFrame, params: DataFrame, case_insensitive:
     )
 
 
-def broadcast_limit(spark) -> int:
-    """The session's broadcast bound in bytes (``spark.sql.autoBroadcastJoinThreshold``)."""
-    from gridspark.session import size_in_bytes
+def written_messages(m: DataFrame) -> tuple[DataFrame, int]:
+    """Matched messages written once as Parquet to the shared folder, and their count (taken
+    while writing).
 
-    return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-
-
-def materialized_messages(m: DataFrame) -> tuple[DataFrame, int, int]:
-    """Matched messages written once to the shared checkpoint folder, their size in bytes
-    (UTF-8 string bytes plus a row's fixed-width part and header) and their count,
-    measured in one small job.
-
-    The checkpoint cuts the lineage back to message parsing, so the read requests and
-    the join below reuse the written rows instead of re-parsing, and a lost executor
-    does not re-run the parse.
+    Lineage is cut there, a lost executor re-reads files, and the planner knows the size
+    when it chooses joins. The row number ``m_row`` differs between identical
+    redeliveries and stays the same whenever the rows are read again.
     """
-    from gridspark.session import shared_dir
-
-    shared_dir(m.sparkSession)
-    m = m.checkpoint(eager=True)
-    width = F.octet_length("out_file_name") + F.octet_length("m_key") + F.octet_length("m_measure") + F.lit(48)
-    stats = m.agg(F.sum(width.cast("long")).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    return m, int(stats["b"] or 0), int(stats["n"])
+    from gridspark.session import scratch_path
 
-
-def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit: int | None = None) -> DataFrame:
-    """Slabs x matched messages on (file id, measure), then the realization limit.
-
-    The messages are broadcast only when their measured ``size`` is within ``limit``
-    (default: the session's broadcast bound); the slabs, usually far larger, then stay
-    where they were read and are never shuffled. Beyond the bound it is a plain shuffle
-    join, where AQE splits a hot file id (skew join). When both sides carry a part
-    number (``part`` / ``m_part``, see ``hot_keys``), it is part of the join key.
-    """
-    from gridspark.session import spread
-
-    limit = broadcast_limit(slabs.sparkSession) if limit is None else limit
-    small = size is not None and 0 <= size <= limit
-    side = F.broadcast(m) if small else m
-    # With the messages broadcast, the slab side's tasks produce every output row; a
-    # narrow slab input (e.g. one small file) is widened first. No-op at scale.
-    s = first_level(spread(slabs) if small else slabs)
-    cond = (s["file_name"] == side["m_key"]) & (s["measure_name"] == side["m_measure"])
-    parted = "part" in s.columns and "m_part" in side.columns
-    if parted:
-        cond = cond & (s["part"] == side["m_part"])
-    j = s.join(side, cond, "inner").filter(within_limit("r_limit"))
-    j = j.drop("file_name", *(["part", "m_part"] if parted else []))
-    return j.withColumnRenamed("out_file_name", "file_name")
+    spark = m.sparkSession
+    m = m.withColumn("m_row", F.monotonically_increasing_id())
+    path, seen = scratch_path(spark, "messages"), Observation()
+    m.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    # the comparison is always true; it tells the planner that this side selects
+    return spark.read.schema(m.schema).parquet(path).filter("m_row >= 0"), int(seen.get["n"])
 
 
 # --- hot files ------------------------------------------------------------------------------
@@ -85,111 +55,56 @@ def join_messages(slabs: DataFrame, m: DataFrame, size: int | None = None, limit
 # everybody announces) would leave that work to the few tasks holding its lines, so
 # such files are split into parts: their lines (or blocks) are copied once per part,
 # each message joins exactly one part, and every (line, message) pair still meets once.
-HOT_SCHEMA = "h_key string, h_measure string, copies int"
-
+def hot_files(m: DataFrame, count: int, parallelism: int | None = None) -> DataFrame:
+    """h_key, h_measure, copies: the files named by more than one task's fair share of the written
+    messages, and how many shares they hold.
 
-def hot_keys(m: DataFrame, count: int, parallelism: int | None = None) -> list[tuple[str, str, int]]:
-    """(file id, measure, parts) of files named by more than one task's fair share of
-    the messages; ``parts`` is how many shares they hold.
-
-    The share is ``count / parallelism`` (default: the cluster's default parallelism).
-    Only keys above one share qualify, so fewer than ``parallelism`` can: the list read
-    back here has that proven bound.
+    The share is the message ``count`` divided by ``parallelism`` (default: the cluster's). Fewer than ``parallelism`` files can
+    exceed it, so this frame has a proven bound and may be broadcast.
     """
     p = parallelism or m.sparkSession.sparkContext.defaultParallelism
     share = max(1, -(-count // p))
-    rows = (
-        m.groupBy("m_key", "m_measure").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > share)
-        .limit(p)
-        .collect()
-    )
-    return sorted((r["m_key"], r["m_measure"], -(-r["n"] // share)) for r in rows)
-
-
-def copies_per_unit(hot: list[tuple[str, str, int]], units: dict) -> list[tuple[str, str, int]]:
-    """Copies of each line/block of a hot file: its parts spread over the units it
-    already has (a large file's many blocks already sit on many tasks, so it gets few
-    or no copies; a small one gets up to ``parts``)."""
-    return [(k, me, max(1, -(-parts // max(1, units.get((k, me), 1))))) for k, me, parts in hot]
+    counts = m.groupBy(F.col("m_key").alias("h_key"), F.col("m_measure").alias("h_measure")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > share).select("h_key", "h_measure", F.ceil(F.col("n") / share).cast("int").alias("copies"))
 
 
-def hot_pairs(column_key: str, column_measure: str, hot: list) -> Column:
-    pair = F.struct(F.col(column_key).alias("k"), F.col(column_measure).alias("m"))
-    return F.col(column_key).isin(sorted({k for k, _, _ in hot})) & pair.isin(
-        *[F.struct(F.lit(k).alias("k"), F.lit(me).alias("m")) for k, me, _ in hot]
-    )
-
-
-def salted_messages(m: DataFrame, copies: list[tuple[str, str, int]]) -> DataFrame:
-    """Messages with ``m_part``: a hash of the message modulo its file's copies (0 for
-    other files). Deterministic, so a retried task assigns the same parts."""
-    h = F.broadcast(m.sparkSession.createDataFrame(copies, HOT_SCHEMA))
+def salted_messages(m: DataFrame, hot: DataFrame) -> DataFrame:
+    """Written messages with ``m_part``: their row number's hash modulo the copies of the
+    file they name (0 for other files). Identical redeliveries have different row numbers."""
+    h = F.broadcast(hot)
     j = m.join(h, (m["m_key"] == h["h_key"]) & (m["m_measure"] == h["h_measure"]), "left")
-    part = F.when(F.col("copies").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("out_file_name", "m_key", "r_limit"), F.col("copies").cast("long")).cast("int"))
-    return j.select(*[F.col(c) for c in m.columns], part.alias("m_part"))
+    copies = F.coalesce("copies", F.lit(1)).cast("long")
+    return j.select(*m.columns, F.pmod(F.xxhash64("m_row"), copies).cast("int").alias("m_part"))
 
 
-def copy_rows(df: DataFrame, copies: list[tuple[str, str, int]], key: str, measure: str) -> DataFrame:
-    """Each row of a hot file repeated ``copies`` times with ``part`` 0..copies-1; other
-    rows once with part 0."""
-    h = F.broadcast(df.sparkSession.createDataFrame(copies, HOT_SCHEMA))
+def copy_rows(df: DataFrame, hot: DataFrame, key: str, measure: str) -> DataFrame:
+    """Each row of a hot file repeated once for each part, with ``part`` 0..copies-1;
+    other rows once with part 0."""
+    h = F.broadcast(hot)
     j = df.join(h, (df[key] == h["h_key"]) & (df[measure] == h["h_measure"]), "left")
-    n = F.coalesce(F.col("copies"), F.lit(1))
-    return j.select(*[F.col(c) for c in df.columns], F.explode(F.sequence(F.lit(0), n - 1)).alias("part"))
+    n = F.coalesce("copies", F.lit(1))
+    return j.select(*[F.col(c) for c in df.columns if c != "part"], F.explode(F.sequence(F.lit(0), n - 1)).alias("part"))
 
 
-def balanced_slab_join(slabs: DataFrame, m: DataFrame, size: int, count: int) -> DataFrame:
-    """``join_messages`` for slab tables (stored or derived), with hot files split.
+def join_messages(slabs: DataFrame, m: DataFrame) -> DataFrame:
+    """Slab lines x salted messages on (file id, measure, part), the realization limit,
+    and the long rows. ``slabs`` has ``part`` (``copy_rows``), ``m`` has ``m_part``.
 
-    Cold lines stay where they are. Lines of hot files (selected by filters that reach
-    the scan) are counted per file, copied per part and shuffled by (file, line, part),
-    so their fan-out runs on many tasks. On the shuffle path (messages beyond the
-    broadcast bound) the part joins the shuffle key instead.
-    """
-    hot = hot_keys(m, count)
-    if not hot:
-        return join_messages(slabs, m, size)
-    is_hot = hot_pairs("file_name", "measure_name", hot)
-    hot_lines = first_level(slabs).filter(is_hot)
-    lines = {(r["file_name"], r["measure_name"]): r["n"] for r in
-             hot_lines.groupBy("file_name", "measure_name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    copies = copies_per_unit(hot, lines)
-    if size > broadcast_limit(m.sparkSession):
-        # Shuffle path: both sides are exchanged anyway; with the part in the join key a
-        # hot file's parts land in different partitions.
-        parted = copy_rows(first_level(slabs), copies, "file_name", "measure_name")
-        return join_messages(parted, salted_messages(m, copies), size)
-    tasks = max(1, sum(p for _, _, p in hot))
-    spread_hot = copy_rows(hot_lines, copies, "file_name", "measure_name").repartition(
-        tasks, "file_name", "r", "level", "y", "part")
-    cold = first_level(slabs).filter(~is_hot).withColumn("part", F.lit(0))
-    return join_messages(cold.unionByName(spread_hot), salted_messages(m, copies), size)
-
-
-# Announced file ids listed in a scan filter only up to this many (a larger list would
-# weigh on every task's plan; beyond it the join alone selects the files).
-MAX_KEY_FILTER = 10_000
-
-
-def announced_keys(m: DataFrame, limit: int = MAX_KEY_FILTER) -> list[str] | None:
-    """The distinct file ids of materialized messages, or None past ``limit``."""
-    rows = m.select("m_key").distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(r["m_key"] for r in rows)
-
-
-def wanted_measures(params: DataFrame) -> list[str] | None:
-    """The distinct measures of the parameter table, or None past ``MAX_PARAMS``.
-
-    The parameter table is configuration with a checked size, so this small read lets
-    the slab side be filtered by measure before the join: partition pruning on a stored
-    slab table (``sources.slab_store``), a pushed filter elsewhere.
+    The planner broadcasts the messages within its size bound and shuffles both sides
+    beyond it. The text rule is applied to the lines first, once, not to every copy.
+    On a slab store partitioned by file bucket the bucket is part of the join, so the
+    partitions that no message names are pruned at run time.
     """
-    from gridspark.operators.match import MAX_PARAMS
+    has_bucket = "file_bucket" in slabs.columns
+    lines = converted_lines(first_level(slabs), "part", *(["file_bucket"] if has_bucket else []))
+    cond = (lines["file_name"] == m["m_key"]) & (lines["measure_name"] == m["m_measure"]) & (lines["part"] == m["m_part"])
+    if has_bucket:
+        from gridspark.sources.slab_store import file_bucket
 
-    rows = params.select("measure").distinct().limit(MAX_PARAMS + 1).collect()
-    return None if len(rows) > MAX_PARAMS else sorted(r["measure"] for r in rows)
+        m = m.withColumn("m_bucket", file_bucket("m_key"))
+        cond = cond & (lines["file_bucket"] == m["m_bucket"])
+    j = lines.join(m, cond, "inner").filter(within_limit("r_limit")).drop("file_name", "part", "file_bucket")
+    return long_cells(j.withColumnRenamed("out_file_name", "file_name"))
 
 
 def ingest(
@@ -198,33 +113,22 @@ def ingest(
     slabs: DataFrame,
     case_insensitive: bool = False,
     key: Column | None = None,
-    measures: list[str] | None = None,
+    first: int | None = None,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Long rows for every matched message, read from the slabs of the file it names.
 
-    ``params`` is broadcast into the message side (its size is bounded when built) and
-    its measures prune the slab side up front; the matched messages are materialized and
-    measured, then joined to the slabs on (file id, measure) by ``join_messages``; files
-    named by more than a task's share of the messages are split
-    (``balanced_slab_join``). When the messages are few enough to broadcast, the slabs
-    are also filtered to the announced file ids (``announced_keys``), so a micro-batch
-    reads only what it announces. The level-0 reduction (P9) is a slab filter
-    below the join; the realization limit (L1) needs each message's parameters and is
-    applied right after it, before the unpivot. ``key`` maps a message to the slabs'
-    ``file_name`` (default: the message key). ``measures`` lists the parameter table's
-    measures when the caller knows them (saves the small job that reads them).
+    The matched messages are written once; everything else is one lazy plan: the files
+    named by more than a task's share of the messages are split into parts, slabs are
+    cut down to the announced files, and the two sides meet in ``join_messages``.
+    The level-0 reduction (P9) is a slab filter below the join; the realization limit
+    (L1) needs each message's parameters and is applied right after it, before the
+    unpivot. ``key`` maps a message to the slabs' ``file_name`` (default: the message
+    key); ``first`` is the cap on matched messages (L3).
     """
-    wanted = measures if measures is not None else wanted_measures(params)
-    if wanted is not None:
-        slabs = slabs.filter(F.col("measure_name").isin(wanted))
-    m, size, count = materialized_messages(matched_files(notifications, params, case_insensitive, key))
-    if size <= broadcast_limit(m.sparkSession):
-        # Few messages (they fit a broadcast): read only the slabs of the files they
-        # announce. On a stored slab table sorted by file the filter skips row groups.
-        keys = announced_keys(m)
-        if keys is not None:
-            slabs = slabs.filter(F.col("file_name").isin(keys))
-    return to_long(balanced_slab_join(slabs, m, size, count))
+    m, count = written_messages(matched_files(notifications, params, case_insensitive, key, first))
+    hot = hot_files(m, count, parallelism)
+    return join_messages(copy_rows(slabs, hot, "file_name", "measure_name"), salted_messages(m, hot))
 
 
 def ingest_bodies(bodies: DataFrame, params: DataFrame, slabs: DataFrame, body_col: str = "body",

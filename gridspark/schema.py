@@ -11,7 +11,6 @@ REFERENCE_SCHEMA_STRING = (
     "time:double,measure_name:string,measure_value:double"
 )
 NOTIFICATION_FIELDS = ("bucket", "name", "key", "created_time", "forecast_reference_time")
-VAR_REALIZATION = "realization"
 VAR_TIME = "time"
 VAR_FORECAST_TIME = "forecast_reference_time"
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -30,14 +31,12 @@ def local_session(cores: int | str = "*", app: str = "gridspark", extra: dict |
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("GRIDSPARK_DRIVER_MEMORY", "8g"))
-        # checkpointed intermediates (slab plans, matched messages) are deleted once
-        # unreferenced, so a long-running stream does not fill the shared folder
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -45,6 +44,7 @@ def apply_engine_conf(spark: SparkSession) -> None:
     """Set the engine's SQL settings on an existing session (runtime-settable ones only)."""
     for k, v in ENGINE_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -76,20 +76,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridspark/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a narrow input over the cluster before CPU-heavy per-row work.
-
-    Only when the input has fewer partitions than ``min_partitions`` (default: the
-    cluster's default parallelism) — e.g. one small file with a single row group. An
-    input already split into many partitions (the normal case at scale) is returned
-    untouched, so no shuffle is added there.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the input as is
-        return df
-    return df.repartition(want) if have < want else df
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (once per session), so tasks can
+    import it wherever the driver runs and without an install on the cluster."""
+    sc = spark.sparkContext
+    if getattr(sc, "_gridspark_shipped", False):
+        return
+    folder = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="gridspark-ship-"), "gridspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(folder):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(top, n)
+                    z.write(full, os.path.join("gridspark", os.path.relpath(full, folder)))
+    sc.addPyFile(out)  # served by the driver; the file itself is not read by executors
+    sc._gridspark_shipped = True
 
 
 def size_in_bytes(text: str) -> int:

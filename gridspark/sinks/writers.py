@@ -30,8 +30,10 @@ def write_jdbc(
     """Append to a SQL table with at most ``num_partitions`` connections and batched
     inserts; returns the number of rows written.
 
-    ``numPartitions`` makes Spark coalesce to that many writer tasks; the rest of the plan
-    keeps its own parallelism.
+    ``numPartitions`` makes Spark coalesce to that many tasks without an exchange, so
+    everything since the last one runs in them too. To keep file reads and the like wide,
+    put an exchange before the last narrow steps (``slabs.repartition(n)`` before the
+    unpivot): then only what follows it runs in the writer tasks.
     """
     out, obs = _observed(df, "jdbc_write")
     (

@@ -5,18 +5,21 @@ The unit of work is a slab block, not a file: a file of any size is split into
 
 1. ``resolve`` (``mapInArrow``, one small ranged header read per request): finds the
    measure, its coordinate axes and scalar times, checks shapes, and computes how many
-   realizations (L1) and y blocks to read.
+   realizations (L1) and y blocks to read. Requests are first spread over the cluster:
+   the pass waits for stores, so its width follows the opens, not the bytes of the rows.
 2. The slab plan is built with ``sequence`` + ``explode``: one row per
-   (request, realization, y block). It is tiny, so it is materialized in the shared
-   checkpoint folder (a lost executor never re-reads headers) and sized: it is spread
-   round-robin over as many read tasks as ``spark.sql.files.maxPartitionBytes`` of slab
-   data calls for.
+   (request, realization, y block). It is tiny, so it is written to the shared folder
+   (a lost executor never re-reads headers) and sized: it is dealt in ranges of (path,
+   realization, y), so a task opens few files, over as many read tasks as
+   ``spark.sql.files.maxPartitionBytes`` of slab data calls for.
 3. ``read`` (``mapInArrow``) reads each block with one ranged read and emits
    ``grid_slabs`` rows as Arrow batches, vectorized with NumPy; the unpivot that follows
    is a native ``posexplode``.
 
-Requests that cannot be read yield one row with ``error`` set and no data (the
-reference prints the exception and keeps going); ``fail_fast`` raises instead.
+Requests whose file is missing, damaged or unlike them yield one row with ``error`` set and
+no data (the reference prints the exception and keeps going); ``fail_fast`` raises
+instead. Any other failure (a store that does not answer) always raises, so that Spark
+tries the task again.
 """
 
 from __future__ import annotations
@@ -31,9 +34,12 @@ from pyspark.sql import types as T
 
 from gridspark.functions.text import basename
 from gridspark.schema import SLAB_SCHEMA, VAR_FORECAST_TIME, VAR_TIME
-from gridspark.session import shared_dir, size_in_bytes
+from gridspark.session import scratch_path, size_in_bytes
 from gridspark.sources import netcdf as nc
 
+# What marks a request as unreadable; other errors are left to Spark's retries.
+UNREADABLE = (nc.FormatError, FileNotFoundError, IsADirectoryError)
+
 REQUEST_COLUMNS = ("path", "file_name", "measure", "coord_y", "coord_x", "r_limit")
 DEFAULT_BLOCK_BYTES = 16 << 20
 
@@ -55,10 +61,12 @@ RESOLVED_SCHEMA = T.StructType(
     ]
 )
 
+# ``vals`` holds float32 measures, ``dvals`` (as doubles) those of other types.
 # ``part`` numbers the copies of a block planned more than once (hot files, see
 # ``plans.ingest``); it is 0 otherwise.
 SCAN_SCHEMA = T.StructType(
-    SLAB_SCHEMA.fields + [T.StructField("part", T.IntegerType(), True), T.StructField("error", T.StringType(), True)]
+    SLAB_SCHEMA.fields + [T.StructField("dvals", T.ArrayType(T.DoubleType(), True), True),
+                          T.StructField("part", T.IntegerType(), True), T.StructField("error", T.StringType(), True)]
 )
 
 DESCRIBE_SCHEMA = T.StructType(
@@ -125,10 +133,12 @@ def _scalar(reader, h, name: str) -> int:
     v = h.find(name)
     if v is None:
         raise nc.FormatError(f"variable {name!r} not found")
-    data = nc.read_all(reader, h, v)
-    if data.size < 1:
-        raise nc.FormatError(f"variable {name!r} is empty")
-    return int(data.reshape(-1)[0])
+    if h.shape(v):
+        raise nc.FormatError(f"variable {name!r} has shape {h.shape(v)}; a scalar is expected")
+    value = nc.read_all(reader, h, v).reshape(-1)[0]
+    if value != int(value):
+        raise nc.FormatError(f"variable {name!r} is {value}; whole seconds are expected")
+    return int(value)
 
 
 def resolve_one(reader, h, measure: str, coord_y: str, coord_x: str, r_limit: int, block_bytes: int) -> dict:
@@ -138,6 +148,8 @@ def resolve_one(reader, h, measure: str, coord_y: str, coord_x: str, r_limit: in
         raise nc.FormatError(f"measure {measure!r} not found")
     if v.nc_type == 2:
         raise nc.FormatError(f"measure {measure!r} is text")
+    if {"scale_factor", "add_offset"} & set(v.attrs):
+        raise nc.FormatError(f"measure {measure!r} is packed (scale_factor, add_offset)")
     dims, shape = h.dim_names(v), h.shape(v)
     if len(shape) not in (3, 4):
         raise nc.FormatError(f"measure {measure!r} has rank {len(shape)}; 3 or 4 expected")
@@ -152,6 +164,9 @@ def resolve_one(reader, h, measure: str, coord_y: str, coord_x: str, r_limit: in
             raise nc.FormatError(f"coordinate {cname!r} has shape {h.shape(cv)}, {n} expected")
     r_len = shape[0]
     r_count = r_len if r_limit is None or r_limit < 0 else min(r_limit, r_len)
+    if r_count > 0 and y_len > 0 and x_len > 0:
+        # the last cell needed: a file cut short is found out here, not while reading
+        nc.read_run(reader, h, v, [r_count - 1, *([0] if len(shape) == 4 else []), y_len - 1, x_len - 1], 1)
     line = max(1, x_len * v.dtype.itemsize)
     return dict(
         r_count=r_count,
@@ -179,7 +194,7 @@ def _resolver(block_bytes: int, fail_fast: bool):
                         reader, h, _ = files.get(req["path"])
                         res = resolve_one(reader, h, req["measure"], req["coord_y"], req["coord_x"],
                                           req["r_limit"], block_bytes)
-                    except Exception as e:  # noqa: BLE001 - reported per request
+                    except UNREADABLE as e:  # reported per request
                         if fail_fast:
                             raise
                         res = dict(error=f"{type(e).__name__}: {e}")
@@ -193,9 +208,10 @@ def _resolver(block_bytes: int, fail_fast: bool):
 
 
 def resolve(requests: DataFrame, block_bytes: int = DEFAULT_BLOCK_BYTES, fail_fast: bool = False) -> DataFrame:
-    # A local sort (no shuffle) puts requests for one file together, so each task reads
-    # a file's header once.
-    reqs = requests.select(*REQUEST_COLUMNS).sortWithinPartitions("path")
+    # By path: each file's header is read by one task, once; more partitions than cores,
+    # as a task mostly waits for the store.
+    tasks = 4 * requests.sparkSession.sparkContext.defaultParallelism
+    reqs = requests.select(*REQUEST_COLUMNS).repartition(tasks, "path").sortWithinPartitions("path")
     return reqs.mapInArrow(_resolver(block_bytes, fail_fast), RESOLVED_SCHEMA)
 
 
@@ -220,15 +236,16 @@ def plan_slabs(resolved: DataFrame) -> DataFrame:
 
 
 def materialize_plan(plan: DataFrame) -> DataFrame:
-    """The plan written to the shared checkpoint folder: a lost executor never re-reads
-    headers, and the plan can be measured and adjusted cheaply."""
-    shared_dir(plan.sparkSession)
-    return plan.checkpoint(eager=True)
+    """The plan written to the shared folder: a lost executor never re-reads headers, and
+    the plan can be measured and adjusted cheaply."""
+    path = scratch_path(plan.sparkSession, "slab-plan")
+    plan.write.parquet(path)
+    return plan.sparkSession.read.schema(plan.schema).parquet(path)
 
 
 def spread_plan(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
-    """Spread a materialized plan round-robin over enough tasks for
-    ``target_task_bytes`` of slab data each (default ``spark.sql.files.maxPartitionBytes``)."""
+    """Deal a materialized plan in ranges over enough tasks for ``target_task_bytes`` of
+    slab data each (default ``spark.sql.files.maxPartitionBytes``)."""
     spark = plan.sparkSession
     target = target_task_bytes or size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     stats = plan.agg(
@@ -238,14 +255,15 @@ def spread_plan(plan: DataFrame, target_task_bytes: int | None = None) -> DataFr
     rows = stats["rows"] or 0
     tasks = max(1, min(rows, -(-(stats["bytes"] or 0) // target)))
     tasks = max(tasks, min(rows, spark.sparkContext.defaultParallelism))
-    # Round-robin spreads blocks evenly (a hot file's blocks land on every task); the
-    # local sort then lets each task read its blocks file by file.
-    return plan.repartition(tasks).sortWithinPartitions("path", "r", "y0")
+    # Ranges of (path, realization, y): a task opens few files, and a large file's blocks
+    # are split among several tasks.
+    keys = ["path", "r", "y0", *(["part"] if "part" in plan.columns else [])]
+    return plan.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
 
 
 def sized(plan: DataFrame, target_task_bytes: int | None = None) -> DataFrame:
-    """Materialize the plan in the shared checkpoint folder and spread it round-robin
-    over enough tasks for ``target_task_bytes`` of slab data each."""
+    """Write the plan to the shared folder and deal it over enough tasks for
+    ``target_task_bytes`` of slab data each."""
     return spread_plan(materialize_plan(plan), target_task_bytes)
 
 
@@ -266,7 +284,7 @@ class _Batch:
     def reset(self):
         self.names, self.measures, self.line_counts = [], [], []
         self.num = {k: [] for k in ("r", "y", "y_len", "y_coord", "time", "forecast", "part")}
-        self.x_coords, self.vals, self.x_lens = [], [], []
+        self.x_coords, self.vals, self.x_lens, self.wide = [], [], [], []
         self.cells = 0
 
     def add(self, p: dict, y: np.ndarray, yc: np.ndarray, xc: np.ndarray, vals: np.ndarray) -> None:
@@ -281,6 +299,7 @@ class _Batch:
         self.num["y_coord"].append(yc)
         self.x_coords.append(np.tile(xc, n))
         self.vals.append(vals)
+        self.wide.append(np.full(n, vals.dtype != np.float32))
         self.x_lens.append(np.full(n, len(xc), dtype=np.int64))
         self.cells += vals.size
 
@@ -289,6 +308,17 @@ class _Batch:
             return None
         counts = np.asarray(self.line_counts)
         cat = lambda k, t: np.concatenate(self.num[k]).astype(t)
+        wide = np.concatenate(self.wide)
+        x_lens = np.concatenate(self.x_lens)
+
+        def lines(of_wide: bool, kind) -> pa.Array:
+            """The value lines of one kind; the other kind's lines are null."""
+            mine = wide == of_wide
+            ends = np.cumsum(np.where(mine, x_lens, 0))
+            pieces = [v for v in self.vals if (v.dtype != np.float32) == of_wide]
+            flat = pa.array(np.concatenate(pieces) if pieces else np.zeros(0), kind)
+            return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), flat, mask=pa.array(~mine))
+
         offsets = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(self.x_lens))]).astype(np.int32))
         rows = int(counts.sum())
         arrays = [
@@ -304,7 +334,8 @@ class _Batch:
             pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(self.x_coords), pa.float32())),
             pa.array(cat("time", np.int64)),
             pa.array(cat("forecast", np.int64)),
-            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(self.vals), pa.float32())),
+            lines(False, pa.float32()),
+            lines(True, pa.float64()),
             pa.array(cat("part", np.int32)),
             pa.nulls(rows, pa.string()),
         ]
@@ -336,7 +367,7 @@ def _reader(fail_fast: bool, batch_cells: int):
                         continue
                     try:
                         acc.add(p, *_read_block(files, p))
-                    except Exception as e:  # noqa: BLE001 - reported per block
+                    except UNREADABLE as e:  # reported per block
                         if fail_fast:
                             raise
                         yield error_row(p, f"{type(e).__name__}: {e}")
@@ -353,7 +384,8 @@ def _reader(fail_fast: bool, batch_cells: int):
 
 def _read_block(files: _Files, p: dict):
     """One ranged read of a (realization, y block) slab plus its coordinates:
-    returns y indices, y coordinates, the x axis and the values (float32, row-major)."""
+    returns y indices, y coordinates, the x axis and the values (row-major, float32, or
+    float64 for measures of other types)."""
     reader, h, cache = files.get(p["path"])
     return _block(reader, h, cache, p["measure"], p["coord_y"], p["coord_x"], p["r"], p["y0"], p["ny"], p["x_len"])
 
@@ -366,7 +398,8 @@ def _block(reader, h, cache: dict, measure: str, coord_y: str, coord_x: str, r:
     xc = cache[key]
     yc = nc.read_run(reader, h, h.find(coord_y), [y0], ny).astype(np.float32)
     index = [r, y0, 0] if len(v.dim_ids) == 3 else [r, 0, y0, 0]
-    vals = nc.read_run(reader, h, v, index, ny * x_len).astype(np.float32, copy=False)
+    vals = nc.read_run(reader, h, v, index, ny * x_len)
+    vals = vals.astype(np.float32 if v.type_name == "float" else np.float64, copy=False)
     return np.arange(y0, y0 + ny, dtype=np.int32), yc, xc, vals
 
 
@@ -409,7 +442,7 @@ def _content_reader(measure: str, coord_y: str, coord_x: str, r_limit: int, fail
                                            res["x_len"]))
                         if acc.cells >= batch_cells:
                             yield acc.build()
-                except Exception as e:  # noqa: BLE001 - reported per file
+                except UNREADABLE as e:  # reported per file
                     if fail_fast:
                         raise
                     row = {n: [None] for n in names}
@@ -468,7 +501,7 @@ def _describer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for v in h.variables.values():
                     add(path=path, kind="variable", name=v.name, type=v.type_name, dims=h.dim_names(v),
                         shape=h.shape(v), is_record=h.is_record(v))
-            except Exception as e:  # noqa: BLE001 - reported per file
+            except UNREADABLE as e:  # reported per file
                 add(path=path, kind="error", error=f"{type(e).__name__}: {e}")
         yield pa.RecordBatch.from_pydict(rows, schema=schema)
 

@@ -1,30 +1,38 @@
 """A stored ``grid_slabs`` table laid out for pruning.
 
-Slabs are written as Parquet, partitioned by ``measure_name`` and range-sorted by
-``file_name`` within each measure. Reading it back, Catalyst prunes in three places:
-
-* a filter on the measure selects partition folders; ``plans.ingest`` adds one for the
-  measures of its parameter table, so unwanted measures are never listed or read;
-* ``plans.ingest`` filters the slabs to the file ids its messages announce (when they
-  are few enough to broadcast); on the sorted ``file_name`` the Parquet row-group
-  statistics then skip row groups of files nobody asked for.
+Slabs are written as Parquet, partitioned by ``measure_name`` and ``file_bucket`` (a hash
+of the file id) and sorted by ``file_name`` within. Both are join keys in ``plans.ingest``,
+so dynamic partition pruning reads only the folders of measures and buckets that the
+messages name, whatever their number; a filter on the measure prunes statically.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from gridspark.schema import SLAB_COLUMNS
 
+# Folders of one measure.
+FILE_BUCKETS = 64
+
+
+def file_bucket(column: str) -> Column:
+    """The bucket of a file id."""
+    return F.pmod(F.xxhash64(column), F.lit(FILE_BUCKETS).cast("long")).cast("int")
+
 
 def store_slabs(slabs: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:
-    """Write slabs for later ingests. ``partitions`` sets the number of range
-    partitions (default ``spark.sql.shuffle.partitions``)."""
-    n = partitions or int(slabs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = slabs.select(*SLAB_COLUMNS).repartitionByRange(n, "measure_name", "file_name")
-    ordered = ordered.sortWithinPartitions("measure_name", "file_name", "r", "level", "y")
-    ordered.write.mode(mode).partitionBy("measure_name").parquet(path)
+    """Write slabs for later ingests. ``partitions`` fixes the number of shuffle partitions;
+    by default AQE sizes them from the data."""
+    keys = ["measure_name", "file_bucket", "file_name"]
+    rows = slabs.select(*SLAB_COLUMNS).withColumn("file_bucket", file_bucket("file_name"))
+    ordered = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+    ordered.sortWithinPartitions(*keys, "r", "level", "y").write.mode(mode).partitionBy("measure_name", "file_bucket").parquet(path)
 
 
 def read_slab_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*SLAB_COLUMNS)
+    """The stored slabs with their ``file_bucket``."""
+    return spark.read.parquet(path).select(*SLAB_COLUMNS, "file_bucket")

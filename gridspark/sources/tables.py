@@ -62,13 +62,11 @@ def orders_grid(
     One shuffle: cells are hash-partitioned by file (a file holds at most
     ``realizations * y_len * x_len`` cells by construction, so no file can be a hot
     partition), and both the x-line aggregation and the per-file window for ``time``
-    (latest order date) and ``forecast`` (earliest) reuse that partitioning. The
-    partition count is explicit, so AQE keeps it: the unpivot downstream multiplies rows
-    by ``x_len`` and needs the parallelism. ``four_d``
+    (latest order date) and ``forecast`` (earliest) reuse that partitioning. AQE sizes the
+    partitions from the data. ``four_d``
     labels ``level = y % 2`` to stand in for a 4-D measure.
     """
-    tasks = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = orders_cells(orders, realizations, y_len, x_len, prefix, value).repartition(tasks, "file_name")
+    cells = orders_cells(orders, realizations, y_len, x_len, prefix, value).repartition("file_name")
     lines = cells.groupBy("file_name", "r", "y").agg(
         F.sort_array(F.collect_list(F.struct("x", "v"))).alias("xv"),
         F.min("t").alias("t_min"),
@@ -129,6 +127,7 @@ def write_orders_grid_files(
     version: int = 5,
     four_d: bool = False,
     record_realization: bool = False,
+    add: int | None = None,
 ) -> DataFrame:
     """Write the ``orders_grid`` stand-in as classic NetCDF files, one per grid file.
 
@@ -137,7 +136,8 @@ def write_orders_grid_files(
     ``mapInArrow`` pass writes each file through the pyarrow file systems into
     ``out_dir/files``. The list of written files goes to the
     manifest table ``out_dir/manifest`` (path, file_name, n_cells), which is returned,
-    so no file list passes through the driver. ``four_d`` adds a 2-long ``height`` axis
+    so no file list passes through the driver. With ``add`` the measure is a double with
+    that number added to every value. ``four_d`` adds a 2-long ``height`` axis
     whose level 1 holds the negated values.
     """
     import numpy as np
@@ -157,6 +157,8 @@ def write_orders_grid_files(
         x_n = x_len if (r_n > 1 or y_n > 1) else int(x.max()) + 1
         grid = np.full((r_n, y_n, x_n), np.nan, dtype=np.float32)
         grid[r, y, x] = v
+        if add is not None:
+            grid = grid.astype(np.float64) + add
         if four_d:
             grid = np.stack([grid, -grid], axis=1)
         data = grid_file_bytes(
@@ -204,9 +206,7 @@ def write_orders_grid_files(
                 [pa.array([path]), pa.array([pending["file_name"][0]]), pa.array([n], pa.int64())],
                 schema=manifest_schema)
 
-    spark = orders.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_file = cells.repartition(tasks, "file_no").sortWithinPartitions("file_no", "r", "y", "x")
+    by_file = cells.repartition("file_no").sortWithinPartitions("file_no", "r", "y", "x")
     written = by_file.select("file_name", "r", "y", "x", "v", "t").mapInArrow(
         write, "path string, file_name string, n_cells long")
     manifest_dir = f"{out_dir.rstrip('/')}/manifest"

@@ -7,6 +7,10 @@ the acknowledgement (ST5): a restart resumes after the last committed batch and
 re-ingests a consumed message. Sinks receive ``(rows, batch_id)`` and should be
 idempotent per batch id (``parquet_sink`` overwrites that batch's folder), which makes
 the whole path exactly-once under task and driver retries.
+
+A message whose object cannot be read is not lost: ``process`` may return its rejects too,
+which go to a dead-letter sink inside the same batch, and ``retry_rejects`` runs them again. A store
+that does not answer fails the batch, which is then not committed.
 """
 
 from __future__ import annotations
@@ -31,14 +35,26 @@ def notification_stream(spark: SparkSession, inbox: str, max_files_per_trigger:
     return r.load(inbox).withColumnRenamed("value", "body")
 
 
+def event_time():
+    """A message's creation time; NULL when it is no ISO time (fractions are accepted)."""
+    return F.try_to_timestamp("created_time", F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSS]'Z'"))
+
+
+def untimed(bodies: DataFrame) -> DataFrame:
+    """Usable messages that the dedupe cannot place in time: its rejects."""
+    return accepted(parse_notifications(bodies)).filter(event_time().isNull())
+
+
 def parsed_stream(bodies: DataFrame, dedupe_delay: str | None = None) -> DataFrame:
     """Usable notifications. ``dedupe_delay`` (e.g. ``"1 hour"``) drops a message whose
     (bucket, key) already arrived within that event-time delay (D5, opt-in; the
-    reference appends every redelivery)."""
+    reference appends every redelivery); messages without a readable time are left
+    out then, see ``untimed``."""
     n = accepted(parse_notifications(bodies))
     if dedupe_delay:
         n = (
-            n.withColumn("event_time", F.to_timestamp("created_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            n.withColumn("event_time", event_time())
+            .filter("event_time IS NOT NULL")
             .withWatermark("event_time", dedupe_delay)
             .dropDuplicatesWithinWatermark(["bucket", "key"])
             .drop("event_time")
@@ -88,26 +104,49 @@ def jdbc_sink(url: str, table: str, properties: dict | None = None, num_partitio
 
 def start_ingest(
     notifications: DataFrame,
-    process: Callable[[DataFrame], DataFrame],
+    process: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]],
     sink: Sink,
     checkpoint: str,
     trigger: str = "availableNow",
     interval: str = "10 seconds",
     query_name: str | None = None,
+    dead_letters: Sink | None = None,
+    wanted: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """ST1-ST4: run ``process`` (matched messages -> long rows) on every micro-batch.
 
     ``trigger`` is ``"availableNow"`` (drain what is there, then stop) or
-    ``"processingTime"`` (poll every ``interval``, ST2). Empty batches are skipped (ST3).
+    ``"processingTime"`` (poll every ``interval``, ST2). Batches in which nothing is
+    ``wanted`` (by default: no message; e.g. ``match.is_wanted``) are skipped (ST3). A
+    ``process`` that returns (rows, rejects) needs a ``dead_letters`` sink.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if (wanted(batch) if wanted else batch).isEmpty():
             return
-        sink(process(batch), batch_id)
+        done = process(batch)
+        if isinstance(done, tuple):
+            rows, rejects = done
+            if dead_letters is None:
+                raise ValueError("process returns rejects: a dead-letter sink is needed")
+            dead_letters(rejects, batch_id)
+            sink(rows, batch_id)
+        else:
+            sink(done, batch_id)
 
     w = notifications.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=interval)
     return w.start()
+
+
+def retry_rejects(spark: SparkSession, dead_letter_path: str, process: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+                  sink: Sink, still_dead: Sink, attempt: int) -> None:
+    """Run all dead letters written by ``parquet_sink(dead_letter_path)`` again: the rows of
+    those that can be read now go to ``sink``, the rest to ``still_dead``, both under the batch
+    id ``attempt``. Give ``sink`` and ``still_dead`` folders of their own for each attempt."""
+    letters = spark.read.parquet(dead_letter_path).drop("batch_id", "error")
+    rows, rejects = process(letters)
+    still_dead(rejects, attempt)
+    sink(rows, attempt)

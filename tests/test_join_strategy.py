@@ -69,25 +69,38 @@ def test_hot_file_key_is_split_by_skew_join(spark, scratch):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_hot_keys_are_bounded_and_split(spark):
+def test_hot_files_are_bounded_and_identical_redeliveries_split(spark):
+    """A third of all messages are byte-identical; no part holds over twice its fair share."""
     from gridspark.operators import match as M
-    from gridspark.plans.ingest import (balanced_slab_join, copies_per_unit, hot_keys, join_messages,
-                                        materialized_messages, matched_files)
-    from gridspark.operators.unpivot import to_long
+    from gridspark.plans.ingest import hot_files, matched_files, salted_messages, written_messages
 
     sf = "/root/testdata/sf0.01"
     params = M.params_frame(spark, C.INGEST_PARAMS)
-    m, size, count = materialized_messages(matched_files(C.hot_notifications(spark, sf), params))
-    hot = hot_keys(m, count, parallelism=8)
-    assert [(k, me) for k, me, _ in hot] == [(C.HOT_KEY, C.MEASURE)] and hot[0][2] >= 2
-    assert len(hot_keys(m, count, parallelism=4)) < 4
-    assert copies_per_unit([("a", "m", 6)], {("a", "m"): 2}) == [("a", "m", 3)]
-    assert copies_per_unit([("a", "m", 6)], {("a", "m"): 100}) == [("a", "m", 1)]
-    slabs = C.ingest_grid(spark, sf)
-    split = to_long(balanced_slab_join(slabs, m, size, count))
-    plain = to_long(join_messages(slabs, m, size))
-    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
-    assert "RoundRobinPartitioning" in plan_of(split) or "hashpartitioning(file_name" in plan_of(split)
+    m, count = written_messages(matched_files(C.redelivered_notifications(spark, sf), params))
+    assert m.count() == count
+    hot = hot_files(m, count, parallelism=16)
+    rows = hot.collect()
+    assert [r["h_key"] for r in rows] == [C.HOT_KEY] and rows[0]["copies"] >= 5
+    assert hot_files(m, count, parallelism=4).count() < 4
+    parts = salted_messages(m, hot).filter(f"m_key = '{C.HOT_KEY}'").groupBy("m_part").count().collect()
+    sizes = [r["count"] for r in parts]
+    assert len(sizes) == rows[0]["copies"] and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_few_jobs_before_ingest_returns(spark):
+    from gridspark.operators import match as M
+    from gridspark.plans.ingest import ingest
+
+    sc = spark.sparkContext
+    params = M.params_frame(spark, C.INGEST_PARAMS)
+    n, slabs = C.notifications(spark, SF), C.ingest_grid(spark, SF)
+    sc.setJobGroup("building-ingest", "")
+    try:
+        ingest(n, params, slabs)
+        jobs = sc.statusTracker().getJobIdsForGroup("building-ingest")
+    finally:
+        sc.setJobGroup("", "")
+    assert len(jobs) <= 3, jobs
 
 
 def test_hot_key_split_on_shuffle_path_of_slab_tables(spark):

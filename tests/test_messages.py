@@ -80,11 +80,31 @@ def test_cap_takes_earliest(spark):
     assert got == ["01", "02", "03"]
 
 
-def test_params_frame_size_is_checked(spark):
+def test_params_names_are_unique(spark):
     import pytest
 
     with pytest.raises(ValueError):
-        M.params_frame(spark, [("n", "m", "y", "x", 1)] * (M.MAX_PARAMS + 1))
+        M.params_frame(spark, [("n", "m", "y", "x", 1)] * 2)
+
+
+def test_names_equal_but_for_case_match_once(spark):
+    n = accepted(parse(spark, [body(FIELDS)]))
+    params = M.params_frame(spark, [("lwe_snowfall_rate", "a", "y", "x", 1), ("LWE_snowfall_rate", "b", "y", "x", 1)])
+    assert [r["measure"] for r in M.match_params(n, params, case_insensitive=True).collect()] == ["b"]
+    assert [r["measure"] for r in M.match_params(n, params).collect()] == ["a"]
+
+
+def test_stored_name_uses_the_last_part_of_a_key(spark):
+    n = accepted(parse(spark, [body({**FIELDS, "key": "a/b c/0e6c.nc"})]))
+    r = M.with_file_names(n, "/data/in", None).first()
+    assert r["file_name"] == "lwe_snowfall_rate_2019-07-19T16:18:22Z_0e6c.nc" and r["object_uri"] == "s3a://b/a/b c/0e6c.nc"
+
+
+def test_matched_cap_counts_matched_messages_only(spark):
+    rows = [body({**FIELDS, "name": "other" if s % 2 else "lwe_snowfall_rate", "created_time": f"2019-07-19T16:18:{s:02d}Z"}) for s in range(8)]
+    params = M.params_frame(spark, [("lwe_snowfall_rate", "m", "y", "x", 1)])
+    got = [r["created_time"][-3:-1] for r in M.matched_cap(accepted(parse(spark, rows)), params, 2).collect()]
+    assert got == ["00", "02"]
 
 
 def test_params_broadcast_in_plan(spark):

@@ -1,6 +1,6 @@
 """Shared-folder and parallelism helpers."""
 
-from gridspark.session import scratch_path, shared_dir, size_in_bytes, spread
+from gridspark.session import scratch_path, shared_dir, size_in_bytes
 
 
 def test_shared_dir_from_session(spark):
@@ -10,11 +10,29 @@ def test_shared_dir_from_session(spark):
     assert a != b and a.startswith(d)
 
 
-def test_spread_only_widens_narrow_inputs(spark):
-    narrow = spark.range(0, 100, 1, 1)
-    assert spread(narrow, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, 1, 6)
-    assert spread(wide, 4) is wide
+def test_workers_import_the_package_from_any_folder(tmp_path):
+    """A driver started elsewhere, without PYTHONPATH: tasks still import the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from gridspark.session import local_session
+spark = local_session(1)
+
+def where(batches):
+    import gridspark.sources.netcdf as m
+    for b in batches:
+        yield b
+
+print("ROWS", spark.range(3).mapInArrow(where, "id long").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "ROWS 3" in out.stdout, out.stderr[-2000:]
 
 
 def test_size_settings():

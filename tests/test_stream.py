@@ -100,14 +100,74 @@ def test_processing_time_trigger_polls_new_files(spark, scratch):
         q.stop()
 
 
-def test_ingest_reports_failed_reads(spark, scratch):
-    from pyspark.sql import Observation
+def test_ingest_returns_unreadable_messages(spark, scratch):
+    import pytest
+
+    from gridspark.plans.files import ingest_files_and_rejects
 
     store, inbox = f"{scratch}/store", f"{scratch}/inbox"
     make_store(store)
-    drop(inbox, "a.txt", [msg("snow", "k0.nc"), msg("snow", "missing.nc"), msg("rain", "k1.nc")])
-    obs = Observation("scan")
+    with open(f"{store}/cut.nc", "wb") as f:
+        f.write(open(f"{store}/k0.nc", "rb").read()[:-8])
+    drop(inbox, "a.txt", [msg("snow", "k0.nc"), msg("snow", "missing.nc"), msg("rain", "k1.nc"), msg("snow", "cut.nc"), msg("snow", "missing.nc")])
     n = accepted(parse_notifications(spark.read.text(inbox).withColumnRenamed("value", "body")))
-    rows = ingest_files(n, params_frame(spark, PARAMS), base_uri=store, observation=obs)
+    rows, rejects = ingest_files_and_rejects(n, params_frame(spark, PARAMS), base_uri=store)
     assert rows.count() == 24 + 12
-    assert obs.get["failed"] == 1
+    got = sorted((r["key"], r["error"].split(":")[0]) for r in rejects.collect())
+    assert got == [("cut.nc", "FormatError"), ("missing.nc", "FileNotFoundError"), ("missing.nc", "FileNotFoundError")]
+    with pytest.raises(ValueError, match="unreadable file"):
+        ingest_files(n, params_frame(spark, PARAMS), base_uri=store)
+
+
+def test_a_late_object_is_read_after_a_restart(spark, scratch):
+    from gridspark.plans.files import ingest_files_and_rejects
+    from gridspark.streaming.ingest_stream import retry_rejects
+
+    store, inbox, out, dead = (f"{scratch}/{n}" for n in ("store", "inbox", "out", "dead"))
+    make_store(store)
+    late = open(f"{store}/k2.nc", "rb").read()
+    os.remove(f"{store}/k2.nc")
+    drop(inbox, "a.txt", [msg("snow", "k0.nc"), msg("snow", "k2.nc")])
+
+    def process(batch):
+        return ingest_files_and_rejects(batch, params_frame(batch.sparkSession, PARAMS), base_uri=store)
+
+    def drain():
+        q = start_ingest(parsed_stream(notification_stream(spark, inbox)), process, parquet_sink(out), f"{scratch}/ckpt",
+                         dead_letters=parquet_sink(dead))
+        q.awaitTermination()
+        assert q.exception() is None
+
+    drain()
+    assert spark.read.parquet(out).count() == 24
+    assert [r["key"] for r in spark.read.parquet(dead).collect()] == ["k2.nc"]
+    with open(f"{store}/k2.nc", "wb") as f:
+        f.write(late)
+    drain()  # the restart has nothing new
+    retry_rejects(spark, dead, process, parquet_sink(f"{scratch}/again"), parquet_sink(f"{scratch}/dead2"), 0)
+    assert spark.read.parquet(f"{scratch}/again").count() == 24
+    assert spark.read.schema("key string").parquet(f"{scratch}/dead2").count() == 0
+
+
+def test_batches_without_wanted_messages_write_nothing(spark, scratch):
+    from gridspark.operators.match import is_wanted
+
+    inbox, out = f"{scratch}/inbox", f"{scratch}/out"
+    drop(inbox, "a.txt", [msg("other", "k0.nc"), msg("else", "k1.nc")])
+    q = start_ingest(parsed_stream(notification_stream(spark, inbox)),
+                     lambda b: ingest_files(b, params_frame(b.sparkSession, PARAMS)), parquet_sink(out), f"{scratch}/ckpt",
+                     wanted=lambda b: is_wanted(b, params_frame(b.sparkSession, PARAMS)))
+    q.awaitTermination()
+    assert q.exception() is None and not os.path.exists(out)
+
+
+def test_dedupe_takes_any_created_time(spark, scratch):
+    from gridspark.streaming.ingest_stream import untimed
+
+    store, inbox = f"{scratch}/store", f"{scratch}/inbox"
+    make_store(store)
+    drop(inbox, "a.txt", [msg("snow", "k0.nc", t="2019-07-19T16:18:22.123Z"), msg("snow", "k2.nc", t="yesterday")])
+    got = run(spark, inbox, f"{scratch}/out", f"{scratch}/ckpt", store, dedupe="1 hour")
+    assert got.count() == 24
+    bodies = spark.read.text(inbox).withColumnRenamed("value", "body")
+    assert [r["key"] for r in untimed(bodies).collect()] == ["k2.nc"]
