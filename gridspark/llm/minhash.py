@@ -227,3 +227,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("class")).otherwise(F.col("doc_id"))).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS sh FROM w),
+e AS (SELECT doc_id, unnest(sh) AS g FROM s),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM met JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 75 * (len(x.sh) + len(y.sh) - n)),
+near AS (SELECT a AS x, b AS y FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT x, y FROM near UNION SELECT r.x, n.y FROM reach r JOIN near n ON r.y = n.x),
+low AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT s.doc_id, len(s.sh) AS n_shingles, least(s.doc_id, coalesce(low.m, s.doc_id)) AS component_id,
+       s.doc_id = least(s.doc_id, coalesce(low.m, s.doc_id)) AS kept
+FROM s LEFT JOIN low ON low.x = s.doc_id
+"""

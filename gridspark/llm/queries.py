@@ -78,4 +78,4 @@ QUERIES = {f.__name__: f for f in (
     op6_quality, op7_html_text, op8_toxicity, op9_secret_scan,
     op10_fingerprints)}
 
-ORACLE = {"op1_chat_format": chat.ORACLE}
+ORACLE = {"op1_chat_format": chat.ORACLE, "op3_minhash_dedup": minhash.ORACLE, "op4_substring_dedup": substring.ORACLE}

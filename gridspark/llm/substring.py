@@ -243,3 +243,20 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     ranges = cold.union(later).groupBy("id").agg(F.collect_list(F.struct("tag", "lo", "hi")).alias("ranges"))
     return base.join(ranges, "id", "left").mapInArrow(_keep, OUT)
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (
+  SELECT doc_id, lo, array_to_string(words[lo:lo + 19], ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS lo FROM w WHERE len(words) >= 20)),
+later AS (SELECT doc_id, lo FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, lo) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(lo, lo + 20)) AS pos FROM later),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w),
+kept AS (
+  SELECT e.doc_id, count(*) FILTER (g.pos IS NOT NULL) AS n_removed,
+         coalesce(string_agg(e.word, ' ' ORDER BY e.pos) FILTER (g.pos IS NULL), '') AS text
+  FROM placed e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos GROUP BY e.doc_id)
+SELECT w.doc_id, len(w.words) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
