@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -18,7 +19,11 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import BROADCAST_IDS, fresh
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.DOTALL)
+# A comment, a tag with its attributes, or markup without meaning here (also a tag whose
+# quotes do not close).
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/a-zA-Z][^>]*>""", re.DOTALL)
+# Path parts kept; elements nested deeper share the path of their ancestor at this depth.
+DEPTH = 40
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -34,6 +39,7 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
           "option": {"option"}, "body": {"head"}}
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hr main menu nav ol p pre section table ul".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote".split())
 SCOPES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 # Words of a class or id that mark what is not article text.
 NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|"
@@ -44,10 +50,10 @@ HEADERS = re.compile(r"(?:^|[\s_-])(?:header|site-header|page-header)(?=$|[\s_-]
 
 
 class Node:
-    __slots__ = ("tag", "path", "dropped", "article", "score")
+    __slots__ = ("tag", "path", "depth", "dropped", "article")
 
-    def __init__(self, tag, path, dropped, article):
-        self.tag, self.path, self.dropped, self.article, self.score = tag, path, dropped, article, 0.0
+    def __init__(self, tag, path, depth, dropped, article):
+        self.tag, self.path, self.depth, self.dropped, self.article = tag, path, depth, dropped, article
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -64,18 +70,19 @@ def opened(tag: str, given: str, parent: Node) -> Node:
                or tag not in ("body", "html", "article", "main") and bool(names) and bool(NOISE.search(names))
                or "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", "")
                or at.get("role", "") in ("navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"))
-    return Node(tag, f"{parent.path}/{tag}.{kinds}" if kinds else f"{parent.path}/{tag}", dropped, article)
+    path = parent.path if parent.depth >= DEPTH else f"{parent.path}/{tag}.{kinds}" if kinds else f"{parent.path}/{tag}"
+    return Node(tag, path, parent.depth + 1, dropped, article)
 
 
 def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
     """(path of the block's element, text) of every block outside dropped elements, in page
     order, and the path of the best container (empty if there is no text)."""
-    stack = [Node("", "", False, False)]
+    stack = [Node("", "", 0, False, False)]
+    count: dict[str, int] = {}  # open elements of each tag
     out: list[tuple[str, str]] = []
     scored: dict[str, float] = {}
     text: list[str] = []
     linked = [0]
-    inline = 0  # open inline elements on top of the stack
 
     def flush():
         if text:
@@ -85,9 +92,11 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
                 node = next(n for n in reversed(stack) if n.tag not in INLINE)
                 out.append((node.path, whole))
                 worth = max(0, len(whole) - 2 * linked[0])
-                holders = [n for n in stack if n.tag not in INLINE and n.tag not in ("", "html")]
-                holders = holders[:-1] if holders and holders[-1].tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote") and len(holders) > 1 else holders
-                for share, n in zip((1.0, 0.6, 0.3), reversed(holders), strict=False):
+                # the paragraph's container, then the two around it
+                holders = list(islice((n for n in reversed(stack) if n.tag not in INLINE and n.tag not in ("", "html")), 4))
+                if len(holders) > 1 and holders[0].tag in PARAGRAPHS:
+                    holders = holders[1:]
+                for share, n in zip((1.0, 0.6, 0.3), holders, strict=False):
                     scored[n.path] = scored.get(n.path, 0) + share * worth
             linked[0] = 0
 
@@ -95,7 +104,7 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
         while len(stack) > until:
             if stack[-1].tag not in INLINE:
                 flush()
-            stack.pop()
+            count[stack.pop().tag] -= 1
 
     at = 0
     while at < len(html):
@@ -104,7 +113,7 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
         if end > at and not stack[-1].dropped:
             part = unescape(html[at:end])
             text.append(part)
-            if any(n.tag == "a" for n in stack):
+            if count.get("a"):
                 linked[0] += len(part)
         if not m:
             break
@@ -113,14 +122,14 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0 if count.get(tag) else len(stack), -1):
                 if stack[k].tag == tag:
                     close(k)
                     break
                 if stack[k].tag not in INLINE and tag in INLINE:
                     break
             else:
-                if tag == "p":
+                if tag not in INLINE:
                     flush()
             continue
         if tag not in INLINE:
@@ -141,6 +150,7 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
             continue
         if not m[3].rstrip().endswith("/") or tag not in ("path", "use", "rect", "circle"):
             stack.append(opened(tag, m[3], stack[-1]))
+            count[tag] = count.get(tag, 0) + 1
     close(1)
     flush()
     best = max(sorted(scored), key=lambda p: scored[p]) if scored else ""

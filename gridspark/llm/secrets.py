@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,7 +26,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 # A long token of mixed kinds of characters, outside the base patterns.
-BARE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^\s]*[A-Z])(?=[^\s]*[a-z])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
+BARE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z])(?=[0-9A-Z+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 
@@ -45,8 +46,17 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
     if any(HEX.search(w) for w in long):
         out += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     if any(BARE.search(w) for w in long):
-        base = [(a, b) for _, a, b, _ in out]
-        out += [("bare", m.start(), m.end(), m[0]) for m in BARE.finditer(text) if not any(m.start() < b and a < m.end() for a, b in base)]
+        merged: list[list[int]] = []
+        for a, b in sorted((a, b) for _, a, b, _ in out):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        starts = [a for a, _ in merged]
+        for m in BARE.finditer(text):
+            k = bisect_left(starts, m.end()) - 1  # the last base stretch that starts before its end
+            if k < 0 or merged[k][1] <= m.start():
+                out.append(("bare", m.start(), m.end(), m[0]))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

@@ -152,6 +152,20 @@ def test_html(spark):
     assert html.extract(df.filter("1 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<div>" * 20000 + "deep" + "<p>x</p>" * 2000, "deep" + " x" * 2000), ("</span>" * 20000 + "<b>" * 5000 + "a" + "</i>" * 5000, "a"),
+    ('<p>a <a title="x>b</a> c', "a b c"), ("a < b & c &lt;d&gt; &#8364; &nosuch;", "a < b & c <d> € &nosuch;"), ("<p>x<script>never closed", "x")])
+def test_html_odd_markup(page, want):
+    found, best = html.blocks(page)
+    assert " ".join(t for _, t in found) == want
+
+
+def test_secrets_in_long_text_without_white_space():
+    text = "Ab1," * 200_000 + "Zx81kQpLm02WvTy7aBcD9" + ",token=abcdef" * 2000
+    found = secrets.find(text)
+    assert [f[0] for f in found].count("assign") == 2000 and [f[3] for f in found if f[0] == "bare"] == ["Zx81kQpLm02WvTy7aBcD9"]
+
+
 def test_html_host_agrees_on_a_path(spark):
     """A page whose teaser outweighs its article is read by the path of its host's other pages."""
     body = "<body><div class='story'><p>{}</p></div><div class='extra'><p>{}</p></div></body>"
