@@ -33,6 +33,8 @@ SLICE_BYTES = 3 << 20
 QUERY_BYTES = 300_000
 KEEP_CHUNKS = 450_000
 LONG_PIECE = 400
+# Code points of a text that is taken in parts.
+LONG_TEXT = 1 << 20
 NONE = 0xFFFF_FFFF
 # Marks that end a piece of letters and are a piece by themselves when alone.
 MARKS = frozenset(".,;:!?")
@@ -42,6 +44,19 @@ WHITE = "\t-\r \x85\xa0  -     　"
 # with the one space before it, or the white space that belongs to no such run.
 CHUNK = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}]|\Z)|[{WHITE}]")
 
+# Where a text can be cut without changing its chunks: before a single space between words.
+CUT = re.compile(rf"[^{WHITE}](?= [^{WHITE}])")
+
+
+def parts(text: str, size: int) -> Iterator[str]:
+    """``text`` in parts of about ``size`` code points with the same chunks."""
+    at = 0
+    while len(text) - at > size and (m := CUT.search(text, at + size)):
+        yield text[at: m.end()]
+        at = m.end()
+    yield text[at:]
+
+
 CONTRACT = """
 WITH RECURSIVE steps AS (
   SELECT i.w, i.pos, i.tok, i.nxt, g.merged AS m, false AS done
@@ -202,7 +217,14 @@ class Codec:
             self.numbers.extend([self.pieces[p] for p in ps])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in a row, and where each text's ids end."""
+        """The ids of all texts in a row, and where each text's ids end. A long text alone
+        is taken in parts, so the memory for its pieces stays bounded."""
+        if len(texts) == 1 and len(texts[0]) > LONG_TEXT:
+            ids = np.concatenate([self.encode_texts([part])[0] for part in parts(texts[0], LONG_TEXT)])
+            return ids, np.array([len(ids)])
+        return self.encode_texts(texts)
+
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [CHUNK.findall(t) for t in texts]
         new = set().union(*split) - self.chunks.keys()
         if len(self.chunks) + len(new) > KEEP_CHUNKS:

@@ -45,6 +45,14 @@ def test_bpe_white_space_and_long_pieces(encoding):
         assert part.tolist() == encoding.encode_ordinary(t) and data == t.encode()
 
 
+def test_bpe_of_a_long_text_in_parts(encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_TEXT", 50)
+    c = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    for text in (prose(8, 400), "a  b \n c " * 60, "x" * 300, " y" * 200, "é \u3000 ß " * 40):
+        assert list(bpe.parts(text, 50))[0] and "".join(bpe.parts(text, 50)) == text
+        assert c.encode([text])[0].tolist() == encoding.encode_ordinary(text)
+
+
 def test_bpe_encode_then_decode(spark):
     df = awkward(spark).filter("doc_id < 7")
     pattern = public_tokenizers.PATTERN
