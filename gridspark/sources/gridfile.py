@@ -11,7 +11,8 @@ The unit of work is a slab block, not a file: a file of any size is split into
    (request, realization, y block). It is tiny, so it is written to the shared folder
    (a lost executor never re-reads headers) and sized: it is dealt in ranges of (path,
    realization, y), so a task opens few files, over as many read tasks as
-   ``spark.sql.files.maxPartitionBytes`` of slab data calls for.
+   ``spark.sql.files.maxPartitionBytes`` of slab data calls for. It carries the variables'
+   places in the file, so the reads that follow do not read headers again.
 3. ``read`` (``mapInArrow``) reads each block with one ranged read and emits
    ``grid_slabs`` rows as Arrow batches, vectorized with NumPy; the unpivot that follows
    is a native ``posexplode``.
@@ -57,6 +58,7 @@ RESOLVED_SCHEMA = T.StructType(
         T.StructField("rows_per_block", T.IntegerType()),
         T.StructField("time", T.LongType()),
         T.StructField("forecast", T.LongType()),
+        T.StructField("layout", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
@@ -112,15 +114,18 @@ class _Files:
     def __init__(self, limit: int = 16):
         self.limit, self.open = limit, {}
 
-    def get(self, path: str):
-        hit = self.open.pop(path, None)
+    def get(self, path: str, layout: str | None = None):
+        """The open file, its header (from ``layout`` when the header pass left one, so the
+        file's own is not read again) and a cache for its axes."""
+        key = (path, layout)
+        hit = self.open.pop(key, None)
         if hit is None:
             reader = nc.open_reader(path)
-            hit = (reader, nc.read_header(reader), {})
+            hit = (reader, nc.Header.from_layout(layout) if layout else nc.read_header(reader), {})
             if len(self.open) >= self.limit:
                 old = next(iter(self.open))
                 self.open.pop(old)[0].close()
-        self.open[path] = hit
+        self.open[key] = hit
         return hit
 
     def close(self):
@@ -176,6 +181,7 @@ def resolve_one(reader, h, measure: str, coord_y: str, coord_x: str, r_limit: in
         rows_per_block=max(1, min(y_len, block_bytes // line)) if y_len else 1,
         time=_scalar(reader, h, VAR_TIME),
         forecast=_scalar(reader, h, VAR_FORECAST_TIME),
+        layout=h.layout([measure, coord_y, coord_x]),
         error=None,
     )
 
@@ -386,7 +392,7 @@ def _read_block(files: _Files, p: dict):
     """One ranged read of a (realization, y block) slab plus its coordinates:
     returns y indices, y coordinates, the x axis and the values (row-major, float32, or
     float64 for measures of other types)."""
-    reader, h, cache = files.get(p["path"])
+    reader, h, cache = files.get(p["path"], p["layout"])
     return _block(reader, h, cache, p["measure"], p["coord_y"], p["coord_x"], p["r"], p["y0"], p["ny"], p["x_len"])
 
 
