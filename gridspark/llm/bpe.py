@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from gridspark.llm.common import text_slices
 
 # Bytes of text taken at once, bytes of new pieces in one recursive query, encoded chunks
-# of text a task keeps, and bytes from which a piece is merged by a heap instead of position rows
+# of text a task keeps while it runs, and bytes from which a piece is merged by a heap instead of position rows
 # (a query's work grows with the square of its longest piece).
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 QUERY_BYTES = 300_000
 KEEP_CHUNKS = 450_000
 LONG_PIECE = 400
@@ -273,10 +273,13 @@ def broadcast_vocabulary(spark, path: str, pattern: str):
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, Codec]]:
     c = codec(vocabulary.value)
-    for batch in batches:
-        for lo, hi, _, _ in text_slices(batch, "text", SLICE_BYTES):
-            ids, ends = c.encode([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
-            yield batch.column("doc_id").slice(lo, hi - lo), ids, ends, c
+    try:
+        for batch in batches:
+            for lo, hi, _, _ in text_slices(batch, "text", SLICE_BYTES):
+                ids, ends = c.encode([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
+                yield batch.column("doc_id").slice(lo, hi - lo), ids, ends, c
+    finally:
+        c.clear()  # the process lives on for other stages; it keeps the merge table only
 
 
 def _encode_rows(vocabulary) -> callable:

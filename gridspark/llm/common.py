@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from gridspark.session import scratch_path
 
-# Text bytes handled at once inside a task (a longer document is one slice by itself).
-SLICE_BYTES = 4 << 20
+# Text bytes handled at once inside a task (a longer document is one slice by itself); the
+# arrays made for a slice take some 50 times its size.
+SLICE_BYTES = 1 << 20
 
 # Largest id list sent to every executor; longer lists are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -53,6 +54,14 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=U)
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], n: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``n`` rows, for work that holds Python objects of all
+    rows at once."""
+    for batch in batches:
+        for lo in range(0, len(batch), n):
+            yield batch.slice(lo, n)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, UTF-8 bytes, row offsets into them) of consecutive rows with
     at most ``limit`` bytes of text together, or one longer row. Nulls read as empty."""

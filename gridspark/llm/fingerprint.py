@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import U, mix, powers, seeds
+from gridspark.llm.common import U, few_rows, mix, powers, seeds
 
 # Smallest, target and largest chunk, in bytes. The hash window is the smallest chunk, so
 # a cut never depends on bytes before its own chunk.
@@ -115,7 +115,7 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one range sorted by place, closed by the row that follows the range."""
     held: list[tuple] = []
     before = None
-    for batch in batches:
+    for batch in few_rows(batches):
         cols = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "closing")), strict=True)
         for doc_id, text, closing in cols:
             text = text or ""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import (
-    LOWER, U, components, fresh, gram_hashes, mix, only_ids, powers, seeds, text_slices, word_hashes, word_spans)
+    LOWER, U, components, few_rows, fresh, gram_hashes, mix, only_ids, powers, seeds, text_slices, word_hashes, word_spans)
 
 SHINGLE = 5
 ROWS, BANDS = 4, 36
@@ -107,7 +107,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with both texts -> the pairs with 100 * |intersection| >= 75 * |union|."""
-    for batch in batches:
+    for batch in few_rows(batches):
         left, right = [], []
         sets = []
         for side in ("text_a", "text_b"):

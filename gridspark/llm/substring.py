@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import U, gram_hashes, mix, text_slices, word_hashes, word_spans
+from gridspark.llm.common import U, few_rows, gram_hashes, mix, text_slices, word_hashes, word_spans
 
 WINDOW = 20
 GRAM = 4
@@ -89,7 +89,7 @@ def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their wanted runs -> one packed string per run."""
-    for batch in batches:
+    for batch in few_rows(batches):
         ids, tags, wanted = (batch.column(c).to_pylist() for c in ("id", "tag", "runs"))
         out: list[tuple] = []
         size = 0
@@ -176,7 +176,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their hot runs -> one row per window with its 128-bit hash."""
-    for batch in batches:
+    for batch in few_rows(batches):
         ids, tags, wanted = (batch.column(c).to_pylist() for c in ("id", "tag", "runs"))
         for lo, hi, data, offs in text_slices(batch, "text"):
             start, end, first = word_spans(data, offs)
@@ -196,7 +196,7 @@ OUT = "doc_id long, n_words long, n_removed long, kept string"
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their covered ranges -> the words that stay."""
-    for batch in batches:
+    for batch in few_rows(batches):
         ids, tags, ranges = (batch.column(c).to_pylist() for c in ("id", "tag", "ranges"))
         total, removed, kept = [], [], []
         for i, words in _rows_of(batch):

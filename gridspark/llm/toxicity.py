@@ -23,8 +23,8 @@ from gridspark.llm.common import BYTE_VALUES, U, WORD_BASE, mix, powers, seeds,
 from gridspark.llm.sample import fold, labelled_sample
 
 # Bounds of the sample: documents per label value, and bytes of one document.
-SAMPLE_ROWS = 6_000
-SAMPLE_BYTES = 32 << 10
+SAMPLE_ROWS = 4_000
+SAMPLE_BYTES = 24 << 10
 # Word beginnings used as features, in bytes.
 STEMS = (4, 5, 6, 7, 8)
 STEM_SALTS = seeds(max(STEMS), 11)
@@ -181,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, condition: F.Column, rows: int = S
     label = got.column("label").to_numpy().astype(int)
     own = [np.frombuffer(x, U) for x in got.column("own").to_pylist()]
     other = [None if x is None else np.frombuffer(x, U) for x in got.column("other").to_pylist()]
+    del got
     if not len(label):
         return Model(np.zeros(0, U), np.zeros(0), 0.0)
     counts = {r["toxic"]: r["n"] for r in labels.filter(condition).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
