@@ -172,6 +172,22 @@ def _leak_rows(block, least: float) -> callable:
     return run
 
 
+def _clean_rows(block, least: float) -> callable:
+    """Each batch without the rows whose text has an aligned copy."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = block.value
+        for batch in batches:
+            clean = np.ones(len(batch), bool)
+            for lo, hi, data, offs in text_slices(batch, "text"):
+                words, first = plain_words(data, offs)
+                at, _ = seeds.find(gram_hashes(words, GRAM))
+                for r in np.unique(np.searchsorted(first, at, "right") - 1):
+                    clean[lo + r] = not any(score >= least for _, score, *_ in seeds.passages(words[first[r]: first[r + 1]]))
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def item_words(rows) -> list[tuple[int, np.ndarray]]:
     items = []
     for item_id, text in rows:
@@ -191,12 +207,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, block_byte
     or item give one row; a null doc_id or item_id is reported as null. Other columns
     are ignored.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = docs.sparkSession.createDataFrame([], LEAKS)
+    for rare in rare_seeds(docs, benchmark, block_bytes):
+        found = found.union(docs.mapInArrow(_leak_rows(rare, least), LEAKS))
+    best = F.max(F.struct("score", F.negative("start_word").alias("s"), "end_word", "seeds")).alias("b")
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "b.score", F.negative("b.s").alias("start_word"), "b.end_word", "b.seeds")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text has no aligned copy of a test item
+    (see ``leaks``); each row is judged by its own text, whatever its doc_id."""
+    clean = docs
+    for rare in rare_seeds(docs.select("text"), benchmark, block_bytes):
+        clean = clean.mapInArrow(_clean_rows(rare, least), docs.schema)
+    return clean
+
+
+def rare_seeds(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> Iterator:
+    """The broadcast rare seeds of each block of test items."""
+    spark = docs.sparkSession
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL").distinct()
     total = bench.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = int(total // block_bytes) + 1
-    found = spark.createDataFrame([], LEAKS)
     for k in range(blocks):
         part = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         seeds = Seeds(item_words(part.orderBy("item_id", "text").toLocalIterator()))
@@ -205,8 +239,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, block_byte
         every = spark.sparkContext.broadcast(seeds)
         counts = docs.select("text").mapInArrow(_gram_rows(every), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
         seeds.rarest({r["gram"]: r["n"] for r in counts.toLocalIterator()})  # no more rows than the block has n-grams
-        rare = spark.sparkContext.broadcast(seeds)
-        found = found.union(docs.mapInArrow(_leak_rows(rare, least), LEAKS))
-    best = F.max(F.struct("score", F.negative("start_word").alias("s"), "end_word", "seeds")).alias("b")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", "b.score", F.negative("b.s").alias("start_word"), "b.end_word", "b.seeds")
+        yield spark.sparkContext.broadcast(seeds)

@@ -45,6 +45,10 @@ def test_leaks(spark):
     assert [(r.start_word, r.end_word) for r in got if r.doc_id == 1] == [(200, 240)]
     blocks = decontaminate.leaks(docs(spark, rows), bench, block_bytes=64).collect()
     assert sorted((r.doc_id or 0, r.item_id) for r in blocks) == sorted((r.doc_id or 0, r.item_id) for r in got)
+    clean = decontaminate.without_leaks(with_clashes(docs(spark, [*rows, (None, "clean"), (5, "another text")])), bench)
+    assert clean.columns == with_clashes(docs(spark, rows)).columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in clean.collect()) == sorted(
+        [(3, rows[2][1]), (4, rows[3][1]), (6, ""), (7, ""), (0, "clean"), (5, "another text")])
     assert decontaminate.leaks(awkward(spark), bench).count() == 0
     assert decontaminate.leaks(empty(spark), bench).count() == 0
     assert decontaminate.leaks(docs(spark, rows), bench.filter("1 = 0")).count() == 0
