@@ -29,8 +29,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an aligned copy of a test item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = fresh(decontaminate.leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return without_ids(docs.select(*COLUMNS), "doc_id", gone, gone.count())
+    return decontaminate.without_leaks(docs.select(*COLUMNS), benchmark)
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
