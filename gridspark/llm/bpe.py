@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import text_slices
+from gridspark.llm.common import released, text_slices
 
 # Bytes of text taken at once, bytes of new pieces in one recursive query, encoded chunks
 # of text a task keeps while it runs, and bytes from which a piece is merged by a heap instead of position rows
 # (a query's work grows with the square of its longest piece).
 SLICE_BYTES = 2 << 20
 QUERY_BYTES = 300_000
-KEEP_CHUNKS = 450_000
+KEEP_CHUNKS = 250_000
 LONG_PIECE = 400
 # Code points of a text that is taken in parts.
 LONG_TEXT = 1 << 20
@@ -256,14 +256,22 @@ _CODECS: dict[str, Codec] = {}
 
 
 def codec(vocabulary: tuple[str, dict[bytes, int], str]) -> Codec:
-    """This process's codec of a broadcast vocabulary; only the latest is kept."""
+    """The codec of a broadcast vocabulary for the task that runs now."""
     name, ranks, pattern = vocabulary
     if name not in _CODECS:
-        _CODECS.clear()
+        close_codec()
         _CODECS[name] = Codec(ranks, pattern)
     return _CODECS[name]
 
 
+def close_codec() -> None:
+    """Free the pieces and the database at a task's end: the process lives on for other stages."""
+    for c in _CODECS.values():
+        c.clear()
+        c.con.close()
+    _CODECS.clear()
+
+
 def broadcast_vocabulary(spark, path: str, pattern: str):
     """The vocabulary at ``path`` (read by the driver) for all tasks."""
     ranks = read_ranks(path)
@@ -279,10 +287,11 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[tuple[pa
                 ids, ends = c.encode([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
                 yield batch.column("doc_id").slice(lo, hi - lo), ids, ends, c
     finally:
-        c.clear()  # the process lives on for other stages; it keeps the merge table only
+        close_codec()
 
 
 def _encode_rows(vocabulary) -> callable:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, ids, ends, _ in _encoded(batches, vocabulary):
             lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], ends))), pa.array(ids.astype(np.int32)))
@@ -292,6 +301,7 @@ def _encode_rows(vocabulary) -> callable:
 
 
 def _decode_rows(vocabulary) -> callable:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary.value)
         for batch in batches:
@@ -306,6 +316,7 @@ def _decode_rows(vocabulary) -> callable:
 
 
 def _round_trip(vocabulary) -> callable:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, ids, ends, c in _encoded(batches, vocabulary):
             parts = np.split(ids.astype("<u4"), ends[:-1])

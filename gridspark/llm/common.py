@@ -3,6 +3,8 @@ and hashes, written intermediates, and connected components as Spark joins."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +56,29 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=U)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def released(run):
+    """A batch function that gives freed memory back to the system when its task ends: Python
+    workers live on for other stages, and what they keep would add up beside theirs."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def few_rows(batches: Iterator[pa.RecordBatch], n: int = 500) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``n`` rows, for work that holds Python objects of all
     rows at once."""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import LOWER, U, gram_hashes, text_slices, word_hashes, word_spans
+from gridspark.llm.common import LOWER, U, gram_hashes, released, text_slices, word_hashes, word_spans
 
 GRAM = 3
 # Items with fewer words than this match by chance; they are not looked for.
@@ -134,6 +134,7 @@ class Seeds:
 
 
 def _gram_rows(block) -> callable:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = block.value
         for batch in batches:
@@ -152,6 +153,7 @@ LEAKS = "doc_id long, item_id long, score double, start_word long, end_word long
 
 
 def _leak_rows(block, least: float) -> callable:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = block.value
         for batch in batches:
@@ -174,6 +176,7 @@ def _leak_rows(block, least: float) -> callable:
 
 def _clean_rows(block, least: float) -> callable:
     """Each batch without the rows whose text has an aligned copy."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = block.value
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import U, few_rows, mix, powers, seeds
+from gridspark.llm.common import U, few_rows, mix, powers, released, seeds
 
 # Smallest, target and largest chunk, in bytes. The hash window is the smallest chunk, so
 # a cut never depends on bytes before its own chunk.
@@ -111,6 +111,7 @@ OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
        "near_edited double, near_next double")
 
 
+@released
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one range sorted by place, closed by the row that follows the range."""
     held: list[tuple] = []

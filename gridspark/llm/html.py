@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import BROADCAST_IDS, fresh
+from gridspark.llm.common import BROADCAST_IDS, fresh, released
 
 # A comment, a tag with its attributes, or markup without meaning here (also a tag whose
 # quotes do not close).
@@ -160,6 +160,7 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
 FOUND = "page_id long, url string, host string, own string, blocks array<struct<path:string,text:string>>"
 
 
+@released
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
     for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import (
-    LOWER, U, components, few_rows, fresh, gram_hashes, mix, only_ids, powers, seeds, text_slices, word_hashes, word_spans)
+    LOWER, U, components, few_rows, fresh, gram_hashes, mix, only_ids, powers, released, seeds, text_slices, word_hashes, word_spans)
 
 SHINGLE = 5
 ROWS, BANDS = 4, 36
@@ -72,6 +72,7 @@ def band_keys(sk: np.ndarray, rows: int = ROWS) -> np.ndarray:
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 
 
+@released
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id")
@@ -92,6 +93,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n_shingles", "d1", "d2", "bands"])
 
 
+@released
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The long sketch of each document that has words, a byte for each coordinate."""
     for batch in batches:
@@ -105,6 +107,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(marks, pa.binary())], names=["doc_id", "marks"])
 
 
+@released
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with both texts -> the pairs with 100 * |intersection| >= 75 * |union|."""
     for batch in few_rows(batches):
@@ -137,6 +140,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
+@released
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of open buckets, sorted by (key, i, j) -> pairs of different components whose
     sketches agree in at least ``AGREE`` of the coordinates and whose sizes allow a link.

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import LOWER, gram_hashes, text_slices, word_hashes, word_spans
+from gridspark.llm.common import LOWER, gram_hashes, released, text_slices, word_hashes, word_spans
 from gridspark.llm.sample import fold, labelled_sample
 
 # Bounds of the sample: documents per label value, and bytes of one document.
@@ -151,6 +151,7 @@ def _grow(nodes, at, rows, binned, edges, g, h, depth, out) -> np.ndarray:
     return _grow(nodes, right, rows[~low], binned, edges, g, h, depth + 1, out)
 
 
+@released
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offs in text_slices(batch, "text"):
@@ -173,6 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, condition: F.Column, rows: int = S
 
 
 def _score(trees) -> callable:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in text_slices(batch, "text"):

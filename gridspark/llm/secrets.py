@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridspark.llm.common import BROADCAST_IDS, few_rows, fresh
+from gridspark.llm.common import BROADCAST_IDS, few_rows, fresh, released
 
 KINDS = ("assign", "access", "hex", "bare")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -68,6 +68,7 @@ FOUND = ("doc_id long, owner string, repo string, tag long, n_assign long, n_acc
          "found array<struct<kind:string,start:long,end:long,digest:string>>")
 
 
+@released
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.string())]))
     for batch in few_rows(batches):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import U, few_rows, gram_hashes, mix, text_slices, word_hashes, word_spans
+from gridspark.llm.common import U, few_rows, gram_hashes, mix, released, text_slices, word_hashes, word_spans
 
 WINDOW = 20
 GRAM = 4
@@ -69,6 +69,7 @@ def window_runs(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[at], at - first[row[at]], end + 1 - at, low[at], places
 
 
+@released
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("id")
@@ -87,6 +88,7 @@ def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
         yield i, (t or b"").split()
 
 
+@released
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their wanted runs -> one packed string per run."""
     for batch in few_rows(batches):
@@ -159,6 +161,7 @@ def _ranges(rows: list[tuple]) -> pa.RecordBatch:
         names=["id", "tag", "lo", "hi"])
 
 
+@released
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed runs sorted by minimiser -> covered ranges."""
     key, group, out = None, [], []
@@ -174,6 +177,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _ranges(out + covered(group))
 
 
+@released
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their hot runs -> one row per window with its 128-bit hash."""
     for batch in few_rows(batches):
@@ -194,6 +198,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 OUT = "doc_id long, n_words long, n_removed long, kept string"
 
 
+@released
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their covered ranges -> the words that stay."""
     for batch in few_rows(batches):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridspark.llm.common import BYTE_VALUES, U, WORD_BASE, mix, powers, seeds, text_slices, word_hashes, word_spans
+from gridspark.llm.common import BYTE_VALUES, U, WORD_BASE, mix, powers, released, seeds, text_slices, word_hashes, word_spans
 from gridspark.llm.sample import fold, labelled_sample
 
 # Bounds of the sample: documents per label value, and bytes of one document.
@@ -88,6 +88,7 @@ def row_features(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+@released
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
@@ -191,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, condition: F.Column, rows: int = S
 
 def _score(model, text: str) -> callable:
     """Each batch without the column ``text``, with its scores at the end."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         may = m.filter()
