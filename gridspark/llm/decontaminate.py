@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, and
+"""Benchmark decontamination: n-gram seeds join passages to test items, and
 Smith-Waterman alignment scores the passages, so edited copies are found too.
 
 The test items are a query set: they are taken in blocks of bounded size, each block's
-seeds sent to every task, and every block meets every document. A block takes two passes over
-the documents: the first counts in how many documents each of its n-grams occurs, and
-each item keeps its rare n-grams as seeds; the second finds seeds, lays
-each group of nearby hits over its item and aligns the words around it.
+seeds sent to every task, and every block meets every document in one pass, which finds seeds,
+lays each group of nearby hits over its item and aligns the words around it. All n-grams of an
+item are seeds, however many documents have them: a passage copied and edited in many
+documents leaves only n-grams that many documents have. What common n-grams bring together
+by chance is told apart by a bound that no passage worth reporting can miss.
 """
 
 from __future__ import annotations
@@ -25,11 +26,10 @@ LEAST_WORDS = 6
 # Share of the best possible alignment score from which a passage counts as a copy.
 LEAK = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-# An n-gram is rare, for its item, up to this many documents plus so many times the lower
-# quartile of the item's n-grams.
-COMMON_BASE, COMMON_TIMES = 20, 4
 # Bytes of test items handled in one block.
 BLOCK_BYTES = 16 << 20
+# Pairs of a hit and an item laid out at once; a document with more takes its items in parts.
+PAIRS = 1 << 21
 
 # Separators: every ASCII byte but letters and digits.
 APART = np.ones(256, bool)
@@ -87,17 +87,6 @@ class Seeds:
         order = np.argsort(g, kind="stable")
         self.grams, self.owner, self.at = g[order], o[order], a[order]
 
-    def rarest(self, seen: dict[int, int]) -> None:
-        """Drop each item's n-grams that occur in far more documents than its rare ones do. A
-        widely copied item keeps its n-grams: they all occur about as often."""
-        df = np.array([seen.get(int(x), 0) for x in self.grams.view(np.int64)])
-        keep = np.zeros(len(df), bool)
-        order = np.argsort(self.owner, kind="stable")
-        for group in np.split(order, np.flatnonzero(np.diff(self.owner[order])) + 1):
-            if len(group):
-                keep[group] = df[group] <= COMMON_BASE + COMMON_TIMES * np.quantile(df[group], 0.25)
-        self.grams, self.owner, self.at = self.grams[keep], self.owner[keep], self.at[keep]
-
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``grams`` that hold a seed, and the seed's first place in the table."""
         if not len(self.grams):
@@ -107,46 +96,78 @@ class Seeds:
         at = np.flatnonzero(self.grams[place] == grams)
         return at, place[at]
 
-    def passages(self, words: np.ndarray) -> Iterator[tuple[int, float, int, int, int]]:
-        """(item, score, start, end, hits) of each stretch of a document that aligns."""
+    def passages(self, words: np.ndarray, least: float) -> Iterator[tuple[int, float, int, int, int]]:
+        """(item, score, start, end, hits) of the stretches of a document that align, with
+        every one that scores ``least``."""
         at, place = self.find(gram_hashes(words, GRAM))
         if not len(at):
             return
         until = np.searchsorted(self.grams, self.grams[place], "right")
+        parts = int((until - place).sum() // PAIRS) + 1
+        if parts == 1:
+            yield from self._aligned(words, at, place, until, np.arange(len(self.grams)), least)
+            return
+        for k in range(parts):
+            mine = self.owner % parts == k
+            before = np.concatenate(([0], np.cumsum(mine)))
+            yield from self._aligned(words, at, before[place], before[until], np.flatnonzero(mine), least)
+
+    def _aligned(self, words, at, place, until, table, least: float) -> Iterator[tuple[int, float, int, int, int]]:
+        """``passages`` from hits at ``at`` on the seeds ``table[place:until]``."""
         many = until - place
         pos = np.repeat(at, many)
-        row = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(place, many)
+        row = table[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(place, many)]
+        if not len(row):
+            return
         own, off = self.owner[row], self.at[row]
         order = np.lexsort((pos, own))
         own, pos, off = own[order], pos[order], off[order]
-        size = self.sizes[own]
-        cut = np.flatnonzero((np.diff(own) != 0) | (np.diff(pos) > size[1:])) + 1
-        for group in np.split(np.arange(len(own)), cut):
-            k = int(own[group[0]])
+        new = np.concatenate(([True], (np.diff(own) != 0) | (np.diff(pos) > self.sizes[own][1:])))
+        group = np.cumsum(new) - 1
+        # different n-grams of the item in each group
+        order = np.lexsort((off, group))
+        other = np.concatenate(([True], (np.diff(group[order]) != 0) | (np.diff(off[order]) != 0)))
+        kinds = np.bincount(group[order][other])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(own))
+        for g in np.flatnonzero(kinds >= np.minimum(2, self.sizes[own[first]] - GRAM + 1)):
+            k = int(own[first[g]])
             item = self.items[k][1]
-            if len(set(off[group].tolist())) < min(2, len(item) - GRAM + 1):
-                continue
             slack = len(item) // 2 + GRAM
-            lo = max(0, int(pos[group[0]]) - len(item) - slack)
-            hi = int(pos[group[-1]]) + len(item) + slack
-            score, a, b = align(item, words[lo:hi])
-            yield k, score, lo + a, lo + b, len(group)
-
-
-def _gram_rows(block) -> callable:
-    @released
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = block.value
-        for batch in batches:
-            for lo, hi, data, offs in text_slices(batch, "text"):
-                words, first = plain_words(data, offs)
-                at, place = seeds.find(gram_hashes(words, GRAM))
-                row = np.searchsorted(first, at, "right") - 1
-                whole = at + GRAM <= first[row + 1]
-                pairs = np.unique(np.stack([row[whole], place[whole]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(seeds.grams[pairs[1]].view(np.int64))], names=["gram"])
-
-    return run
+            lo = max(0, int(pos[first[g]]) - len(item) - slack)
+            hi = int(pos[last[g] - 1]) + len(item) + slack
+            for x, y in promising(item, words[lo:hi], least):
+                score, a, b = align(item, words[lo + x: lo + y])
+                yield k, score, lo + x + a, lo + x + b, int(last[g] - first[g])
+
+
+def promising(item: np.ndarray, passage: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Parts of a passage outside of which no stretch scores ``least``.
+
+    A stretch of that score matches at least ``least`` of the item's words, each at most
+    once, and every other word of it costs one, so its length is bounded too."""
+    need = least * len(item)
+    span = int(3 * len(item) - 2 * need) + 1
+    own = np.sort(item)
+    place = np.searchsorted(own, passage)
+    place[place == len(own)] = 0
+    inside = own[place] == passage
+    if len(passage) <= 2 * span:
+        parts = [(0, len(passage))]
+    else:
+        count = np.concatenate(([0], np.cumsum(inside)))
+        start = np.flatnonzero(count[span:] - count[:-span] >= need)
+        if not len(start):
+            return []
+        cut = np.flatnonzero(np.diff(start) > span) + 1
+        parts = [(int(x[0]), int(x[-1]) + span) for x in np.split(start, cut)]
+    values, has = np.unique(item, return_counts=True)
+    out = []
+    for a, b in parts:
+        met = np.bincount(np.searchsorted(values, passage[a:b][inside[a:b]]), minlength=len(values))
+        if np.minimum(met, has).sum() >= need:
+            out.append((a, b))
+    return out
 
 
 LEAKS = "doc_id long, item_id long, score double, start_word long, end_word long, seeds long"
@@ -163,7 +184,7 @@ def _leak_rows(block, least: float) -> callable:
                 words, first = plain_words(data, offs)
                 at, _ = seeds.find(gram_hashes(words, GRAM))
                 for r in np.unique(np.searchsorted(first, at, "right") - 1):
-                    for k, score, a, b, hits in seeds.passages(words[first[r]: first[r + 1]]):
+                    for k, score, a, b, hits in seeds.passages(words[first[r]: first[r + 1]], least):
                         if score >= least:
                             out.append((ids[lo + int(r)].as_py(), seeds.items[k][0], score, a, b, hits))
             cols = list(zip(*out, strict=True)) or [()] * 6
@@ -185,7 +206,7 @@ def _clean_rows(block, least: float) -> callable:
                 words, first = plain_words(data, offs)
                 at, _ = seeds.find(gram_hashes(words, GRAM))
                 for r in np.unique(np.searchsorted(first, at, "right") - 1):
-                    clean[lo + r] = not any(score >= least for _, score, *_ in seeds.passages(words[first[r]: first[r + 1]]))
+                    clean[lo + r] = not any(score >= least for _, score, *_ in seeds.passages(words[first[r]: first[r + 1]], least))
             yield batch.filter(pa.array(clean))
 
     return run
@@ -208,12 +229,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, block_byte
     Words are lower-cased (A-Z) runs of letters and digits. Null or empty texts on either
     side, and items of fewer than six words, match nothing. Repeated rows of a document
     or item give one row; a null doc_id or item_id is reported as null. Other columns
-    are ignored.
+    are ignored. ``seeds`` counts the item's n-grams met around the alignment.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = docs.sparkSession.createDataFrame([], LEAKS)
-    for rare in rare_seeds(docs, benchmark, block_bytes):
-        found = found.union(docs.mapInArrow(_leak_rows(rare, least), LEAKS))
+    for seeds in block_seeds(benchmark, block_bytes):
+        found = found.union(docs.mapInArrow(_leak_rows(seeds, least), LEAKS))
     best = F.max(F.struct("score", F.negative("start_word").alias("s"), "end_word", "seeds")).alias("b")
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "b.score", F.negative("b.s").alias("start_word"), "b.end_word", "b.seeds")
@@ -223,23 +244,19 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, bl
     """The rows of ``docs``, with all columns, whose text has no aligned copy of a test item
     (see ``leaks``); each row is judged by its own text, whatever its doc_id."""
     clean = docs
-    for rare in rare_seeds(docs.select("text"), benchmark, block_bytes):
-        clean = clean.mapInArrow(_clean_rows(rare, least), docs.schema)
+    for seeds in block_seeds(benchmark, block_bytes):
+        clean = clean.mapInArrow(_clean_rows(seeds, least), docs.schema)
     return clean
 
 
-def rare_seeds(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> Iterator:
-    """The broadcast rare seeds of each block of test items."""
-    spark = docs.sparkSession
+def block_seeds(benchmark: DataFrame, block_bytes: int) -> Iterator:
+    """The broadcast seeds of each block of test items."""
+    spark = benchmark.sparkSession
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL").distinct()
     total = bench.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = int(total // block_bytes) + 1
     for k in range(blocks):
         part = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         seeds = Seeds(item_words(part.orderBy("item_id", "text").toLocalIterator()))
-        if not len(seeds.grams):
-            continue
-        every = spark.sparkContext.broadcast(seeds)
-        counts = docs.select("text").mapInArrow(_gram_rows(every), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-        seeds.rarest({r["gram"]: r["n"] for r in counts.toLocalIterator()})  # no more rows than the block has n-grams
-        yield spark.sparkContext.broadcast(seeds)
+        if len(seeds.grams):
+            yield spark.sparkContext.broadcast(seeds)

@@ -62,6 +62,43 @@ def test_leaks_are_the_exact_copies_of_the_table(spark):
     assert exact and exact <= got and len(got) <= 1.1 * len(exact)
 
 
+@pytest.mark.parametrize("copies,edits", [(0, 21), (0, 200), (0, 2000), (5, 40), (30, 200)])
+def test_leaks_of_one_passage_edited_alike_in_many_documents(spark, copies, edits):
+    w = prose(80, 20).split()
+    edited = " ".join("changed" if k in (6, 13) else x for k, x in enumerate(w))
+    rows = [(k, f"{prose(1000 + k, 30)} {edited if k < edits else ' '.join(w)} {prose(5000 + k, 20)}") for k in range(edits + copies)]
+    rows += [(10000 + k, prose(9000 + k, 60)) for k in range(20)]
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.leaks(docs(spark, rows), bench).collect()}
+    assert got == {k: pytest.approx(0.85) if k < edits else 1.0 for k in range(edits + copies)}
+    assert decontaminate.without_leaks(docs(spark, rows), bench).count() == 20
+
+
+def test_passages_of_many_items_in_parts(monkeypatch):
+    """Parts of the items, and parts of a long text, give the alignments of the whole."""
+    rng = np.random.default_rng(5)
+    items = [(k, rng.integers(0, 40, 12).astype(U)) for k in range(30)]
+    text = rng.integers(0, 40, 4000).astype(U)
+    for k in range(0, 30, 3):
+        text[k * 100: k * 100 + 11] = np.delete(items[k][1], 4)
+    seeds = decontaminate.Seeds(items)
+
+    def best():
+        out = {}
+        for k, score, *_ in seeds.passages(text, 0.5):
+            out[k] = max(score, out.get(k, 0))
+        return {k: s for k, s in out.items() if s >= 0.5}
+
+    whole = best()
+    assert set(range(0, 30, 3)) <= set(whole)
+    monkeypatch.setattr(decontaminate, "PAIRS", 50)
+    assert best() == whole
+    for k, words in items:
+        parts = decontaminate.promising(words, text, 0.5)
+        assert max([decontaminate.align(words, text[a:b])[0] for a, b in parts], default=0) == pytest.approx(
+            decontaminate.align(words, text)[0]) or decontaminate.align(words, text)[0] < 0.5
+
+
 def held_out(got, labels, name, folds, fold):
     marked = {r.doc_id: r[name] for r in labels.collect()}
     for r in got:
