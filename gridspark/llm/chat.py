@@ -5,9 +5,11 @@ turn gets the rolling hash of all turns up to it; a conversation whose whole has
 one's hash at the same length is a prefix of it and is dropped by an anti-join. What
 remains is rendered.
 
-A conversation may hold a large share of all rows, so none is gathered in one group:
-turns are taken in blocks of ``BLOCK`` turn numbers, a block's hashes combine
-associatively (xor of position-bound hashes), and text is rendered by block.
+A conversation may hold a large share of all rows, under whatever turn numbers, so none is
+gathered in one group: the distinct turns are sorted over all rows into ranges, each turn's
+position is its place in its range plus the turns of the conversation in the ranges before, and the
+hashes, which combine associatively (xor of position-bound hashes), are carried from range
+to range the same way. Text is rendered by blocks of ``BLOCK`` positions.
 """
 
 from __future__ import annotations
@@ -17,41 +19,47 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import fresh
 
-# Turn numbers in one block; a rendered part covers one block.
+# Turns in one block; a rendered part covers one block.
 BLOCK = 256
 
 
 def _turns(turns: DataFrame) -> DataFrame:
-    """Turns with nulls as empty strings, their block and a 128-bit text hash."""
+    """Turns with nulls as empty strings and a 128-bit text hash."""
     return turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.coalesce(F.floor(F.col("turn").cast("long") / BLOCK), F.lit(-(1 << 40))).cast("long").alias("block"),
-        F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text")).select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).select(
         "*", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("second"), "text").alias("t2"))
 
 
-def _carried(rows: DataFrame, totals: dict, empty) -> DataFrame:
-    """``rows`` with each block's totals over the conversation's earlier blocks."""
-    sums = rows.groupBy("conv_id", "block").agg(*[f(c).alias(n) for n, (f, c) in totals.items()])
-    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    fold = {n: (F.sum if f is F.sum else F.bit_xor) for n, (f, _) in totals.items()}
-    sums = sums.select(F.col("conv_id").alias("of"), F.col("block").alias("in"),
-                       *[F.coalesce(fold[n](n).over(before), F.lit(empty)).alias(n) for n in totals])
-    return rows.join(sums, rows["conv_id"].eqNullSafe(sums["of"]) & (rows["block"] == sums["in"])).drop("of", "in")
+TURN = ["conv_id", "turn", "role", "t1", "t2"]
 
 
-def prefix_hashes(turns: DataFrame) -> DataFrame:
-    """conv_id, pos, h1, h2: for each distinct turn its position in the conversation and
+def positions(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, t1, t2, range, pos of each distinct turn: the range of the sorted
+    rows it lies in and its position in its conversation. No text is kept."""
+    rows = _turns(turns).select(*TURN).distinct().repartitionByRange(*TURN).sortWithinPartitions(*TURN)
+    rows = fresh(rows.withColumn("at", F.monotonically_increasing_id()), "turns")
+    rows = rows.select(*TURN, F.shiftright("at", 33).alias("range"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    # a conversation's turns lie together in a range
+    each = rows.groupBy("conv_id", "range").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.select(F.col("conv_id").alias("of"), F.col("range").alias("in"),
+                       (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    rows = rows.join(each, rows["conv_id"].eqNullSafe(each["of"]) & (rows["range"] == each["in"]))
+    return rows.select(*TURN, "range", (F.col("place") + F.col("shift")).alias("pos"))
+
+
+def prefix_hashes(placed: DataFrame) -> DataFrame:
+    """conv_id, pos, h1, h2: for each turn of ``positions`` its position in the conversation and
     the 128-bit hash of the turns up to it. Rows are a few numbers each; no text is moved."""
-    rows = _turns(turns).select("conv_id", "block", "turn", "role", "t1", "t2").distinct()
-    rows = _carried(rows.withColumn("one", F.lit(1).cast("long")), {"skip": (F.sum, "one")}, 0)
-    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "t1", "t2")
-    rows = rows.withColumn("pos", F.col("skip") + F.row_number().over(inside))
-    rows = rows.select("conv_id", "block", "pos", F.xxhash64("pos", "role", "t1", "t2").alias("o1"),
-                       F.xxhash64("t2", "t1", "pos", "role").alias("o2"))
-    rows = _carried(rows, {"c1": (F.bit_xor, "o1"), "c2": (F.bit_xor, "o2")}, 0)
-    inside = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.select("conv_id", "range", "pos", F.xxhash64("pos", "role", "t1", "t2").alias("o1"),
+                         F.xxhash64("t2", "t1", "pos", "role").alias("o2"))
+    sums = rows.groupBy("conv_id", "range").agg(F.bit_xor("o1").alias("s1"), F.bit_xor("o2").alias("s2"))
+    before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("conv_id").alias("of"), F.col("range").alias("in"), F.coalesce(F.bit_xor("s1").over(before), F.lit(0)).alias("c1"),
+                       F.coalesce(F.bit_xor("s2").over(before), F.lit(0)).alias("c2"))
+    rows = rows.join(sums, rows["conv_id"].eqNullSafe(sums["of"]) & (rows["range"] == sums["in"]))
+    inside = Window.partitionBy("conv_id", "range").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return rows.select("conv_id", "pos", F.bit_xor("o1").over(inside).bitwiseXOR(F.col("c1")).alias("h1"),
                        F.bit_xor("o2").over(inside).bitwiseXOR(F.col("c2")).alias("h2"))
 
@@ -73,20 +81,21 @@ def render(turns: DataFrame) -> DataFrame:
 
     Turns are ordered by turn (null first), then role, then a hash of the text; exact repeats of a row are
     one turn; null roles and texts are empty. The rows without a conv_id are one conversation. A
-    turn is rendered ``<|role|>\\ntext<|end|>\\n``; a part holds the turns of one block of
-    turn numbers, so ordinary conversations have one part, number 0, and the parts of a very long
+    turn is rendered ``<|role|>\\ntext<|end|>\\n``; a part holds ``BLOCK``
+    consecutive turns, so ordinary conversations have one part, number 0, and the parts of a very long
     one concatenate to the whole.
     """
-    keep = fresh(maximal(fresh(prefix_hashes(turns), "prefixes")), "maximal").withColumnRenamed("conv_id", "of")
+    placed = fresh(positions(turns), "positions")
+    keep = fresh(maximal(fresh(prefix_hashes(placed), "prefixes")), "maximal").withColumnRenamed("conv_id", "of")
+    kept = placed.join(keep, placed["conv_id"].eqNullSafe(keep["of"]))
+    kept = kept.select(*[F.col(c).alias(f"of {c}") for c in TURN], "pos", "n_turns", F.floor((F.col("pos") - 1) / BLOCK).cast("long").alias("part"))
     rows = _turns(turns)
-    rows = rows.join(keep, rows["conv_id"].eqNullSafe(keep["of"])).drop("of")
+    rows = rows.join(keep.select("of"), rows["conv_id"].eqNullSafe(keep["of"]), "left_semi").distinct()
+    same = [rows[c].eqNullSafe(kept[f"of {c}"]) if c in ("conv_id", "turn") else rows[c] == kept[f"of {c}"] for c in TURN]
     line = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("text"), F.lit("<|end|>\n"))
-    parts = rows.groupBy("conv_id", "n_turns", "block").agg(
-        F.sort_array(F.collect_set(F.struct("turn", "role", "t1", "t2", line.alias("t")))).alias("l"))
-    order = Window.partitionBy("conv_id").orderBy("block")
-    return parts.select(
-        "conv_id", (F.row_number().over(order) - 1).cast("long").alias("part"), "n_turns",
-        F.array_join(F.transform("l", lambda x: x["t"]), "").alias("chat"))
+    parts = rows.join(kept, same).groupBy("conv_id", "n_turns", "part").agg(
+        F.sort_array(F.collect_list(F.struct("pos", line.alias("t")))).alias("l"))
+    return parts.select("conv_id", "part", "n_turns", F.array_join(F.transform("l", lambda x: x["t"]), "").alias("chat"))
 
 
 ORACLE = """

@@ -224,3 +224,37 @@ def test_chat_of_many_turns_comes_in_parts(spark):
     got.sort(key=lambda r: r.part)
     assert [r.part for r in got] == [0, 1, 2] and {r.conv_id for r in got} == {1} and {r.n_turns for r in got} == {700}
     assert "".join(r.chat for r in got) == brute_chat(rows)[1]
+
+
+@pytest.mark.parametrize("conv,turn", [(None, "NULL"), (None, "0"), (7, "3"), (None, "id % 3")])
+def test_chat_of_one_id_and_equal_turns_is_rendered_in_bounded_parts(spark, conv, turn):
+    hot = spark.range(3000).selectExpr("CAST(NULL AS long) AS conv_id" if conv is None else f"{conv}L AS conv_id", f"CAST({turn} AS long) AS turn",
+                                       "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('text ', id) AS text")
+    df = hot.union(hot.limit(500)).union(spark.range(200).selectExpr("id + 100", "0L", "'user'", "concat('other ', id)"))
+    got = sorted(chat.render(df).collect(), key=lambda r: (r.conv_id or 0, r.part))
+    mine = [r for r in got if r.conv_id == conv]
+    assert [r.part for r in mine] == list(range(12)) and {r.n_turns for r in mine} == {3000} and len(got) == 212
+    lines = [r.chat.split("<|end|>\n")[:-1] for r in mine]
+    assert [len(part) for part in lines] == [chat.BLOCK] * 11 + [3000 - 11 * chat.BLOCK]
+    order = {f"<|{r.role}|>\n{r.text}": (r.turn or 0, r.role) for r in hot.collect()}
+    whole = [x for part in lines for x in part]
+    assert set(whole) == set(order) and len(whole) == 3000 and [order[x] for x in whole] == sorted(order.values())
+
+
+def test_chat_prefix_across_ranges(spark, monkeypatch):
+    """Positions and hashes are carried from range to range; prefixes of a long conversation go."""
+    monkeypatch.setattr(chat, "BLOCK", 8)
+    rows = [(c, None if k == 0 else k // 4, "user", f"t{k:03}") for c, n in ((1, 88), (2, 200), (3, 200), (None, 148), (5, 40)) for k in range(n)]
+    rows += [(6, k, "user", f"t{k:03}x") for k in range(5)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        got = chat.render(df).collect()
+        assert chat.positions(df).select("range").distinct().count() > 1
+        assert [r.pos for r in chat.positions(df).filter("conv_id = 3").orderBy("pos").collect()] == list(range(1, 201))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    whole = {}
+    for r in sorted(got, key=lambda r: r.part):
+        whole.setdefault(r.conv_id, []).append(r.chat.split("<|end|>\n")[:-1])
+    assert set(whole) == {2, 6} and [len(p) for p in whole[2]] == [8] * 25 and sorted(x for p in whole[2] for x in p) == sorted({f"<|user|>\nt{k:03}" for k in range(200)})
