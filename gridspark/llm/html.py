@@ -2,13 +2,15 @@
 
 Every page is read once into text blocks, each with the generalised path of its ancestors
 (tags and classes, digits as N). A page votes for the container that scores best by the text of
-its paragraphs; Spark counts the votes per host, and each page is extracted again with
-its host's winning path. Pages that lack the winning path use their own container.
+its paragraphs, or for the one around it that this container is a part of; Spark counts the
+votes per host, and each page is extracted again with its host's winning path. Pages that lack the winning path use their own container.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from itertools import islice
@@ -49,11 +51,37 @@ NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|co
 HEADERS = re.compile(r"(?:^|[\s_-])(?:header|site-header|page-header)(?=$|[\s_-])", re.IGNORECASE)
 
 
+# Names that say of a container what it has beside the article: no mark of noise.
+MODIFIER = re.compile(r"(?<![^\s_-])(?:(?:has|with|without)[_-]\S*|no[_-](?:[a-z]+[_-])*side(?:bar)?(?![a-z]))", re.IGNORECASE)
+# Elements that are parts of a text and hold no article by themselves; cells can (layout tables).
+PARTS = PARAGRAPHS | frozenset("ul ol dl dt dd table thead tbody tfoot tr caption figure figcaption details summary hgroup address center".split())
+CELLS = frozenset(("td", "th"))
+OUTER = frozenset(("", "html", "body"))
+
+
+class Mark:
+    """An element that its class or id marks as noise, inside ``around`` (or None)."""
+    __slots__ = ("around", "shown", "held", "own", "paragraphs", "inner")
+
+    def __init__(self, around):
+        self.around, self.shown = around, False
+        self.held = self.own = self.paragraphs = 0  # text inside, without marked parts, and of that in paragraphs
+        self.inner = []
+
+
 class Node:
-    __slots__ = ("tag", "path", "depth", "dropped", "article")
+    __slots__ = ("tag", "path", "depth", "dropped", "article", "mark", "root")
 
-    def __init__(self, tag, path, depth, dropped, article):
+    def __init__(self, tag, path, depth, dropped, article, mark=None, root=None):
         self.tag, self.path, self.depth, self.dropped, self.article = tag, path, depth, dropped, article
+        self.mark, self.root = mark, root  # innermost mark; outermost article or main as [mark there, its text]
+
+
+class Block:
+    __slots__ = ("path", "text", "worth", "holders", "paragraph", "mark", "root")
+
+    def __init__(self, *given):
+        self.path, self.text, self.worth, self.holders, self.paragraph, self.mark, self.root = given
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -62,25 +90,104 @@ def attributes(text: str) -> dict[str, str]:
 
 def opened(tag: str, given: str, parent: Node) -> Node:
     at = attributes(given) if given.strip() else {}
-    names = f"{at.get('class', '')} {at.get('id', '')}".strip()
+    names = MODIFIER.sub(" ", f"{at.get('class', '')} {at.get('id', '')}").strip()
     kinds = ".".join(sorted({re.sub(r"\d+", "N", c) for c in at.get("class", "").lower().split()}))
     article = parent.article or tag in ("article", "main")
+    noise = bool(names) and bool(NOISE.search(names))
+    marked = tag not in ("body", "html", "article", "main") and noise or bool(HEADERS.search(names)) and not parent.article
     dropped = (parent.dropped or tag in DROPPED
-               or (tag == "header" or bool(HEADERS.search(names))) and not parent.article
-               or tag not in ("body", "html", "article", "main") and bool(names) and bool(NOISE.search(names))
+               or tag == "header" and not parent.article
+               or marked and tag in INLINE
                or "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", "")
                or at.get("role", "") in ("navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"))
     path = parent.path if parent.depth >= DEPTH else f"{parent.path}/{tag}.{kinds}" if kinds else f"{parent.path}/{tag}"
-    return Node(tag, path, parent.depth + 1, dropped, article)
+    mark = Mark(parent.mark) if marked and not dropped else parent.mark
+    root = parent.root or ([mark, 0] if tag in ("article", "main") and not noise else None)
+    return Node(tag, path, parent.depth + 1, dropped, article, mark, root)
+
+
+def unmask(found: list[Block], marks: list[Mark]) -> list[Block]:
+    """The blocks outside marked elements. A mark does not count on an element that holds what the page
+    is about: its only article, longer than all text outside of marks, or, where no paragraph and
+    hardly any text is outside, the most text."""
+    for b in found:
+        if b.mark is not None:
+            b.mark.own += len(b.text)
+            b.mark.paragraphs += b.worth if b.paragraph else 0
+        if b.root is not None and b.root[0] is b.mark:
+            b.root[1] += len(b.text)
+    for m in reversed(marks):  # inner ones first
+        m.held += m.own
+        if m.around is not None:
+            m.around.held += m.held
+            m.around.inner.append(m)
+    open_ = [b for b in found if b.mark is None]
+    shown, paragraphs = sum(len(b.text) for b in open_), any(b.paragraph and b.worth for b in open_)
+    if not any(b.root is not None for b in open_):
+        articles = list({id(b.root): b.root for b in found if b.root is not None and b.root[1]}.values())
+        if len(articles) == 1 and articles[0][1] > shown:
+            m = articles[0][0]
+            while m is not None:
+                m.shown = True
+                shown, paragraphs, m = shown + m.own, paragraphs or m.paragraphs > 0, m.around
+    # from the outside in: what a lifted mark holds is judged again
+    order = [(-m.held, k, m) for k, m in enumerate(marks) if m.around is None and not m.shown]
+    heapq.heapify(order)
+    k = len(marks)
+    while order and not paragraphs and 10 * shown < order[0][2].held:
+        m = heapq.heappop(order)[2]
+        m.shown = True
+        shown, paragraphs = shown + m.own, paragraphs or m.paragraphs > 0
+        for inner in m.inner:
+            k += 1
+            heapq.heappush(order, (-inner.held, k, inner))
+    for m in marks:  # outer ones first
+        m.shown = m.shown and (m.around is None or m.around.shown)
+    return [b for b in found if b.mark is None or b.mark.shown]
+
+
+def container(found: list[Block], best: str, up: dict[str, tuple[str, str]]) -> str:
+    """The path of the article that the best-scoring path is part of. ``up`` has the parent's
+    path and the tag of each path."""
+    chain = [best]
+    while chain[-1] in up:
+        chain.append(up[chain[-1]][0])
+    tags = [up[p][1] if p in up else "" for p in chain]
+    if "article" in tags:
+        return chain[len(tags) - 1 - tags[::-1].index("article")]
+    direct = {b.holders[0] for b in found if b.paragraph and b.worth and b.holders}
+    most = len(chain) - 1
+    while most and tags[most] in OUTER and tags[most] != "body":
+        most -= 1
+    at = 0
+    # out of lists, tables and sections to what holds them
+    while at < most and (tags[at] in PARTS or tags[at] in CELLS and chain[at] not in direct
+                         or tags[at] == "section" and (tags[at + 1] not in OUTER or chain[at + 1] in direct)):
+        at += 1
+    # to an element around it that has paragraphs of its own
+    for k in range(at + 1, most + 1):
+        if tags[k] not in OUTER and chain[k] in direct:
+            at = k
+    # and until most text is inside
+    whole = sum(len(b.text) for b in found)
+    size = Counter()
+    for b in found:
+        size[b.path] += len(b.text)
+    while at < most and 2 * sum(n for p, n in size.items() if p == chain[at] or p.startswith(chain[at] + "/")) < whole:
+        at += 1
+    while at < most and tags[at] in PARTS:
+        at += 1
+    return chain[at]
 
 
 def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
     """(path of the block's element, text) of every block outside dropped elements, in page
-    order, and the path of the best container (empty if there is no text)."""
+    order, and the path of the page's container (empty if there is no text)."""
     stack = [Node("", "", 0, False, False)]
     count: dict[str, int] = {}  # open elements of each tag
-    out: list[tuple[str, str]] = []
-    scored: dict[str, float] = {}
+    found: list[Block] = []
+    marks: list[Mark] = []
+    up: dict[str, tuple[str, str]] = {}  # path -> its parent's path, its tag
     text: list[str] = []
     linked = [0]
 
@@ -90,14 +197,12 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
             text.clear()
             if whole:
                 node = next(n for n in reversed(stack) if n.tag not in INLINE)
-                out.append((node.path, whole))
                 worth = max(0, len(whole) - 2 * linked[0])
                 # the paragraph's container, then the two around it
                 holders = list(islice((n for n in reversed(stack) if n.tag not in INLINE and n.tag not in ("", "html")), 4))
-                if len(holders) > 1 and holders[0].tag in PARAGRAPHS:
-                    holders = holders[1:]
-                for share, n in zip((1.0, 0.6, 0.3), holders, strict=False):
-                    scored[n.path] = scored.get(n.path, 0) + share * worth
+                paragraph = len(holders) > 1 and holders[0].tag in PARAGRAPHS
+                holders = [n.path for n in holders[paragraph:][:3]]
+                found.append(Block(node.path, whole, worth, holders, paragraph, node.mark, node.root))
             linked[0] = 0
 
     def close(until: int):
@@ -149,12 +254,22 @@ def blocks(html: str) -> tuple[list[tuple[str, str]], str]:
             at = stop.end() if stop else len(html)
             continue
         if not m[3].rstrip().endswith("/") or tag not in ("path", "use", "rect", "circle"):
-            stack.append(opened(tag, m[3], stack[-1]))
+            node = opened(tag, m[3], stack[-1])
+            if node.mark is not stack[-1].mark:
+                marks.append(node.mark)
+            if node.path != stack[-1].path:
+                up.setdefault(node.path, (stack[-1].path, tag))
+            stack.append(node)
             count[tag] = count.get(tag, 0) + 1
     close(1)
     flush()
-    best = max(sorted(scored), key=lambda p: scored[p]) if scored else ""
-    return out, best
+    found = unmask(found, marks)
+    scored: dict[str, float] = {}
+    for b in found:
+        for share, path in zip((1.0, 0.6, 0.3), b.holders, strict=False):
+            scored[path] = scored.get(path, 0) + share * b.worth
+    best = container(found, max(sorted(scored), key=lambda p: scored[p]), up) if scored else ""
+    return [(b.path, b.text) for b in found], best
 
 
 FOUND = "page_id long, url string, host string, own string, blocks array<struct<path:string,text:string>>"

@@ -183,6 +183,29 @@ def test_html_host_agrees_on_a_path(spark):
     assert got[9] == "short article"
 
 
+LONG = "words of a long paragraph " * 12
+MENU = "<nav><a href=/>Home</a></nav><div class='sidebar'><p>" + "aside " * 30 + "</p></div>"
+
+
+@pytest.mark.parametrize("body,want", [
+    (f"<article><h1>Head</h1><p>intro</p><section><p>{LONG}</p></section><section><p>{LONG}</p></section></article>", f"Head intro {LONG}{LONG}"),
+    (f"<article><h1>Head</h1><p>intro</p><ul><li>{LONG}</li><li>{LONG}</li></ul></article>", f"Head intro {LONG}{LONG}"),
+    (f"<article><h1>Head</h1><p>intro</p><table><tr><td>{LONG}</td><td>cell</td></tr><tr><td>{LONG}</td></tr></table></article>", f"Head intro {LONG}cell {LONG}"),
+    (f"<div class='post'><h1>Head</h1><p>intro</p><div class='row'><div class='chunk'><p>{LONG}</p></div></div></div><div class='more'><p>teaser</p></div>", f"Head intro {LONG}"),
+    (f"<div class='post'><h1>Head</h1><p>intro</p><section><p>{LONG}</p></section><table><tr><td>{LONG}</td></tr></table></div>", f"Head intro {LONG}{LONG}"),
+    (f"<h1>Head</h1><p>intro</p><section><p>{LONG}</p></section>", f"Head intro {LONG}"),
+    (f"<table><tr><td><p>links</p></td><td class='text'><p>{LONG}</p><p>{LONG}</p></td></tr></table>", f"{LONG}{LONG}"),
+    (f"<div class='wrapper has-sidebar'><div class='content'><h1>Head</h1><p>{LONG}</p></div>{MENU}</div>", f"Head {LONG}"),
+    (f"<div class='page sidebar'><div class='content'><h1>Head</h1><p>{LONG}</p></div>{MENU}</div>", f"Head {LONG}"),
+    (f"<div>Site</div><div class='widget-area' id='side'><div class='search'><p>{LONG}</p></div><div class='menu'><p>x</p></div></div>", LONG),
+    (f"<p>slogan</p><div class='wrapper sidebar'><article><h1>Head</h1><p>{LONG}</p></article>{MENU}</div>", f"Head {LONG}"),
+    (f"<div class='story'><p>short story</p></div><div id='comments'><article><p>{LONG}</p></article><article><p>{LONG}</p></article></div>", "short story"),
+])
+def test_html_keeps_the_whole_article(spark, body, want):
+    df = spark.createDataFrame([(1, "http://h.example/1", f"<html><body>{MENU}{body}<footer>f</footer></body></html>")], "page_id long, url string, html string")
+    assert html.extract(df).first().text == " ".join(want.split())
+
+
 def test_html_table(spark):
     """Every page of the table: the text of its article element, read by plain patterns."""
     from html import unescape
