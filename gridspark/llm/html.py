@@ -295,7 +295,8 @@ def host_of(url: str):
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row of ``pages`` (page_id, url, html; other columns are
-    ignored). Null and textless html gives an empty text; a null url votes with the
+    ignored). All containers below ``DEPTH`` nested elements share one path, so unmarked text
+    beside an article at that depth is kept with it; none of the article is lost. Null and textless html gives an empty text; a null url votes with the
     other pages without a host; rows repeat as given."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of("url").alias("host"), "html")
     found = fresh(rows.mapInArrow(_read, FOUND), "blocks")
