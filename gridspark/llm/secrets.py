@@ -1,8 +1,9 @@
 """Secret scanning with corpus-wide ownership frequency.
 
 Candidates are found by patterns in each text. A candidate's digest is then counted over the whole
-corpus by distinct repositories and owners: a value that several owners carry is a copied
-example, one that a single owner has looks live. Long mixed tokens outside the base
+corpus by distinct owners: a value that several owners carry counts as a copied
+example, one that a single owner has looks live. A live value that leaked to a second owner
+counts as an example too, so it is left unmasked; repositories are counted beside, but judge nothing. Long mixed tokens outside the base
 patterns are reported only if they are owner-specific by that count.
 """
 
