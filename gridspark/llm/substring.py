@@ -79,7 +79,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = ids.slice(lo, hi - lo).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(low.view(np.int64)), pa.array(own[row], pa.int64()), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array(np.minimum(places, 2).astype(np.int8))], names=["key", "id", "at", "n", "places"])
+                 pa.array(places.astype(np.int64))], names=["key", "id", "at", "n", "places"])
 
 
 def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
@@ -229,8 +229,8 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text",
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"))
-    runs = base.select("id", "text").mapInArrow(_runs, "key long, id long, at int, n int, places byte")
-    counts = runs.groupBy("key").agg(F.sum(F.col("places").cast("long")).alias("runs")).filter("runs > 1")
+    runs = base.select("id", "text").mapInArrow(_runs, "key long, id long, at int, n int, places long")
+    counts = runs.groupBy("key").agg(F.sum("places").alias("runs")).filter("runs > 1")
     again = runs.drop("places").join(counts, "key")
     listed = again.groupBy("id").agg(
         F.collect_list(F.when(F.col("runs") <= hot, F.struct("at", "n", "key"))).alias("cold"),

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridspark.llm import minhash, substring
@@ -118,6 +119,15 @@ def test_windows_awkward(spark, hot):
     assert substring.remove_repeats(empty(spark)).count() == 0
 
 
+def test_a_long_periodic_text_is_hot(spark):
+    """One run that holds many places of its minimiser goes window by window, not into a bucket."""
+    df = docs(spark, [(1, "word " * 3000), (2, "row of five words here " * 800)])
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": ["word " * 3000]})
+    assert sum(sum(b.column("places").to_pylist()) for b in substring._runs([batch])) > 2900
+    got = substring.remove_repeats(df, 100).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed, r.kept) for r in got) == brute_windows([(r.doc_id, r.text) for r in df.collect()])
+
+
 def test_query_digest(spark):
     from gridspark.llm.queries import QUERIES
 
