@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, chat, decontaminate, fingerprint, html, minhash, quality, secrets, substring, toxicity
+from gridspark.llm import bpe, chat, decontaminate, fingerprint, html, minhash, quality, rules, runs, secrets, substring, toxicity, whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,9 +73,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of ``embeddings``: floor(64 * entry) + 1000000, centred and projected."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return whiten.whitened_grid(rows)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of ``documents``; a source is a host."""
+    return rules.line_rules(table(spark, sf_dir, "documents"), "source").drop("cleaned")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of ``documents``, a tenth of which are given a periodic tail."""
+    return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_byte_bpe, op3_minhash_dedup, op4_substring_dedup, op5_decontaminate,
     op6_quality, op7_html_text, op8_toxicity, op9_secret_scan,
-    op10_fingerprints)}
+    op10_fingerprints, op11_whitening, op12_quality_rules, op13_periodic_runs)}
 
-ORACLE = {"op1_chat_format": chat.ORACLE, "op3_minhash_dedup": minhash.ORACLE, "op4_substring_dedup": substring.ORACLE}
+ORACLE = {"op1_chat_format": chat.ORACLE, "op3_minhash_dedup": minhash.ORACLE, "op4_substring_dedup": substring.ORACLE,
+          "op12_quality_rules": rules.ORACLE, "op13_periodic_runs": runs.ORACLE}
