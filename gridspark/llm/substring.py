@@ -4,16 +4,16 @@ A window is ``WINDOW`` consecutive words of one document. Its minimiser is the s
 hash among the ``GRAM``-word grams inside it; equal windows have equal minimisers.
 Consecutive windows that share a minimiser form one run (a super-k-mer).
 
-1. Runs are listed as small rows (minimiser, document, start, windows) and their
+1. Equal texts are collapsed to their first document by a digest; nothing of a later copy is sent.
+2. Runs are listed as small rows (minimiser, digest, document, start, windows) and their
    minimiser's places are counted: a minimiser in one place only proves its windows
    unique, and nothing more is sent for it.
-2. The other runs travel as one packed string each to their minimiser's bucket, where
-   equal strings are collapsed to their first place and the windows of what is left
-   are sorted, which counts them exactly.
-3. Runs of very frequent minimisers (more than ``HOT`` places) would make one large bucket.
-   They are sent window by window instead, under a 128-bit window hash, pre-aggregated to the
-   first place of each window before the shuffle.
-4. The covered word ranges go back to their documents, and the kept words are joined.
+3. Runs with equal words have equal digests: their first place is a partial aggregate, and every later place is
+   one covered range at once.
+4. What differs under one minimiser travels as one packed string each, once, to a bucket: runs are cut again
+   by a second minimiser, which equal windows share too, so a frequent minimiser's runs are spread by
+   what stands around it. There the windows are sorted, which counts them exactly.
+5. The covered word ranges go back to their documents, and the kept words are joined.
 """
 
 from __future__ import annotations
@@ -25,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import U, few_rows, gram_hashes, mix, released, text_slices, word_hashes, word_spans
+from gridspark.llm.common import U, fresh, gram_hashes, mix, powers, released, seeds, text_slices, word_hashes, word_spans
 
 WINDOW = 20
-GRAM = 4
+GRAM = 8
 # Grams in a window.
 REACH = WINDOW - GRAM + 1
-# Places of one minimiser that one bucket takes as packed strings.
-HOT = 10_000
+SECOND = seeds(1, 23)[0]
+RUN_BASE = U(0x9FB21C651E98DF25)
+RUN_INVERSE = U(pow(0x9FB21C651E98DF25, -1, 1 << 64))
 # Stands for a null doc_id: later than every other.
 NULL_ID = (1 << 63) - 1
 
@@ -69,46 +70,69 @@ def window_runs(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[at], at - first[row[at]], end + 1 - at, low[at], places
 
 
+def run_digests(words: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the ``size`` word hashes from each place ``at``, by the prefix sums of a polynomial."""
+    if not len(at):
+        return np.zeros(0, U)
+    sums = np.concatenate((np.zeros(1, U), np.cumsum(mix(words) * powers(RUN_BASE, len(words)), dtype=U)))
+    # the sums of a place differ from those at the start by a power, whose inverse is taken out
+    return mix((sums[at + size] - sums[at]) * powers(RUN_INVERSE, len(words))[at] + size.astype(U))
+
+
+RUNS = "key long, digest long, id long, tag long, at int, n int, places long"
+
+
 @released
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column("id")
+        ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "tag"))
         for lo, hi, data, offs in text_slices(batch, "text"):
             start, end, first = word_spans(data, offs)
-            row, at, n, low, places = window_runs(word_hashes(data, start, end), first)
-            own = ids.slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+            words = word_hashes(data, start, end)
+            row, at, n, low, places = window_runs(words, first)
+            digest = run_digests(words, first[row] + at, n + WINDOW - 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(low.view(np.int64)), pa.array(own[row], pa.int64()), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array(places.astype(np.int64))], names=["key", "id", "at", "n", "places"])
+                [pa.array(low.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[lo + row], pa.int64()), pa.array(tags[lo + row], pa.int64()),
+                 pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(places.astype(np.int64))],
+                names=["key", "digest", "id", "tag", "at", "n", "places"])
 
 
-def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
-    """(row, words) of a batch's texts."""
-    for i, t in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
-        yield i, (t or b"").split()
+def cut_again(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the windows of a run change their second minimiser (with the end), and the second minimisers."""
+    low = sliding_min(mix(gram_hashes(words, GRAM) ^ SECOND), REACH)
+    at = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+    return np.append(at, len(low)), low[at]
 
 
 @released
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their wanted runs -> one packed string per run."""
-    for batch in few_rows(batches):
+    """Documents with their wanted runs -> one packed string per piece of a run, under both minimisers. Rows
+    that repeat a document are packed once."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
         ids, tags, wanted = (batch.column(c).to_pylist() for c in ("id", "tag", "runs"))
-        out: list[tuple] = []
-        size = 0
-        for i, words in _rows_of(batch):
-            text = b" ".join(words)
-            stop = np.cumsum([len(w) + 1 for w in words]) if words else np.zeros(0, np.int64)
-            for run in wanted[i]:
-                at, n = run["at"], run["n"]
-                last = at + n + WINDOW - 2
-                if last < len(words):  # else a run of another row with this doc_id
-                    packed = text[stop[at - 1] if at else 0: stop[last] - 1]
-                    out.append((run["key"], ids[i], tags[i], at, packed))
-                    size += len(packed)
-            if size > 4 << 20:
-                yield _packed(out)
-                out, size = [], 0
-        yield _packed(out)
+        for lo, hi, data, offs in text_slices(batch, "text"):
+            raw = data.tobytes()
+            start, end, first = word_spans(data, offs)
+            hashes = word_hashes(data, start, end)
+            out: list[tuple] = []
+            size = 0
+            for r in range(lo, hi):
+                base = first[r - lo]
+                for run in () if (ids[r], tags[r]) in seen else wanted[r]:
+                    own = slice(base + run["at"], base + run["at"] + run["n"] + WINDOW - 1)
+                    cuts, second = cut_again(hashes[own])
+                    for a, b, low in zip(cuts, cuts[1:], second, strict=False):
+                        words = [raw[start[k]: end[k]] for k in range(own.start + a, own.start + b + WINDOW - 1)]
+                        packed = b" ".join(words)
+                        key = int(mix(np.array([run["key"]], np.int64).view(U) + low).view(np.int64)[0])
+                        out.append((key, ids[r], tags[r], run["at"] + int(a), packed))
+                        size += len(packed)
+                seen.add((ids[r], tags[r]))
+                if size > 4 << 20:
+                    yield _packed(out)
+                    out, size = [], 0
+            yield _packed(out)
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -120,27 +144,27 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 
 def covered(group: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
     """(id, tag, from, to) word ranges of the windows in ``group`` -- (id, tag, start,
-    packed words) runs of one minimiser -- that also start at an earlier (id, start)."""
-    out = []
-    first: dict[bytes, tuple[int, int]] = {}
-    for id_, _, at, packed in group:
-        place = (id_, at)
-        if packed not in first or place < first[packed]:
-            first[packed] = place
-    tags = {}
+    packed words) pieces under one pair of minimisers -- that also start at an earlier (id, start)."""
+    out, windows = [], []
     for id_, tag, at, packed in group:
-        if (id_, at) != first[packed]:
-            out.append((id_, tag, at, at + packed.count(b" ") + 1))
-        else:
-            tags.setdefault(packed, set()).add(tag)
-    windows = []
-    for packed, (id_, at) in first.items():
         words = packed.split(b" ")
-        windows += [(b" ".join(words[i: i + WINDOW]), id_, at + i, packed) for i in range(len(words) - WINDOW + 1)]
-    windows.sort(key=lambda x: x[:3])
-    for before, this in zip(windows, windows[1:]):
-        if before[0] == this[0] and before[1:3] != this[1:3]:
-            out += [(this[1], tag, this[2], this[2] + WINDOW) for tag in tags[this[3]]]
+        own = {}
+        for i in range(len(words) - WINDOW + 1):
+            text = b" ".join(words[i: i + WINDOW])
+            if text not in own:
+                own[text] = at + i
+            elif out and out[-1][:2] == (id_, tag) and out[-1][2] <= at + i <= out[-1][3]:
+                out[-1] = (id_, tag, out[-1][2], at + i + WINDOW)
+            else:
+                out.append((id_, tag, at + i, at + i + WINDOW))
+        windows += [(text, id_, place, tag) for text, place in own.items()]
+    windows.sort()
+    first = None
+    for w in windows:
+        if first is None or w[0] != first[0]:
+            first = w
+        elif w[1:3] != first[1:3]:
+            out.append((w[1], w[3], w[2], w[2] + WINDOW))
     return out
 
 
@@ -177,77 +201,74 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _ranges(out + covered(group))
 
 
-@released
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their hot runs -> one row per window with its 128-bit hash."""
-    for batch in few_rows(batches):
-        ids, tags, wanted = (batch.column(c).to_pylist() for c in ("id", "tag", "runs"))
-        for lo, hi, data, offs in text_slices(batch, "text"):
-            start, end, first = word_spans(data, offs)
-            words = word_hashes(data, start, end)
-            one, two = gram_hashes(words, WINDOW), gram_hashes(mix(words ^ U(0x5851F42D4C957F2D)), WINDOW)
-            for r in range(lo, hi):
-                base, size = first[r - lo], first[r - lo + 1] - first[r - lo]
-                at = np.concatenate([np.arange(x["at"], x["at"] + x["n"]) for x in wanted[r]])
-                at = at[at + WINDOW <= size]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one[base + at].view(np.int64)), pa.array(two[base + at].view(np.int64)), pa.array(np.full(len(at), ids[r])),
-                     pa.array(np.full(len(at), tags[r])), pa.array(at.astype(np.int32))], names=["h1", "h2", "id", "tag", "at"])
-
-
 OUT = "doc_id long, n_words long, n_removed long, kept string"
 
 
 @released
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their covered ranges -> the words that stay."""
-    for batch in few_rows(batches):
-        ids, tags, ranges = (batch.column(c).to_pylist() for c in ("id", "tag", "ranges"))
-        total, removed, kept = [], [], []
-        for i, words in _rows_of(batch):
-            gone = bytearray(len(words))
-            for x in ranges[i] or ():
-                if x["tag"] == tags[i]:
+    """Documents with their covered ranges, and whether they are later copies -> the words that stay."""
+    for batch in batches:
+        ids, ranges, later = (batch.column(c).to_pylist() for c in ("id", "ranges", "later"))
+        for lo, hi, data, offs in text_slices(batch, "text"):
+            raw = data.tobytes()
+            total, removed, kept = [], [], []
+            for r in range(lo, hi):
+                words = raw[offs[r - lo]: offs[r - lo + 1]].split()
+                gone = bytearray(len(words))
+                for x in ranges[r] or ():
                     gone[x["lo"]: x["hi"]] = b"\1" * (x["hi"] - x["lo"])
-            total.append(len(words))
-            removed.append(sum(gone))
-            kept.append(b" ".join(w for w, g in zip(words, gone, strict=True) if not g))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None if x == NULL_ID else x for x in ids], pa.int64()), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+                if later[r] and len(words) >= WINDOW:
+                    gone = bytearray(b"\1" * len(words))
+                total.append(len(words))
+                removed.append(sum(gone))
+                kept.append(b" ".join([w for w, g in zip(words, gone, strict=True) if not g]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None if x == NULL_ID else x for x in ids[lo:hi]], pa.int64()), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                 pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by one space) for every
     row of ``docs`` (doc_id, text; other columns are ignored).
 
     Every word covered by a window whose words also start earlier (a smaller doc_id, or
     the same one at an earlier word) is removed, judged on the input. A null text has no words;
-    fewer words than a window are kept. A null doc_id counts as later than all others. Rows repeating a
-    doc_id are versions of one document: equal starts in them are the same place, so
+    fewer words than a window are kept. A null doc_id counts as later than all others, and all of them as one document.
+    Rows repeating a doc_id are versions of one document: equal starts in them are the same place, so
     exact repeats of a row do not remove one another.
+
+    Runs are told apart by their minimiser's and their words' hashes, 64 bits each; windows in buckets are
+    compared as they are.
     """
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text",
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"))
-    runs = base.select("id", "text").mapInArrow(_runs, "key long, id long, at int, n int, places long")
-    counts = runs.groupBy("key").agg(F.sum("places").alias("runs")).filter("runs > 1")
-    again = runs.drop("places").join(counts, "key")
-    listed = again.groupBy("id").agg(
-        F.collect_list(F.when(F.col("runs") <= hot, F.struct("at", "n", "key"))).alias("cold"),
-        F.collect_list(F.when(F.col("runs") > hot, F.struct("at", "n"))).alias("hot"))
-
-    packed = base.join(listed.filter("size(cold) > 0").select("id", F.col("cold").alias("runs")), "id").mapInArrow(
-        _pack, "key long, id long, tag long, at int, packed binary")
-    cold = packed.repartition("key").sortWithinPartitions("key").mapInArrow(_buckets, RANGES)
-
-    windows = base.join(listed.filter("size(hot) > 0").select("id", F.col("hot").alias("runs")), "id").mapInArrow(
-        _windows, "h1 long, h2 long, id long, tag long, at int")
-    firsts = windows.groupBy("h1", "h2").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("places")).filter("places > 1")
-    later = windows.join(firsts.drop("places"), ["h1", "h2"]).filter(F.struct("id", "at") != F.col("first")).select(
-        "id", "tag", F.col("at").alias("lo"), (F.col("at") + WINDOW).alias("hi"))
-
-    ranges = cold.union(later).groupBy("id").agg(F.collect_list(F.struct("tag", "lo", "hi")).alias("ranges"))
-    return base.join(ranges, "id", "left").mapInArrow(_keep, OUT)
+    text = F.coalesce("text", F.lit(""))
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), text.alias("text"),
+                       F.xxhash64(text).alias("tag"), F.md5(text).alias("digest"))
+    copied = base.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    copied = fresh(copied.select("digest", "first"), "copied-texts")
+    marked = base.join(copied, "digest", "left").select("id", "tag", "text", (F.coalesce("first", "id") < F.col("id")).alias("later"))
+    texts = marked.filter("NOT later").select("id", "tag", "text")
+
+    runs = texts.mapInArrow(_runs, RUNS)
+    again = runs.groupBy("key").agg(F.sum("places").alias("places")).filter("places > 1").select("key")
+    held = fresh(runs.join(again, "key", "left_semi"), "repeated-runs")
+    same = ["key", "digest", "n"]
+    place = F.struct("id", "at", "tag")
+    firsts = fresh(held.groupBy(*same).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("places").alias("places")), "first-runs")
+    repeated = firsts.filter(F.col("first") < F.col("last")).select(*same, F.struct("first.id", "first.at").alias("first"))
+    placed = fresh(held.drop("places").join(repeated, same).withColumn("late", F.struct("id", "at") > F.col("first")), "placed-runs")
+    later = placed.filter("late").select("id", "tag", F.col("at").alias("lo"), (F.col("at") + F.col("n") + WINDOW - 1).alias("hi"))
+
+    # where runs with different words share a minimiser, or one holds it twice: one string of each run travels
+    # (and those of other versions of its document)
+    mixed = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("runs"), F.max("places").alias("places")).filter("runs > 1 OR places > 1")
+    sent = firsts.select("first.id", "first.tag", "first.at", "n", "key").union(placed.filter("NOT late").select("id", "tag", "at", "n", "key"))
+    listed = sent.join(mixed.select("key"), "key", "left_semi").groupBy("id", "tag").agg(
+        F.collect_set(F.struct("at", "n", "key")).alias("runs"))
+    packed = texts.join(listed, ["id", "tag"]).mapInArrow(_pack, "key long, id long, tag long, at int, packed binary")
+    buckets = packed.repartition("key").sortWithinPartitions("key").mapInArrow(_buckets, RANGES)
+
+    ranges = later.union(buckets).groupBy("id", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    return marked.join(ranges, ["id", "tag"], "left").select("id", "text", "ranges", "later").mapInArrow(_keep, OUT)
 
 
 ORACLE = r"""

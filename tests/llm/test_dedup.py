@@ -5,7 +5,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pytest
 
 from gridspark.llm import minhash, substring
 from tests.conftest import SF_SMALL
@@ -103,31 +102,48 @@ def brute_windows(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot", [substring.HOT, 2])
-def test_windows_on_table(spark, hot):
+def test_windows_on_table(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    got = substring.remove_repeats(df, hot).collect()
+    got = substring.remove_repeats(df).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed, r.kept) for r in got) == brute_windows([(r.doc_id, r.text) for r in df.collect()])
 
 
-@pytest.mark.parametrize("hot", [substring.HOT, 2])
-def test_windows_awkward(spark, hot):
+def test_windows_awkward(spark):
     df = awkward(spark).union(docs(spark, [(20, "a b c d e " * 9), (21, prose(1, 30) + " tail"), (22, "head " + prose(1, 60) + " " + prose(9, 30))]))
     rows = [(r.doc_id, r.text) for r in df.collect()]
-    got = substring.remove_repeats(with_clashes(df), hot).collect()
+    got = substring.remove_repeats(with_clashes(df)).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed, r.kept) for r in got) == brute_windows(rows)
     assert substring.remove_repeats(empty(spark)).count() == 0
 
 
-def test_a_long_periodic_text_is_hot(spark):
-    """One run that holds many places of its minimiser goes window by window, not into a bucket."""
-    df = docs(spark, [(1, "word " * 3000), (2, "row of five words here " * 800)])
-    batch = pa.RecordBatch.from_pydict({"id": [1], "text": ["word " * 3000]})
-    assert sum(sum(b.column("places").to_pylist()) for b in substring._runs([batch])) > 2900
-    got = substring.remove_repeats(df, 100).collect()
+def check_windows(df):
+    got = substring.remove_repeats(df).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed, r.kept) for r in got) == brute_windows([(r.doc_id, r.text) for r in df.collect()])
 
 
+def test_windows_of_long_periodic_texts(spark):
+    check_windows(docs(spark, [(1, "word " * 3000), (2, "row of five words here " * 800), (3, "x " + "word " * 500)]))
+    batch = pa.RecordBatch.from_pydict({"id": [1], "tag": [7], "text": ["word " * 3000]})
+    assert sum(sum(b.column("places").to_pylist()) for b in substring._runs([batch])) > 2900
+
+
+def test_windows_of_versions_and_null_ids(spark):
+    """Versions of a document at equal starts, and many rows without an id that share a passage."""
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(5, f"{a} {b}"), (5, f"{a} {c}"), (3, f"{prose(9, 10)} {a[20:]}"), (9, f"{b} {a}"), (2, c), (8, c), (8, c), (4, a), (6, f"{a} {a} {a}")]
+    check_windows(docs(spark, rows))
+    check_windows(docs(spark, [(None, f"{prose(k, k % 7)} {a} {prose(100 + k, 5)}") for k in range(300)] + [(None, a)] * 200 + [(1, a)]))
+
+
+def test_run_digests_do_not_depend_on_the_slice():
+    words = np.arange(100, 400, dtype=np.uint64)
+    at, size = np.array([3, 50, 120]), np.array([20, 25, 90])
+    whole = substring.run_digests(words, at, size)
+    for k in range(3):
+        part = words[at[k]: at[k] + size[k]]
+        assert substring.run_digests(part, np.array([0]), size[k: k + 1])[0] == whole[k]
+
+
 def test_query_digest(spark):
     from gridspark.llm.queries import QUERIES
 
