@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridspark.llm.common import BYTE_VALUES, U, WORD_BASE, mix, powers, released, seeds, text_slices, word_hashes, word_spans
+from gridspark.llm.common import BYTE_VALUES, U, WORD_BASE, fresh, mix, powers, released, seeds, text_slices, word_hashes, word_spans
 from gridspark.llm.sample import fold, labelled_sample
 
 # Bounds of the sample: documents per label value, and bytes of one document.
@@ -30,6 +30,8 @@ STEMS = (4, 5, 6, 7, 8)
 STEM_SALTS = seeds(max(STEMS), 11)
 # Features kept: those most associated with the label (G statistic of at least LEAST_G).
 FEATURES, LEAST_G = 600, 20.0
+# Sample texts with label 1 that a feature must be in.
+LEAST_TOXIC = 3
 RIDGE, COUNTERFACTUAL = 0.05, 5.0
 
 # Identity terms, in groups whose members stand for one another.
@@ -90,19 +92,36 @@ def row_features(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
 
 @released
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sample's features, and those of the texts with swapped terms where they hold any."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        other = [swapped(t) if t and _TERM.search(t) else None for t in texts]
-        cols = []
-        for column in (pa.array([t or "" for t in texts]), pa.array([o or "" for o in other])):
-            rows = []
-            one = pa.RecordBatch.from_arrays([column], names=["text"])
-            for _, _, data, offs in text_slices(one, "text"):
-                rows += row_features(data, offs)
-            cols.append([x.tobytes() for x in rows])
-        cols[1] = [x if o is not None else None for x, o in zip(cols[1], other, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary())], names=["label", "own", "other"])
+        for lo in range(0, len(batch), 100):
+            part = batch.slice(lo, 100)
+            texts = part.column("text").to_pylist()
+            other = [swapped(t) if t and _TERM.search(t) else None for t in texts]
+            cols = []
+            for column in (pa.array([t or "" for t in texts]), pa.array([o or "" for o in other])):
+                rows = []
+                one = pa.RecordBatch.from_arrays([column], names=["text"])
+                for _, _, data, offs in text_slices(one, "text"):
+                    rows += row_features(data, offs)
+                cols.append([x.view(np.int64) for x in rows])
+            cols[1] = [x if o is not None else None for x, o in zip(cols[1], other, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("label"), *(pa.array(c, pa.list_(pa.int64())) for c in cols)], names=["label", "own", "other"])
+
+
+def _bits(chosen: np.ndarray) -> callable:
+    """The rows of ``_sample_features`` with one bit for each chosen feature."""
+    def row(x: pa.ListScalar) -> bytes | None:
+        return np.packbits(np.isin(chosen, x.values.to_numpy().view(U))).tobytes() if x.is_valid else None
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [pa.array(map(row, batch.column(c)), pa.binary()) for c in ("own", "other")]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *cols], names=["label", "own", "other"])
+
+    return run
 
 
 @dataclass
@@ -119,43 +138,37 @@ class Model:
 
 
 def fit(label: np.ndarray, own: list[np.ndarray], other: list[np.ndarray | None], prior: float | None = None) -> Model:
-    """Select the features and fit the weights by Newton steps.
-
-    ``prior`` is the share of label 1 to calibrate for (default: the sample's)."""
+    """Select the features of a sample in memory and fit the weights; ``prior`` as in ``fit_weights``."""
     n1, n0 = int((label == 1).sum()), int((label == 0).sum())
     if not n1 or not n0:
-        share = (n1 + 0.5) / (n1 + n0 + 1)
-        return Model(np.zeros(0, U), np.zeros(0), float(np.log(share / (1 - share))))
-    hashes, count = np.unique(np.concatenate([x for x, y in zip(own, label, strict=True) if y]), return_counts=True)
-    hashes, toxic = hashes[count >= 3], count[count >= 3].astype(float)
-    clean = np.zeros(len(hashes))
-    for x, y in zip(own, label, strict=True):
-        if not y:
-            at = np.searchsorted(hashes, x)
-            at[at == len(hashes)] = 0
-            clean[at[hashes[at] == x]] += 1 if len(hashes) else 0
+        return constant(n1, n0)
+    hashes, place = np.unique(np.concatenate(own), return_inverse=True)
+    marks = np.repeat(label, [len(x) for x in own])
+    toxic, clean = (np.bincount(place, marks == k, len(hashes)) for k in (1, 0))
 
     def part(o, e):
         return np.where(o > 0, o * np.log(np.maximum(o, 1e-9) / e), 0)
 
     both = toxic + clean
     g = 2 * (part(toxic, both * n1 / (n1 + n0)) + part(clean, both * n0 / (n1 + n0)))
-    g[toxic / n1 <= clean / n0] = 0
+    g[(toxic < LEAST_TOXIC) | (toxic / n1 <= clean / n0)] = 0
     top = np.argsort(-g, kind="stable")[:FEATURES]
     chosen = np.sort(hashes[top[g[top] >= LEAST_G]])
+    x = np.array([np.isin(chosen, f) for f in own], np.float32).reshape(len(own), len(chosen))
+    delta = [x[i] - np.isin(chosen, f) for i, f in enumerate(other) if f is not None]
+    return fit_weights(label, chosen, x, np.array(delta, np.float32).reshape(len(delta), len(chosen)), prior)
 
-    def matrix(rows):
-        m = np.zeros((len(rows), len(chosen)), np.float32)
-        for i, x in enumerate(rows):
-            at = np.searchsorted(chosen, x)
-            at[at == len(chosen)] = 0
-            if len(chosen):
-                m[i, at[chosen[at] == x]] = 1
-        return m
 
-    x = matrix(own)
-    changed = [i for i, o in enumerate(other) if o is not None]
-    delta = x[changed] - matrix([other[i] for i in changed]) if changed else np.zeros((0, len(chosen)), np.float32)
+def constant(n1: int, n0: int) -> Model:
+    """Without labels of both kinds every text gets the share of label 1."""
+    share = (n1 + 0.5) / (n1 + n0 + 1)
+    return Model(np.zeros(0, U), np.zeros(0), float(np.log(share / (1 - share))))
+
+
+def fit_weights(label: np.ndarray, chosen: np.ndarray, x: np.ndarray, delta: np.ndarray, prior: float | None = None) -> Model:
+    """Fit the weights of the ``chosen`` features by Newton steps: ``x`` marks each sample's features, ``delta`` is
+    what the swapped terms take from them. ``prior`` is the share of label 1 to calibrate for (default: the sample's)."""
+    n1, n0 = int((label == 1).sum()), int((label == 0).sum())
     share = prior if prior is not None else n1 / (n1 + n0)
     weight = np.where(label == 1, share / n1, (1 - share) / n0) * len(label)
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
@@ -175,19 +188,44 @@ def fit(label: np.ndarray, own: list[np.ndarray], other: list[np.ndarray | None]
     return Model(chosen, w[:-1].astype(np.float64), float(w[-1]))
 
 
+def chosen_features(sample: DataFrame, n1: int, n0: int) -> np.ndarray:
+    """The features most associated with label 1, counted over the sample in Spark; only they reach the driver."""
+    held = sample.select("label", F.explode("own").alias("feature")).groupBy("feature").agg(
+        F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
+    held = held.filter((F.col("toxic") >= LEAST_TOXIC) & (F.col("toxic") / n1 > F.col("clean") / n0))
+
+    def part(column: str, share: float) -> F.Column:
+        return F.when(F.col(column) > 0, F.col(column) * F.log(F.col(column) / ((F.col("toxic") + F.col("clean")) * share))).otherwise(0.0)
+
+    scored = held.select("feature", (2 * (part("toxic", n1 / (n1 + n0)) + part("clean", n0 / (n1 + n0)))).alias("g"))
+    top = scored.filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "feature").limit(FEATURES).collect()
+    return np.sort(np.array([r["feature"] for r in top], np.int64).view(U))
+
+
 def train(docs: DataFrame, labels: DataFrame, condition: F.Column, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> Model:
-    """Fit on at most ``rows`` documents per label value, of at most ``most_bytes`` bytes each."""
+    """Fit on at most ``rows`` documents per label value, of at most ``most_bytes`` bytes each. The sample's features
+    are written to the shared folder; the driver gets ``FEATURES`` bits for each document."""
     sample = labelled_sample(docs, labels, "toxic", condition, rows, most_bytes).withColumn("text", F.lower("text"))
-    got = sample.mapInArrow(_sample_features, "label int, own binary, other binary").toArrow()
+    sample = fresh(sample.mapInArrow(_sample_features, "label int, own array<long>, other array<long>"), "toxicity-sample")
+    held = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n1, n0 = held.get(1, 0), held.get(0, 0)
+    if not n1 or not n0:
+        return constant(n1, n0) if n1 or n0 else Model(np.zeros(0, U), np.zeros(0), 0.0)
+    chosen = chosen_features(sample, n1, n0)
+    got = sample.mapInArrow(_bits(chosen), "label int, own binary, other binary").toArrow()
     label = got.column("label").to_numpy().astype(int)
-    own = [np.frombuffer(x, U) for x in got.column("own").to_pylist()]
-    other = [None if x is None else np.frombuffer(x, U) for x in got.column("other").to_pylist()]
-    del got
-    if not len(label):
-        return Model(np.zeros(0, U), np.zeros(0), 0.0)
+
+    def matrix(rows: list[bytes]) -> np.ndarray:
+        bits = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), (len(chosen) + 7) // 8)
+        return np.unpackbits(bits, axis=1, count=len(chosen)).astype(np.float32)
+
+    own, other = got.column("own").to_pylist(), got.column("other").to_pylist()
+    x = matrix(own)
+    changed = [i for i, o in enumerate(other) if o is not None]
+    delta = x[changed] - matrix([other[i] for i in changed]) if changed else np.zeros((0, len(chosen)), np.float32)
     counts = {r["toxic"]: r["n"] for r in labels.filter(condition).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
-    return fit(label, own, other, n1 / (n0 + n1) if n0 and n1 else None)
+    return fit_weights(label, chosen, x, delta, n1 / (n0 + n1) if n0 and n1 else None)
 
 
 def _score(model, text: str) -> callable:
