@@ -7,7 +7,7 @@ minimum-rank pair, step by step, until no pair can be merged. Decoding joins the
 of a batch of documents with the vocabulary and aggregates the bytes in order.
 
 The vocabulary file is read once by the driver and broadcast (its size is that of the
-vocabulary); tasks keep a bounded dictionary of encoded pieces.
+vocabulary); processes keep a bounded dictionary of encoded pieces, in two generations.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +25,12 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import released, text_slices
 
-# Bytes of text taken at once, bytes of new pieces in one recursive query, encoded chunks
-# of text a task keeps while it runs, and bytes from which a piece is merged by a heap instead of position rows
-# (a query's work grows with the square of its longest piece).
+# Bytes of text taken at once, bytes of new pieces in one recursive query, encoded pieces and chunks
+# of text in each of the two generations that a process keeps, and bytes from which a piece is merged by a heap
+# instead of position rows (a query's work grows with the square of its longest piece).
 SLICE_BYTES = 2 << 20
 QUERY_BYTES = 300_000
-KEEP_CHUNKS = 250_000
+KEEP_CHUNKS = 200_000
 LONG_PIECE = 400
 # Code points of a text that is taken in parts.
 LONG_TEXT = 1 << 20
@@ -78,8 +77,7 @@ SELECT w, tok FROM steps WHERE done ORDER BY w, pos
 """
 
 DECODE = """
-SELECT d, string_agg(hex, '') AS hex FROM (
-  SELECT i.d, v.hex FROM ids i JOIN vocabulary v ON v.id = i.tok ORDER BY i.d, i.pos) GROUP BY d
+SELECT i.d, string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN vocabulary v ON v.id = i.tok GROUP BY i.d
 """
 
 
@@ -89,15 +87,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def gathered(flat: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The stretches of ``flat`` named by ``wanted`` (stretch k has ``sizes[k]`` items) in a
-    row, and where each one ends."""
-    start = np.cumsum(sizes) - sizes
-    size = sizes[wanted]
-    ends = np.cumsum(size)
-    return flat[np.repeat(start[wanted] - (ends - size), size) + np.arange(int(size.sum()))], ends
-
-
 class Codec:
     """Encoder and decoder of one task process, with its own in-memory DuckDB."""
 
@@ -119,6 +108,7 @@ class Codec:
         self._make("merges", given)
         self._make("vocabulary", pa.table({"id": pa.array(list(ranks.values()), pa.int64()), "hex": [t.hex() for t in ranks]}))
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.single = {rank: np.array([rank], "<u4").tobytes() for rank in ranks.values()}
         self.clear()
 
     def _make(self, name: str, given: pa.Table) -> None:
@@ -127,13 +117,10 @@ class Codec:
         self.con.unregister("given")
 
     def clear(self) -> None:
-        """Forget the encoded pieces. A piece's tokens, and a chunk's piece numbers, are a
-        stretch of one flat list each."""
-        self.pieces: dict[str, int] = {}
-        self.chunks: dict[str, int] = {}
-        self.tokens, self.token_sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        self.numbers: list[int] = []
-        self.chunk_sizes: list[int] = []
+        """Forget what is encoded. ``known`` and ``before`` hold the ids of pieces and chunks as bytes: when ``known`` is
+        full it becomes ``before``, and what is met again moves back, so only what was not met for a generation goes."""
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def merge_rows(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of all pieces in a row, and how many each has, by the recursive query."""
@@ -149,7 +136,7 @@ class Codec:
         self.con.register("pieces", rows)
         got = self.con.sql(CONTRACT).to_arrow_table()
         self.con.unregister("pieces")
-        return got.column("tok").to_numpy().astype(np.uint32), np.bincount(got.column("w").to_numpy(), minlength=len(pieces))
+        return got.column("tok").to_numpy().astype("<u4"), np.bincount(got.column("w").to_numpy(), minlength=len(pieces))
 
     def merge_long(self, piece: bytes) -> np.ndarray:
         """The same contraction of one long piece, the next pair taken from a heap."""
@@ -173,12 +160,7 @@ class Codec:
                 left[right[j]] = i
             offer(left[i])
             offer(i)
-        return np.array([self.ranks[p] for p in parts if p], np.uint32)
-
-    def keep(self, names: list[str], tokens: np.ndarray, sizes: np.ndarray) -> None:
-        self.pieces.update(zip(names, range(len(self.pieces), len(self.pieces) + len(names)), strict=True))
-        self.tokens.append(tokens)
-        self.token_sizes.append(sizes)
+        return np.array([self.ranks[p] for p in parts if p], "<u4")
 
     def split(self, chunk: str) -> list[str]:
         """The pieces of a chunk; letters with at most one mark after them need no pattern."""
@@ -189,54 +171,65 @@ class Codec:
             return [chunk[:-1], chunk[-1]]
         return self.pieces_of(chunk)
 
+    def recall(self, names: set[str]) -> set[str]:
+        """Bring what the generation before knows of ``names`` into this one; the names that are not known."""
+        new = names - self.known.keys()
+        if len(self.known) + len(new) > KEEP_CHUNKS:
+            self.known, self.before = {}, self.known
+            new = names
+        old = new & self.before.keys()
+        self.known.update(zip(old, map(self.before.__getitem__, old), strict=True))
+        return new - old
+
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not known yet."""
         split = {c: self.split(c) for c in chunks}
-        todo = sorted({p for ps in split.values() for p in ps} - self.pieces.keys())
-        names, one, held, size = [], [], [], 0
+        todo = {p for ps in split.values() for p in ps}
+        todo = sorted(x for x in todo if x not in self.known)
+        held: list[tuple[str, bytes]] = []
+        size = 0
         for p in todo:
             raw = p.encode()
             if (rank := self.ranks.get(raw)) is not None:
-                names.append(p)
-                one.append(rank)
+                self.known[p] = self.single[rank]
             elif len(raw) >= LONG_PIECE:
-                ids = self.merge_long(raw)
-                self.keep([p], ids, np.array([len(ids)]))
+                self.known[p] = self.merge_long(raw).tobytes()
             else:
                 held.append((p, raw))
                 size += len(raw)
                 if size > QUERY_BYTES:
-                    self.keep([x[0] for x in held], *self.merge_rows([x[1] for x in held]))
+                    self.merge(held)
                     held, size = [], 0
-        if held:
-            self.keep([x[0] for x in held], *self.merge_rows([x[1] for x in held]))
-        self.keep(names, np.array(one, np.uint32), np.ones(len(one), np.int64))
+        self.merge(held)
         for c, ps in split.items():
-            self.chunks[c] = len(self.chunk_sizes)
-            self.chunk_sizes.append(len(ps))
-            self.numbers.extend([self.pieces[p] for p in ps])
+            if len(ps) > 1:
+                self.known[c] = b"".join([self.known[p] for p in ps])
+
+    def merge(self, held: list[tuple[str, bytes]]) -> None:
+        """Encode pieces by the recursive query."""
+        if held:
+            tokens, sizes = self.merge_rows([raw for _, raw in held])
+            data, at = tokens.tobytes(), 0
+            for (p, _), end in zip(held, (4 * np.cumsum(sizes)).tolist(), strict=True):
+                self.known[p] = data[at:end]
+                at = end
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end. A long text alone
-        is taken in parts, so the memory for its pieces stays bounded."""
+        is taken in parts, so the memory for its chunks stays bounded."""
         if len(texts) == 1 and len(texts[0]) > LONG_TEXT:
-            ids = np.concatenate([self.encode_texts([part])[0] for part in parts(texts[0], LONG_TEXT)])
-            return ids, np.array([len(ids)])
-        return self.encode_texts(texts)
+            found = [b"".join([self.encode_texts([part])[0] for part in parts(texts[0], LONG_TEXT)])]
+        else:
+            found = self.encode_texts(texts)
+        return np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(x) // 4 for x in found], dtype=np.int64)
 
-    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
         split = [CHUNK.findall(t) for t in texts]
-        new = set().union(*split) - self.chunks.keys()
-        if len(self.chunks) + len(new) > KEEP_CHUNKS:
-            self.clear()
-            new = set().union(*split)
-        self.learn(new)
-        self.tokens, self.token_sizes = [np.concatenate(self.tokens)], [np.concatenate(self.token_sizes)]
-        codes = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(split)), np.int64)
-        numbers, ends = gathered(np.array(self.numbers, np.int64), np.array(self.chunk_sizes, np.int64), codes)
-        ids, last = gathered(self.tokens[0], self.token_sizes[0], numbers)
-        ends = np.concatenate(([0], ends))[np.cumsum([len(cs) for cs in split], dtype=np.int64)]
-        return ids, np.concatenate(([0], last))[ends]
+        if new := self.recall(set().union(*split)):
+            self.learn(new)
+        of = self.known.__getitem__
+        return [b"".join(map(of, chunks)) for chunks in split]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
         """The bytes of each text, from the ids of all texts in a row."""
@@ -256,22 +249,17 @@ _CODECS: dict[str, Codec] = {}
 
 
 def codec(vocabulary: tuple[str, dict[bytes, int], str]) -> Codec:
-    """The codec of a broadcast vocabulary for the task that runs now."""
+    """The codec of a broadcast vocabulary. It stays with the process, whose later tasks find what
+    earlier ones have encoded; another vocabulary replaces it."""
     name, ranks, pattern = vocabulary
     if name not in _CODECS:
-        close_codec()
+        for c in _CODECS.values():
+            c.con.close()
+        _CODECS.clear()
         _CODECS[name] = Codec(ranks, pattern)
     return _CODECS[name]
 
 
-def close_codec() -> None:
-    """Free the pieces and the database at a task's end: the process lives on for other stages."""
-    for c in _CODECS.values():
-        c.clear()
-        c.con.close()
-    _CODECS.clear()
-
-
 def broadcast_vocabulary(spark, path: str, pattern: str):
     """The vocabulary at ``path`` (read by the driver) for all tasks."""
     ranks = read_ranks(path)
@@ -281,13 +269,10 @@ def broadcast_vocabulary(spark, path: str, pattern: str):
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, Codec]]:
     c = codec(vocabulary.value)
-    try:
-        for batch in batches:
-            for lo, hi, _, _ in text_slices(batch, "text", SLICE_BYTES):
-                ids, ends = c.encode([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
-                yield batch.column("doc_id").slice(lo, hi - lo), ids, ends, c
-    finally:
-        close_codec()
+    for batch in batches:
+        for lo, hi, _, _ in text_slices(batch, "text", SLICE_BYTES):
+            ids, ends = c.encode([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
+            yield batch.column("doc_id").slice(lo, hi - lo), ids, ends, c
 
 
 def _encode_rows(vocabulary) -> callable:
@@ -305,12 +290,14 @@ def _decode_rows(vocabulary) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary.value)
         for batch in batches:
-            for lo in range(0, len(batch), 200):
-                part = batch.slice(lo, 200)
-                rows = [x or [] for x in part.column("ids").to_pylist()]
-                ids = np.fromiter((i for r in rows for i in r), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(c.decode(ids, np.cumsum([len(r) for r in rows])), pa.binary())], names=["doc_id", "data"])
+            docs, held, size = batch.column("doc_id"), [], 0
+            for i, x in enumerate(batch.column("ids")):
+                held.append(np.asarray(x.values, np.int64) if x.is_valid else np.zeros(0, np.int64))
+                size += held[-1].nbytes
+                if size > SLICE_BYTES or i == len(batch) - 1:
+                    data = c.decode(np.concatenate(held), np.cumsum([len(h) for h in held]))
+                    yield pa.RecordBatch.from_arrays([docs.slice(i + 1 - len(held), len(held)), pa.array(data, pa.binary())], names=["doc_id", "data"])
+                    held, size = [], 0
 
     return run
 
@@ -319,7 +306,7 @@ def _round_trip(vocabulary) -> callable:
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, ids, ends, c in _encoded(batches, vocabulary):
-            parts = np.split(ids.astype("<u4"), ends[:-1])
+            parts = np.split(ids, ends[:-1])
             yield pa.RecordBatch.from_arrays(
                 [doc, pa.array([len(p) for p in parts], pa.int64()), pa.array([hashlib.sha256(p.tobytes()).hexdigest() for p in parts]),
                  pa.array([hashlib.sha256(d).hexdigest() for d in c.decode(ids, ends)])],
