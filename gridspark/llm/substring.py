@@ -4,7 +4,7 @@ A window is ``WINDOW`` consecutive words of one document. Its minimiser is the s
 hash among the ``GRAM``-word grams inside it; equal windows have equal minimisers.
 Consecutive windows that share a minimiser form one run (a super-k-mer).
 
-1. Equal texts are collapsed to their first document by a digest; nothing of a later copy is sent.
+1. Equal texts are collapsed to their first document by a digest; a later copy's runs are left out.
 2. Runs are listed as small rows (minimiser, digest, document, start, windows) and their
    minimiser's places are counted: a minimiser in one place only proves its windows
    unique, and nothing more is sent for it.
@@ -243,14 +243,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), text.alias("text"),
                        F.xxhash64(text).alias("tag"), F.md5(text).alias("digest"))
-    copied = base.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    copied = fresh(copied.select("digest", "first"), "copied-texts")
-    marked = base.join(copied, "digest", "left").select("id", "tag", "text", (F.coalesce("first", "id") < F.col("id")).alias("later"))
-    texts = marked.filter("NOT later").select("id", "tag", "text")
+    rows = base.select("id", "tag", "digest")
+    copied = rows.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    copies = fresh(rows.join(copied, "digest").filter("id > first").select("id", "tag").distinct(), "later-copies")
+    texts = base.select("id", "tag", "text")
 
     runs = texts.mapInArrow(_runs, RUNS)
     again = runs.groupBy("key").agg(F.sum("places").alias("places")).filter("places > 1").select("key")
-    held = fresh(runs.join(again, "key", "left_semi"), "repeated-runs")
+    held = runs.join(again.hint("merge"), "key", "left_semi").join(copies, ["id", "tag"], "left_anti")
+    held = fresh(held, "repeated-runs")
     same = ["key", "digest", "n"]
     place = F.struct("id", "at", "tag")
     firsts = fresh(held.groupBy(*same).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("places").alias("places")), "first-runs")
@@ -264,11 +265,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     sent = firsts.select("first.id", "first.tag", "first.at", "n", "key").union(placed.filter("NOT late").select("id", "tag", "at", "n", "key"))
     listed = sent.join(mixed.select("key"), "key", "left_semi").groupBy("id", "tag").agg(
         F.collect_set(F.struct("at", "n", "key")).alias("runs"))
-    packed = texts.join(listed, ["id", "tag"]).mapInArrow(_pack, "key long, id long, tag long, at int, packed binary")
+    # both joins of the texts use one shuffle of them, by document
+    packed = texts.join(listed.hint("merge"), ["id", "tag"]).mapInArrow(_pack, "key long, id long, tag long, at int, packed binary")
     buckets = packed.repartition("key").sortWithinPartitions("key").mapInArrow(_buckets, RANGES)
 
+    none = F.lit(None).cast("array<struct<lo:int,hi:int>>")
     ranges = later.union(buckets).groupBy("id", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
-    return marked.join(ranges, ["id", "tag"], "left").select("id", "text", "ranges", "later").mapInArrow(_keep, OUT)
+    judged = ranges.select("id", "tag", "ranges", F.lit(False).alias("later")).union(copies.select("id", "tag", none, F.lit(True)))
+    return texts.join(judged.hint("merge"), ["id", "tag"], "left").select("id", "text", "ranges", "later").mapInArrow(_keep, OUT)
 
 
 ORACLE = r"""
