@@ -30,7 +30,7 @@ from gridspark.llm.common import released, text_slices
 # instead of position rows (a query's work grows with the square of its longest piece).
 SLICE_BYTES = 2 << 20
 QUERY_BYTES = 300_000
-KEEP_CHUNKS = 200_000
+KEEP_CHUNKS = 400_000
 LONG_PIECE = 400
 # Code points of a text that is taken in parts.
 LONG_TEXT = 1 << 20
@@ -77,7 +77,8 @@ SELECT w, tok FROM steps WHERE done ORDER BY w, pos
 """
 
 DECODE = """
-SELECT i.d, string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN vocabulary v ON v.id = i.tok GROUP BY i.d
+SELECT i.d, array_to_string(list(v.spelt ORDER BY i.pos), '') AS spelt
+FROM ids i JOIN vocabulary v ON v.id = i.tok GROUP BY i.d
 """
 
 
@@ -106,7 +107,8 @@ class Codec:
                     merged.append(rank)
         given = pa.table({"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int64())})
         self._make("merges", given)
-        self._make("vocabulary", pa.table({"id": pa.array(list(ranks.values()), pa.int64()), "hex": [t.hex() for t in ranks]}))
+        # a token's bytes are spelt as the code points of their numbers
+        self._make("vocabulary", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "spelt": [t.decode("latin-1") for t in ranks]}))
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         self.single = {rank: np.array([rank], "<u4").tobytes() for rank in ranks.values()}
         self.clear()
@@ -162,15 +164,6 @@ class Codec:
             offer(i)
         return np.array([self.ranks[p] for p in parts if p], "<u4")
 
-    def split(self, chunk: str) -> list[str]:
-        """The pieces of a chunk; letters with at most one mark after them need no pattern."""
-        body = chunk[1:] if chunk[0] == " " else chunk
-        if body.isalpha():
-            return [chunk]
-        if body[-1:] in MARKS and body[:-1].isalpha():
-            return [chunk[:-1], chunk[-1]]
-        return self.pieces_of(chunk)
-
     def recall(self, names: set[str]) -> set[str]:
         """Bring what the generation before knows of ``names`` into this one; the names that are not known."""
         new = names - self.known.keys()
@@ -182,18 +175,27 @@ class Codec:
         return new - old
 
     def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks that are not known yet."""
-        split = {c: self.split(c) for c in chunks}
-        todo = {p for ps in split.values() for p in ps}
-        todo = sorted(x for x in todo if x not in self.known)
+        """Encode the chunks that are not known yet. Letters with at most one mark after them need no pattern
+        to be split."""
+        known, ranks, single = self.known, self.ranks, self.single
+        todo, several = set(), {}
+        for c in chunks:
+            body = c[1:] if c[0] == " " else c
+            if body.isalpha():
+                todo.add(c)
+                continue
+            pieces = [c[:-1], c[-1]] if body[-1:] in MARKS and body[:-1].isalpha() else self.pieces_of(c)
+            if len(pieces) > 1:
+                several[c] = pieces
+            todo.update(pieces)
         held: list[tuple[str, bytes]] = []
         size = 0
-        for p in todo:
+        for p in sorted(todo - known.keys()):
             raw = p.encode()
-            if (rank := self.ranks.get(raw)) is not None:
-                self.known[p] = self.single[rank]
+            if (rank := ranks.get(raw)) is not None:
+                known[p] = single[rank]
             elif len(raw) >= LONG_PIECE:
-                self.known[p] = self.merge_long(raw).tobytes()
+                known[p] = self.merge_long(raw).tobytes()
             else:
                 held.append((p, raw))
                 size += len(raw)
@@ -201,9 +203,8 @@ class Codec:
                     self.merge(held)
                     held, size = [], 0
         self.merge(held)
-        for c, ps in split.items():
-            if len(ps) > 1:
-                self.known[c] = b"".join([self.known[p] for p in ps])
+        for c, pieces in several.items():
+            known[c] = b"".join([known[p] for p in pieces])
 
     def merge(self, held: list[tuple[str, bytes]]) -> None:
         """Encode pieces by the recursive query."""
@@ -235,13 +236,13 @@ class Codec:
         """The bytes of each text, from the ids of all texts in a row."""
         n = np.diff(ends, prepend=0)
         rows = pa.table({"d": pa.array(np.repeat(np.arange(len(n), dtype=np.int32), n)),
-                         "pos": pa.array(np.arange(len(ids), dtype=np.int64)), "tok": pa.array(ids.astype(np.int64))})
+                         "pos": pa.array(np.arange(len(ids), dtype=np.int64)), "tok": pa.array(ids.astype(np.int32))})
         self.con.register("ids", rows)
         got = self.con.sql(DECODE).to_arrow_table()
         self.con.unregister("ids")
         out = [b""] * len(n)
-        for d, h in zip(got.column("d").to_pylist(), got.column("hex").to_pylist(), strict=True):
-            out[d] = bytes.fromhex(h)
+        for d, spelt in zip(got.column("d").to_pylist(), got.column("spelt").to_pylist(), strict=True):
+            out[d] = spelt.encode("latin-1")
         return out
 
 
