@@ -347,9 +347,9 @@ def row_text_decode(spark, sf_dir):
     return s.select(text.alias("row")).select(*decode_long_row("row"))
 
 
-def _reject_bodies(events: DataFrame) -> DataFrame:
+def _reject_bodies(events: DataFrame, *keep: str) -> DataFrame:
     """Message bodies where some event types arrive damaged: no envelope field, cut
-    inner JSON, or a missing ``key``."""
+    inner JSON, or a missing ``key``; with the columns ``keep``."""
     f = notification_fields(events, PER_KEY, "g_")
     inner = F.to_json(F.struct(*[c.alias(n) for c, n in zip(f, NOTIFICATION_FIELDS)]))
     no_key = F.to_json(F.struct(*[c.alias(n) for c, n in zip(f, NOTIFICATION_FIELDS) if n != "key"]))
@@ -360,7 +360,7 @@ def _reject_bodies(events: DataFrame) -> DataFrame:
         .when(et == "view", F.to_json(F.struct(no_key.alias("Message"))))
         .otherwise(build_body(*f))
     )
-    return events.withColumn("m", inner).select(body.alias("body"))
+    return events.withColumn("m", inner).select(*keep, body.alias("body"))
 
 
 @register("notify_rejects", """

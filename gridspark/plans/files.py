@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.match import arrival_order, file_name_col, match_params, object_uri_col
 from gridspark.plans.ingest import copy_rows, hot_files, join_messages, salted_messages, written_messages
-from gridspark.sources.gridfile import (DEFAULT_BLOCK_BYTES, good_slabs, materialize_plan, plan_slabs, read_slabs,
-                                        resolve, spread_plan)
+from gridspark.sources.catalogue import HeaderCatalogue
+from gridspark.sources.gridfile import DEFAULT_BLOCK_BYTES, good_slabs, prepared, read_slabs, spread_plan
 
 REJECT_FIELDS = ("bucket", "name", "key", "created_time", "forecast_reference_time")
 
@@ -57,7 +57,8 @@ def requests_from_matched(m: DataFrame) -> DataFrame:
 
 def ingest_files_and_rejects(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
                              case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES,
-                             first: int | None = None, parallelism: int | None = None) -> tuple[DataFrame, DataFrame]:
+                             first: int | None = None, parallelism: int | None = None,
+                             catalogue: HeaderCatalogue | None = None) -> tuple[DataFrame, DataFrame]:
     """Long rows of every matched message whose file can be read, and the messages whose
     file cannot: the message fields with ``error``.
 
@@ -67,12 +68,13 @@ def ingest_files_and_rejects(notifications: DataFrame, params: DataFrame, base_u
     any other failure (a store that does not answer) fails the task, which Spark retries,
     and in the end the job: such messages are not acknowledged.
     Blocks of files named by more than a task's share of the messages are read in
-    several copies, each joining a slice of those messages.
+    several copies, each joining a slice of those messages. With a ``catalogue`` only files that are new
+    or changed since they were last seen are opened for their headers.
     """
     m, count = written_messages(matched_objects(notifications, params, base_uri, case_insensitive, first))
-    plan = materialize_plan(plan_slabs(resolve(requests_from_matched(m), block_bytes)))
+    plan, axes = prepared(requests_from_matched(m), block_bytes, catalogue=catalogue)
     hot = hot_files(m, count, parallelism)
-    scanned = good_slabs(read_slabs(spread_plan(copy_rows(plan, hot, "file_name", "measure")), fail_fast=True))
+    scanned = good_slabs(read_slabs(spread_plan(copy_rows(plan, hot, "file_name", "measure")), fail_fast=True, axes=axes))
     rows = join_messages(scanned, salted_messages(m.select("out_file_name", "m_key", "m_measure", "r_limit", "m_row"), hot))
     bad = plan.filter(F.col("error").isNotNull()).select(F.col("file_name").alias("b_key"), F.col("measure").alias("b_measure"), "error")
     rejects = m.join(bad, (m["m_key"] == bad["b_key"]) & (m["m_measure"] == bad["b_measure"])).select(*REJECT_FIELDS, "error")

@@ -25,7 +25,9 @@ tries the task again.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,9 @@ from gridspark.schema import SLAB_SCHEMA, VAR_FORECAST_TIME, VAR_TIME
 from gridspark.session import scratch_path, size_in_bytes
 from gridspark.sources import netcdf as nc
 
+if TYPE_CHECKING:
+    from gridspark.sources.catalogue import HeaderCatalogue
+
 # What marks a request as unreadable; other errors are left to Spark's retries.
 UNREADABLE = (nc.FormatError, FileNotFoundError, IsADirectoryError)
 
@@ -59,6 +64,8 @@ RESOLVED_SCHEMA = T.StructType(
         T.StructField("time", T.LongType()),
         T.StructField("forecast", T.LongType()),
         T.StructField("layout", T.StringType()),
+        T.StructField("x_axis", T.LongType()),
+        T.StructField("x_coords", T.ArrayType(T.FloatType())),
         T.StructField("error", T.StringType()),
     ]
 )
@@ -71,6 +78,10 @@ SCAN_SCHEMA = T.StructType(
                           T.StructField("part", T.IntegerType(), True), T.StructField("error", T.StringType(), True)]
 )
 
+SCAN_COLUMNS = tuple(f.name for f in SCAN_SCHEMA.fields)
+# What the block reader emits: lines with their axis, or with the digest of it.
+READ_SCHEMA = T.StructType([*SCAN_SCHEMA.fields, T.StructField("x_axis", T.LongType(), True)])
+
 DESCRIBE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -146,6 +157,11 @@ def _scalar(reader, h, name: str) -> int:
     return int(value)
 
 
+def axis_digest(axis: np.ndarray) -> int:
+    """A 64-bit name for an axis, from its values."""
+    return int.from_bytes(hashlib.blake2b(np.ascontiguousarray(axis, np.float32).tobytes(), digest_size=8).digest(), "big", signed=True)
+
+
 def resolve_one(reader, h, measure: str, coord_y: str, coord_x: str, r_limit: int, block_bytes: int) -> dict:
     """P6/P7/L1 for one request: shape checks and the read extent."""
     v = h.find(measure)
@@ -173,6 +189,7 @@ def resolve_one(reader, h, measure: str, coord_y: str, coord_x: str, r_limit: in
         # the last cell needed: a file cut short is found out here, not while reading
         nc.read_run(reader, h, v, [r_count - 1, *([0] if len(shape) == 4 else []), y_len - 1, x_len - 1], 1)
     line = max(1, x_len * v.dtype.itemsize)
+    axis = nc.read_all(reader, h, h.find(coord_x)).astype(np.float32)
     return dict(
         r_count=r_count,
         y_len=y_len,
@@ -182,6 +199,8 @@ def resolve_one(reader, h, measure: str, coord_y: str, coord_x: str, r_limit: in
         time=_scalar(reader, h, VAR_TIME),
         forecast=_scalar(reader, h, VAR_FORECAST_TIME),
         layout=h.layout([measure, coord_y, coord_x]),
+        x_axis=axis_digest(axis),
+        x_coords=axis,
         error=None,
     )
 
@@ -223,7 +242,8 @@ def resolve(requests: DataFrame, block_bytes: int = DEFAULT_BLOCK_BYTES, fail_fa
 
 # --- plan --------------------------------------------------------------------------------------
 def plan_slabs(resolved: DataFrame) -> DataFrame:
-    """One row per (request, realization, y block); failed requests keep one row."""
+    """One row per (request, realization, y block), without the x axis; failed requests keep one row."""
+    resolved = resolved.drop("x_coords")
     ok = resolved.filter(F.col("error").isNull())
     r_seq = F.when(F.col("r_count") > 0, F.sequence(F.lit(0), F.col("r_count") - 1)).otherwise(F.array().cast("array<int>"))
     n_blocks = F.expr("CAST((y_len + rows_per_block - 1) DIV rows_per_block AS INT)")
@@ -291,9 +311,11 @@ class _Batch:
         self.names, self.measures, self.line_counts = [], [], []
         self.num = {k: [] for k in ("r", "y", "y_len", "y_coord", "time", "forecast", "part")}
         self.x_coords, self.vals, self.x_lens, self.wide = [], [], [], []
+        self.axes, self.shared = [], []
         self.cells = 0
 
-    def add(self, p: dict, y: np.ndarray, yc: np.ndarray, xc: np.ndarray, vals: np.ndarray) -> None:
+    def add(self, p: dict, y: np.ndarray, yc: np.ndarray, xc: np.ndarray | None, vals: np.ndarray) -> None:
+        """The lines of one block; without ``xc`` they carry the digest of their x axis only."""
         n = len(y)
         self.names.append(p["file_name"])
         self.measures.append(p["measure"])
@@ -303,10 +325,12 @@ class _Batch:
             self.num[k].append(np.full(n, v))
         self.num["y"].append(y)
         self.num["y_coord"].append(yc)
-        self.x_coords.append(np.tile(xc, n))
+        self.shared.append(np.full(n, xc is None))
+        self.axes.append(np.full(n, p["x_axis"] if xc is None else 0, dtype=np.int64))
+        self.x_coords.append(np.zeros(0, np.float32) if xc is None else np.tile(xc, n))
         self.vals.append(vals)
         self.wide.append(np.full(n, vals.dtype != np.float32))
-        self.x_lens.append(np.full(n, len(xc), dtype=np.int64))
+        self.x_lens.append(np.full(n, vals.size // n if n else 0, dtype=np.int64))
         self.cells += vals.size
 
     def build(self) -> pa.RecordBatch | None:
@@ -325,7 +349,8 @@ class _Batch:
             flat = pa.array(np.concatenate(pieces) if pieces else np.zeros(0), kind)
             return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), flat, mask=pa.array(~mine))
 
-        offsets = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(self.x_lens))]).astype(np.int32))
+        shared = np.concatenate(self.shared)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(shared, 0, x_lens))]).astype(np.int32))
         rows = int(counts.sum())
         arrays = [
             pa.DictionaryArray.from_arrays(np.repeat(np.arange(len(counts), dtype=np.int32), counts),
@@ -337,24 +362,25 @@ class _Batch:
             pa.array(cat("y", np.int32)),
             pa.array(cat("y_len", np.int32)),
             pa.array(cat("y_coord", np.float32)),
-            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(self.x_coords), pa.float32())),
+            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(self.x_coords), pa.float32()), mask=pa.array(shared)),
             pa.array(cat("time", np.int64)),
             pa.array(cat("forecast", np.int64)),
             lines(False, pa.float32()),
             lines(True, pa.float64()),
             pa.array(cat("part", np.int32)),
             pa.nulls(rows, pa.string()),
+            pa.array(np.concatenate(self.axes), mask=~shared),
         ]
         batch = pa.RecordBatch.from_arrays(arrays, schema=self.schema)
         self.reset()
         return batch
 
 
-def _reader(fail_fast: bool, batch_cells: int):
-    names = [f.name for f in SCAN_SCHEMA.fields]
+def _reader(fail_fast: bool, batch_cells: int, shared: bool):
+    names = [f.name for f in READ_SCHEMA.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _arrow(SCAN_SCHEMA)
+        schema = _arrow(READ_SCHEMA)
         files = _Files()
         acc = _Batch(schema)
 
@@ -372,7 +398,7 @@ def _reader(fail_fast: bool, batch_cells: int):
                         yield error_row(p, p["error"])
                         continue
                     try:
-                        acc.add(p, *_read_block(files, p))
+                        acc.add(p, *_read_block(files, p, shared))
                     except UNREADABLE as e:  # reported per block
                         if fail_fast:
                             raise
@@ -388,19 +414,19 @@ def _reader(fail_fast: bool, batch_cells: int):
     return run
 
 
-def _read_block(files: _Files, p: dict):
+def _read_block(files: _Files, p: dict, shared: bool):
     """One ranged read of a (realization, y block) slab plus its coordinates:
-    returns y indices, y coordinates, the x axis and the values (row-major, float32, or
-    float64 for measures of other types)."""
+    returns y indices, y coordinates, the x axis (None when it is ``shared``) and the values (row-major,
+    float32, or float64 for measures of other types)."""
     reader, h, cache = files.get(p["path"], p["layout"])
-    return _block(reader, h, cache, p["measure"], p["coord_y"], p["coord_x"], p["r"], p["y0"], p["ny"], p["x_len"])
+    return _block(reader, h, cache, p["measure"], p["coord_y"], None if shared else p["coord_x"], p["r"], p["y0"], p["ny"], p["x_len"])
 
 
-def _block(reader, h, cache: dict, measure: str, coord_y: str, coord_x: str, r: int, y0: int, ny: int, x_len: int):
+def _block(reader, h, cache: dict, measure: str, coord_y: str, coord_x: str | None, r: int, y0: int, ny: int, x_len: int):
     v = h.find(measure)
     key = ("x", coord_x)
     if key not in cache:
-        cache[key] = nc.read_all(reader, h, h.find(coord_x)).astype(np.float32)
+        cache[key] = None if coord_x is None else nc.read_all(reader, h, h.find(coord_x)).astype(np.float32)
     xc = cache[key]
     yc = nc.read_run(reader, h, h.find(coord_y), [y0], ny).astype(np.float32)
     index = [r, y0, 0] if len(v.dim_ids) == 3 else [r, 0, y0, 0]
@@ -409,8 +435,32 @@ def _block(reader, h, cache: dict, measure: str, coord_y: str, coord_x: str, r:
     return np.arange(y0, y0 + ny, dtype=np.int32), yc, xc, vals
 
 
-def read_slabs(plan: DataFrame, fail_fast: bool = False, batch_cells: int = 1 << 20) -> DataFrame:
-    return plan.mapInArrow(_reader(fail_fast, batch_cells), SCAN_SCHEMA)
+def shared_axes(resolved: DataFrame) -> DataFrame | None:
+    """The distinct x axes (a_axis, axis) of written ``resolve`` rows; None when they are beyond the session's broadcast
+    bound, as measured."""
+    held = resolved.filter(F.col("x_axis").isNotNull()).groupBy(F.col("x_axis").alias("a_axis")).agg(F.first("x_coords").alias("axis"))
+    limit = size_in_bytes(resolved.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    size = held.agg(F.sum(F.size("axis").cast("long") * 4 + 64).alias("bytes")).first()["bytes"]
+    return held if (size or 0) <= limit else None
+
+
+def prepared(requests: DataFrame, block_bytes: int = DEFAULT_BLOCK_BYTES, fail_fast: bool = False,
+             catalogue: HeaderCatalogue | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The slab plan of ``requests`` and its shared axes. The header pass's result, one row for each request, is
+    written; the plan's rows, one for each block, come from it. A ``catalogue`` opens only files it does not know."""
+    resolved = materialize_plan(resolve(requests, block_bytes, fail_fast) if catalogue is None else catalogue.resolve(requests, block_bytes))
+    return plan_slabs(resolved), shared_axes(resolved)
+
+
+def read_slabs(plan: DataFrame, fail_fast: bool = False, batch_cells: int = 1 << 20, axes: DataFrame | None = None) -> DataFrame:
+    """The slab rows of a plan. With ``axes`` (``shared_axes``) x axes are not read again and not repeated: lines carry
+    their axis's digest, and the distinct axes, broadcast, are put back afterwards. Without, each line
+    carries its axis."""
+    lines = plan.mapInArrow(_reader(fail_fast, batch_cells, axes is not None), READ_SCHEMA)
+    if axes is None:
+        return lines.select(*SCAN_COLUMNS)
+    back = [F.col("axis").alias("x_coords") if c == "x_coords" else F.col(c) for c in SCAN_COLUMNS]
+    return lines.join(F.broadcast(axes), lines["x_axis"] == axes["a_axis"], "left").select(*back)
 
 
 def scan_grid(
@@ -418,17 +468,19 @@ def scan_grid(
     block_bytes: int = DEFAULT_BLOCK_BYTES,
     target_task_bytes: int | None = None,
     fail_fast: bool = False,
+    catalogue: HeaderCatalogue | None = None,
 ) -> DataFrame:
     """Requests (path, file_name, measure, coord_y, coord_x, r_limit) ->
     ``grid_slabs`` rows plus ``error`` (NULL on good rows)."""
-    return read_slabs(sized(plan_slabs(resolve(requests, block_bytes, fail_fast)), target_task_bytes), fail_fast)
+    plan, axes = prepared(requests, block_bytes, fail_fast, catalogue)
+    return read_slabs(spread_plan(plan, target_task_bytes), fail_fast, axes=axes)
 
 
 def _content_reader(measure: str, coord_y: str, coord_x: str, r_limit: int, fail_fast: bool, batch_cells: int):
-    names = [f.name for f in SCAN_SCHEMA.fields]
+    names = [f.name for f in READ_SCHEMA.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _arrow(SCAN_SCHEMA)
+        schema = _arrow(READ_SCHEMA)
         acc = _Batch(schema)
         for batch in batches:
             paths = batch.column("path").to_pylist()
@@ -472,7 +524,7 @@ def scan_contents(binary: DataFrame, measure: str, coord_y: str, coord_x: str, r
     large files.
     """
     return binary.select("path", "content").mapInArrow(
-        _content_reader(measure, coord_y, coord_x, r_limit, fail_fast, batch_cells), SCAN_SCHEMA)
+        _content_reader(measure, coord_y, coord_x, r_limit, fail_fast, batch_cells), READ_SCHEMA).select(*SCAN_COLUMNS)
 
 
 def good_slabs(scanned: DataFrame) -> DataFrame:
@@ -485,6 +537,14 @@ def scan_rejects(scanned: DataFrame) -> DataFrame:
 
 
 # --- metadata listing (S7) ------------------------------------------------------------------
+def header_rows(h: nc.Header) -> Iterator[dict]:
+    """The dimensions and variables of a header."""
+    for i, (d, n) in enumerate(h.dims):
+        yield dict(kind="dimension", name=d, shape=[h.numrecs if i == h.record_dim else n], is_record=i == h.record_dim)
+    for v in h.variables.values():
+        yield dict(kind="variable", name=v.name, type=v.type_name, dims=h.dim_names(v), shape=h.shape(v), is_record=h.is_record(v))
+
+
 def _describer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = _arrow(DESCRIBE_SCHEMA)
     for batch in batches:
@@ -501,12 +561,8 @@ def _describer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     h = nc.read_header(reader)
                 finally:
                     reader.close()
-                for i, (d, n) in enumerate(h.dims):
-                    add(path=path, kind="dimension", name=d, shape=[h.numrecs if i == h.record_dim else n],
-                        is_record=i == h.record_dim)
-                for v in h.variables.values():
-                    add(path=path, kind="variable", name=v.name, type=v.type_name, dims=h.dim_names(v),
-                        shape=h.shape(v), is_record=h.is_record(v))
+                for row in header_rows(h):
+                    add(path=path, **row)
             except UNREADABLE as e:  # reported per file
                 add(path=path, kind="error", error=f"{type(e).__name__}: {e}")
         yield pa.RecordBatch.from_pydict(rows, schema=schema)
