@@ -74,6 +74,49 @@ def test_leaks_of_one_passage_edited_alike_in_many_documents(spark, copies, edit
     assert decontaminate.without_leaks(docs(spark, rows), bench).count() == 20
 
 
+EDITS = {
+    "put in after every second word": lambda w, rng: [x for k, y in enumerate(w) for x in ([y, f"new{rng.integers(999)}"] if k % 2 else [y])],
+    "put in after half of the words": lambda w, rng: [x for y in w for x in ([y, f"new{rng.integers(999)}"] if rng.random() < 0.5 else [y])],
+    "every third replaced": lambda w, rng: [f"new{rng.integers(999)}" if k % 3 == 2 else y for k, y in enumerate(w)],
+    "a quarter replaced": lambda w, rng: [f"new{rng.integers(999)}" if rng.random() < 0.25 else y for y in w],
+    "a third taken out": lambda w, rng: [y for y in w if rng.random() > 0.33],
+    "all kinds": lambda w, rng: [x for y in w for x in ([], [y], [y], [y], [y], [f"new{rng.integers(999)}"], [y, f"new{rng.integers(999)}"])[rng.integers(7)]]}
+
+
+def test_recall_against_alignment_of_all_pairs(spark):
+    """Each kind of edit: the passages that align at the limit or better are found, at least 95 of 100."""
+    rng = np.random.default_rng(17)
+    items = [prose(300 + k, int(rng.integers(14, 50))).split() for k in range(40)]
+    hashed = [(k, h) for k, h in decontaminate_items(items)]
+    rows, truth = [], {}
+    for kind, edit in EDITS.items():
+        for k, w in enumerate(items):
+            passage = edit(w, rng)
+            score = decontaminate.align(hashed[k][1], words_of(passage))[0]
+            truth[len(rows)] = (kind, k, score)
+            rows.append((len(rows), f"{prose(7000 + len(rows), 40)} {' '.join(passage)} {prose(9000 + len(rows), 40)}"))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(spark, rows), bench).collect()}
+    for kind in EDITS:
+        due = [(i, k) for i, (c, k, score) in truth.items() if c == kind and score >= 0.5]
+        assert len(due) > 10 and sum(x in got for x in due) >= 0.95 * len(due), kind
+
+
+def words_of(words):
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    return decontaminate.plain_words(raw, np.array([0, len(raw)]))[0]
+
+
+def decontaminate_items(items):
+    return [(k, words_of(w)) for k, w in enumerate(items)]
+
+
+def test_short_items_count_word_for_word(spark):
+    bench = spark.createDataFrame([(1, "zebra quince lantern"), (2, "one two"), (3, "zebra quince lantern tulip")], "item_id long, text string")
+    df = docs(spark, [(1, "a zebra quince lantern b"), (2, "zebra quince x lantern tulip"), (3, "one two"), (4, "Zebra, quince lantern! TULIP")])
+    assert {(r.doc_id, r.item_id, r.score) for r in decontaminate.leaks(df, bench).collect()} == {(1, 1, 1.0), (4, 1, 1.0), (4, 3, 1.0)}
+
+
 def test_passages_of_many_items_in_parts(monkeypatch):
     """Parts of the items, and parts of a long text, give the alignments of the whole."""
     rng = np.random.default_rng(5)
@@ -81,12 +124,12 @@ def test_passages_of_many_items_in_parts(monkeypatch):
     text = rng.integers(0, 40, 4000).astype(U)
     for k in range(0, 30, 3):
         text[k * 100: k * 100 + 11] = np.delete(items[k][1], 4)
-    seeds = decontaminate.Seeds(items)
+    seeds = decontaminate.Seeds(items, *decontaminate.item_pairs(items))
 
     def best():
         out = {}
-        for k, score, *_ in seeds.passages(text, 0.5):
-            out[k] = max(score, out.get(k, 0))
+        for _, k, a, b, _ in seeds.passages(text, np.array([0, len(text)]), 0.5):
+            out[k] = max(decontaminate.align(items[k][1], text[a:b])[0], out.get(k, 0))
         return {k: s for k, s in out.items() if s >= 0.5}
 
     whole = best()
