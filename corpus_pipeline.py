@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm import bpe, decontaminate, minhash, secrets, toxicity
-from gridspark.llm.common import fresh, without_ids
+from gridspark.llm.common import fresh, small_batches, without_ids
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic by a classifier learnt from all labelled rows go."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, F.lit(True))
     return toxicity.with_scores(docs.select(*COLUMNS), model).filter(F.col("score") < toxicity.THRESHOLD).select(*COLUMNS)
@@ -22,12 +23,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: the one with the smallest id."""
+    small_batches(spark)
     gone = fresh(minhash.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct(), "near-copies")
     return without_ids(docs.select(*COLUMNS), "doc_id", gone, gone.count())
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an aligned copy of a test item go."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.without_leaks(docs.select(*COLUMNS), benchmark)
 
@@ -35,11 +38,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets that one owner has are masked in its text, widely
     copied examples are left."""
+    small_batches(spark)
     return secrets.mask(docs.select(*COLUMNS), F.col("source"), F.concat_ws("/", "source", "lang")).select(*COLUMNS)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the remaining texts, encoded and decoded again."""
+    small_batches(spark)
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

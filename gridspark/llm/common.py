@@ -18,6 +18,9 @@ from gridspark.session import scratch_path
 # arrays made for a slice take some 50 times its size.
 SLICE_BYTES = 1 << 20
 
+# Rows of one Arrow batch of text: a batch is held by the JVM and the Python worker at once.
+BATCH_ROWS = 500
+
 # Largest id list sent to every executor; longer lists are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -143,6 +146,11 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand text to the Python workers in batches of ``BATCH_ROWS`` rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def fresh(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage is cut there,
     and the planner knows the written size."""

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm import bpe, chat, decontaminate, fingerprint, html, minhash, quality, rules, runs, secrets, substring, toxicity, whiten
+from gridspark.llm.common import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
