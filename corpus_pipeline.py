@@ -36,8 +36,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; secrets that one owner has are masked in its text, widely
-    copied examples are left."""
+    """Every document stays; secrets that look live (one owner's, or leaked from one) are masked
+    in its text, widely copied examples are left."""
     small_batches(spark)
     return secrets.mask(docs.select(*COLUMNS), F.col("source"), F.concat_ws("/", "source", "lang")).select(*COLUMNS)
 

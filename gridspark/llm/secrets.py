@@ -1,10 +1,10 @@
 """Secret scanning with corpus-wide ownership frequency.
 
 Candidates are found by patterns in each text. A candidate's digest is then counted over the whole
-corpus by distinct owners: a value that several owners carry counts as a copied
-example, one that a single owner has looks live. A live value that leaked to a second owner
-counts as an example too, so it is left unmasked; repositories are counted beside, but judge nothing. Long mixed tokens outside the base
-patterns are reported only if they are owner-specific by that count.
+corpus by distinct owners, their repositories and its occurrences. A value that a single owner has looks
+live. So does one that leaked: few owners have it, nearly all occurrences are one owner's, and
+each other owner has it in one repository only. What is spread more evenly is a copied
+example. Long mixed tokens outside the base patterns are reported only if they look live by that count.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 # A long token of mixed kinds of characters, outside the base patterns.
 BARE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z])(?=[0-9A-Z+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
+# A leaked value has at most this many owners, and its first owner more than this share of its occurrences.
+LEAK_OWNERS, LEAK_SHARE = 3, 2 / 3
 
 
 def find(text: str) -> list[tuple[str, int, int, str]]:
@@ -95,22 +97,25 @@ def candidates(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """digest, owners, repos, documents of every candidate value, over the whole corpus.
+    """digest, owners, repos (of all owners together), occurrences and live of every candidate value, over the whole corpus.
 
     Distinct (digest, owner, repository) triples are aggregated before the shuffle, so a
     value copied into many documents is a few rows by then."""
     each = found.select("owner", "repo", F.explode("found.digest").alias("digest"))
     triples = each.groupBy("digest", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
-    return triples.groupBy("digest").agg(
-        F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"), F.sum("n").alias("occurrences"))
+    own = triples.groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
+    seen = own.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("occurrences"), F.max(F.struct("n", "repos")).alias("top"))
+    leaked = ((F.col("owners") <= LEAK_OWNERS) & (F.col("top.n") > LEAK_SHARE * F.col("occurrences"))
+              & (F.col("repos") - F.col("top.repos") <= F.col("owners") - 1))
+    return seen.select("digest", "owners", "repos", "occurrences", ((F.col("owners") == 1) | leaked).alias("live"))
 
 
 def scan(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
     """Every row of ``docs`` (doc_id, text; others only through ``owner`` and ``repo``) with
     its secrets: doc_id, n_assign, n_access, n_hex, base (kind:start:end of the base spans,
-    comma-joined), spans (base spans and owner-specific bare tokens), n_live (spans whose
-    value one owner has), n_shared (spans whose value several owners have), live (the
-    live spans).
+    comma-joined), spans (base spans and bare tokens that look live), n_live (spans whose
+    value looks live, see ``ownership``), n_shared (the other spans), live (the live spans).
 
     A null text is empty and has none; null owners and repositories count as one empty
     name; a value repeated inside one owner stays live. Rows given several times give as many rows.
@@ -119,13 +124,13 @@ def scan(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
     seen = ownership(found)
     row = ["doc_id", "owner", "repo", "tag"]
     each = found.filter("size(found) > 0").select(*row, F.explode("found").alias("s")).select(*row, "s.*").distinct()
-    judged = each.join(seen.select("digest", "owners"), "digest").filter("kind <> 'bare' OR owners = 1")
+    judged = each.join(seen.select("digest", F.col("live").alias("alive")), "digest").filter("kind <> 'bare' OR alive")
     order = F.when(F.col("kind") == KINDS[0], 0).when(F.col("kind") == KINDS[1], 1).when(F.col("kind") == KINDS[2], 2).otherwise(3)
-    item = F.struct(F.col("start").alias("a"), order.alias("o"), "owners", F.concat_ws(":", "kind", "start", "end").alias("t"))
+    item = F.struct(F.col("start").alias("a"), order.alias("o"), "alive", F.concat_ws(":", "kind", "start", "end").alias("t"))
     spans = judged.groupBy(*row).agg(F.sort_array(F.collect_list(item)).alias("all"))
     j = found.join(spans, [found[c].eqNullSafe(spans[c]) for c in row], "left").select(found["*"], spans["all"])
     every = F.coalesce("all", F.expr("array()").cast(spans.schema["all"].dataType))
-    live = F.filter(every, lambda x: x["owners"] == 1)
+    live = F.filter(every, lambda x: x["alive"])
     return j.select(
         "doc_id", "n_assign", "n_access", "n_hex", "base",
         F.array_join(F.transform(every, lambda x: x["t"]), ",").alias("spans"),
@@ -152,11 +157,11 @@ def redact(text: str, spans: str) -> str:
 
 
 def mask(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
-    """Every row and column of ``docs`` with the secrets of its ``text`` that a single owner has
+    """Every row and column of ``docs`` with the secrets of its ``text`` that look live
     masked; a text without such secrets stays as it is. The spans join the documents by (doc_id,
     text digest), so only documents that have some are matched."""
     found = candidates(docs, owner, repo)
-    alone = ownership(found).filter("owners = 1").select(F.col("digest").alias("d"))
+    alone = ownership(found).filter("live").select(F.col("digest").alias("d"))
     each = found.filter("size(found) > 0").select("doc_id", "tag", F.explode("found").alias("s")).select("doc_id", "tag", "s.*").distinct()
     live = each.join(alone, each["digest"] == alone["d"], "left_semi")
     text = F.concat_ws(":", "kind", "start", "end")

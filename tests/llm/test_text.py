@@ -86,6 +86,21 @@ def test_secrets(spark):
     assert secrets.scan(empty(spark), F.col("source"), F.col("source")).count() == 0
 
 
+def test_a_leaked_value_stays_live_and_an_example_does_not(spark):
+    """Judged by owners, repositories and occurrences: most of a leaked key's places are its owner's."""
+    leaked, example, spread = "token: leaked-key-77", "token: example-key-1", "token: two-repos-88"
+    rows = [(k, f"{leaked} {k}", "a") for k in range(8)] + [(8, f"{leaked} 8", "b"), (9, f"{leaked} 9", "b")]
+    rows += [(20 + k, f"{example} {k}", "abcdef"[k % 6]) for k in range(12)]
+    rows += [(40 + k, f"{spread} {k}", "a") for k in range(9)] + [(50, f"{spread} x", "b"), (51, f"{spread} y", "b")]
+    df = docs(spark, rows).withColumn("repo", F.when(F.col("doc_id") == 51, "other").otherwise("r"))
+    repo = F.concat_ws("/", "source", "repo")
+    got = {r.doc_id: (r.n_live, r.n_shared) for r in secrets.scan(df, F.col("source"), repo).collect()}
+    assert all(got[k] == (1, 0) for k in range(10)) and all(got[20 + k] == (0, 1) for k in range(12))
+    assert got[50] == got[40] == (0, 1)  # its second owner has it in two repositories
+    masked = {r.doc_id: r.text for r in secrets.mask(df, F.col("source"), repo).collect()}
+    assert masked[8] == "token: [SECRET] 8" and masked[20] == f"{example} 0" and masked[40] == f"{spread} 0"
+
+
 def test_bare_token_of_one_owner_is_added_and_masked(spark):
     bare = "Zx81kQpLm02WvTy7aBcD9"
     df = docs(spark, [(1, f"see {bare}", "a"), (2, f"and {bare} too", "a"), (3, "token: shared12345", "a"), (4, "token: shared12345", "b"),
