@@ -71,6 +71,13 @@ def ingest_files_and_rejects(notifications: DataFrame, params: DataFrame, base_u
     several copies, each joining a slice of those messages. With a ``catalogue`` only files that are new
     or changed since they were last seen are opened for their headers.
     """
+    rows, rejects, _ = _ingested(notifications, params, base_uri, case_insensitive, block_bytes, first, parallelism, catalogue)
+    return rows, rejects
+
+
+def _ingested(notifications, params, base_uri, case_insensitive, block_bytes, first, parallelism=None,
+              catalogue=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows, rejects, and the plan's requests that cannot be read (path, error)."""
     m, count = written_messages(matched_objects(notifications, params, base_uri, case_insensitive, first))
     plan, axes = prepared(requests_from_matched(m), block_bytes, catalogue=catalogue)
     hot = hot_files(m, count, parallelism)
@@ -78,17 +85,17 @@ def ingest_files_and_rejects(notifications: DataFrame, params: DataFrame, base_u
     rows = join_messages(scanned, salted_messages(m.select("out_file_name", "m_key", "m_measure", "r_limit", "m_row"), hot))
     bad = plan.filter(F.col("error").isNotNull()).select(F.col("file_name").alias("b_key"), F.col("measure").alias("b_measure"), "error")
     rejects = m.join(bad, (m["m_key"] == bad["b_key"]) & (m["m_measure"] == bad["b_measure"])).select(*REJECT_FIELDS, "error")
-    return rows, rejects
+    return rows, rejects, plan.filter("error IS NOT NULL").select("path", "error")
 
 
 def ingest_files(notifications: DataFrame, params: DataFrame, base_uri: str | None = None,
                  case_insensitive: bool = False, block_bytes: int = DEFAULT_BLOCK_BYTES, first: int | None = None) -> DataFrame:
     """The rows of ``ingest_files_and_rejects``; when a file cannot be read the query fails
     instead of returning the rest as if whole."""
-    rows, rejects = ingest_files_and_rejects(notifications, params, base_uri, case_insensitive, block_bytes, first)
-    bad = rejects.select("key", "error").first()
+    rows, _, unread = _ingested(notifications, params, base_uri, case_insensitive, block_bytes, first)
+    bad = unread.first()  # from the written plan: no message is joined for it
     if bad is not None:
-        raise ValueError(f"unreadable file {bad['key']!r}: {bad['error']}")
+        raise ValueError(f"unreadable file {bad['path']!r}: {bad['error']}")
     return rows
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fnmatch import fnmatchcase
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,8 @@ def _lister(glob: str) -> callable:
                     folder = f.type == pafs.FileType.Directory
                     if f.base_name[0] in "._" or not (folder or fnmatchcase(f.base_name, glob)):
                         continue
-                    rows.append((f"{path}/{f.base_name}", folder, None if folder else f.size, f.mtime_ns // 1000 if f.mtime_ns else None))
+                    name = quote(f.base_name) if path.startswith("file:") else f.base_name
+                    rows.append((f"{path}/{name}", folder, None if folder else f.size, f.mtime_ns // 1000 if f.mtime_ns else None))
                 cols = list(zip(*rows, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.bool_()), pa.array(cols[2], pa.int64()),
@@ -43,9 +45,9 @@ def _lister(glob: str) -> callable:
 
 def list_tree(spark: SparkSession, root: str, glob: str = "*.nc") -> DataFrame:
     """path, length, modification_time of every file under ``root`` whose name matches ``glob``; names starting with ``.`` or
-    ``_`` are left out, with all that is below them. A missing root fails, an empty one gives no rows."""
+    ``_`` are left out, with all that is below them; local paths are URIs, as Spark lists them. A missing root fails, an empty one gives no rows."""
     root = root.rstrip("/")
-    root = root if ":" in root.split("/", 1)[0] else f"file:{root}"
+    root = root if ":" in root.split("/", 1)[0] else f"file:{quote(root)}"
     base = scratch_path(spark, "listing")
     frontier = spark.createDataFrame([(root,)], "path string")
     tasks, level = 4 * spark.sparkContext.defaultParallelism, 0  # the tasks wait for the store
