@@ -6,8 +6,8 @@ or beside it are replaced, taken out or put in. The documents that hold each pai
 counted over the whole corpus, and every stretch of an item keeps its rarest pairs: a rank
 within the stretch, no cut-off, so an item is never without seeds, however often it was copied.
 
-Documents are searched for the seeds; a passage around hits that can reach the score travels to
-its item by a join on the item, where it is aligned. The test items are a query set: they are taken
+Documents are searched for the seeds; a passage around enough different ones that can reach the score
+travels to its item by a join on the item, where it is aligned. The test items are a query set: they are taken
 in blocks of bounded size, each block's seeds are sent to every task and meet every document.
 """
 
@@ -26,6 +26,9 @@ from gridspark.llm.common import LOWER, U, fresh, mix, released, text_slices, wo
 SPAN, REACH = 3, 5
 # First words in one stretch of an item, and the pairs that it keeps.
 STRETCH, FEW = 3, 4
+# Share of an item's seeds (two at least) that lie together where it is worth aligning. A score of a half leaves about
+# two thirds of the words in place, or all of them with as many put between, and so far more of the pairs.
+LEAST_SEEDS = 0.1
 # Items of fewer words than LEAST_WORDS count only where they stand word for word; those of fewer
 # than LEAST_EXACT are not looked for.
 LEAST_WORDS, LEAST_EXACT = 6, 3
@@ -140,6 +143,8 @@ class Seeds:
         self.sizes = np.array([len(w) for _, w in items], np.int64)
         order = np.argsort(keys, kind="stable")
         self.owner, self.at = owner[order], at[order]
+        many = np.bincount(owner, minlength=len(items))
+        self.need = np.where(self.sizes >= LEAST_WORDS, np.maximum(2, np.ceil(LEAST_SEEDS * many)), 1)
         keys, self.start = np.unique(keys[order], return_index=True)
         self.stop = np.append(self.start[1:], len(self.owner))
         self.pairs = Pairs(keys)
@@ -159,13 +164,17 @@ class Seeds:
     def _laid(self, words, first, pos, seed, least: float) -> Iterator[tuple[int, int, int, int, int]]:
         own, row = self.owner[seed], np.searchsorted(first, pos, "right") - 1
         order = np.lexsort((pos, own, row))
-        own, pos, row = own[order], pos[order], row[order]
+        own, pos, row, seed = own[order], pos[order], row[order], seed[order]
         if not len(own):
             return
         new = np.r_[True, (np.diff(own) != 0) | (np.diff(row) != 0) | (np.diff(pos) > 2 * self.sizes[own][1:])]
         start = np.flatnonzero(new)
         stop = np.append(start[1:], len(own))
-        for a, b in zip(start.tolist(), stop.tolist(), strict=True):
+        group = np.cumsum(new) - 1
+        order = np.lexsort((seed, group))
+        other = np.r_[True, (np.diff(group[order]) != 0) | (np.diff(seed[order]) != 0)]
+        enough = np.bincount(group[order][other], minlength=len(start)) >= self.need[own[start]]
+        for a, b in zip(start[enough].tolist(), stop[enough].tolist(), strict=True):
             k, r = int(own[a]), int(row[a])
             item = self.items[k][1]
             need = least if len(item) >= LEAST_WORDS else 1.0
@@ -311,7 +320,8 @@ def copies(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, block_byt
     items = item_rows(benchmark)
     found = docs.sparkSession.createDataFrame([], ALIGNED)
     for seeds in block_seeds(docs, items, block_bytes):
-        passages = docs.select("key", "text").mapInArrow(_passages(seeds, least), FOUND)
+        # written: searching and aligning are stages of their own, with one Python worker for each task
+        passages = fresh(docs.select("key", "text").mapInArrow(_passages(seeds, least), FOUND), "passages")
         found = found.union(passages.join(items, "item_key").select("key", "item_key", "start", "seeds", "passage", "words").mapInArrow(
             _aligned(least), ALIGNED))
     best = F.max(F.struct("score", F.negative("start_word").alias("s"), "end_word", "seeds")).alias("b")
