@@ -14,11 +14,9 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridspark.llm.common import BROADCAST_IDS, few_rows, fresh, released
 
@@ -169,11 +167,15 @@ def mask(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
         F.concat_ws(",", F.sort_array(F.collect_list(text))).alias("live spans")), "live")
     side = F.broadcast(live) if live.count() <= BROADCAST_IDS // 20 else live
     on = docs["doc_id"].cast("long").eqNullSafe(side["live id"]) & (F.xxhash64(docs["text"]) == side["live tag"])
-    rows = docs.join(side, on, "left")
-    masked = F.when(F.col("live spans").isNotNull(), _redact("text", "live spans")).otherwise(F.col("text"))
-    return rows.withColumn("text", masked).drop("live id", "live tag", "live spans")
+    return docs.join(side, on, "left").drop("live id", "live tag").mapInArrow(_masked, docs.schema)
 
 
-@F.pandas_udf(T.StringType())
-def _redact(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([redact(t, s) if s else t for t, s in zip(texts, spans, strict=True)])
+@released
+def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows without their last column, ``live spans``, which are masked in the texts."""
+    for batch in batches:
+        own, spans = batch.schema.names[:-1], batch.column(batch.num_columns - 1).to_pylist()
+        texts = batch.column("text")
+        if any(spans):
+            texts = pa.array([redact(t, s) if s else t for t, s in zip(texts.to_pylist(), spans, strict=True)], texts.type)
+        yield pa.RecordBatch.from_arrays([texts if n == "text" else batch.column(n) for n in own], names=own)
