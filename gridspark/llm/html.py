@@ -3,7 +3,7 @@
 Every page is read once into text blocks, each with the generalised path of its ancestors
 (tags and classes, digits as N). A page votes for the container that scores best by the text of
 its paragraphs, or for the one around it that this container is a part of; Spark counts the
-votes per host, and each page is extracted again with its host's winning path. Pages that lack the winning path use their own container.
+votes per host, and each page is extracted again with its host's winning path. Pages that lack the winning path, or hold next to nothing under it, use their own container.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ from gridspark.llm.common import BROADCAST_IDS, fresh, released
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/a-zA-Z][^>]*>""", re.DOTALL)
 # Path parts kept; elements nested deeper share the path of their ancestor at this depth.
 DEPTH = 40
+# A page whose own container holds more than this many times the text under its host's path is of another
+# template, where that path is a side matter.
+OTHER = 4
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -311,5 +314,6 @@ def extract(pages: DataFrame) -> DataFrame:
     def joined(path: str):
         return F.array_join(F.transform(inside(path), lambda b: b["text"]), " ")
 
-    by_host, by_page = F.coalesce(joined("winner"), F.lit("")), F.coalesce(joined("own"), F.lit(""))
-    return voted.select("page_id", "url", F.when(by_host != "", by_host).otherwise(by_page).alias("text"))
+    voted = voted.select("page_id", "url", F.coalesce(joined("winner"), F.lit("")).alias("by_host"), F.coalesce(joined("own"), F.lit("")).alias("by_page"))
+    of_host = (F.col("by_host") != "") & (F.char_length("by_page") <= OTHER * F.char_length("by_host"))
+    return voted.select("page_id", "url", F.when(of_host, F.col("by_host")).otherwise(F.col("by_page")).alias("text"))
