@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridspark.llm import bpe, decontaminate, minhash, secrets, toxicity
 from gridspark.llm.common import fresh, small_batches, without_ids
+from gridspark.session import drop_scratch, scratch_mark, size_shuffles
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -55,8 +56,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is written and read again. What a stage has written on
+    its way, and the result before it, is deleted then.
+
+    Null and empty texts pass all stages; rows that repeat a doc_id are judged by their texts, but
+    near-copies go by doc_id; a null doc_id is near nothing and stays; an empty table gives an empty
+    result; columns beside those of ``documents`` are left out.
+    """
+    path = f"{sf_dir}/documents.parquet"
+    size_shuffles(spark, path)
+    docs = spark.read.parquet(path)
+    mark = scratch_mark(spark)
     for name, stage in STAGES:
         docs = fresh(stage(spark, docs, sf_dir), name)
+        drop_scratch(spark, mark, keep=1)
     return docs

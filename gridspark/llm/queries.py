@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from gridspark.llm import bpe, chat, decontaminate, fingerprint, html, minhash, quality, rules, runs, secrets, substring, toxicity, whiten
 from gridspark.llm.common import small_batches
+from gridspark.session import size_shuffles
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    size_shuffles(spark, path)
+    return spark.read.parquet(path)
 
 
 def digest(column: str):
