@@ -24,6 +24,7 @@ from gridspark.operators import unpivot as U
 from gridspark.functions.messages import accepted, build_body, parse_notifications
 from gridspark.plans.ingest import ingest
 from gridspark.schema import NOTIFICATION_FIELDS
+from gridspark.session import size_shuffles
 from gridspark.sources.tables import notification_fields, notifications_from_events, orders_grid
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,7 +42,9 @@ def register(name: str, sql: str | None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    size_shuffles(spark, path)
+    return spark.read.parquet(path)
 
 
 # --- fixed fixture parameters -------------------------------------------------------

@@ -73,7 +73,49 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder name under the shared folder."""
-    return f"{shared_dir(spark)}/gridspark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/gridspark/{name}-{uuid.uuid4().hex}"
+    _handed_out(spark).append(path)
+    return path
+
+
+def _handed_out(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_gridspark_scratch"):
+        sc._gridspark_scratch = []
+    return sc._gridspark_scratch
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """Marks the scratch folders handed out so far, for ``drop_scratch``."""
+    return len(_handed_out(spark))
+
+
+def drop_scratch(spark: SparkSession, since: int, keep: int = 0) -> int:
+    """Delete the scratch folders handed out after the mark ``since`` but the newest ``keep`` of them; how many there
+    were. For a run that owns them and has written what it returns; nothing lazy may read them any more."""
+    held = _handed_out(spark)
+    gone = held[since: len(held) - keep]
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    held[since: len(held) - keep] = []
+    return len(gone)
+
+
+# Input bytes that one shuffle partition is planned for; AQE joins partitions that turn out small.
+PARTITION_BYTES = 64 << 20
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Raise ``spark.sql.shuffle.partitions`` to what the files under ``paths`` call for. It is never lowered, and inputs
+    that the setting already suits leave it alone."""
+    size = 0
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    wanted = -(-size // PARTITION_BYTES)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions", "200")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridspark.functions.messages import accepted, parse_notifications
+from gridspark.sinks.snapshot import SnapshotStore
 from gridspark.sinks.writers import write_jdbc
 
 Sink = Callable[[DataFrame, int], None]
@@ -46,10 +47,11 @@ def untimed(bodies: DataFrame) -> DataFrame:
 
 
 def parsed_stream(bodies: DataFrame, dedupe_delay: str | None = None) -> DataFrame:
-    """Usable notifications. ``dedupe_delay`` (e.g. ``"1 hour"``) drops a message whose
+    """Usable notifications; what cannot be used is left out here, and kept with its reason by
+    ``outcomes.start_routed``. ``dedupe_delay`` (e.g. ``"1 hour"``) drops a message whose
     (bucket, key) already arrived within that event-time delay (D5, opt-in; the
     reference appends every redelivery); messages without a readable time are left
-    out then, see ``untimed``."""
+    out then, see ``untimed``; ``versions.versioned`` judges those too."""
     n = accepted(parse_notifications(bodies))
     if dedupe_delay:
         n = (
@@ -105,7 +107,7 @@ def jdbc_sink(url: str, table: str, properties: dict | None = None, num_partitio
 def start_ingest(
     notifications: DataFrame,
     process: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]],
-    sink: Sink,
+    sink: Sink | SnapshotStore,
     checkpoint: str,
     trigger: str = "availableNow",
     interval: str = "10 seconds",
@@ -118,14 +120,18 @@ def start_ingest(
     ``trigger`` is ``"availableNow"`` (drain what is there, then stop) or
     ``"processingTime"`` (poll every ``interval``, ST2). Batches in which nothing is
     ``wanted`` (by default: no message; e.g. ``match.is_wanted``) are skipped (ST3). A
-    ``process`` that returns (rows, rejects) needs a ``dead_letters`` sink.
+    ``process`` that returns (rows, rejects) needs a ``dead_letters`` sink, or a ``SnapshotStore`` as ``sink``:
+    its tables ``rows`` and ``dead`` get both in one commit, and a replayed batch that is there already is skipped.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if (wanted(batch) if wanted else batch).isEmpty():
+        store = sink if isinstance(sink, SnapshotStore) else None
+        if store and store.committed(batch_id) or (wanted(batch) if wanted else batch).isEmpty():
             return
         done = process(batch)
-        if isinstance(done, tuple):
+        if store:
+            store.write(batch_id, dict(zip(("rows", "dead"), done if isinstance(done, tuple) else (done,))))
+        elif isinstance(done, tuple):
             rows, rejects = done
             if dead_letters is None:
                 raise ValueError("process returns rejects: a dead-letter sink is needed")

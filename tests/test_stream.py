@@ -171,3 +171,22 @@ def test_dedupe_takes_any_created_time(spark, scratch):
     assert got.count() == 24
     bodies = spark.read.text(inbox).withColumnRenamed("value", "body")
     assert [r["key"] for r in untimed(bodies).collect()] == ["k2.nc"]
+
+
+def test_rows_and_dead_letters_in_one_commit(spark, scratch):
+    from gridspark.plans.files import ingest_files_and_rejects
+    from gridspark.sinks.snapshot import SnapshotStore
+
+    grid, inbox = f"{scratch}/store", f"{scratch}/inbox"
+    make_store(grid)
+    drop(inbox, "a.txt", [msg("snow", "k0.nc"), msg("snow", "gone.nc")])
+    store = SnapshotStore(spark, f"{scratch}/out")
+
+    def process(batch):
+        return ingest_files_and_rejects(batch, params_frame(batch.sparkSession, PARAMS), base_uri=grid)
+
+    for _ in range(2):  # the second run finds nothing new
+        q = start_ingest(parsed_stream(notification_stream(spark, inbox)), process, store, f"{scratch}/ckpt")
+        q.awaitTermination()
+        assert q.exception() is None
+    assert store.read("rows").count() == 24 and [r.key for r in store.read("dead").collect()] == ["gone.nc"]
