@@ -3,7 +3,7 @@
 Every page is read once into text blocks, each with the generalised path of its ancestors
 (tags and classes, digits as N). A page votes for the container that scores best by the text of
 its paragraphs, or for the one around it that this container is a part of; Spark counts the
-votes per host, and each page is extracted again with its host's winning path. Pages that lack the winning path, or hold next to nothing under it, use their own container.
+votes per host, and each page is extracted again with its host's winning path. Pages that lack the winning path, or are of a template of their own, use their own container.
 """
 
 from __future__ import annotations
@@ -19,15 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import BROADCAST_IDS, fresh, released
+from gridspark.llm.common import fresh, released
 
 # A comment, a tag with its attributes, or markup without meaning here (also a tag whose
 # quotes do not close).
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/a-zA-Z][^>]*>""", re.DOTALL)
 # Path parts kept; elements nested deeper share the path of their ancestor at this depth.
 DEPTH = 40
-# A page whose own container holds more than this many times the text under its host's path is of another
-# template, where that path is a side matter.
+# A page is of another template, where its host's path is a side matter, when its own container holds more than this
+# many times the text under that path, and no page that voted for the path has such a container.
 OTHER = 4
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 
@@ -305,15 +305,29 @@ def extract(pages: DataFrame) -> DataFrame:
     found = fresh(rows.mapInArrow(_read, FOUND), "blocks")
     votes = found.filter("own <> ''").groupBy("host", "own").agg(F.count(F.lit(1)).alias("votes"))
     winners = fresh(votes.groupBy("host").agg(F.max_by("own", F.struct("votes", "own")).alias("winner")), "winners")
-    few = winners.count() <= BROADCAST_IDS // 10
-    voted = found.join(F.broadcast(winners) if few else winners, "host", "left")
+    voted = found.join(winners, "host", "left")
 
     def inside(path: str):
         return F.filter("blocks", lambda b: (b["path"] == F.col(path)) | b["path"].startswith(F.concat(path, F.lit("/"))))
 
     def joined(path: str):
-        return F.array_join(F.transform(inside(path), lambda b: b["text"]), " ")
-
-    voted = voted.select("page_id", "url", F.coalesce(joined("winner"), F.lit("")).alias("by_host"), F.coalesce(joined("own"), F.lit("")).alias("by_page"))
-    of_host = (F.col("by_host") != "") & (F.char_length("by_page") <= OTHER * F.char_length("by_host"))
-    return voted.select("page_id", "url", F.when(of_host, F.col("by_host")).otherwise(F.col("by_page")).alias("text"))
+        return F.coalesce(F.array_join(F.transform(inside(path), lambda b: b["text"]), " "), F.lit(""))
+
+    judged = voted.select("page_id", "url", "host", "own", joined("winner").alias("by_host"), joined("own").alias("by_page"))
+    other = (F.col("by_host") != "") & (F.char_length("by_page") > OTHER * F.char_length("by_host"))
+    odd = fresh(judged.filter(other).select("host", "own").distinct(), "odd-paths")
+    if not odd.isEmpty():
+        judged = judged.join(odd.join(usual_paths(voted), ["host", "own"], "left_anti").withColumn("strange", F.lit(True)), ["host", "own"], "left")
+    else:
+        judged = judged.withColumn("strange", F.lit(False))
+    of_host = (F.col("by_host") != "") & ~(other & F.coalesce("strange", F.lit(False)))
+    return judged.select("page_id", "url", F.when(of_host, F.col("by_host")).otherwise(F.col("by_page")).alias("text"))
+
+
+def usual_paths(voted: DataFrame) -> DataFrame:
+    """host, own: the distinct paths, and those around them, on pages that voted for their host's winner."""
+    main = voted.filter(F.col("own") == F.col("winner"))
+    paths = main.select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: b["path"]))).alias("path")).distinct()
+    parts = F.split("path", "/")
+    around = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    return paths.select("host", F.explode(around).alias("own")).distinct()

@@ -202,6 +202,16 @@ LONG = "words of a long paragraph " * 12
 MENU = "<nav><a href=/>Home</a></nav><div class='sidebar'><p>" + "aside " * 30 + "</p></div>"
 
 
+def test_html_page_of_another_template_keeps_its_article(spark):
+    """The host's path is there, but holds a teaser only."""
+    story = [(k, "http://h.org/a", f"<body><div class=story><p>{prose(k, 60)}</p><p>{prose(k + 50, 40)}</p></div></body>") for k in range(6)]
+    feature = " ".join(prose(90 + k, 40) for k in range(3))
+    odd = (9, "http://h.org/b", f"<body><div class=story><p>teaser</p></div><div class=feature><p>{prose(90, 40)}</p><p>{prose(91, 40)}</p><p>{prose(92, 40)}</p></div></body>")
+    df = spark.createDataFrame([*story, odd], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert got[9] == feature and got[0] == f"{prose(0, 60)} {prose(50, 40)}"
+
+
 @pytest.mark.parametrize("body,want", [
     (f"<article><h1>Head</h1><p>intro</p><section><p>{LONG}</p></section><section><p>{LONG}</p></section></article>", f"Head intro {LONG}{LONG}"),
     (f"<article><h1>Head</h1><p>intro</p><ul><li>{LONG}</li><li>{LONG}</li></ul></article>", f"Head intro {LONG}{LONG}"),
