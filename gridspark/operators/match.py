@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from gridspark.functions.text import basename, parse_param_string
 from gridspark.schema import NOTIFICATION_FIELDS, PARAMS_SCHEMA
-from gridspark.session import size_in_bytes
+
+ARROW_PARAMS = to_arrow_schema(PARAMS_SCHEMA)
 
 
 def params_frame(spark: SparkSession, params: Mapping[str, str] | Iterable[tuple]) -> DataFrame:
@@ -28,10 +31,10 @@ def params_frame(spark: SparkSession, params: Mapping[str, str] | Iterable[tuple
     names = [r[0] for r in rows]
     if len(set(names)) < len(names):
         raise ValueError("parameter names must be unique")
-    df = spark.createDataFrame(rows, PARAMS_SCHEMA)
-    limit = size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    size = sum(64 + 4 * sum(len(str(v)) for v in r) for r in rows)
-    return F.broadcast(df) if size <= limit else df  # rows from the driver carry no size of their own
+    # an Arrow table becomes a local relation: the planner knows its size, and no worker is asked for it
+    columns = zip(*rows, strict=True) if rows else [[]] * len(PARAMS_SCHEMA.fields)
+    table = pa.table([pa.array(c, f.type) for c, f in zip(columns, ARROW_PARAMS, strict=True)], schema=ARROW_PARAMS)
+    return spark.createDataFrame(table, PARAMS_SCHEMA)
 
 
 def params_from_text(df: DataFrame, name_col: str, text_col: str, strict: bool = True) -> DataFrame:
@@ -53,9 +56,8 @@ def filter_name_ci(notifications: DataFrame, value: str) -> DataFrame:
 def match_params(notifications: DataFrame, params: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """J1 (exact name, the reference's map lookup) or J2 (case-insensitive).
 
-    Inner join: unmatched messages drop out. ``params`` may have any size: it is broadcast
-    within the session's size bound (``params_frame`` checks it, a table's own size is
-    known to the planner), and both sides are shuffled beyond it. Names that
+    Inner join: unmatched messages drop out. ``params`` may have any size: the planner knows it, broadcasts
+    within the session's size bound, and shuffles both sides beyond it. Names that
     are equal but for their case count once in J2 (the first in order, upper case first), so a message never
     fans out. Output: notification fields + measure, coord_y, coord_x, r_limit.
     """
