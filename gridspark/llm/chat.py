@@ -103,11 +103,12 @@ WITH t AS (
   SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
   FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)),
 c AS (
-  SELECT conv_id, count(*) AS n_turns, list({'r': role, 't': text} ORDER BY pos) AS turns,
-         string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY pos) AS chat
-  FROM t GROUP BY conv_id),
+  SELECT conv_id, count(*) AS n_turns, list({'r': role, 't': text} ORDER BY pos) AS turns FROM t GROUP BY conv_id),
 prefixes AS (SELECT DISTINCT c.turns[1:p.k] AS turns FROM c, (SELECT DISTINCT pos AS k FROM t) p WHERE p.k < c.n_turns),
-whole AS (SELECT turns, min(conv_id) AS conv_id, any_value(n_turns) AS n_turns, any_value(chat) AS chat FROM c GROUP BY turns)
-SELECT conv_id, 0::BIGINT AS part, n_turns, chat FROM whole w
-WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.turns = w.turns)
+whole AS (SELECT turns, min(conv_id) AS conv_id, any_value(n_turns) AS n_turns FROM c GROUP BY turns),
+parts AS (SELECT *, unnest(range(0, (n_turns + 255) // 256)) AS part FROM whole w
+          WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.turns = w.turns))
+SELECT conv_id, part, n_turns, array_to_string(list_transform(turns[part * 256 + 1:(part + 1) * 256],
+       lambda x: '<|' || x.r || '|>' || chr(10) || x.t || '<|end|>' || chr(10)), '') AS chat
+FROM parts
 """
