@@ -96,14 +96,14 @@ def join_messages(slabs: DataFrame, m: DataFrame) -> DataFrame:
     partitions that no message names are pruned at run time.
     """
     has_bucket = "file_bucket" in slabs.columns
-    lines = converted_lines(first_level(slabs), "part", *(["file_bucket"] if has_bucket else []))
+    lines = converted_lines(first_level(slabs), "part", *(["file_bucket", "file_buckets"] if has_bucket else []))
     cond = (lines["file_name"] == m["m_key"]) & (lines["measure_name"] == m["m_measure"]) & (lines["part"] == m["m_part"])
     if has_bucket:
         from gridspark.sources.slab_store import file_bucket
 
-        m = m.withColumn("m_bucket", file_bucket("m_key"))
-        cond = cond & (lines["file_bucket"] == m["m_bucket"])
-    j = lines.join(m, cond, "inner").filter(within_limit("r_limit")).drop("file_name", "part", "file_bucket")
+        # the number of buckets is a constant of the plan, so this is a join key of the messages alone
+        cond = cond & (lines["file_bucket"] == file_bucket("m_key", lines["file_buckets"]))
+    j = lines.join(m, cond, "inner").filter(within_limit("r_limit")).drop("file_name", "part", "file_bucket", "file_buckets")
     return long_cells(j.withColumnRenamed("out_file_name", "file_name"))
 
 

@@ -1,5 +1,7 @@
 """Shared-folder and parallelism helpers."""
 
+import os
+
 from gridspark.session import scratch_path, shared_dir, size_in_bytes
 
 
