@@ -30,7 +30,7 @@ from gridspark.llm.common import released, text_slices
 # instead of position rows (a query's work grows with the square of its longest piece).
 SLICE_BYTES = 2 << 20
 QUERY_BYTES = 300_000
-KEEP_CHUNKS = 250_000
+KEEP_CHUNKS = 300_000
 LONG_PIECE = 400
 # Code points of a text that is taken in parts.
 LONG_TEXT = 1 << 20
@@ -190,7 +190,7 @@ class Codec:
             todo.update(pieces)
         held: list[tuple[str, bytes]] = []
         size = 0
-        for p in sorted(todo - known.keys()):
+        for p in todo - known.keys():
             raw = p.encode()
             if (rank := ranks.get(raw)) is not None:
                 known[p] = single[rank]
