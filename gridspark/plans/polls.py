@@ -20,9 +20,12 @@ from gridspark.streaming.message_source import drained, idle, polled_messages
 from gridspark.streaming.outcomes import start_routed
 from gridspark.streaming.versions import start_versioned, use_state_store
 
-# Messages in one poll, files of the inbox, and the matched messages after which polling ends.
+# Messages in one poll, polls of a backlog taken in one micro-batch, files of the inbox (at least) and messages
+# in one of them (at most), and the matched messages after which polling ends.
 POLL = 1000
+BACKLOG = 5000
 INBOX_FILES = 3
+FILE_MESSAGES = 250_000
 POLL_CAP = 2500
 
 # The five fields of each event's message, with the event's number.
@@ -34,13 +37,15 @@ _WANTED = ", ".join(f"'{p[0]}'" for p in INGEST_PARAMS)
 
 def write_inbox(events, bodies: F.Column, path: str) -> None:
     """The events' messages in the order of their numbers, as files whose names sort in that order."""
-    events.repartitionByRange(INBOX_FILES, "event_id").sortWithinPartitions("event_id").select(bodies.alias("value")).write.text(path)
+    files = max(INBOX_FILES, -(-events.count() // FILE_MESSAGES))
+    events.repartitionByRange(files, "event_id").sortWithinPartitions("event_id").select(bodies.alias("value")).write.text(path)
 
 
 def run_polls(spark, base: str, store: SnapshotStore, **source) -> None:
-    """Drain the inbox under ``base`` in polls; every poll's messages and their outcomes are one commit."""
-    bodies = polled_messages(spark, f"{base}/inbox", POLL, file_order="name", **source)
-    drained(start_routed(bodies, lambda s: M.params_frame(s, INGEST_PARAMS), store, f"{base}/checkpoint"))
+    """Drain the inbox under ``base`` in polls; a poll's messages and their outcomes appear in one commit, with those of
+    the other polls of its micro-batch."""
+    bodies = polled_messages(spark, f"{base}/inbox", POLL, file_order="name", polls=BACKLOG, **source)
+    drained(start_routed(bodies, lambda s: M.params_frame(s, INGEST_PARAMS), store, f"{base}/checkpoint", keep=("poll",)))
 
 
 def _polled(spark, sf_dir, name, **source):
@@ -49,7 +54,7 @@ def _polled(spark, sf_dir, name, **source):
     write_inbox(events, build_body(*notification_fields(events, PER_KEY, "g_")), f"{base}/inbox")
     store = SnapshotStore(spark, f"{base}/store")
     run_polls(spark, base, store, **source)
-    return store.read("outcomes").select(*_FIELDS.split(", "), F.col("batch_id").alias("poll"))
+    return store.read("outcomes").select(*_FIELDS.split(", "), "poll")
 
 
 @register("ingest_polls", _POLLED_SQL)
@@ -82,7 +87,7 @@ def stream_outcomes(spark, sf_dir):
     write_inbox(_reject_bodies(events, "event_id"), F.col("body"), f"{base}/inbox")
     store = SnapshotStore(spark, f"{base}/store")
     run_polls(spark, base, store)
-    return store.read("outcomes").groupBy(F.col("batch_id").alias("poll"), "outcome", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    return store.read("outcomes").groupBy("poll", "outcome", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 _VERSIONS_SQL = f"""

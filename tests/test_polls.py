@@ -101,6 +101,49 @@ def test_cap_across_polls_holds_after_a_restart(spark, scratch):
     assert len(open(f"{base}/inbox/a").read().split()) > 0  # unread messages stay
 
 
+def dealt(reader):
+    """(file, line, body, poll) of all messages in the order they are dealt out, and the number of batches."""
+    out, at, n = [], reader.initialOffset(), 0
+    while (end := reader.latestOffset()) != at:
+        out += [tuple(x.values()) for p in reader.partitions(at, end) for batch in reader.read(p) for x in batch.to_pylist()]
+        reader.commit(end)
+        at, n = end, n + 1
+    return out, n
+
+
+@pytest.mark.parametrize("piece", [1, 50, 1000, 1 << 20])
+def test_a_backlog_is_dealt_out_in_few_batches(scratch, monkeypatch, piece):
+    monkeypatch.setattr("gridspark.streaming.message_source.PIECE_BYTES", piece)
+    files = {"a": ["x" * (i * 37 % 90) for i in range(23)], "b": [""], "c": ["", "", "y"], "d": ["last" * 30]}
+    want = [(f, k, x) for f, lines in files.items() for k, x in enumerate(lines)]
+    got = {}
+    for polls in (1, 3, 100):
+        inbox = f"{local(scratch)}/{polls}"
+        for f, lines in files.items():
+            drop(inbox, f, lines)
+        with open(f"{inbox}/d", "w") as f:
+            f.write(files["d"][0])  # no line end
+        rows, got[polls] = dealt(MessageReader(inbox, 5, None, None, True, polls))
+        assert [r[:3] for r in rows] == want and [r[3] for r in rows] == [k // 5 for k in range(len(want))]
+    assert got[1] >= 6 and got[3] <= 3 and got[100] == 1
+
+
+def test_polls_of_one_batch_keep_their_numbers_and_their_cap(spark, scratch):
+    base = local(scratch)
+    drop(f"{base}/inbox", "a", [msg("snow" if i % 2 else "other", f"k{i}") for i in range(40)])
+    source = {"names": [p[0] for p in PARAMS], "matched_cap": 9, "polls": 50}
+
+    def polled():
+        store = SnapshotStore(spark, f"{base}/out")
+        bodies = polled_messages(spark, f"{base}/inbox", 5, file_order="name", **source)
+        drained(start_routed(bodies, params, store, f"{base}/checkpoint", keep=("line", "poll")))
+        return sorted(map(tuple, store.read("outcomes").select("batch_id", "poll", "line").collect()))
+
+    assert polled() == [(0, k // 5, k) for k in range(20)]  # the fourth poll meets the cap: 2, 5, 7, 10
+    source["matched_cap"] = 14
+    assert polled() == [(int(k > 19), k // 5, k) for k in range(30)]  # after a restart the polls count on
+
+
 def test_rows_and_dead_letters_of_a_poll_appear_together(spark, scratch):
     base = local(scratch)
     make_store(f"{base}/grid")
