@@ -109,10 +109,10 @@ def stream_versions(spark, sf_dir):
     write_inbox(events, build_body(*notification_fields(events, PER_KEY, "g_")), f"{base}/inbox")
     store = SnapshotStore(spark, f"{base}/store")
     use_state_store(spark)
-    bodies = polled_messages(spark, f"{base}/inbox", POLL, file_order="name")
-    usable = accepted(parse_notifications(bodies, keep=("file", "line")))
+    bodies = polled_messages(spark, f"{base}/inbox", POLL, file_order="name", polls=BACKLOG)
+    usable = accepted(parse_notifications(bodies, keep=("file", "line", "poll")))
     idle(start_versioned(usable, store, f"{base}/checkpoint"))
-    return store.read("versions").select(*_FIELDS.split(", "), F.col("batch_id").alias("poll"), "version")
+    return store.read("versions").select(*_FIELDS.split(", "), "poll", "version")
 
 
 EXACT = 700

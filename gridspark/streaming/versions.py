@@ -1,8 +1,9 @@
 """ST5, D5: redeliveries told apart by state for each announced object.
 
 For every (bucket, key) the state holds the creation time of the newest version seen; it
-expires when the key is silent for long enough. Within one poll only a key's newest
-message counts. Every message gets a defined ``version``:
+expires when the key is silent for long enough. The state lies in ``SHARDS`` values of many keys each, so a batch
+costs a call and a read and write of state for each shard, not for each key. Within one poll only a key's newest
+message counts, also when a batch holds several polls. Every message gets a defined ``version``:
 
 - ``newest``: newer than all the polls before held for the key, or the key's first; these are read
 - ``repeated``: as new as what was seen (a redelivery)
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,49 +25,62 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from gridspark.schema import NOTIFICATION_FIELDS
 from gridspark.sinks.snapshot import SnapshotStore
+from gridspark.streaming.shards import pack, shard, state_partitions, unpack
 
 VERSIONED = ("file string, line long, bucket string, name string, key string, created_time string, "
-             "forecast_reference_time string, version string")
+             "forecast_reference_time string, poll long, version string")
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Before any readable time: messages without one.
 UNTIMED = -(1 << 62)
+# Before anything: nothing was seen.
+UNSEEN = -(1 << 63)
+OBJECT = ["bucket", "key"]
 
 
 class NewestVersion(StatefulProcessor):
+    """State of a shard: bucket, key, stamp of the newest version and the time it arrived."""
+
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", "stamp long", ttlDurationMs=self.keep_ms)
+        self.newest = handle.getValueState("newest", "known binary", ttlDurationMs=self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        poll = pd.concat(list(rows), ignore_index=True)  # one key's messages of one poll
-        order = poll.sort_values(["stamp", "file", "line"])
-        stamp = int(order["stamp"].iloc[-1])
-        seen = self.newest.get() if self.newest.exists() else None
-        top = "newest" if seen is None or stamp > seen[0] else "repeated" if stamp == seen[0] else "older"
-        if top == "newest":
-            self.newest.update((stamp,))
-        version = pd.Series("superseded", index=poll.index)
-        version[order.index[-1]] = top
-        yield poll.drop(columns="stamp").assign(version=version)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        batch = pd.concat(list(rows), ignore_index=True)
+        known = unpack(self.newest.get() if self.newest.exists() else None, [*OBJECT, "stamp", "arrived"])
+        known = known[known["arrived"].astype("int64") > now - self.keep_ms]
+        order = batch.sort_values([*OBJECT, "poll", "stamp", "file", "line"])
+        last = order[~order.duplicated([*OBJECT, "poll"], keep="last")]  # a key's newest message of each poll, polls in order
+        before = last[OBJECT].merge(known, "left", OBJECT)["stamp"].fillna(UNSEEN).to_numpy(np.int64) if len(known) else UNSEEN
+        seen = last.assign(top=last.groupby(OBJECT)["stamp"].cummax()).groupby(OBJECT)["top"].shift(1, fill_value=UNSEEN)
+        seen = np.maximum(seen.to_numpy(np.int64), before)
+        stamp = last["stamp"].to_numpy(np.int64)
+        version = pd.Series("superseded", index=batch.index)
+        version[last.index] = np.select([stamp > seen, stamp == seen], ["newest", "repeated"], "older")
+        grown = last.loc[stamp > seen, [*OBJECT, "stamp"]].assign(arrived=now)
+        if len(grown):
+            self.newest.update((pack(pd.concat([known, grown]).drop_duplicates(OBJECT, keep="last")),))
+        yield batch.drop(columns=["stamp", "shard"], errors="ignore").assign(version=version)
 
     def close(self) -> None:
         pass
 
 
 def versioned(messages: DataFrame, keep: str = "7 days") -> DataFrame:
-    """A stream of parsed messages (file, line and the message fields) with their ``version``; a key's state is
-    forgotten when ``keep`` has passed since its newest version arrived.
+    """A stream of parsed messages (file, line, the message fields, and ``poll`` where a batch holds several) with their
+    ``version``; a key's state is forgotten when ``keep`` has passed since its newest version arrived.
 
     Uses the RocksDB state store; call ``use_state_store`` on the session before the query starts.
     """
     from gridspark.streaming.ingest_stream import event_time
 
     stamp = F.coalesce(F.unix_millis(event_time()), F.lit(UNTIMED))
-    given = messages.select("file", "line", *NOTIFICATION_FIELDS, stamp.alias("stamp"))
+    poll = F.col("poll") if "poll" in messages.columns else F.lit(None)
+    given = messages.select("file", "line", *NOTIFICATION_FIELDS, poll.cast("long").alias("poll"), stamp.alias("stamp"), shard(*OBJECT))
     millis = int(pd.Timedelta(keep).total_seconds() * 1000)
-    return given.groupBy("bucket", "key").transformWithStateInPandas(
+    return given.groupBy("shard").transformWithStateInPandas(
         statefulProcessor=NewestVersion(millis), outputStructType=VERSIONED, outputMode="Append", timeMode="ProcessingTime")
 
 
@@ -76,8 +91,9 @@ def start_versioned(messages: DataFrame, store: SnapshotStore, checkpoint: str,
         if not store.write(batch_id, {"versions": batch}):
             batch.write.format("noop").mode("overwrite").save()  # a replay: the state must be run through all the same
 
-    return (versioned(messages, keep).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=interval).start())
+    with state_partitions(messages.sparkSession):
+        return (versioned(messages, keep).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+                .trigger(processingTime=interval).start())
 
 
 def use_state_store(spark: SparkSession) -> None:

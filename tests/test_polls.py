@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import random
 import time
 
 import pytest
@@ -205,6 +206,30 @@ def test_every_redelivery_has_a_defined_version(spark, scratch):
     assert more[: len(want)] == want and [v for *_, v in more[len(want):]] == ["repeated", "newest", "newest"]
 
 
+def test_versions_of_several_polls_in_one_batch(spark, scratch):
+    base, rng = local(scratch), random.Random(4)
+    sent = [(rng.choice("kji"), rng.choice(["2019-07-19T0%d:00:00Z" % rng.randrange(6), "no time"])) for _ in range(100)]
+    drop(f"{base}/inbox", "a", [msg("snow", *m) for m in sent])
+    seen, want = {}, []
+    for lo in range(0, 100, 7):
+        poll = range(lo, min(lo + 7, 100))
+        for k in poll:
+            place = max((i for i in poll if sent[i][0] == sent[k][0]), key=lambda i: (sent[i][1][0] == "2", sent[i][1], i))
+            if place != k:
+                want.append((lo // 7, k, "superseded"))
+                continue
+            new, old = (sent[k][1][0] == "2", sent[k][1]), seen.get(sent[k][0])
+            want.append((lo // 7, k, "newest" if old is None or new > old else "repeated" if new == old else "older"))
+            seen[sent[k][0]] = max(new, old or new)
+    use_state_store(spark)
+    store = SnapshotStore(spark, f"{base}/out")
+    bodies = polled_messages(spark, f"{base}/inbox", 7, file_order="name", polls=6)
+    idle(start_versioned(accepted(parse_notifications(bodies, keep=("file", "line", "poll"))), store, f"{base}/checkpoint"))
+    rows = store.read("versions").select("poll", "line", "version", "batch_id").collect()
+    assert sorted((r[0], r[1], r[2]) for r in rows) == sorted(want)
+    assert all(r.batch_id == r.poll // 6 for r in rows)
+
+
 def test_a_file_that_appears_late_is_read_once(spark, scratch):
     base = local(scratch)
     make_store(f"{base}/grid")
