@@ -11,7 +11,7 @@ from gridspark.operators import unpivot as U
 from gridspark.plans.catalog import (G_R, G_X, G_Y, I_R, I_X, I_Y, INGEST_PARAMS, INGEST_SQL, MEASURE, ORACLE, PER_KEY, X_NAME, Y_NAME,
                                      _cells_sql, _describe_sql, _long_sql, compared, g_files, register, table)
 from gridspark.plans.files import ingest_files_and_rejects
-from gridspark.plans.polls import POLL, write_inbox
+from gridspark.plans.polls import BACKLOG, POLL, write_inbox
 from gridspark.session import scratch_path
 from gridspark.sinks.snapshot import SnapshotStore
 from gridspark.sources.block_stats import BlockStats, Wanted
@@ -90,7 +90,7 @@ def ingest_retries(spark, sf_dir):
         return ingest_files_and_rejects(messages, M.params_frame(messages.sparkSession, INGEST_PARAMS), base_uri=where["grid"])
 
     first, again = (SnapshotStore(spark, f"{base}/{n}") for n in ("first", "again"))
-    bodies = polled_messages(spark, f"{base}/inbox", 10 * POLL, file_order="name")
+    bodies = polled_messages(spark, f"{base}/inbox", 10 * POLL, file_order="name", polls=BACKLOG // 10)
     drained(start_routed(bodies, lambda s: M.params_frame(s, INGEST_PARAMS), first, f"{base}/checkpoint", process))
 
     write_failed(first.read("dead"), f"{base}/failed", 1)

@@ -6,17 +6,19 @@ import os
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from gridspark.operators.match import params_frame
 from gridspark.plans.files import ingest_files_and_rejects
+from gridspark.schema import NOTIFICATION_FIELDS
 from gridspark.sinks.rolled import numbered, write_json_exact
 from gridspark.sinks.snapshot import SnapshotStore
 from gridspark.functions.messages import accepted, parse_notifications
 from gridspark.streaming.message_source import DONE, MessageReader, drained, idle, polled_messages
 from gridspark.streaming.outcomes import routed, start_routed
-from gridspark.streaming.retries import start_retries, write_failed
+from gridspark.streaming.retries import RetryLater, start_retries, write_failed
 from gridspark.streaming.versions import start_versioned, use_state_store
 from tests.test_stream import PARAMS, drop, make_store, msg
 
@@ -230,6 +232,62 @@ def test_versions_of_several_polls_in_one_batch(spark, scratch):
     assert all(r.batch_id == r.poll // 6 for r in rows)
 
 
+class Handle:
+    """One state value and the timers of a stateful processor, without a stream."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, *_, **__):
+        return self
+
+    def registerTimer(self, time):
+        self.timers.add(time)
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def getExpiryTimeInMs(self):
+        return self.now
+
+
+def test_many_waiting_messages_are_one_state(spark):
+    handle, waits = Handle(), RetryLater(3, 100)
+    waits.init(handle)
+
+    def fail(now, *failures):
+        handle.now = now
+        frame = pd.DataFrame([["b", "snow", k, "t", "f", e, a, 0] for k, e, a in failures], columns=[*NOTIFICATION_FIELDS, "error", "attempt", "shard"])
+        return [tuple(r) for out in waits.handleInputRows((0,), iter([frame]), handle) for r in out[["key", "error", "attempt", "action"]].values]
+
+    def fire(now):
+        handle.now = now
+        return [tuple(r) for out in waits.handleExpiredTimer((0,), handle, handle) for r in out[["key", "error", "attempt", "action"]].values]
+
+    assert fail(1000, *((f"k{i}", "gone", 1) for i in range(500)), ("k7", "gone", 1)) == []
+    assert handle.calls <= 3 and handle.timers == {1100}
+    assert fail(1050, ("k1", "still", 1), ("late", "gone", 2), ("k2", "gone", 3)) == [("k2", "gone", 3, "given up")]
+    assert handle.timers == {1100, 1250}
+    assert sorted(fire(1100)) == sorted([(f"k{i}", "gone", 1, "retry") for i in range(500) if i not in (1, 2)] + [("k1", "still", 1, "retry")])
+    assert fire(1250) == [("late", "gone", 2, "retry")] and handle.value is None
+
+
 def test_a_file_that_appears_late_is_read_once(spark, scratch):
     base = local(scratch)
     make_store(f"{base}/grid")
