@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.match import params_frame
 from gridspark.plans.files import ingest_files_and_rejects
+from gridspark.plans.polls import run_polls
 from gridspark.schema import NOTIFICATION_FIELDS
 from gridspark.sinks.rolled import numbered, write_json_exact
 from gridspark.sinks.snapshot import SnapshotStore
@@ -147,6 +148,18 @@ def test_polls_of_one_batch_keep_their_numbers_and_their_cap(spark, scratch):
     assert polled() == [(int(k > 19), k // 5, k) for k in range(30)]  # after a restart the polls count on
 
 
+def test_a_backlog_of_polls_is_counted_poll_by_poll_in_one_commit(spark, scratch):
+    base = local(scratch)
+    bodies = [msg("click", "k") if i < 1500 else "garbage" for i in range(3500)]
+    for k in range(2):
+        drop(f"{base}/inbox", f"{k}", bodies[k * 1750: (k + 1) * 1750])
+    store = SnapshotStore(spark, f"{base}/out")
+    run_polls(spark, base, store)
+    got = {(r.poll, r.outcome): r["count"] for r in store.read("outcomes").groupBy("poll", "outcome").count().collect()}
+    assert got == {(0, "accepted"): 1000, (1, "accepted"): 500, (1, "rejected"): 500, (2, "rejected"): 1000, (3, "rejected"): 500}
+    assert len(store.manifests()) == 1
+
+
 def test_rows_and_dead_letters_of_a_poll_appear_together(spark, scratch):
     base = local(scratch)
     make_store(f"{base}/grid")
