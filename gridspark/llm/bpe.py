@@ -7,7 +7,7 @@ minimum-rank pair, step by step, until no pair can be merged. Decoding joins the
 of a batch of documents with the vocabulary and aggregates the bytes in order.
 
 The vocabulary file is read once by the driver and broadcast (its size is that of the
-vocabulary); processes keep a bounded dictionary of encoded pieces, in two generations.
+vocabulary); processes keep encoded pieces in columns of bounded size.
 """
 
 from __future__ import annotations
@@ -17,20 +17,23 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import released, text_slices
 
 # Bytes of text taken at once, bytes of new pieces in one recursive query, encoded pieces and chunks
-# of text in each of the two generations that a process keeps, and bytes from which a piece is merged by a heap
+# of text that a process keeps and their bytes, and bytes from which a piece is merged by a heap
 # instead of position rows (a query's work grows with the square of its longest piece).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 QUERY_BYTES = 300_000
-KEEP_CHUNKS = 300_000
+KEEP_CHUNKS = 400_000
+KEEP_BYTES = 32 << 20
 LONG_PIECE = 400
 # Code points of a text that is taken in parts.
 LONG_TEXT = 1 << 20
@@ -88,6 +91,66 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+class Held:
+    """Encoded pieces and chunks as two columns, text and ids (little-endian 32-bit integers): as Python objects they
+    would take several times the memory. A row is found by its text's hash and then compared."""
+
+    def __init__(self):
+        self.texts, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+        self.met = np.zeros(0, np.int32)  # the turn in which a row was met last
+        self.hashes, self.rows = np.zeros(0, np.int64), np.zeros(0, np.int32)  # in the order of the hashes
+        self.turn = 0
+
+    def find(self, names: list[str]) -> dict[str, bytes]:
+        """The ids of those ``names`` that are held."""
+        self.turn += 1
+        if not names or not len(self.rows):
+            return {}
+        h = np.fromiter(map(hash, names), np.int64, len(names))
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        may = np.flatnonzero(self.hashes[at] == h)
+        rows, names = self.rows[at[may]], [names[i] for i in may.tolist()]
+        same = pc.equal(self.texts.take(pa.array(rows)), pa.array(names, pa.string())).to_numpy(zero_copy_only=False)
+        if not same.all():
+            rows, names = rows[same], [n for n, s in zip(names, same, strict=True) if s]
+        if not len(rows):
+            return {}
+        self.met[rows] = self.turn
+        got = self.ids.take(pa.array(rows))
+        ends = np.frombuffer(got.buffers()[1], np.int32)[got.offset: got.offset + len(got) + 1].tolist()
+        data = got.buffers()[2].to_pybytes() if ends[-1] else b""
+        return dict(zip(names, [data[a:b] for a, b in pairwise(ends)], strict=True))
+
+    def keep(self, new: dict[str, bytes]) -> None:
+        """Hold ``new`` too, but no long texts and of texts with the same hash only the first. What was met least
+        recently goes when there is too much."""
+        names = [n for n in new if len(n) < LONG_TEXT]
+        h, first = np.unique(np.fromiter(map(hash, names), np.int64, len(names)), return_index=True)
+        at = np.searchsorted(self.hashes, h)
+        absent = np.ones(len(h), bool)
+        inside = at < len(self.hashes)
+        absent[inside] = self.hashes[at[inside]] != h[inside]
+        names = [names[i] for i in first[absent].tolist()]
+        rows = np.arange(len(self.texts), len(self.texts) + len(names), dtype=np.int32)
+        self.hashes, self.rows = np.insert(self.hashes, at[absent], h[absent]), np.insert(self.rows, at[absent], rows)
+        self.texts = pa.concat_arrays([self.texts, pa.array(names, pa.string())])
+        self.ids = pa.concat_arrays([self.ids, pa.array([new[n] for n in names], pa.binary())])
+        self.met = np.append(self.met, np.full(len(names), self.turn, np.int32))
+        while len(self.texts) > KEEP_CHUNKS or self.texts.nbytes + self.ids.nbytes > KEEP_BYTES:
+            self._forget(len(self.texts) // 3 + 1)
+        pa.default_memory_pool().release_unused()
+
+    def _forget(self, n: int) -> None:
+        """The ``n`` rows that were met least recently go."""
+        stay = np.ones(len(self.met), bool)
+        stay[np.argsort(self.met, kind="stable")[:n]] = False
+        number = np.cumsum(stay, dtype=np.int32) - 1
+        left = pa.array(np.flatnonzero(stay))
+        self.texts, self.ids, self.met = self.texts.take(left), self.ids.take(left), self.met[stay]
+        of = stay[self.rows]
+        self.hashes, self.rows = self.hashes[of], number[self.rows[of]]
+
+
 class Codec:
     """Encoder and decoder of one task process, with its own in-memory DuckDB."""
 
@@ -111,19 +174,13 @@ class Codec:
         self._make("vocabulary", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "spelt": [t.decode("latin-1") for t in ranks]}))
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         self.single = {rank: np.array([rank], "<u4").tobytes() for rank in ranks.values()}
-        self.clear()
+        self.held = Held()
 
     def _make(self, name: str, given: pa.Table) -> None:
         self.con.register("given", given)
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.con.unregister("given")
 
-    def clear(self) -> None:
-        """Forget what is encoded. ``known`` and ``before`` hold the ids of pieces and chunks as bytes: when ``known`` is
-        full it becomes ``before``, and what is met again moves back, so only what was not met for a generation goes."""
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
     def merge_rows(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of all pieces in a row, and how many each has, by the recursive query."""
         sizes = np.array([len(p) for p in pieces])
@@ -164,20 +221,10 @@ class Codec:
             offer(i)
         return np.array([self.ranks[p] for p in parts if p], "<u4")
 
-    def recall(self, names: set[str]) -> set[str]:
-        """Bring what the generation before knows of ``names`` into this one; the names that are not known."""
-        new = names - self.known.keys()
-        if len(self.known) + len(new) > KEEP_CHUNKS:
-            self.known, self.before = {}, self.known
-            new = names
-        old = new & self.before.keys()
-        self.known.update(zip(old, map(self.before.__getitem__, old), strict=True))
-        return new - old
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks that are not known yet. Letters with at most one mark after them need no pattern
-        to be split."""
-        known, ranks, single = self.known, self.ranks, self.single
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """The ids of chunks that are not held yet and of their pieces. Letters with at most one mark after them need no
+        pattern to be split."""
+        ranks, single = self.ranks, self.single
         todo, several = set(), {}
         for c in chunks:
             body = c[1:] if c[0] == " " else c
@@ -188,7 +235,8 @@ class Codec:
             if len(pieces) > 1:
                 several[c] = pieces
             todo.update(pieces)
-        held: list[tuple[str, bytes]] = []
+        known = self.held.find(list(todo - chunks))
+        some: list[tuple[str, bytes]] = []
         size = 0
         for p in todo - known.keys():
             raw = p.encode()
@@ -197,23 +245,24 @@ class Codec:
             elif len(raw) >= LONG_PIECE:
                 known[p] = self.merge_long(raw).tobytes()
             else:
-                held.append((p, raw))
+                some.append((p, raw))
                 size += len(raw)
                 if size > QUERY_BYTES:
-                    self.merge(held)
-                    held, size = [], 0
-        self.merge(held)
+                    known.update(self.merge(some))
+                    some, size = [], 0
+        known.update(self.merge(some))
         for c, pieces in several.items():
             known[c] = b"".join([known[p] for p in pieces])
+        self.held.keep(known)
+        return known
 
-    def merge(self, held: list[tuple[str, bytes]]) -> None:
-        """Encode pieces by the recursive query."""
-        if held:
-            tokens, sizes = self.merge_rows([raw for _, raw in held])
-            data, at = tokens.tobytes(), 0
-            for (p, _), end in zip(held, (4 * np.cumsum(sizes)).tolist(), strict=True):
-                self.known[p] = data[at:end]
-                at = end
+    def merge(self, some: list[tuple[str, bytes]]) -> dict[str, bytes]:
+        """The ids of pieces by the recursive query."""
+        if not some:
+            return {}
+        tokens, sizes = self.merge_rows([raw for _, raw in some])
+        data, ends = tokens.tobytes(), (4 * np.cumsum(sizes)).tolist()
+        return dict(zip([p for p, _ in some], [data[a:b] for a, b in pairwise([0, *ends])], strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end. A long text alone
@@ -227,9 +276,11 @@ class Codec:
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [CHUNK.findall(t) for t in texts]
-        if new := self.recall(set().union(*split)):
-            self.learn(new)
-        of = self.known.__getitem__
+        names = set().union(*split)
+        known = self.held.find(list(names))
+        if new := names - known.keys():
+            known.update(self.learn(new))
+        of = known.__getitem__
         return [b"".join(map(of, chunks)) for chunks in split]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:

@@ -1,10 +1,13 @@
 """Tokenising, scanning, fingerprints, extraction, chat: against plain versions."""
 
+import gc
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -53,6 +56,35 @@ def test_bpe_of_a_long_text_in_parts(encoding, monkeypatch):
         assert c.encode([text])[0].tolist() == encoding.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("keep, same", [(400_000, 1 << 61), (40, 1 << 61), (40, 7), (1, 1)])
+def test_bpe_of_pieces_that_were_forgotten_or_share_a_hash(encoding, monkeypatch, keep, same):
+    monkeypatch.setattr(bpe, "KEEP_CHUNKS", keep)
+    monkeypatch.setattr(bpe, "hash", lambda s: hash(s) % same, raising=False)
+    c = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    texts = [prose(8, 300), "", prose(9, 300), "it's we'll, x1y2 漢字 é.", prose(8, 300), "z" * 900]
+    for lo in (0, 2, 0, 3):
+        ids, ends = c.encode(texts[lo:])
+        assert [p.tolist() for p in np.split(ids, ends[:-1])] == [encoding.encode_ordinary(t) for t in texts[lo:]]
+        assert len(c.held.texts) <= keep
+
+
+def test_bpe_keeps_encoded_pieces_in_little_memory():
+    """As strings and bytes in a dictionary each takes some 150 bytes, and two workers for each executor hold them."""
+    c = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    c.encode(["warm up"])
+    words = sorted({hashlib.sha256(str(i).encode()).hexdigest()[:8].translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(20_000)})
+    gc.collect()
+    tracemalloc.start()
+    try:
+        arrow = pa.total_allocated_bytes()
+        c.encode([" ".join(words)])
+        gc.collect()
+        grown = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert grown < 80 * len(words)
+
+
 def test_bpe_encode_then_decode(spark):
     df = awkward(spark).filter("doc_id < 7")
     pattern = public_tokenizers.PATTERN
